@@ -17,6 +17,7 @@ before all others; repeated rows share a class; an empty table gives an empty re
 from __future__ import annotations
 
 import itertools
+import math
 import re
 
 import numpy as np
@@ -214,21 +215,67 @@ def components(links: DataFrame, nodes: DataFrame, max_rounds: int = 50) -> Data
     return labels.select("fp", "least")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = MAX_BITS, masks: list[int] | None = None, verify=None) -> DataFrame:
-    """One row per row of docs: doc_id, fp (signed), component_id, the smallest doc_id linked directly or through others.
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """Sorted distinct 32-bit hashes of a text's word shingles."""
+    words = _WORD.findall((text or "").encode("utf-8", "surrogatepass").translate(_LOWER))
+    if not words:
+        return np.zeros(0, np.int32)
+    grams = (b" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1)))
+    return np.unique(np.fromiter((xxhash.xxh32_intdigest(g, 42) for g in grams), np.uint32).view(np.int32))
 
-    verify: optional function of the links (a, b, apart) and the fingerprint table that keeps those to count.
-    """
-    hashed = written(docs.select("doc_id", fingerprints(F.col("text"), shingle).alias("fp")), "simhash")
-    distinct = written(hashed.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    links = link_fingerprints(distinct.select("fp"), masks or exact_masks(max_bits), max_bits)
-    if verify is not None:
-        links = verify(links, distinct)
+
+def similar_links(links: DataFrame, distinct: DataFrame, docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The links whose fingerprints' first documents have a Jaccard similarity of shingles of at least ``similarity``."""
+    ends = links.select(F.col("a").alias("fp")).union(links.select(F.col("b").alias("fp"))).distinct()
+    first = written(distinct.join(ends, "fp", "left_semi").select("fp", "least"), "ends")
+
+    @F.pandas_udf("array<int>")
+    def hashes(texts: pd.Series) -> pd.Series:
+        return pd.Series([shingle_hashes(t, shingle) for t in texts])
+
+    sets = docs.select(F.col("doc_id").alias("least"), "text").join(first, "least").select("fp", hashes(F.col("text")).alias("s"))
+    sets = written(sets.dropDuplicates(["fp"]), "shingles")
+
+    @F.pandas_udf("double")
+    def jaccard(left: pd.Series, right: pd.Series) -> pd.Series:
+        common = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(left, right, strict=True)]
+        return pd.Series([c / max(1, len(x) + len(y) - c) for c, x, y in zip(common, left, right, strict=True)], dtype="float64")
+
+    pairs = links.join(sets.select(F.col("fp").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("fp").alias("b"), F.col("s").alias("sb")), "b")
+    return pairs.where(jaccard(F.col("sa"), F.col("sb")) >= similarity).select("a", "b", "apart")
+
+
+def _classes(hashed: DataFrame, distinct: DataFrame, links: DataFrame) -> DataFrame:
     joined = components(links, distinct.where("least is not null"))
     linked = distinct.join(joined.withColumnRenamed("least", "low"), "fp", "left").select("fp", F.coalesce("low", "least").alias("component_id"))
     linked = written(linked, "classes")  # so that both sides of the next join are plain exchanges, whose hot keys Spark splits
     return hashed.join(linked, "fp").select("doc_id", "fp", "component_id")
 
 
+def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row per row of docs: doc_id, fp (signed), component_id, the smallest doc_id linked directly or through others.
+
+    Links are all pairs of fingerprints within max_bits, exactly.
+    """
+    hashed = written(docs.select("doc_id", fingerprints(F.col("text"), shingle).alias("fp")), "simhash")
+    distinct = written(hashed.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    return _classes(hashed, distinct, link_fingerprints(distinct.select("fp"), exact_masks(max_bits), max_bits))
+
+
+def similar_documents(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, max_bits: int = 12, missed: float = 0.01) -> DataFrame:
+    """Like near_duplicates, for documents whose shingle sets are similar: candidates within a wide radius, verified.
+
+    At such a radius no whole block of bits need agree, so buckets are samples of bits: as many bits as keep buckets
+    small at this number of fingerprints, and as many samples as miss a pair eight bits apart with the given
+    probability. A bucket's candidates are those that connect all of its candidates, the closest first.
+    """
+    hashed = written(docs.select("doc_id", fingerprints(F.col("text"), shingle).alias("fp")), "simhash")
+    distinct = written(hashed.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    bits = max(14, math.ceil(math.log2(max(2, distinct.count()))) - 4)
+    tables = math.ceil(math.log(missed) / math.log(1 - math.comb(56, bits) / math.comb(64, bits)))
+    links = written(link_fingerprints(distinct.select("fp"), sampled_masks(bits, tables), max_bits, pivot_fingerprints(4)), "candidates")
+    return _classes(hashed, distinct, written(similar_links(links, distinct, docs, shingle, similarity), "similar"))
+
+
 def fingerprint_hex(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
