@@ -1,9 +1,15 @@
 """The registered queries of the library and their SQL."""
 
+from __future__ import annotations
 
-def queries():
-    return {}
+from .plans import corpus, documents, tables, web
 
+MODULES = (documents, web, tables, corpus)
 
-def oracle_sql():
-    return {}
+
+def queries() -> dict:
+    return {name: run for m in MODULES for name, (run, _) in m.QUERIES.items()}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {name: sql for m in MODULES for name, (_, sql) in m.QUERIES.items() if sql}
