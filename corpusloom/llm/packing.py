@@ -12,6 +12,7 @@ full length are sequences of their own; an empty table gives an empty result.
 from __future__ import annotations
 
 import functools
+import re
 import zlib
 from bisect import bisect_left, insort
 
@@ -28,7 +29,7 @@ END_ID = 1
 GROUP_PIECES, MERGED_GROUPS = 4000, 32
 #: Bins of a group that a second round takes up again, the emptiest.
 REOPENED = 24
-CACHE_WORDS = 400_000
+CACHE_WORDS = 500_000
 
 
 def default_tokenizer_path() -> str:
@@ -47,24 +48,71 @@ def _tokenizer(path: str):
 class WordIds:
     """Token ids of whole texts from ids of their words between ASCII blanks, each word encoded once.
 
-    The tokenizer splits at white space before anything else and drops it, so a text's ids are its words' ids.
+    The tokenizer splits at white space before anything else and drops it, so a text's ids are its words' ids. It
+    also lowers letters and parts them from marks, so a plain word with marks behind it is two known pieces. What is
+    not known is encoded in one go, with a special token between the words. Words stay known for a generation of
+    ``CACHE_WORDS`` words after they were last seen.
     """
 
+    _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?%&$#*()|-]*)")
+
     def __init__(self, path: str):
-        self.encode = _tokenizer(path).encode_batch
+        tokenizer = _tokenizer(path)
+        self.encode = lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        self.mark = "<|endoftext|>"
+        self.is_mark = np.arange(tokenizer.get_vocab_size()) == tokenizer.token_to_id(self.mark)
+        self.is_end = np.array([(tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(tokenizer.get_vocab_size())])
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _learn(self, words: list[str], letters: bool) -> None:
+        """Makes words known. Those of letters alone each end in a token that ends a word; others get a mark between."""
+        for at in range(0, len(words), 5000):
+            some = words[at : at + 5000]
+            ids = self.encode((" " if letters else self.mark).join(some))
+            ends = np.flatnonzero((self.is_end if letters else self.is_mark)[ids]).tolist()
+            if len(ends) != len(some) - (not letters):  # a word holds the mark, or ends oddly
+                for w in some:
+                    self.known[w] = self.encode(w).tobytes()
+                continue
+            data = ids.tobytes()
+            begins, stops = ([0, *(e + 1 for e in ends[:-1])], [e + 1 for e in ends]) if letters else ([0, *(e + 1 for e in ends)], [*ends, len(ids)])
+            for w, i, j in zip(some, begins, stops, strict=True):
+                self.known[w] = data[4 * i : 4 * j]
+
+    def _meet(self, words: set[str]) -> None:
+        known, old, parts, cores, rest = self.known, self.old, {}, set(), set()
+        for w in words:
+            if w in old:
+                known[w] = old[w]
+            elif m := self._PLAIN.fullmatch(w):
+                core, marks = m[1].lower(), m[2]
+                parts[w] = (core, marks)
+                cores.add(core)
+                rest.add(marks)
+            else:
+                rest.add(w)
+        for some in (cores, rest):
+            for p in [p for p in some if p in known or p in old]:
+                some.discard(p)
+                known.setdefault(p, old.get(p))
+        self._learn(sorted(cores), True)
+        self._learn(sorted(rest), False)
+        for w, (core, marks) in parts.items():
+            known[w] = known[core] + known[marks]
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         if len(self.known) > CACHE_WORDS:
-            self.known = {}
+            self.old, self.known = self.known, {}
         known = self.known
-        new = list({w for words in split for w in words if w not in known})
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
-            for w, e in zip(some, self.encode(some, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        return [np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4") for words in split]
+        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        found = [list(map(known.get, part)) for part in split]
+        gaps = [[i for i, v in enumerate(values) if v is None] if None in values else [] for values in found]
+        self._meet({part[i] for part, some in zip(split, gaps, strict=True) for i in some})
+        for part, values, some in zip(split, found, gaps, strict=True):
+            for i in some:
+                values[i] = known[part[i]]
+        return [np.frombuffer(b"".join(values), "<u4") for values in found]
 
 
 @functools.lru_cache(maxsize=2)
@@ -80,8 +128,8 @@ def pieces(docs: DataFrame, tokenizer_path: str | None = None, sequence: int = S
     def cut(batches):
         encode = _word_ids(path)
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                some = batch.iloc[at : at + 256]
+            for at in range(0, len(batch), 512):
+                some = batch.iloc[at : at + 512]
                 rows = []
                 for doc, ids in zip(some["doc_id"], encode(["" if t is None else t for t in some["text"]]), strict=True):
                     ids = np.concatenate((ids, end))
