@@ -10,12 +10,23 @@ TAIL_LIMIT, TAIL_KEPT, LENGTH_LIMIT, ACCEPT_LENGTH = 50, 12, 3000, 6000
 FORBIDDEN = (r"\includegraphics", r"\write18")
 
 
+def _let(value: Column, body) -> Column:
+    """body(value) with the value computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _tokens(text: Column) -> Column:
+    return F.filter(F.split(text, r"\s+"), lambda t: t != "")
+
+
+def _run(tokens: Column) -> Column:
+    same = F.aggregate(tokens, F.struct(F.lit("").alias("last"), F.lit(0).alias("n")), lambda a, t: F.struct(t.alias("last"), F.when(t == a["last"], a["n"] + 1).otherwise(1).alias("n")))
+    return same["n"]
+
+
 def tail_run(text: Column) -> Column:
     """How often the last token stands in a row at the end."""
-    tokens = F.filter(F.split(text, r"\s+"), lambda t: t != "")
-    last = F.element_at(tokens, -1)
-    differs = F.array_position(F.reverse(F.transform(tokens, lambda t: t != last)), True)
-    return F.when(F.size(tokens) == 0, 0).when(differs > 0, (differs - 1).cast("int")).otherwise(F.size(tokens))
+    return _run(_tokens(text))
 
 
 def sanitized(text: Column) -> Column:
@@ -23,15 +34,19 @@ def sanitized(text: Column) -> Column:
 
     Only texts with a long tail run or over the length limit are touched.
     """
-    run = tail_run(text)
-    tokens = F.filter(F.split(text, r"\s+"), lambda t: t != "")
-    repeats = run > TAIL_LIMIT
-    clamped = F.when(repeats, F.array_join(F.slice(tokens, F.lit(1), F.size(tokens) - run + TAIL_KEPT), " ")).otherwise(text)
-    head = F.substring(clamped, 1, LENGTH_LIMIT)
-    at_break = F.regexp_extract(head, r"(?s)^(.*)[ \n\t\\]", 1)
-    too_long = F.length(clamped) > LENGTH_LIMIT
-    out = F.when(too_long, F.when(at_break != "", at_break).otherwise(head)).otherwise(clamped)
-    return F.struct(out.alias("latex"), repeats.alias("truncated_by_repeat"), too_long.alias("truncated_by_length"), run.alias("tail_run"))
+
+    def clamp(tokens: Column, run: Column) -> Column:
+        return F.when(run > TAIL_LIMIT, F.array_join(F.slice(tokens, F.lit(1), F.size(tokens) - run + TAIL_KEPT), " ")).otherwise(text)
+
+    def cut(clamped: Column, run: Column) -> Column:
+        head = F.substring(clamped, 1, LENGTH_LIMIT)
+        at_break = F.regexp_extract(head, r"(?s)^(.*)[ \n\t\\]", 1)
+        too_long = F.length(clamped) > LENGTH_LIMIT
+        out = F.when(too_long, _let(at_break, lambda b: F.when(b != "", b).otherwise(head))).otherwise(clamped)
+        return F.struct(out.alias("latex"), (run > TAIL_LIMIT).alias("truncated_by_repeat"), too_long.alias("truncated_by_length"), run.alias("tail_run"))
+
+    measured = F.struct(_tokens(text).alias("t"), tail_run(text).alias("n"))
+    return _let(measured, lambda m: _let(clamp(m["t"], m["n"]), lambda c: cut(c, m["n"])))
 
 
 def accept_score(text: Column) -> Column:

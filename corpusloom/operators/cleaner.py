@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..functions.text import content_chars, lines, script_percentages
+from ..sources.scratch import settled
 
 #: Placeholders, artefacts of broken extraction and letters by script (fixed values).
 TEXT_MISSING, TABLE_REMOVED = "<!-- text-missing -->", "<!-- table-removed -->"
@@ -192,8 +193,8 @@ def remove_tables(docs: DataFrame, issues: DataFrame, key: str = "doc_id", text:
 
 def quality_report(docs: DataFrame, scripts=("greek", "latin"), key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(cleaned documents, report): clean, remove malformed tables, clean again, and score the second cleaning."""
-    once = docs.withColumn(text, clean_text(F.col(text), scripts)["text"])
-    without = remove_tables(once, table_issues(once, key, text), key, text)
+    once = settled(docs.withColumn(text, clean_text(F.col(text), scripts)["text"]), "cleaned")
+    without = settled(remove_tables(once, table_issues(once, key, text), key, text), "untabled")
     twice = without.withColumn("__c", clean_text(F.col(text), scripts))
     greek, latin = script_percentages(F.col("__c.text"))
     report = twice.select(

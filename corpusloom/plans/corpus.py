@@ -28,11 +28,11 @@ _MD = rf"""t AS (
   SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN 'intro line' || chr(10) ELSE '' END || CASE WHEN doc_id % 6 = 0 THEN {_CONTENTS} || chr(10) ELSE '' END
     || array_to_string([CASE WHEN i % 7 = 1 THEN '## ' WHEN i % 5 = 1 THEN '- ' ELSE '' END || x FOR x, i IN string_split(coalesce(text, ''), chr(10))], chr(10))
     || CASE WHEN doc_id % 4 = 0 THEN array_to_string(['', '## Data', '| a | b |', '|---|---|', '| 1 | 2 |', '', 'short', 'and a line that is longer than twenty'], chr(10)) ELSE '' END AS text FROM documents
-), l AS (SELECT doc_id, len(a) AS n_lines, unnest(a) AS line, generate_subscripts(a, 1) - 1 AS at FROM (SELECT doc_id, {_SQL_LINES.format("text")} AS a FROM t)
+), l AS (SELECT doc_id, len(a) AS n_lines, unnest(a) AS line, generate_subscripts(a, 1) - 1 AS pos FROM (SELECT doc_id, {_SQL_LINES.format("text")} AS a FROM t)
 ), h AS (SELECT *, regexp_replace(line, '^[{SP}]+|[{SP}]+$', '', 'g') AS bare FROM l
-), s AS (SELECT *, starts_with(bare, '#') AS head, sum(CASE WHEN starts_with(bare, '#') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY at) AS nth FROM h
+), s AS (SELECT *, starts_with(bare, '#') AS head, sum(CASE WHEN starts_with(bare, '#') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos) AS nth FROM h
 ), g AS (
-  SELECT doc_id, nth, n_lines, min(at) AS start_line, max(at) AS end_line, arg_min(bare, at) AS first, bool_or(head) AS titled, coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (NOT head), '') AS content,
+  SELECT doc_id, nth, n_lines, min(pos) AS start_line, max(pos) AS end_line, arg_min(bare, pos) AS first, bool_or(head) AS titled, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT head), '') AS content,
     count(*) FILTER (NOT head AND bare <> '') AS section_length FROM s GROUP BY doc_id, nth, n_lines
 ), sec AS (
   SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY nth) - 1 AS INTEGER) AS id, start_line, end_line, content, section_length, n_lines,
@@ -54,13 +54,13 @@ def section_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _BLOCKS = rf"""bl AS (
-  SELECT doc_id, id, unnest(a) AS line, generate_subscripts(a, 1) AS at FROM (SELECT doc_id, id, string_split(content, chr(10)) AS a FROM sec)
+  SELECT doc_id, id, unnest(a) AS line, generate_subscripts(a, 1) AS pos FROM (SELECT doc_id, id, string_split(content, chr(10)) AS a FROM sec)
 ), bm AS (SELECT *, regexp_replace(line, '^[{SP}]+|[{SP}]+$', '', 'g') AS bare FROM bl
 ), bk AS (SELECT *, CASE WHEN regexp_matches(bare, '^\|(.*\|)?$') THEN 'table' WHEN bare = '' THEN 'blank' WHEN regexp_matches(bare, '^(-|\d+\.\s+)') THEN 'bullet' END AS mark FROM bm
-), bs AS (SELECT *, last_value(mark IGNORE NULLS) OVER (PARTITION BY doc_id, id ORDER BY at) AS since FROM bk
+), bs AS (SELECT *, last_value(mark IGNORE NULLS) OVER (PARTITION BY doc_id, id ORDER BY pos) AS since FROM bk
 ), bt AS (SELECT *, CASE WHEN mark = 'table' THEN 'table' WHEN since = 'bullet' THEN 'list' WHEN bare <> '' AND length(bare) < 20 THEN 'other' ELSE 'text' END AS kind FROM bs
-), bn AS (SELECT *, sum(CASE WHEN kind = 'other' OR kind <> coalesce(pk, '') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, id ORDER BY at) AS nth FROM (SELECT *, lag(kind) OVER (PARTITION BY doc_id, id ORDER BY at) AS pk FROM bt)
-), bb AS (SELECT doc_id, id, nth, kind, string_agg(line, chr(10) ORDER BY at) AS value FROM bn GROUP BY ALL HAVING bool_or(bare <> '')
+), bn AS (SELECT *, sum(CASE WHEN kind = 'other' OR kind <> coalesce(pk, '') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, id ORDER BY pos) AS nth FROM (SELECT *, lag(kind) OVER (PARTITION BY doc_id, id ORDER BY pos) AS pk FROM bt)
+), bb AS (SELECT doc_id, id, nth, kind, string_agg(line, chr(10) ORDER BY pos) AS value FROM bn GROUP BY ALL HAVING bool_or(bare <> '')
 )"""
 SECTION_STATS_SQL = f"""WITH {_MD}, {_BLOCKS}
 SELECT p.doc_id, p.id, section_length, section_propo, coalesce(bool_or(kind = 'table'), false) AS has_table, coalesce(bool_or(kind = 'list'), false) AS has_list, coalesce(bool_or(kind = 'other'), false) AS has_other, coalesce(bool_or(kind = 'text'), false) AS has_text

@@ -67,18 +67,18 @@ GREEK_NOISE_SQL = rf"""
 WITH d AS (SELECT doc_id, translate(lower(coalesce(text, '')), '{FROM_LATIN}', '{TO_GREEK}') AS t FROM documents
 ), k AS (
   SELECT doc_id, array_to_string([x FOR x IN {_SQL_LINES.format("t")} IF NOT regexp_matches(x, '^[{SP}]*\|(.*\|)?[{SP}]*$')], chr(10)) AS t FROM d
-), c AS (SELECT doc_id, unnest(string_split(t, '')) AS ch, generate_subscripts(string_split(t, ''), 1) AS at FROM k
+), c AS (SELECT doc_id, unnest(string_split(t, '')) AS ch, generate_subscripts(string_split(t, ''), 1) AS pos FROM k
 ), g AS (
   SELECT *, regexp_matches(ch, '^[\x{{370}}-\x{{3FF}}\x{{1F00}}-\x{{1FFF}}]$') AS greek, strpos('{VOWELS}', ch) > 0 AND ch <> '' AS vowel FROM c
   WHERE NOT regexp_matches(ch, '^[\x{{300}}-\x{{36F}}\x{{1DC0}}-\x{{1DFF}}\x{{20D0}}-\x{{20FF}}]$')
 ), n AS (
   SELECT *, CASE WHEN greek THEN (CASE WHEN vowel THEN 'v' ELSE 'c' END) ELSE 'x' END AS kind,
-    lag(ch) OVER w AS prev, lag(CASE WHEN greek THEN 1 ELSE 0 END) OVER w AS prev_greek, lead(CASE WHEN greek THEN 1 ELSE 0 END) OVER w AS next_greek FROM g WINDOW w AS (PARTITION BY doc_id ORDER BY at)
+    lag(ch) OVER w AS prev, lag(CASE WHEN greek THEN 1 ELSE 0 END) OVER w AS prev_greek, lead(CASE WHEN greek THEN 1 ELSE 0 END) OVER w AS next_greek FROM g WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
 ), r AS (
-  SELECT *, sum(CASE WHEN kind = pk THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY at ROWS UNBOUNDED PRECEDING) AS run,
-    sum(CASE WHEN greek AND coalesce(prev_greek, 0) = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY at ROWS UNBOUNDED PRECEDING) AS word
-  FROM (SELECT *, lag(kind) OVER (PARTITION BY doc_id ORDER BY at) AS pk FROM n)
-), runs AS (SELECT doc_id, run, min(kind) AS kind, count(*) AS len, max(at) AS last FROM r GROUP BY doc_id, run
+  SELECT *, sum(CASE WHEN kind = pk THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS run,
+    sum(CASE WHEN greek AND coalesce(prev_greek, 0) = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS word
+  FROM (SELECT *, lag(kind) OVER (PARTITION BY doc_id ORDER BY pos) AS pk FROM n)
+), runs AS (SELECT doc_id, run, min(kind) AS kind, count(*) AS len, max(pos) AS last FROM r GROUP BY doc_id, run
 ), runs2 AS (SELECT *, lead(kind) OVER (PARTITION BY doc_id ORDER BY run) AS nk FROM runs
 ), pens AS (
   SELECT doc_id, sum(CASE WHEN kind = 'v' AND len >= 4 AND coalesce(nk, 'e') <> 'x' THEN len - 3 ELSE 0 END) AS v_pen,
@@ -141,7 +141,7 @@ def _char_class(chars: str) -> str:
 _UNUSUAL = _char_class(cleaner.unusual_letters())
 CORE_CLEAN_SQL = rf"""
 WITH d AS (SELECT doc_id, text FROM documents WHERE text IS NOT NULL AND NOT regexp_matches(text, '[$&<\r]')
-), l AS (SELECT doc_id, text, unnest(ls) AS x, generate_subscripts(ls, 1) AS at FROM (SELECT *, {_SQL_LINES.format("text")} AS ls FROM d)
+), l AS (SELECT doc_id, text, unnest(ls) AS x, generate_subscripts(ls, 1) AS pos FROM (SELECT *, {_SQL_LINES.format("text")} AS ls FROM d)
 ), c AS (
   SELECT *, regexp_replace(x, '{_UNUSUAL}', '', 'g') AS y,
     length(regexp_replace(regexp_replace(x, '[{SP}]', '', 'g'), '[^{_UNUSUAL[1:-1]}]', '', 'g')) AS lost,
@@ -150,7 +150,7 @@ WITH d AS (SELECT doc_id, text FROM documents WHERE text IS NOT NULL AND NOT reg
   SELECT *, CASE WHEN bad THEN '<!-- text-missing -->' WHEN lost >= 5 AND trim(y) <> '' THEN rtrim(y) || ' <!-- text-missing -->'
     WHEN lost >= 5 THEN '<!-- text-missing -->' ELSE y END AS z,
     CASE WHEN bad THEN 0 WHEN lost >= 5 AND trim(y) <> '' THEN length(rtrim(y)) WHEN lost >= 5 THEN 0 ELSE length(y) END AS kept FROM c
-), g AS (SELECT doc_id, any_value(text) AS text, string_agg(z, chr(10) ORDER BY at) AS t, CAST(sum(length(x)) AS BIGINT) AS judged_chars, CAST(sum(kept) AS BIGINT) AS kept_chars FROM e GROUP BY doc_id)
+), g AS (SELECT doc_id, any_value(text) AS text, string_agg(z, chr(10) ORDER BY pos) AS t, CAST(sum(length(x)) AS BIGINT) AS judged_chars, CAST(sum(kept) AS BIGINT) AS kept_chars FROM e GROUP BY doc_id)
 SELECT d.doc_id, md5(coalesce(t, '') || CASE WHEN ends_with(d.text, chr(10)) THEN chr(10) ELSE '' END) AS cleaned_md5, coalesce(judged_chars, 0) AS judged_chars, coalesce(kept_chars, 0) AS kept_chars,
   CASE WHEN judged_chars > 0 THEN greatest(0.0, round(1 - kept_chars / judged_chars, 3)) ELSE 0.0 END AS badness
 FROM d LEFT JOIN g USING (doc_id)
@@ -188,28 +188,28 @@ t AS (
     || CASE WHEN doc_id % 5 = 0 THEN chr(10) || '| a | b |' || chr(10) || '|---|---|' || chr(10) || '| 1 | 2 | 3 |' || chr(10) || 'end' ELSE '' END
     || CASE WHEN doc_id % 7 = 0 THEN chr(10) || 'x' || chr(10) || '|---|---|' || chr(10) || '| 1 | 2 |' || chr(10) || 'end' ELSE '' END AS text FROM documents
 ), ls AS (
-  SELECT doc_id, unnest(a) AS x, generate_subscripts(a, 1) - 1 AS at FROM (SELECT doc_id, {_SQL_LINES.format("text")} AS a FROM t)
+  SELECT doc_id, unnest(a) AS x, generate_subscripts(a, 1) - 1 AS pos FROM (SELECT doc_id, {_SQL_LINES.format("text")} AS a FROM t)
 ), f AS (
   SELECT *, regexp_matches(x, '^\s*\|.*\|\s*$') AS is_row, regexp_matches(x, '^\s*\|\s*[-:]+\s*\|') AS is_rule,
     CASE WHEN regexp_matches(trim(x), '^\|(.*)\|$') THEN length(x) - length(replace(x, '|', '')) - 1 ELSE 0 END AS cols FROM ls
 ), i AS (
-  SELECT *, sum(CASE WHEN is_row AND NOT coalesce(pr, false) THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY at) AS island
-  FROM (SELECT *, lag(is_row) OVER w AS pr, lag(cols) OVER w AS pc FROM f WINDOW w AS (PARTITION BY doc_id ORDER BY at))
-), h AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, island ORDER BY at) AS nth FROM i WHERE is_rule AND is_row) WHERE nth = 1
-), e AS (SELECT h.doc_id, h.island, h.at, max(b.at) AS last FROM h JOIN i b ON b.doc_id = h.doc_id AND b.island = h.island AND b.is_row GROUP BY ALL
+  SELECT *, sum(CASE WHEN is_row AND NOT coalesce(pr, false) THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos) AS island
+  FROM (SELECT *, lag(is_row) OVER w AS pr, lag(cols) OVER w AS pc FROM f WINDOW w AS (PARTITION BY doc_id ORDER BY pos))
+), h AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, island ORDER BY pos) AS nth FROM i WHERE is_rule AND is_row) WHERE nth = 1
+), e AS (SELECT h.doc_id, h.island, h.pos, max(b.pos) AS last FROM h JOIN i b ON b.doc_id = h.doc_id AND b.island = h.island AND b.is_row GROUP BY ALL
 ), issues AS (
-  SELECT h.doc_id, h.at AS line_number, CASE WHEN NOT coalesce(h.pr, false) THEN 'separator without header' ELSE 'header and separator differ' END AS description, h.cols AS expected_columns,
-    CASE WHEN coalesce(h.pr, false) THEN h.pc END AS found_columns, CASE WHEN coalesce(h.pr, false) THEN h.at - 1 ELSE h.at END AS start_line, e.last AS end_line
+  SELECT h.doc_id, h.pos AS line_number, CASE WHEN NOT coalesce(h.pr, false) THEN 'separator without header' ELSE 'header and separator differ' END AS description, h.cols AS expected_columns,
+    CASE WHEN coalesce(h.pr, false) THEN h.pc END AS found_columns, CASE WHEN coalesce(h.pr, false) THEN h.pos - 1 ELSE h.pos END AS start_line, e.last AS end_line
   FROM h JOIN e USING (doc_id, island) WHERE NOT coalesce(h.pr, false) OR h.pc <> h.cols
   UNION ALL
-  SELECT h.doc_id, b.at, 'row differs from separator', h.cols, b.cols, CASE WHEN coalesce(h.pr, false) THEN h.at - 1 ELSE h.at END, e.last
-  FROM h JOIN e USING (doc_id, island) JOIN i b ON b.doc_id = h.doc_id AND b.island = h.island AND b.is_row AND b.at > h.at WHERE h.cols > 0 AND b.cols <> h.cols
+  SELECT h.doc_id, b.pos, 'row differs from separator', h.cols, b.cols, CASE WHEN coalesce(h.pr, false) THEN h.pos - 1 ELSE h.pos END, e.last
+  FROM h JOIN e USING (doc_id, island) JOIN i b ON b.doc_id = h.doc_id AND b.island = h.island AND b.is_row AND b.pos > h.pos WHERE h.cols > 0 AND b.cols <> h.cols
 )"""
 MALFORMED_SQL = f"WITH {_TABLE_BASE} SELECT * FROM issues"
 REMOVE_TABLES_SQL = f"""WITH {_TABLE_BASE}, m AS (
-  SELECT ls.*, EXISTS (SELECT 1 FROM issues s WHERE s.doc_id = ls.doc_id AND ls.at BETWEEN s.start_line AND s.end_line) AS bad FROM ls
-), k AS (SELECT *, lag(bad) OVER (PARTITION BY doc_id ORDER BY at) AS pb FROM m
-), g AS (SELECT doc_id, string_agg(CASE WHEN bad THEN '<!-- table-removed -->' ELSE x END, chr(10) ORDER BY at) AS y, count(*) FILTER (bad) AS removed FROM k WHERE NOT (bad AND coalesce(pb, false)) GROUP BY doc_id)
+  SELECT ls.*, EXISTS (SELECT 1 FROM issues s WHERE s.doc_id = ls.doc_id AND ls.pos BETWEEN s.start_line AND s.end_line) AS bad FROM ls
+), k AS (SELECT *, lag(bad) OVER (PARTITION BY doc_id ORDER BY pos) AS pb FROM m
+), g AS (SELECT doc_id, string_agg(CASE WHEN bad THEN '<!-- table-removed -->' ELSE x END, chr(10) ORDER BY pos) AS y, count(*) FILTER (bad) AS removed FROM k WHERE NOT (bad AND coalesce(pb, false)) GROUP BY doc_id)
 SELECT t.doc_id, md5(coalesce(y, '') || CASE WHEN ends_with(t.text, chr(10)) THEN chr(10) ELSE '' END) AS text_md5, coalesce(removed, 0) AS removed FROM t LEFT JOIN g USING (doc_id)
 """
 
@@ -224,13 +224,13 @@ def early_stop_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 EARLY_STOP_SQL = rf"""
 WITH t AS (
   SELECT doc_id, coalesce(text, '') || CASE WHEN doc_id % 3 = 0 THEN repeat(chr(10) || 'again', 12) ELSE '' END || CASE WHEN doc_id % 5 = 0 THEN chr(10) || repeat('x', 300) ELSE '' END AS t FROM documents
-), c AS (SELECT doc_id, unnest(string_split(t, '')) AS ch, generate_subscripts(string_split(t, ''), 1) AS at FROM t
-), r AS (SELECT *, sum(CASE WHEN ch = p THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY at ROWS UNBOUNDED PRECEDING) AS run FROM (SELECT *, lag(ch) OVER (PARTITION BY doc_id ORDER BY at) AS p FROM c)
-), a AS (SELECT doc_id, min(start) - 1 + 200 AS by_char FROM (SELECT doc_id, run, min(at) AS start, count(*) AS n, min(ch) AS ch FROM r GROUP BY doc_id, run) WHERE n >= 200 AND ch <> chr(10) GROUP BY doc_id
-), l AS (SELECT doc_id, unnest(x) AS x, generate_subscripts(x, 1) AS at FROM (SELECT doc_id, string_split(t, chr(10)) AS x FROM t)
-), s AS (SELECT *, trim(x) AS b, coalesce(sum(length(x) + 1) OVER (PARTITION BY doc_id ORDER BY at ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins FROM l
-), q AS (SELECT *, sum(CASE WHEN b = p THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY at ROWS UNBOUNDED PRECEDING) AS run FROM (SELECT *, lag(b) OVER (PARTITION BY doc_id ORDER BY at) AS p FROM s)
-), n AS (SELECT *, row_number() OVER (PARTITION BY doc_id, run ORDER BY at) AS nth FROM q
+), c AS (SELECT doc_id, unnest(string_split(t, '')) AS ch, generate_subscripts(string_split(t, ''), 1) AS pos FROM t
+), r AS (SELECT *, sum(CASE WHEN ch = p THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS run FROM (SELECT *, lag(ch) OVER (PARTITION BY doc_id ORDER BY pos) AS p FROM c)
+), a AS (SELECT doc_id, min(start) - 1 + 200 AS by_char FROM (SELECT doc_id, run, min(pos) AS start, count(*) AS n, min(ch) AS ch FROM r GROUP BY doc_id, run) WHERE n >= 200 AND ch <> chr(10) GROUP BY doc_id
+), l AS (SELECT doc_id, unnest(x) AS x, generate_subscripts(x, 1) AS pos FROM (SELECT doc_id, string_split(t, chr(10)) AS x FROM t)
+), s AS (SELECT *, trim(x) AS b, coalesce(sum(length(x) + 1) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins FROM l
+), q AS (SELECT *, sum(CASE WHEN b = p THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS run FROM (SELECT *, lag(b) OVER (PARTITION BY doc_id ORDER BY pos) AS p FROM s)
+), n AS (SELECT *, row_number() OVER (PARTITION BY doc_id, run ORDER BY pos) AS nth FROM q
 ), o AS (SELECT doc_id, min(begins) AS by_line FROM n WHERE nth = 11 GROUP BY doc_id
 ), u AS (SELECT t.doc_id, t, least(by_char, by_line) AS cut FROM t LEFT JOIN a USING (doc_id) LEFT JOIN o USING (doc_id))
 SELECT doc_id, CAST(length(t) AS INTEGER) AS before, CAST(CASE WHEN cut IS NULL THEN length(t) ELSE length(regexp_replace(substr(t, 1, CAST(cut AS INTEGER)), '[{SP}]+$', '')) END AS INTEGER) AS after FROM u
@@ -305,9 +305,9 @@ def latex_accept(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LATEX_ACCEPT_SQL = r"""
 WITH t AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN '{' ELSE '' END || coalesce(text, '') || CASE WHEN doc_id % 2 = 0 THEN '}' ELSE '' END || CASE WHEN doc_id % 3 = 0 THEN '}{' ELSE '' END AS t FROM documents
-), b AS (SELECT doc_id, unnest(x) AS ch, generate_subscripts(x, 1) AS at FROM (SELECT doc_id, string_split(regexp_replace(t, '[^{}]', '', 'g'), '') AS x FROM t)
-), d AS (SELECT doc_id, sum(CASE WHEN ch = '{' THEN 1 WHEN ch = '}' THEN -1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY at) AS depth, at FROM b
-), e AS (SELECT doc_id, min(depth) AS low, arg_max(depth, at) AS ends FROM d GROUP BY doc_id)
+), b AS (SELECT doc_id, unnest(x) AS ch, generate_subscripts(x, 1) AS pos FROM (SELECT doc_id, string_split(regexp_replace(t, '[^{}]', '', 'g'), '') AS x FROM t)
+), d AS (SELECT doc_id, sum(CASE WHEN ch = '{' THEN 1 WHEN ch = '}' THEN -1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos) AS depth, pos FROM b
+), e AS (SELECT doc_id, min(depth) AS low, arg_max(depth, pos) AS ends FROM d GROUP BY doc_id)
 SELECT t.doc_id, CASE WHEN length(t) > 6000 OR coalesce(low, 0) < 0 OR coalesce(ends, 0) <> 0 OR contains(t, '\includegraphics') OR contains(t, '\write18') THEN 0.0 ELSE 1.0 END AS accept_score FROM t LEFT JOIN e USING (doc_id)
 """
 
