@@ -1,0 +1,371 @@
+"""Each operator against a brute-force version or held-out rows, and on awkward rows."""
+
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from corpusloom.llm import fingerprint_cws, language_id, maxscore, packing, pii_surrogates, simhash_dedup, site_style, source_mix, toxicity, url_rules
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, size int, host string, bucket string"
+AWKWARD = [
+    (1, None, None, None, None, 1, "x", "y"), (2, "", "en", "a", 0, 1, "x", "y"), (None, "no id here", "en", "a", 10, 1, "x", "y"), (4, "one", "en", None, 3, 1, "x", "y"),
+    (5, "the same text of five words or more", "en", "b", 30, 1, "x", "y"), (6, "the same text of five words or more", "en", "b", 30, 1, "x", "y"), (6, "the same text of five words or more", "en", "b", 30, 1, "x", "y"),
+    (7, "12345 !!! ...", "fr", "b", 12, 1, "x", "y"), (8, "der lange text " * 20000, "de", "b", 300000, 1, "x", "y"), (9, " \n\t ", "de", "c", 4, 1, "x", "y"),
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark, tiny):
+    return spark.read.parquet(f"{tiny}/documents.parquet").cache()
+
+
+@pytest.fixture(scope="module")
+def awkward(spark):
+    return spark.createDataFrame(AWKWARD, DOCS)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def brute_simhash(text):
+    words = WORD.findall((text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
+    if not words:
+        return 0
+    grams = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(g, 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(fingerprints, max_bits):
+    ids, parent = list(range(len(fingerprints))), list(range(len(fingerprints)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in ids:
+        for j in ids[:i]:
+            if (fingerprints[i] ^ fingerprints[j]).bit_count() <= max_bits:
+                a, b = root(i), root(j)
+                parent[max(a, b)] = min(a, b)
+    return [root(i) for i in ids]
+
+
+def test_simhash_matches_brute_force(docs):
+    rows = docs.select("doc_id", "text").orderBy("doc_id").collect()
+    got = {r["doc_id"]: (r["fp"] % 2**64, r["component_id"]) for r in simhash_dedup.near_duplicates(docs).collect()}
+    fps = [brute_simhash(r["text"]) for r in rows]
+    roots = brute_components(fps, 3)
+    least = defaultdict(list)
+    for r, k in zip(rows, roots, strict=True):
+        least[k].append(r["doc_id"])
+    assert got == {r["doc_id"]: (f, min(least[k])) for r, f, k in zip(rows, fps, roots, strict=True)}
+
+
+def test_every_near_pair_shares_a_mask():
+    rng = np.random.default_rng(1)
+    masks = simhash_dedup.exact_masks()
+    for _ in range(500):
+        x = int(rng.integers(0, 2**63))
+        y = x
+        for b in rng.choice(64, 3, replace=False):
+            y ^= 1 << int(b)
+        assert any(x & m == y & m for m in masks)
+
+
+def test_links_of_dense_and_split_buckets(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    base = int(rng.integers(0, 2**62))
+    fps = sorted({base ^ (1 << int(a)) ^ (1 << int(b)) for a, b in rng.integers(0, 62, (150, 2))} | {int(x) for x in rng.integers(0, 2**62, 50)})
+    monkeypatch.setattr(simhash_dedup, "BLOCK_ROWS", 16)
+    distinct = spark.createDataFrame([(f,) for f in fps], "fp long")
+    links = [(r["a"], r["b"]) for r in simhash_dedup.link_fingerprints(distinct, simhash_dedup.exact_masks()).collect()]
+    assert all((a ^ b).bit_count() <= 3 for a, b in links)
+    where = {f: i for i, f in enumerate(fps)}
+    parent = list(range(len(fps)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        parent[root(where[a])] = root(where[b])
+    mine, want = [root(i) for i in range(len(fps))], brute_components(fps, 3)
+    assert len(set(zip(mine, want, strict=True))) == len(set(mine)) == len(set(want))
+
+
+def test_components_of_a_long_chain(spark):
+    links = spark.createDataFrame([(i, i + 1, 1) for i in range(40)], "a long, b long, apart int")
+    nodes = spark.createDataFrame([(i, 100 - i) for i in range(41)], "fp long, least long")
+    assert {r["least"] for r in simhash_dedup.components(links, nodes).collect()} == {60}
+
+
+def test_similar_documents_finds_edited_copies(spark):
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(3000)]
+    base = [[words[i] for i in rng.integers(0, 3000, 300)] for _ in range(40)]
+    rows = [(i, " ".join(b)) for i, b in enumerate(base)]
+    for i, b in enumerate(base[:20]):
+        edited = list(b)
+        for at in (50, 150, 250):
+            edited[at] = "changed"
+        rows.append((100 + i, " ".join(edited)))
+    got = {r["doc_id"]: r["component_id"] for r in simhash_dedup.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(got[100 + i] == i for i in range(20)) >= 19
+    assert all(got[i] == i for i in range(40))
+
+
+def test_packing_round_trip(docs):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(packing.default_tokenizer_path())
+    rows = packing.pack(packing.pieces(docs)).toPandas()
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for doc, piece in rows.groupby("doc_id"):
+        ids = np.array([*tokenizer.encode(texts[doc] or "", add_special_tokens=False).ids, 1], "<u4")
+        piece = piece.sort_values("piece")
+        assert piece["piece"].tolist() == list(range(len(piece)))
+        assert piece["start"].tolist() == list(range(0, len(ids), 4096))
+        assert piece["ids_crc32"].tolist() == [zlib.crc32(ids[s : s + 4096].tobytes()) for s in range(0, len(ids), 4096)]
+        assert piece["length"].sum() == len(ids)
+    for _, seq in rows.groupby("sequence_id"):
+        seq = seq.sort_values("offset")
+        assert seq["offset"].tolist() == [0, *seq["length"].cumsum().tolist()[:-1]]
+        assert seq["length"].sum() <= 4096
+    assert rows["sequence_id"].nunique() <= -(-rows["length"].sum() // 4096) + 2
+
+
+def test_word_ids_equal_whole_text_ids():
+    from tokenizers import Tokenizer
+
+    path = packing.default_tokenizer_path()
+    texts = ["Été  naïve\tΣΊΣΥΦΟΣ\r\nCafé  x y 123 don't!!", "", " ", "a" * 3000, "😀👍🏽 <b>x</b>", "İstanbul ẞ ​ ﬁ"]
+    whole = Tokenizer.from_file(path)
+    assert [x.tolist() for x in packing.WordIds(path)(texts)] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_local_search_empties_bins():
+    lengths = [70, 50, 30, 30, 20]
+    bins = packing.local_search([[0, 4], [1], [2, 3]], lengths, 100)
+    assert sorted(sorted(lengths[i] for i in b) for b in bins) == [[20, 30, 50], [30, 70]]
+    rng = np.random.default_rng(8)
+    lengths = rng.integers(1, 900, 300).tolist()
+    before = [[i] for i in range(300)]
+    after = packing.local_search(before, lengths, 1000)
+    assert sorted(i for b in after for i in b) == list(range(300))
+    assert all(sum(lengths[i] for i in b) <= 1000 for b in after) and len(after) < 200
+
+
+def brute_cws(a, b, samples=4000, seed=5):
+    """The collision rate of consistent weighted samples drawn for the words themselves."""
+    rng = np.random.default_rng(seed)
+    words = sorted(set(a) | set(b))
+    hits = 0
+    for _ in range(samples):
+        r, c, u = rng.gamma(2, 1, len(words)), rng.gamma(2, 1, len(words)), rng.random(len(words))
+        picks = []
+        for bag in (a, b):
+            best = None
+            for k, w in enumerate(words):
+                if bag.get(w):
+                    t = np.floor(np.log(bag[w]) / r[k] + u[k])
+                    value = (c[k] * np.exp(-r[k] * (t - u[k]) - r[k]), w, t)
+                    best = min(best, value) if best else value
+            picks.append(best[1:])
+        hits += picks[0] == picks[1]
+    return hits / samples
+
+
+def test_signature_collisions_follow_generalised_jaccard():
+    rng = np.random.default_rng(4)
+    deltas = []
+    for _ in range(30):
+        a = Counter(f"w{i}" for i in rng.integers(0, 60, 200))
+        b = Counter(a)
+        for i in rng.integers(0, 60, 40):
+            b[f"w{i}"] += 2
+        jaccard = sum(min(a[w], b[w]) for w in a | b) / sum(max(a[w], b[w]) for w in a | b)
+        text = lambda bag: " ".join(w for w, n in bag.items() for _ in range(n))
+        deltas.append(fingerprint_cws.likeness(fingerprint_cws.signature(text(a)), fingerprint_cws.signature(text(b))) - jaccard)
+    assert abs(np.mean(deltas)) < 0.03
+    small_a, small_b = {"x": 3, "y": 1}, {"x": 1, "y": 2, "z": 1}
+    assert abs(brute_cws(small_a, small_b) - 2 / 6) < 0.03
+
+
+def test_fingerprints_match_brute_force(docs):
+    rows = sorted((r["doc_id"], r["text"] or "") for r in docs.collect())
+    got = {r["doc_id"]: r for r in fingerprint_cws.fingerprints(docs).collect()}
+    assert len(got) == len(rows)
+    for k, (doc, text) in enumerate(rows):
+        after = rows[(k + 1) % len(rows)][1]
+        n = len(text) // 4
+        changed = text[: len(text) - n] + after[:n]
+        sig, other, following = map(fingerprint_cws.signature, (text, changed, after))
+        r = got[doc]
+        import hashlib
+
+        assert (r["n_chars"], r["edited_sha256"]) == (len(text), hashlib.sha256(changed.encode()).hexdigest())
+        assert r["fingerprint"] == fingerprint_cws._bytes(sig).hex()
+        assert r["near_edited"] == pytest.approx(fingerprint_cws.likeness(sig, other))
+        assert r["near_next"] == pytest.approx(fingerprint_cws.likeness(sig, following))
+
+
+def test_language_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = language_id.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").toPandas()
+    assert (got["lang_pred"] == got["lang"]).mean() > 0.95
+    assert got["score"].between(0, 1).all()
+
+
+def test_language_pairs_inside_a_family():
+    assert language_id.family_of("pt-BR") == "romance"
+    assert language_id.family_of("qq") == "other"
+
+
+def test_toxicity_held_out(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    got = toxicity.judge(docs, labels).join(labels, "doc_id").where("held_out").toPandas()
+    toxic, clean = got[got["toxic"] == 1]["score"], got[got["toxic"] == 0]["score"]
+    assert np.mean([(toxic > c).mean() + 0.5 * (toxic == c).mean() for c in clean.sample(200, random_state=1)]) > 0.9
+    assert (got[got["toxic"] == 0]["predicted"] == 1).mean() < 0.03
+
+
+def test_obfuscated_insults_count():
+    tokens = toxicity.TokenFeatures({})
+    plain, hidden = (toxicity.text_features(t, tokens) for t in ("you are an idiot now", "you are an 1d!0t now"))
+    assert plain[0] == hidden[0] > 0
+    assert hidden[11] > plain[11]
+
+
+PAGE = "<html><body><nav><a href='/'>Home</a></nav><div class='x'>{same}</div><div class='content'><h1>T{n}</h1><p>Text {n} is <b>here</b>&amp;there.<p>And\n more {n}</div><footer>f</footer><script>var p='</p>'</script></body></html>"
+
+
+def test_style_tree_removes_what_repeats(spark):
+    rows = [(i, f"http://h.example/{i}", PAGE.format(n=i, same="Buy now, all of you")) for i in range(40)]
+    got = {r["page_id"]: r["text"] for r in site_style.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"T{i}\nText {i} is here&there.\nAnd more {i}" for i in range(40)}
+
+
+def test_articles_equal_their_source(spark, tiny):
+    pages = spark.read.parquet(f"{tiny}/pages.parquet")
+    raw = {r["page_id"]: r["html"] for r in pages.collect()}
+    for r in site_style.main_text(pages).collect():
+        article = re.search(r"<article>(.*)</article>", raw[r["page_id"]], re.S)[1]
+        import html
+
+        blocks = [" ".join(html.unescape(re.sub(r"<[^>]+>", "", x)).split()) for x in re.split(r"</?(?:p|h1)>", article)]
+        assert r["text"] == "\n".join(b for b in blocks if b)
+        assert r["n_chars"] == len(r["text"])
+
+
+def test_top_k_on_awkward_vectors(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(400)] + [(400, None), (401, [1.0, None]), (402, [float("nan")] * 8), (403, [float("inf")] * 8), (404, [0.5] * 8), (405, [0.5] * 8), (None, [0.1] * 8), (420, [1000.0] * 8)]
+    got = defaultdict(list)
+    for r in maxscore.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    whole = {i: np.floor(64 * np.array(v)).astype(int) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
+    for q in (i for i in whole if i % 20 == 0):
+        scores = sorted(((-int(whole[q] @ v), i) for i, v in whole.items() if i != q))[:20]
+        assert got[q] == [(i, -s) for s, i in scores]
+    assert len(got) == sum(i % 20 == 0 for i in whole)
+
+
+def test_targets_by_filling(spark):
+    sizes = {"a": 100, "b": 1000, "c": 10, None: 500}
+    rows = [(s, n) for s, n in sizes.items()]
+    got = {r["source"]: r["target"] for r in source_mix.source_targets(spark.createDataFrame(rows, "source string, size long")).collect()}
+    weights = dict(zip(["a", "b", "c", None], (5, 2, 1, 5), strict=True))
+    left, open_, want = 1.5 * sum(sizes.values()), set(sizes), {}
+    while True:
+        level = left / sum(weights[s] for s in open_)
+        over = {s for s in open_ if level * weights[s] > 2 * sizes[s]}
+        if not over:
+            break
+        for s in over:
+            want[s] = 2.0 * sizes[s]
+            left -= want[s]
+        open_ -= over
+    want |= {s: level * weights[s] for s in open_}
+    assert got == pytest.approx(want)
+
+
+def test_mix_comes_near_its_targets(docs):
+    rows = source_mix.mix(docs).toPandas()
+    by = rows.groupby("source").agg(taken=("taken", "sum"), target=("target", "first"), largest=("size", "max"))
+    assert ((by["taken"] - by["target"]).abs() <= 2 * by["largest"]).all()
+    assert (rows["taken"] <= 2 * rows["size"]).all()
+
+
+def test_url_rules(spark):
+    urls = {
+        "http://a.example.net/en/1": ("example.net/en/", "allow"), "http://example.net/de/": ("net/", "block"), "https://x.example.com/de/9": ("example.com/de/", "block"),
+        "http://x.org/fr/": ("org/fr/", "allow"), "http://notexample.com/de/": (None, "allow"), "http://m.ads-track.example.com/en/": (None, "block"), "http://a.net": (None, "allow"), "no scheme": (None, "allow"), None: (None, "allow"),
+    }
+    rows = list(urls)
+    got = url_rules.judge(spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")).collect()
+    assert {rows[r["page_id"]]: (r["rule"], r["verdict"]) for r in got} == urls
+
+
+def test_rarest_token_is_the_key(spark):
+    subjects = spark.createDataFrame([("a.example.net\n/en/",), ("b.example.com\n/en/",), ("c.net\n/",)], "subject string")
+    assert url_rules.rarest_tokens(subjects, [url_rules.site_rule("example.net", "/en/", "allow")]) == {"example.net/en/": "example"}
+
+
+def test_surrogates(spark):
+    texts = [
+        (1, "write to Jane.Doe@mail.example.com or jane.doe@mail.example.com from 10.0.200.7, call +1 (555) 123-4567"), (2, "card 4111111111111111 and Mrs Maria Lopez met Mr John Smith; password=e49acfe9789f5d7d77"),
+        (3, "again Jane.Doe@mail.example.com"), (4, "version 1.2.3 of 2024, chapter 12"), (5, None), (6, ""),
+    ]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in pii_surrogates.replace(docs).collect()}
+    assert (got[4], got[5], got[6]) == (texts[3][1], None, "")
+    first, second = re.findall(r"\S+@\S+", got[1])
+    assert first.rstrip(",").lower() == second.rstrip(",").lower() and first != "Jane.Doe@mail.example.com"
+    assert re.search(r"\S+@\S+", got[3])[0] == first
+    card = re.search(r"\d{16}", got[2])[0]
+    digits = [int(c) for c in reversed(card)]
+    assert sum(d if i % 2 == 0 else d * 2 - 9 * (d > 4) for i, d in enumerate(digits)) % 10 == 0
+    names = pii_surrogates.GIVEN_NAMES
+    assert re.search(r"Mrs (\w+)", got[2])[1] in names["latin female"].split() and re.search(r"Mr (\w+)", got[2])[1] in names["latin male"].split()
+    for gone in ("4111111111111111", "Maria", "Lopez", "Smith", "e49acfe9789f5d7d77", "123-4567", "10.0.200.7"):
+        assert gone not in " ".join(t for t in got.values() if t)
+    assert [len(t) for t in (got[2], got[3])] == [len(texts[1][1]) + len(got[2]) - len(texts[1][1]), len(texts[2][1])]
+
+
+def test_surrogates_are_one_to_one(spark):
+    every = spark.range(0, 10000).select(F.format_string("555-%02d-%04d", (F.col("id") / 100).cast("int"), F.col("id") % 100).alias("e"))
+    got = every.select("e", pii_surrogates.surrogate(F.col("e")).alias("s"))
+    assert got.select("s").distinct().count() == 10000
+    assert got.where("e = s").count() == 0
+
+
+def test_awkward_rows(awkward, none, spark):
+    n = len(AWKWARD)
+    runs = {
+        "language": language_id.identify, "fingerprints": fingerprint_cws.fingerprints, "mix": source_mix.mix, "dedup": simhash_dedup.near_duplicates, "similar": simhash_dedup.similar_documents, "pii": pii_surrogates.replace,
+        "toxicity": lambda d: toxicity.judge(d, spark.createDataFrame([(2, 1), (5, 0), (None, 1), (6, None)], "doc_id long, toxic int")),
+    }
+    for name, run in runs.items():
+        assert run(awkward).count() == n, name
+        assert run(none).count() == 0, name
+    assert packing.pack(packing.pieces(awkward)).select("doc_id").distinct().count() == 9
+    assert packing.pack(packing.pieces(none)).count() == 0
+    lang = {r["doc_id"]: r["lang_pred"] for r in language_id.identify(awkward).collect()}
+    assert lang[1] == lang[2] == lang[7] == lang[9] == "und"
+    pages = spark.createDataFrame([(1, None, None, 1), (2, "http://a.b/", "", 1), (None, "x", "<p>unclosed <b>text", 1), (3, "http://a.b/", "<" * 2000, 1), (3, "http://a.b/", "<div>" * 3000 + "deep", 1)], "page_id long, url string, html string, host int")
+    texts = [r["text"] for r in site_style.main_text(pages).collect()]
+    assert len(texts) == 5 and "unclosed text" in texts and "deep" in texts
+    assert site_style.main_text(pages.limit(0)).count() == 0
+    assert url_rules.judge(pages).count() == 5 and url_rules.judge(pages.limit(0)).count() == 0
+    assert maxscore.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0

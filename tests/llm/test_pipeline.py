@@ -1,0 +1,30 @@
+"""The pipeline's stages one by one against brute force, and the whole on the smallest tables."""
+
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from corpusloom.llm import toxicity
+
+
+def test_stages_return_documents_and_take_effect(spark, tiny):
+    docs = spark.read.parquet(f"{tiny}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, tiny).cache()
+        assert out.columns == docs.columns, name
+        if name == "toxicity":
+            scored = toxicity.Model(docs, spark.read.parquet(f"{tiny}/labels.parquet")).score(docs)
+            assert out.count() == scored.where(F.col("__tox_score") < toxicity.THRESHOLD).count()
+        elif name == "near_duplicates":
+            assert out.select("text").distinct().count() == out.count() < docs.count()
+        elif name == "personal_data":
+            assert out.count() == docs.count() and out.where(F.length("text") != F.col("n_chars")).count() == 0
+        else:
+            assert 0 < out.count() != docs.count()
+        docs = out
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, tiny)
+    assert packed.where("piece = 0").count() == docs.count()
+
+
+def test_run_gives_sequences(spark, tiny):
+    rows = corpus_pipeline.run(spark, tiny).groupBy("sequence_id").agg(F.sum("length").alias("n")).collect()
+    assert rows and all(r["n"] <= 4096 for r in rows)
