@@ -90,7 +90,7 @@ WITH d AS (
   SELECT *, 1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(most) OVER up, 0) AS left_over,
     sum(weight) OVER () - coalesce(sum(weight) OVER up, 0) AS weight_over
   FROM w WINDOW up AS (ORDER BY most / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
-), y AS (SELECT *, min(CASE WHEN left_over / weight_over <= most / weight THEN left_over / weight_over END) OVER () AS level FROM x
+), y AS (SELECT *, max(CASE WHEN left_over / weight_over <= most / weight THEN left_over / weight_over END) OVER () AS level FROM x
 ), targets AS (SELECT source, source_size, coalesce(least(most, level * weight), most) AS target FROM y
 ), o AS (
   SELECT d.*, source_size, target, row_number() OVER (

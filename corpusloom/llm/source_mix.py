@@ -48,7 +48,7 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap:
         (F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))).alias("weight_over"),
     )
     open_level = F.when(F.col("left_over") / F.col("weight_over") <= F.col("most") / F.col("weight"), F.col("left_over") / F.col("weight_over"))
-    level = F.min(open_level).over(everything)
+    level = F.max(open_level).over(everything)  # of those that fit, the first in the order, which is the largest
     return summed.select("source", "source_size", F.coalesce(F.least("most", level * F.col("weight")), "most").alias("target"))
 
 

@@ -300,11 +300,23 @@ def test_targets_by_filling(spark):
     assert got == pytest.approx(want)
 
 
+def test_targets_of_many_sources(spark):
+    rng = np.random.default_rng(9)
+    rows = [(f"s{i:02}", int(n)) for i, n in enumerate(rng.integers(1, 1000, 40))]
+    got = source_mix.source_targets(spark.createDataFrame(rows, "source string, size long")).toPandas().sort_values("source")
+    assert got["target"].sum() == pytest.approx(1.5 * got["source_size"].sum())
+    assert (got["target"] <= 2 * got["source_size"] + 1e-9).all() and (got["target"] > 0).all()
+    free = got[got["target"] < 2 * got["source_size"] - 1e-6]
+    level = free["target"] / np.array([5, 2, 1])[free.index.map(lambda i: int(got.loc[i, "source"][1:]) % 3)]
+    assert level.max() == pytest.approx(level.min())
+
+
 def test_mix_comes_near_its_targets(docs):
     rows = source_mix.mix(docs).toPandas()
     by = rows.groupby("source").agg(taken=("taken", "sum"), target=("target", "first"), largest=("size", "max"))
     assert ((by["taken"] - by["target"]).abs() <= 2 * by["largest"]).all()
-    assert (rows["taken"] <= 2 * rows["size"]).all()
+    assert (rows["taken"] <= 2 * rows["size"]).all() and (rows["taken"] >= 0).all()
+    assert by["target"].sum() == pytest.approx(1.5 * rows["size"].sum())
 
 
 def test_url_rules(spark):
