@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import greek_prep, latex, ocr_text
 from ..functions.noise import ALLOWED_DOUBLES, IMPOSSIBLE_PAIRS, VOWELS, noise_metrics
 from ..functions.text import content_chars, count, latin_letters, script_percentages
-from ..operators import cleaner
+from ..operators import artefacts, cleaner
+from ..sources import files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -326,7 +327,42 @@ WITH d AS (SELECT doc_id, unnest(string_split(translate(lower(coalesce(text, '')
 SELECT doc_id, count(*) AS lines, CAST(sum(ok) AS BIGINT) AS usable FROM m GROUP BY doc_id
 """
 
+def formula_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of documents as formula regions on pages of ten lines."""
+    rows = table(spark, sf_dir, "documents").where("text is not null").select(F.col("doc_id").alias("stem"), F.posexplode(F.split("text", "\n", -1)).alias("seq", "context"))
+    regions = rows.where(F.length("context") > 0).select(
+        "stem", F.floor(F.col("seq") / 10).alias("page_no"), "seq", F.when(F.col("seq") % 3 == 0, "code").otherwise("formula").alias("label"), "context",
+        *[F.lit(v).alias(n) for n, v in (("left", 10.0), ("top", 20.0), ("right", 30.0), ("bottom", 40.0), ("page_width", 100.0))], (F.col("stem") % 2 * 200.0).alias("page_height"),
+    )
+    made = artefacts.formula_index(regions)
+    return made.select("stem", "page_no", "item_index", "label", F.md5(F.col("context").cast("binary")).alias("context_md5"), F.col("box.bottom").alias("bottom"))
+
+
+FORMULA_INDEX_SQL = """
+WITH l AS (SELECT doc_id AS stem, unnest(x) AS context, generate_subscripts(x, 1) - 1 AS seq FROM (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents WHERE text IS NOT NULL))
+SELECT stem, seq // 10 AS page_no, CAST(row_number() OVER (PARTITION BY stem, seq // 10 ORDER BY seq) - 1 AS INTEGER) AS item_index, CASE WHEN seq % 3 = 0 THEN 'code' ELSE 'formula' END AS label,
+  md5(CASE WHEN length(context) > 80 THEN substr(context, 1, 77) || '…' ELSE context END) AS context_md5, CASE WHEN stem % 2 = 1 THEN 40.0 / 200.0 END AS bottom FROM l WHERE context <> ''
+"""
+
+
+def chunk_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents cut in page ranges by their length, some of which timed out or failed."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("stem"), F.greatest(F.floor(F.col("n_chars") / 4), F.lit(1)).cast("int").alias("page_count"))
+    status = F.when((F.col("stem") + F.col("page_start")) % 7 == 1, "timeout").when((F.col("stem") + F.col("page_end")) % 31 == 0, "error").otherwise("ok")
+    return artefacts.chunk_manifest(files.page_ranges(docs).withColumn("status", status)).select("stem", "complete", "given_up")
+
+
+CHUNK_MANIFEST_SQL = """
+WITH d AS (SELECT doc_id AS stem, greatest(n_chars // 4, 1) AS p FROM documents
+), c AS (SELECT stem, p, unnest(CASE WHEN p > 600 THEN range(1, p + 1, 200) ELSE [1] END) AS s FROM d
+), r AS (SELECT *, CASE WHEN p > 600 THEN least(s + 199, p) ELSE p END AS e FROM c
+), t AS (SELECT stem, CASE WHEN (stem + s) % 7 = 1 THEN 'timeout' WHEN (stem + e) % 31 = 0 THEN 'error' ELSE 'ok' END AS status FROM r)
+SELECT stem, bool_and(status = 'ok') AS complete, bool_or(status = 'error') OR count(*) FILTER (status = 'timeout') > 1 AS given_up FROM t GROUP BY stem
+"""
+
 QUERIES = {
+    "formula_index": (formula_index, FORMULA_INDEX_SQL),
+    "chunk_manifests": (chunk_manifests, CHUNK_MANIFEST_SQL),
     "doc_quality_report": (doc_quality_report, DOC_QUALITY_SQL),
     "greek_noise_score": (greek_noise_score, GREEK_NOISE_SQL),
     "script_shares": (script_shares, SCRIPT_SHARES_SQL),

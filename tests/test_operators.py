@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from corpusloom.operators import annotate, cleaner, export, gates, metadata, metrics, sections, urls
+from corpusloom.operators import annotate, artefacts, cleaner, export, gates, metadata, metrics, sections, urls
 from corpusloom.streaming import resume
 
 
@@ -97,7 +97,7 @@ def test_state(spark):
 def test_sections(spark):
     text = "intro\n\n# One\n- x\nmore\n\nshort\n| a |\na line that is longer than twenty\n## \nlast"
     rows = {r["id"]: r for r in sections.section_rows(spark.createDataFrame([(1, text)], "doc_id int, text string")).collect()}
-    assert [rows[i]["header"] for i in range(3)] == ["intro", "One", "##"]
+    assert [rows[i]["header"] for i in range(3)] == ["intro", "One", "#"]
     assert (rows[0]["content"], rows[0]["place"], rows[0]["section_length"]) == ("intro\n", "0.00-0.09", 1)
     assert [rows[1][f"has_{k}"] for k in ("table", "list", "other", "text")] == [True] * 4
     assert sum(r["section_length"] for r in rows.values()) == 7 and rows[1]["section_propo"] == 714
@@ -167,3 +167,14 @@ def test_stream_resumes(spark, tmp_path):
         query = resume.process_new(resume.new_markdown(spark, str(files)), step, table, str(tmp_path / "state"))
         query.awaitTermination()
     assert {r["stem"]: r["n"] for r in spark.read.parquet(table).collect()} == {"a": 5, "b": 10}
+
+
+def test_artefacts(spark):
+    chunks = spark.createDataFrame([("a", 1, 200, "ok"), ("a", 201, 300, "timeout"), ("b", 1, 9, "error"), ("c", 1, 5, "ok")], "stem string, page_start int, page_end int, status string")
+    assert {r["stem"]: (r["complete"], r["given_up"]) for r in artefacts.chunk_manifest(chunks).collect()} == {"a": (False, False), "b": (False, True), "c": (True, False)}
+    names = spark.createDataFrame([("a.pdf",), ("b1.pdf",), ("b1.pdf",), ("c.md",)], "filename string")
+    assert sorted(r["filename"] for r in artefacts.matching_names(names, ["a.pdf", "x/b?.pdf"]).collect()) == ["a.pdf", "b1.pdf"]
+    pages = spark.createDataFrame([(bytearray([255] * 100),), (bytearray([0] * 50 + [255] * 50),), (bytearray(),), (None,)], "p binary")
+    assert [r[0] for r in pages.select(artefacts.is_mostly_blank(F.col("p"))).collect()] == [True, False, True, None]
+    waits = spark.range(4).select(artefacts.attempt_timeout(F.col("id")).alias("t"), artefacts.retry_delay(F.col("id"), F.lit(1.0)).alias("d")).collect()
+    assert [w["t"] for w in waits] == [45.0, 67.5, 101.25, 151.875] and waits[2]["d"] == 3.0
