@@ -12,7 +12,10 @@ without labels of both classes every score is 0.
 
 from __future__ import annotations
 
+import functools
+import itertools
 import math
+import re
 
 import numpy as np
 import pandas as pd
@@ -31,19 +34,32 @@ THRESHOLD = 0.7
 LEXICONS = {
     "insult": "idiot idiots moron morons stupid dumb loser losers clown clowns scum trash pathetic disgusting worthless fool fools imbecile garbage filth filthy vermin parasite creep coward freak retard retarded ugly imbecil idiota estupido estúpido basura asqueroso payaso idiote imbécile ordure dégoûtant crétin stupide dummkopf abschaum widerlich trottel blödmann",
     "profanity": "damn crap shit shitty bullshit fuck fucking fucker bastard bitch asshole arschloch scheisse scheiße merde putain connard mierda puta cabrón",
-    "threat": "kill die hurt destroy punch stab shoot murder hang töten sterben tuer mourir matar morir",
+    "threat": "kill hurt destroy punch stab shoot murder hang töten sterben tuer mourir matar morir",
 }
 SECOND_PERSON = "you your yours yourself yourselves u ur du dich dir dein deine euch tu te toi ton ta tes vous votre vos tú ti tus usted ustedes vosotros"
 _PUNCTUATION = ".,;:!?\"'()[]{}<>«»„“”‚‘’…-–—*#%&$"
 _LEET = str.maketrans("@013457$!", "aoieastsi")
-_COLUMNS = ("insult", "profanity", "threat", "learned", "learned_words", "second", "caps_word", "exclaim", "question", "marks", "masked", "obfuscated", "stretched", "upper", "letters", "chars")
-WIDTH = len(_COLUMNS) + 5
+_TRIPLE = re.compile(r"(.)\1\1")
+WIDTH = 21
+
+
+@functools.lru_cache(maxsize=1)
+def _classes() -> np.ndarray:
+    """For each code point: 1 capital, 2 other letter, 3 exclamation mark, 4 question mark, 5 other mark, 6 blank, or 0."""
+    out = np.zeros(0x110000, np.uint8)
+    for i in itertools.chain(range(0xD800), range(0xE000, 0x32000)):
+        c = chr(i)
+        out[i] = 1 if c.isupper() else 2 if c.isalpha() else 6 if c.isspace() else 0
+    for c in _PUNCTUATION:
+        out[ord(c)] = {"!": 3, "?": 4}.get(c, 5)
+    return out
 
 
-class TokenFeatures(dict):
-    """Maps a token to its row in a growing table of token features; cleared when it holds CACHE tokens."""
+class TokenKinds(dict):
+    """Maps a token to the number of its kind: a row of (insult, profanity, threat, learned weight, second person,
+    capitals, masked, obfuscated, stretched). There are few kinds; known tokens are cleared when they are CACHE."""
 
-    CACHE = 200_000
+    CACHE = 500_000
 
     def __init__(self, learned: dict[str, float]):
         super().__init__()
@@ -51,69 +67,82 @@ class TokenFeatures(dict):
         self.words = {w: k for k, words in enumerate(LEXICONS.values()) for w in words.split()}
         self.second = set(SECOND_PERSON.split())
         self.prefixes = sorted({len(w) - 1 for w in learned if w.endswith("*")})
-        self.rows: list[list[float]] = []
+        self.numbers: dict[tuple, int] = {}
+        self.table = np.zeros((0, 9))
+
+    def _weight(self, low: str) -> float:
+        found = self.learned.get(low, 0.0)
+        for n in self.prefixes:
+            if len(low) >= n:
+                found = max(found, self.learned.get(low[:n] + "*", 0.0))
+        return found
 
     def __missing__(self, token: str) -> int:
         word = token.strip(_PUNCTUATION)
         low = word.lower()
-        row = [0.0] * len(_COLUMNS)
-        plain = low
-        if low and not low.isalpha():
-            spelled = low.translate(_LEET)
-            bare = "".join(c for c in spelled if c.isalpha())
-            if any(c.isalpha() for c in low):
-                row[10] = float("*" in low or "#" in low)
-                row[11] = float(any(c in "@$!0134578" for c in low) or len(bare) * 2 < len(low) + 1)
+        plain, masked, obfuscated = low, 0, 0
+        if not low.isalpha() and any(c.isalpha() for c in low):
+            bare = "".join(c for c in low.translate(_LEET) if c.isalpha())
+            masked = int("*" in low or "#" in low)
+            obfuscated = int(any(c in "@$!0134578" for c in low) or len(bare) * 2 < len(low) + 1)
             plain = bare if bare in self.words else low
-        if plain in self.words:
-            row[self.words[plain]] = 1.0
-        weight = max([self.learned.get(low, 0.0), *(self.learned.get(low[:n] + "*", 0.0) for n in self.prefixes if len(low) >= n)])
-        row[3], row[4] = weight, float(weight > 0)
-        row[5] = float(low in self.second)
-        row[6] = float(len(word) > 1 and word.isupper())
-        row[7], row[8] = float(token.count("!")), float(token.count("?"))
-        row[9] = float(sum(c in _PUNCTUATION for c in token))
-        row[12] = float(any(a == b == c for a, b, c in zip(low, low[1:], low[2:], strict=False)))
-        row[13], row[14], row[15] = float(sum(c.isupper() for c in token)), float(sum(c.isalpha() for c in token)), float(len(token))
-        self.rows.append(row)
-        self[token] = len(self.rows) - 1
-        return len(self.rows) - 1
-
-
-def text_features(text: str | None, tokens: TokenFeatures) -> np.ndarray:
+        group = self.words.get(plain, -1)
+        kind = (
+            int(group == 0), int(group == 1), int(group == 2), self._weight(low), int(low in self.second), int(len(word) > 1 and word.isupper()), masked, obfuscated,
+            int(_TRIPLE.search(low) is not None),
+        )
+        number = self.numbers.get(kind)
+        if number is None:
+            number = self.numbers[kind] = len(self.numbers)
+            self.table = np.vstack((self.table, kind))
+        self[token] = number
+        return number
+
+
+def text_features(text: str | None, tokens: TokenKinds) -> np.ndarray:
     """The dense feature vector of one text."""
     out = np.zeros(WIDTH)
     words = (text or "").split()
     if not words:
         return out
-    if len(tokens) > tokens.CACHE:
-        tokens.clear()
-        tokens.rows.clear()
-    codes = np.fromiter(map(tokens.__getitem__, words), np.int64, len(words))
-    unique, counts = np.unique(codes, return_counts=True)
-    table = np.array([tokens.rows[i] for i in unique.tolist()])
+    kinds = np.fromiter(map(tokens.__getitem__, words), np.int64, len(words))
+    table, n = tokens.table, len(words)
+    counts = np.bincount(kinds, minlength=len(table))
     sums = counts @ table
-    n, letters, chars = len(words), max(1.0, sums[14]), max(1.0, sums[15])
-    out[:3], out[3:5] = sums[:3] / n, sums[3:5] / n
-    out[5], out[6], out[7], out[8] = sums[5] / n, sums[6] / n, sums[7] / n, sums[8] / n
-    out[9], out[10], out[11], out[12] = sums[9] / chars, sums[10] / n, sums[11] / n, sums[12] / n
-    out[13], out[14], out[15] = sums[13] / letters, chars / n, math.log1p(n)
-    out[16], out[17] = math.log1p(sums[:3].sum()), math.log1p(sums[4])
-    out[18] = table[:, 3].max()
-    marked = np.isin(codes, unique[(table[:, :3].sum(1) + table[:, 4]) > 0])
-    second = np.isin(codes, unique[table[:, 5] > 0])
-    if marked.any() and second.any():
-        at, to = np.flatnonzero(marked), np.flatnonzero(second)
+    marks = np.zeros(7, np.int64)
+    for at in range(0, len(text), 1 << 20):
+        marks += np.bincount(_classes()[np.frombuffer(text[at : at + (1 << 20)].encode("utf-32-le", "surrogatepass"), np.uint32)], minlength=7)
+    learned = table[:, 3] > 0
+    words_learned = counts @ learned
+    chars = max(1, len(text) - marks[6])
+    out[:4], out[4] = sums[:4] / n, words_learned / n
+    out[5], out[6], out[10:13] = sums[4] / n, sums[5] / n, sums[6:9] / n
+    out[7], out[8], out[9] = marks[3] / n, marks[4] / n, marks[3:6].sum() / chars
+    out[13], out[14], out[15] = marks[1] / max(1, marks[1] + marks[2]), chars / n, math.log1p(n)
+    out[16], out[17] = math.log1p(sums[:3].sum()), math.log1p(words_learned)
+    out[18] = table[counts > 0, 3].max()
+    of_lexicon = learned | (table[:, :3].sum(1) > 0)
+    if sums[4] and (counts @ of_lexicon):
+        at, to = np.flatnonzero(of_lexicon[kinds]), np.flatnonzero(table[kinds, 4] > 0)
         k = np.searchsorted(to, at)
         gap = np.minimum(np.abs(at - to[np.clip(k, 0, len(to) - 1)]), np.abs(at - to[np.clip(k - 1, 0, len(to) - 1)]))
         out[19], out[20] = 1 / (1 + gap.min()), (1 / (1 + gap)).mean()
     return out
 
 
+@functools.lru_cache(maxsize=2)
+def _tokens(learned: tuple[tuple[str, float], ...]) -> TokenKinds:
+    return TokenKinds(dict(learned))
+
+
 def _features(learned: dict[str, float]):
+    known = tuple(sorted(learned.items()))
+
     @F.pandas_udf("array<double>")
     def vectors(texts: pd.Series) -> pd.Series:
-        tokens = TokenFeatures(learned)
+        tokens = _tokens(known)
+        if len(tokens) > tokens.CACHE:
+            tokens.clear()
         return pd.Series([text_features(t, tokens) for t in texts])
 
     return vectors

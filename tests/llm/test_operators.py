@@ -241,7 +241,7 @@ def test_toxicity_held_out(spark):
 
 
 def test_obfuscated_insults_count():
-    tokens = toxicity.TokenFeatures({})
+    tokens = toxicity.TokenKinds({})
     plain, hidden = (toxicity.text_features(t, tokens) for t in ("you are an idiot now", "you are an 1d!0t now"))
     assert plain[0] == hidden[0] > 0
     assert hidden[11] > plain[11]
