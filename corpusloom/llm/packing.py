@@ -230,7 +230,10 @@ def _packed(rows: pd.DataFrame, size: int) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 def pack(cut: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
-    """Adds sequence_id and offset to the pieces of ``pieces``."""
+    """Adds sequence_id and offset to the pieces of ``pieces``.
+
+    A sequence's number holds its group and its bin in the group; sequences of one full piece have negative numbers.
+    """
     cut = written(cut.withColumn("row", F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id())), "pieces")
     total = cut.where(F.col("length") < sequence).count()
     groups = max(1, -(-total // GROUP_PIECES))
@@ -244,15 +247,15 @@ def pack(cut: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
         where, offset, fill = _packed(rows, sequence)
         again = np.isin(where, [b for b in np.argsort(fill, kind="stable")[:REOPENED] if fill[b] < sequence])
         team = int(rows["team"].iloc[0])
-        return rows[wanted].assign(offset=offset, key=[f"{team}-{b}" for b in where], team=np.where(again, team % merged, -1))
+        return rows[wanted].assign(offset=offset, sequence_id=(team << 24) + where, team=np.where(again, team % merged, -1))
 
     def second(rows: pd.DataFrame) -> pd.DataFrame:
         where, offset, _ = _packed(rows, sequence)
         team = int(rows["team"].iloc[0])
-        return rows[wanted].assign(offset=offset, key=[f"merged-{team}-{b}" for b in where])
+        return rows[wanted].assign(offset=offset, sequence_id=((groups + team) << 24) + where)
 
-    packed = written(rest.groupBy("team").applyInPandas(first, f"{fields}, offset long, key string, team long"), "packed")
-    reopened = packed.where("team >= 0").groupBy("team").applyInPandas(second, f"{fields}, offset long, key string")
+    packed = written(rest.groupBy("team").applyInPandas(first, f"{fields}, offset long, sequence_id long, team long"), "packed")
+    reopened = packed.where("team >= 0").groupBy("team").applyInPandas(second, f"{fields}, offset long, sequence_id long")
     done = packed.where("team < 0").drop("team").unionByName(reopened)
-    alone = full.withColumn("offset", F.lit(0).cast("long")).withColumn("key", F.concat(F.lit("full-"), F.col("row").cast("string")))
-    return done.unionByName(alone).select("doc_id", "piece", "start", "length", "ids_crc32", F.xxhash64("key").alias("sequence_id"), "offset")
+    alone = full.withColumn("offset", F.lit(0).cast("long")).withColumn("sequence_id", -1 - F.monotonically_increasing_id())
+    return done.unionByName(alone).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
