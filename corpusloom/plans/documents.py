@@ -281,6 +281,17 @@ def cleaned_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.length(ocr_text.cleaned_output(text)).alias("length"))
 
 
+_BLANK = SP.replace(r"\x09-\x0D", r"\x09\x0B-\x0D")
+CLEANED_OUTPUT_SQL = rf"""
+WITH t AS (SELECT doc_id, '<|User|>  ' || coalesce(text, '') || repeat(chr(10), 4) || '<center>x</center> <|det|>' AS t FROM documents
+), a AS (SELECT doc_id, regexp_replace(regexp_replace(t, '<[|｜](User|Assistant|grounding|/?ref|/?det)[|｜]>|<image>|</?s>', '', 'g'), '</?center>', '', 'g') AS t FROM t
+), b AS (SELECT doc_id, regexp_replace(t, '(?m)^[ \t]*(text|title|table|image|list|equation|sub_title)?\[\[\d+(,\s*\d+){{3}}\]\][ \t]*', '', 'g') AS t FROM a
+), c AS (SELECT doc_id, regexp_replace(regexp_replace(t, '(?m)^[{_BLANK}]+|[{_BLANK}]+$', '', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g') AS t FROM b
+), d AS (SELECT doc_id, regexp_replace(regexp_replace(t, '\$\^\{{?([A-Za-z0-9+\-]+)\}}?\$', '<sup>\1</sup>', 'g'), '\$_\{{?([A-Za-z0-9+\-]+)\}}?\$', '<sub>\1</sub>', 'g') AS t FROM c)
+SELECT doc_id, CAST(length(regexp_replace(t, '^[{SP}]+|[{SP}]+$', '', 'g')) AS INTEGER) AS length FROM d
+"""
+
+
 def latex_sanitize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as formulas, with tails of a token repeated as often as the id says."""
     text = F.concat(F.coalesce("text", F.lit("")), F.repeat(F.lit(" x"), F.col("doc_id").cast("int") % 80))
@@ -374,7 +385,7 @@ QUERIES = {
     "canonicalize_md": (canonicalize_md, CANONICALIZE_SQL),
     "placeholder_cells": (placeholder_cells, PLACEHOLDER_SQL),
     "nfc_normalize": (nfc_normalize, NFC_SQL),
-    "cleaned_output": (cleaned_output, None),
+    "cleaned_output": (cleaned_output, CLEANED_OUTPUT_SQL),
     "latex_sanitize": (latex_sanitize, LATEX_SANITIZE_SQL),
     "latex_accept": (latex_accept, LATEX_ACCEPT_SQL),
     "sentence_mask": (sentence_mask, SENTENCE_MASK_SQL),
