@@ -27,7 +27,7 @@ from .common import parallelism, written
 
 SAMPLES, BUCKETS, SEED = 128, 1 << 16, 29
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 
 
 @functools.lru_cache(maxsize=1)
@@ -84,8 +84,8 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return float((a == b).mean())
 
 
-def _hex(sig: np.ndarray) -> str:
-    return sig.astype(">u2").tobytes().hex()
+def _bytes(sig: np.ndarray) -> bytes:
+    return sig.astype(">u2").tobytes()
 
 
 def edited(text: str, following: str) -> str:
@@ -97,7 +97,7 @@ def edited(text: str, following: str) -> str:
 def _row(doc, text: str, sig: np.ndarray, following: str, next_sig: np.ndarray) -> tuple:
     changed = edited(text, following)
     other = signature(changed) if changed != text else sig
-    return doc, len(text), hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest(), _hex(sig), _hex(other), likeness(sig, other), likeness(sig, next_sig)
+    return doc, len(text), hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest(), _bytes(sig), _bytes(other), likeness(sig, other), likeness(sig, next_sig)
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -132,7 +132,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     ends = walked.where("tail is not null")
     parts = sorted(r["part"] for r in ends.select("part").collect())
     if not parts:
-        return walked.select(*columns)
+        return _readable(walked.select(*columns))
     order = spark.createDataFrame([(a, b) for a, b in itertools.pairwise([*parts, parts[0]])], "part int, after int")
     heads = ends.select(F.col("part").alias("after"), F.col("head").alias("following"))
     borders = ends.select("doc_id", "part", "tail").join(order, "part").join(heads, "after").select("doc_id", "tail", "following")
@@ -142,7 +142,12 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             rows = [_row(d, t, signature(t), f, signature(f)) for d, t, f in zip(batch["doc_id"], batch["tail"], batch["following"], strict=True)]
             yield _frame(rows, columns)
 
-    return walked.where("tail is null").select(*columns).unionByName(borders.mapInPandas(close, _RESULT))
+    return _readable(walked.where("tail is null").select(*columns).unionByName(borders.mapInPandas(close, _RESULT)))
+
+
+def _readable(rows: DataFrame) -> DataFrame:
+    """Fingerprints as lower-case hex, which the table between keeps as bytes."""
+    return rows.withColumns({c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")})
 
 
 def _frame(rows: list[tuple], columns: list[str]) -> pd.DataFrame:
