@@ -117,22 +117,29 @@ def near_pairs(left: np.ndarray, right: np.ndarray | None, max_bits: int, pivots
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))  # type: ignore[return-value]
 
 
-def _forest(n: int, i: np.ndarray, j: np.ndarray, apart: np.ndarray) -> list[int]:
-    """Positions of pairs that connect as much as all pairs do, the closest first."""
-    parent, kept = list(range(n)), []
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    for k in np.argsort(apart, kind="stable").tolist():
-        a, b = root(int(i[k])), root(int(j[k]))
-        if a != b:
-            parent[max(a, b)] = min(a, b)
-            kept.append(k)
-    return kept
+def _forest(n: int, i: np.ndarray, j: np.ndarray, apart: np.ndarray) -> np.ndarray:
+    """Positions of pairs that connect as much as all pairs do, the closest first.
+
+    At each distance every component that has a pair to a lower one takes the first such pair, until none is left;
+    all components at a time, so a dense bucket costs a few passes over its pairs.
+    """
+    labels, kept = np.arange(n), []
+    for level in np.unique(apart):
+        open_ = np.flatnonzero(apart == level)
+        while True:
+            a, b = labels[i[open_]], labels[j[open_]]
+            differ = a != b
+            if not differ.any():
+                break
+            open_, a, b = open_[differ], a[differ], b[differ]
+            high, first = np.unique(np.maximum(a, b), return_index=True)
+            kept.append(open_[first])
+            parent = np.arange(n)
+            parent[high] = np.minimum(a, b)[first]
+            while (parent[parent] != parent).any():
+                parent = parent[parent]
+            labels = parent[labels]
+    return np.concatenate(kept) if kept else np.zeros(0, np.int64)
 
 
 def _bucket_links(fp: np.ndarray, side: np.ndarray, max_bits: int, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
