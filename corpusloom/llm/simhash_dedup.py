@@ -32,6 +32,8 @@ MAX_BITS = 3
 PIVOTS = 16
 #: Largest bucket compared in one piece; larger ones are compared block against block, in many tasks.
 BLOCK_ROWS = 4096
+#: Documents whose shingles are counted, and how many frequent shingles are kept, to put the rare first.
+SAMPLE_ROWS, FREQUENT = 50_000, 200_000
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -231,32 +233,128 @@ def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
     return np.unique(np.fromiter((xxhash.xxh32_intdigest(g, 42) for g in grams), np.uint32).view(np.int32))
 
 
-def similar_links(links: DataFrame, distinct: DataFrame, docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The links whose fingerprints' first documents have a Jaccard similarity of shingles of at least ``similarity``."""
-    ends = links.select(F.col("a").alias("fp")).union(links.select(F.col("b").alias("fp"))).distinct()
-    first = written(distinct.join(ends, "fp", "left_semi").select("fp", "least"), "ends")
+def shingle_sets(text: Column, shingle: int) -> Column:
+    """(fp, node, s) of a text column: its SimHash, a 64-bit hash of its shingle set, and the set."""
 
-    @F.pandas_udf("array<int>")
-    def hashes(texts: pd.Series) -> pd.Series:
-        return pd.Series([shingle_hashes(t, shingle) for t in texts])
+    @F.pandas_udf("fp long, node long, s array<int>")
+    def sets(texts: pd.Series) -> pd.DataFrame:
+        every = [shingle_hashes(t, shingle) for t in texts]
+        fps = np.array([fingerprint_of(t, shingle) for t in texts], np.uint64).view(np.int64)
+        nodes = np.array([xxhash.xxh64_intdigest(x.tobytes(), 42) for x in every], np.uint64).view(np.int64)
+        return pd.DataFrame({"fp": fps, "node": nodes, "s": every})
 
-    sets = docs.select(F.col("doc_id").alias("least"), "text").join(first, "least").select("fp", hashes(F.col("text")).alias("s"))
-    sets = written(sets.dropDuplicates(["fp"]), "shingles")
+    return sets(text)
+
+
+def similar_links(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets (node, s) have a Jaccard similarity of at least ``similarity``."""
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    ended = written(sets.join(ends, "node", "left_semi").select("node", "s").dropDuplicates(["node"]), "shingles")
 
     @F.pandas_udf("double")
     def jaccard(left: pd.Series, right: pd.Series) -> pd.Series:
         common = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(left, right, strict=True)]
         return pd.Series([c / max(1, len(x) + len(y) - c) for c, x, y in zip(common, left, right, strict=True)], dtype="float64")
 
-    pairs = links.join(sets.select(F.col("fp").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("fp").alias("b"), F.col("s").alias("sb")), "b")
-    return pairs.where(jaccard(F.col("sa"), F.col("sb")) >= similarity).select("a", "b", "apart")
+    both = pairs.join(ended.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a").join(ended.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
+    return both.where(jaccard(F.col("sa"), F.col("sb")) >= similarity).select("a", "b")
+
+
+def frequent_shingles(sets: DataFrame, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles of a sample of documents, sorted, and their ranks, the most frequent highest."""
+    every = max(1, rows // SAMPLE_ROWS)
+    counted = sets.where(F.pmod(F.xxhash64("node"), F.lit(every)) == 0).select(F.explode("s").alias("key")).groupBy("key").agg(F.count("*").alias("n"))
+    top = counted.where("n > 1").orderBy(F.desc("n"), "key").limit(FREQUENT).select("key").toPandas()["key"].to_numpy(np.int32)
+    order = np.argsort(top)
+    return top[order], len(top) - order
+
+
+def prefix(s: np.ndarray, frequent: np.ndarray, ranks: np.ndarray, similarity: float) -> np.ndarray:
+    """The first shingles of a set in one order for all, the rarest first: similar sets share one of them."""
+    keep = len(s) - math.ceil(similarity * len(s) - 1e-9) + 1 if len(s) else 0
+    rank = np.zeros(len(s), np.int64)
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
+        rank = np.where(frequent[at] == s, ranks[at], 0)
+    return s[np.lexsort((s, rank))[:keep]]
 
 
-def _classes(hashed: DataFrame, distinct: DataFrame, links: DataFrame) -> DataFrame:
+def parities(s: np.ndarray) -> np.ndarray:
+    """128 bits as two integers: how many shingles fall on each bit, modulo two; sets differ in no fewer shingles than bits."""
+    return np.packbits(np.bincount(s & 127, minlength=128).astype(np.uint8) & 1).view(np.int64)
+
+
+def bucket_pairs(key: np.ndarray, node: np.ndarray, label: np.ndarray, size: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray, similarity: float):
+    """Arrays (a, b) of nodes with a key in common (rows sorted by key), differing labels, and room for the similarity.
+
+    A shared key at places p and q of sets of m and n leaves at most min(p, q) + min(m - p, n - q) common shingles;
+    and the sets may not differ in more shingles than the similarity allows, which their parities (low, high) bound.
+    """
+    i, apart = np.arange(len(key)), 0
+    while True:
+        apart += 1
+        i = i[i + apart < len(key)]
+        i = i[key[i] == key[i + apart]]
+        if not len(i):
+            return
+        j = i + apart
+        most = np.minimum(at[i], at[j]) + np.minimum(size[i] - at[i], size[j] - at[j])
+        fits = (label[i] != label[j]) & (most * (1 + similarity) >= similarity * (size[i] + size[j]) - 1e-6)
+        a, b = i[fits], j[fits]
+        differ = sum(np.bitwise_count((x[a] ^ x[b]).view(np.uint64)).astype(np.int64) for x in (low, high))
+        fits = differ * (1 + similarity) <= (1 - similarity) * (size[a] + size[b]) + 1e-6
+        a, b = node[a[fits]], node[b[fits]]
+        if len(a):
+            yield np.minimum(a, b), np.maximum(a, b)
+
+
+def prefix_pairs(sets: DataFrame, labels: DataFrame, rows: int, similarity: float) -> DataFrame:
+    """Every pair (a, b) of nodes that may reach the similarity, without those of one label; labels: (node, label)."""
+    frequent, ranks = frequent_shingles(sets, rows)
+    spark = sets.sparkSession
+    shared = spark.sparkContext.broadcast((frequent, ranks))
+
+    @F.pandas_udf("keys array<int>, low long, high long")
+    def prefixes(every: pd.Series) -> pd.DataFrame:
+        bits = np.array([parities(s) for s in every], np.int64).reshape(-1, 2)
+        return pd.DataFrame({"keys": [prefix(s, *shared.value, similarity) for s in every], "low": bits[:, 0], "high": bits[:, 1]})
+
+    short = sets.select("node", F.size("s").alias("size"), prefixes(F.col("s")).alias("p")).select("node", "size", "p.*").dropDuplicates(["node"])
+    named = short.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "size", "low", "high", F.posexplode("keys").alias("at", "key"))
+
+    def pairs(batches):
+        kept: pd.DataFrame | None = None
+        for batch in itertools.chain(batches, [None]):
+            part = kept if batch is None else batch if kept is None else pd.concat([kept, batch])
+            if part is None or not len(part):
+                continue
+            key = part["key"].to_numpy()
+            end = len(key) if batch is None else int(np.searchsorted(key, key[-1], "left"))
+            kept, part = (None if batch is None else part.iloc[end:]), part.iloc[:end]
+            found, n = [], 0
+            for a, b in bucket_pairs(*(part[c].to_numpy() for c in ("key", "node", "label", "size", "at", "low", "high")), similarity):
+                found.append((a, b))
+                n += len(a)
+                if n > 500_000:
+                    yield _unique_pairs(found)
+                    found, n = [], 0
+            if found:
+                yield _unique_pairs(found)
+
+    dealt = named.repartition(parallelism(spark), "key").sortWithinPartitions("key")
+    return dealt.mapInPandas(pairs, "a long, b long").distinct()
+
+
+def _unique_pairs(found: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
+    a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+    return pd.DataFrame({"a": a, "b": b}).drop_duplicates()
+
+
+def _classes(hashed: DataFrame, distinct: DataFrame, links: DataFrame, columns: list[str] | None = None) -> DataFrame:
     joined = components(links, distinct.where("least is not null"))
     linked = distinct.join(joined.withColumnRenamed("least", "low"), "fp", "left").select("fp", F.coalesce("low", "least").alias("component_id"))
     linked = written(linked, "classes")  # so that both sides of the next join are plain exchanges, whose hot keys Spark splits
-    return hashed.join(linked, "fp").select("doc_id", "fp", "component_id")
+    return hashed.join(linked, "fp").select("doc_id", *(columns or ["fp"]), "component_id")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = MAX_BITS) -> DataFrame:
@@ -269,19 +367,33 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = MAX_BITS)
     return _classes(hashed, distinct, link_fingerprints(distinct.select("fp"), exact_masks(max_bits), max_bits))
 
 
-def similar_documents(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, max_bits: int = 12, missed: float = 0.01) -> DataFrame:
-    """Like near_duplicates, for documents whose shingle sets are similar: candidates within a wide radius, verified.
+def similar_documents(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, max_bits: int = 12, missed: float = 0.1) -> DataFrame:
+    """Like near_duplicates, but links are all pairs of documents whose shingle sets reach the similarity, and equal fingerprints.
 
-    At such a radius no whole block of bits need agree, so buckets are samples of bits: as many bits as keep buckets
-    small at this number of fingerprints, and as many samples as miss a pair eight bits apart with the given
-    probability. A bucket's candidates are those that connect all of its candidates, the closest first.
+    Verified SimHash pairs (sampled bits, the closest first) come first, only so that large groups of copies are one
+    label each. Prefix filtering of the sets, rarest shingles first, then gives every pair of documents of different
+    labels that can reach the similarity, and each is verified: a lost or failed SimHash pair costs no result.
     """
-    hashed = written(docs.select("doc_id", fingerprints(F.col("text"), shingle).alias("fp")), "simhash")
-    distinct = written(hashed.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    bits = max(14, math.ceil(math.log2(max(2, distinct.count()))) - 4)
+    hashed = written(docs.select("doc_id", shingle_sets(F.col("text"), shingle).alias("h")).select("doc_id", "h.*"), "simhash")
+    sets = hashed.select("node", "s")
+    by_fp = written(hashed.groupBy("fp").agg(F.min("node").alias("head")), "distinct")
+    rows = by_fp.count()
+    equal = hashed.select("fp", "node").distinct().join(by_fp, "fp").where("node != head").select(F.col("head").alias("a"), F.col("node").alias("b"))
+    bits = max(14, math.ceil(math.log2(max(2, rows))) - 4)
     tables = math.ceil(math.log(missed) / math.log(1 - math.comb(56, bits) / math.comb(64, bits)))
-    links = written(link_fingerprints(distinct.select("fp"), sampled_masks(bits, tables), max_bits, pivot_fingerprints(4)), "candidates")
-    return _classes(hashed, distinct, written(similar_links(links, distinct, docs, shingle, similarity), "similar"))
+    near = link_fingerprints(by_fp.select("fp"), sampled_masks(bits, tables), max_bits, pivot_fingerprints(4)).select(F.col("a").alias("fa"), F.col("b").alias("fb"))
+    heads = [by_fp.select(F.col("fp").alias(f"f{x}"), F.col("head").alias(x)) for x in "ab"]
+    near = written(near.join(heads[0], "fa").join(heads[1], "fb").where("a != b").select("a", "b"), "candidates")
+    first = written(similar_links(near, sets, similarity).union(equal), "similar")
+    ends = first.select(F.col("a").alias("fp")).union(first.select(F.col("b").alias("fp"))).distinct()
+    labels = components(first, ends.select("fp", F.col("fp").alias("least"))).select(F.col("fp").alias("node"), F.col("least").alias("label"))
+    pairs = written(prefix_pairs(sets, labels, rows, similarity), "pairs")
+    links = written(first.union(similar_links(pairs, sets, similarity)), "similar")
+    # A node with null ids only links like any other and takes the least id that it reaches.
+    last = F.lit(2**63 - 1)
+    nodes = written(hashed.groupBy(F.col("node").alias("fp")).agg(F.coalesce(F.min("doc_id"), last).alias("least")), "nodes")
+    found = _classes(hashed.select("doc_id", F.col("fp").alias("simhash"), F.col("node").alias("fp")), nodes, links, ["simhash"])
+    return found.select("doc_id", F.col("simhash").alias("fp"), F.nullif("component_id", last).alias("component_id"))
 
 
 def fingerprint_hex(fp: Column) -> Column:

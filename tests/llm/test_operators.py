@@ -125,6 +125,51 @@ def test_similar_documents_finds_edited_copies(spark):
     assert all(got[i] == i for i in range(40))
 
 
+def changed_words(rng, words, n):
+    out = list(words)
+    for at in rng.choice(len(out), n, replace=False):
+        out[at] = f"new{rng.integers(1 << 40)}"
+    return out
+
+
+def brute_similar(texts, fps):
+    """Groups of positions by brute force: Jaccard of at least 0.8 on five-word shingles, or equal fingerprints."""
+    sets = [{" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in map(str.split, texts)]
+    parent = list(range(len(texts)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    jaccards = []
+    for i in range(len(texts)):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            jaccards.append(common / (len(sets[i]) + len(sets[j]) - common))
+            if jaccards[-1] >= 0.8 or fps[i] == fps[j]:
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    return [root(i) for i in range(len(texts))], jaccards
+
+
+def similar_against_brute_force(spark, texts):
+    rows = simhash_dedup.similar_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    want, jaccards = brute_similar(texts, [r["fp"] for r in rows])
+    assert [r["component_id"] for r in rows] == want
+    return jaccards
+
+
+def test_similar_documents_near_the_threshold(spark):
+    rng = np.random.default_rng(12)
+    texts = []
+    for _ in range(80):
+        base = [f"w{i}" for i in rng.integers(0, 3000, 200)]
+        texts += [" ".join(base), " ".join(changed_words(rng, base, int(rng.integers(3, 6))))]
+    jaccards = similar_against_brute_force(spark, texts)
+    assert sum(0.8 <= x <= 0.85 for x in jaccards) >= 20 and sum(0.75 <= x < 0.8 for x in jaccards) >= 10
+
+
 def test_packing_round_trip(docs):
     from tokenizers import Tokenizer
 
