@@ -170,6 +170,18 @@ def test_similar_documents_near_the_threshold(spark):
     assert sum(0.8 <= x <= 0.85 for x in jaccards) >= 20 and sum(0.75 <= x < 0.8 for x in jaccards) >= 10
 
 
+def test_similar_documents_where_the_closest_pairs_fail(spark):
+    rng = np.random.default_rng(13)
+    texts = []
+    while len(texts) < 24:
+        base = [f"w{i}" for i in rng.integers(0, 3000, 100)]
+        trio = [" ".join(x) for x in (base, changed_words(rng, base, 2), changed_words(rng, base, 3))]
+        a, b, c = (simhash_dedup.fingerprint_of(x, 5) for x in trio)
+        if max((a ^ c).bit_count(), (b ^ c).bit_count()) < (a ^ b).bit_count() <= 8 and a != c != b:
+            texts += trio
+    similar_against_brute_force(spark, texts)
+
+
 def test_packing_round_trip(docs):
     from tokenizers import Tokenizer
 
