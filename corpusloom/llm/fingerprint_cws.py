@@ -4,7 +4,7 @@ A document is a bag of words weighted by their counts. For each of ``SAMPLES`` s
 variates r and c and a uniform b that depend on the word and the sample alone; with weight w it yields
 t = floor(ln w / r + b) and the value c * exp(r * b - r * t - r), and the word of the least value with its t is
 the sample. Two documents agree on a sample with a probability equal to their generalised Jaccard similarity.
-Words go through one of ``BUCKETS`` rows of precomputed variates, so two words in a bucket count as one.
+Variates come from a word's 64-bit hash and the sample's number, so there is no ceiling on distinct words.
 
 Edge cases: a null text is empty; wordless texts share a fingerprint of their own; rows are taken in ascending
 doc_id, nulls first, equal ids by text; a table of one row is its own next document; an empty table gives none.
@@ -25,59 +25,97 @@ from pyspark.sql import functions as F
 
 from .common import parallelism, written
 
-SAMPLES, BUCKETS, SEED = 128, 1 << 16, 29
+SAMPLES, SEED = 128, 29
+#: Words whose variates a process keeps, and words taken at a time.
+CACHED, BLOCK = 1 << 16, 1024
+_STEPS = np.arange(1, 5 * SAMPLES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 
 
-@functools.lru_cache(maxsize=1)
-def _variates(samples: int = SAMPLES, buckets: int = BUCKETS, seed: int = SEED) -> tuple[np.ndarray, ...]:
-    """r, b, ln c, and the value's logarithm for weight one, by bucket and sample."""
-    rng = np.random.default_rng(seed)
-    shape = (buckets, samples)
-    r = rng.gamma(2.0, 1.0, shape).astype(np.float32)
-    c = np.log(rng.gamma(2.0, 1.0, shape)).astype(np.float32)
-    b = rng.random(shape, np.float32)
+def _variates(words: np.ndarray) -> tuple[np.ndarray, ...]:
+    """r, b, ln c, and the value's logarithm for weight one, by word and sample, from the words' 64-bit hashes alone."""
+    counter = words[:, None] + _STEPS[None, :]
+    with np.errstate(over="ignore"):
+        counter ^= counter >> np.uint64(30)
+        counter *= np.uint64(0xBF58476D1CE4E5B9)
+        counter ^= counter >> np.uint64(27)
+        counter *= np.uint64(0x94D049BB133111EB)
+        counter ^= counter >> np.uint64(31)
+    u = ((counter >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+    u = u.reshape(len(words), 5, SAMPLES)
+    r = -np.log(u[:, 0] * u[:, 1])  # the sum of two exponential variates is a gamma variate of shape two
+    c, b = np.log(-np.log(u[:, 2] * u[:, 3])), u[:, 4]
+    r, b, c = (x.astype(np.float32) for x in (r, b, c))
     return r, b, c, c + r * b - r
 
 
+class _Cache:
+    """The variates of the first CACHED words that a process meets; those of others are drawn anew each time."""
+
+    def __init__(self):
+        self.rows: dict[int, int] = {}
+        self.tables = tuple(np.empty((CACHED, SAMPLES), np.float32) for _ in range(4))
+
+    def __call__(self, words: np.ndarray, only_once: bool) -> tuple[np.ndarray, ...]:
+        """The variates of at most BLOCK words; of the last kind alone where only_once."""
+        at = np.fromiter((self.rows.get(w, -1) for w in words.tolist()), np.int64, len(words))
+        new = np.flatnonzero(at < 0)
+        fresh = _variates(words[new]) if len(new) else None
+        room = min(len(new), CACHED - len(self.rows))
+        if room:
+            first = len(self.rows)
+            for table, x in zip(self.tables, fresh, strict=True):
+                table[first : first + room] = x[:room]
+            at[new[:room]] = np.arange(first, first + room)
+            self.rows |= zip(words[new[:room]].tolist(), range(first, first + room), strict=True)
+        out = []
+        for k in (3,) if only_once else range(3):
+            x = self.tables[k][at]
+            if room < len(new):
+                x[new[room:]] = fresh[k][room:]
+            out.append(x)
+        return tuple(out)
+
+
+@functools.lru_cache(maxsize=1)
+def _cache() -> _Cache:
+    return _Cache()
+
+
 def signature(text: str) -> np.ndarray:
-    """The samples of one text as 16-bit codes of (word bucket, t)."""
+    """The samples of one text as 16-bit codes of (word, t)."""
     words: dict[str, int] = {}
     for w in _WORD.findall(text):
         words[w] = words.get(w, 0) + 1
     if not words:
         return np.zeros(SAMPLES, np.uint16)
     digest = xxhash.xxh64_intdigest
-    bucket = np.fromiter((digest(w, SEED) % BUCKETS for w in words), np.int64, len(words))
+    hashed = np.fromiter((digest(w.encode("utf-8", "surrogatepass"), SEED) for w in words), np.uint64, len(words))
     weight = np.fromiter(words.values(), np.float64, len(words))
-    if len(set(bucket.tolist())) < len(bucket):
-        bucket, inverse = np.unique(bucket, return_inverse=True)
-        weight = np.bincount(inverse, weight)
-    r, b, c, once = _variates()
+    cache, pick = _cache(), np.arange(SAMPLES)
     best = np.full(SAMPLES, np.inf, np.float32)
-    who, when = np.zeros(SAMPLES, np.int64), np.zeros(SAMPLES, np.int64)
-    single, several = bucket[weight == 1], bucket[weight > 1]
+    who, when = np.zeros(SAMPLES, np.uint64), np.zeros(SAMPLES, np.uint64)
+    single, several = hashed[weight == 1], hashed[weight > 1]
     logs = np.log(weight[weight > 1]).astype(np.float32)
-    for at in range(0, len(single), 4096):
-        some = single[at : at + 4096]
-        values = once[some]
+    for at in range(0, len(single), BLOCK):
+        some = single[at : at + BLOCK]
+        (values,) = cache(some, True)
         least = values.argmin(0)
-        value = values[least, np.arange(SAMPLES)]
+        value = values[least, pick]
         better = value < best
         best[better], who[better], when[better] = value[better], some[least][better], 0
-    for at in range(0, len(several), 4096):
-        some = several[at : at + 4096]
-        rr, bb = r[some], b[some]
-        t = np.floor(logs[at : at + 4096, None] / rr + bb)
-        values = c[some] - rr * (t - bb) - rr
+    for at in range(0, len(several), BLOCK):
+        some = several[at : at + BLOCK]
+        rr, bb, c = cache(some, False)
+        t = np.floor(logs[at : at + BLOCK, None] / rr + bb)
+        values = c - rr * (t - bb) - rr
         least = values.argmin(0)
-        pick = np.arange(SAMPLES)
         value = values[least, pick]
         better = value < best
-        best[better], who[better], when[better] = value[better], some[least][better], t[least, pick][better].astype(np.int64)
-    code = (who * np.int64(2654435761) + when * np.int64(40503) + 12345) & np.int64(0xFFFFFFFF)
-    return ((code ^ (code >> 16)) & 0xFFFF).astype(np.uint16)
+        best[better], who[better], when[better] = value[better], some[least][better], t[least, pick][better].astype(np.int64).view(np.uint64)
+    code = (who ^ (when * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (code >> np.uint64(48)).astype(np.uint16)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:

@@ -259,6 +259,13 @@ def test_signature_collisions_follow_generalised_jaccard():
     assert abs(brute_cws(small_a, small_b) - 2 / 6) < 0.03
 
 
+def test_unrelated_texts_of_many_words_do_not_look_alike():
+    a, b = (fingerprint_cws.signature(" ".join(f"{x}{i}" for i in range(90_000))) for x in "ab")
+    assert fingerprint_cws.likeness(a, b) < 0.05
+    again = fingerprint_cws.signature(" ".join(f"a{i}" for i in reversed(range(90_000))))
+    assert (a == again).all()
+
+
 def test_fingerprints_match_brute_force(docs):
     rows = sorted((r["doc_id"], r["text"] or "") for r in docs.collect())
     got = {r["doc_id"]: r for r in fingerprint_cws.fingerprints(docs).collect()}
