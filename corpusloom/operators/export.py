@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from ..functions.names import chunk_range, without_chunk
 from ..functions.values import as_float, loose_bool
+from ..sources.scratch import settled
 
 #: Fields averaged over chunks by their characters, with the digits kept (fixed values).
 WEIGHTED = {"mojibake_badness_score": 6, "greek_badness_score": 3, "percentage_greek": 3, "latin_percentage": 3, "polytonic_ratio": 2}
 SHARD_BYTES = 500 * 1024 * 1024
+#: Most key ranges that shards are filled in.
+MAX_RANGES = 2000
 
 
 def rounded(value: Column, digits: int) -> Column:
@@ -91,31 +95,72 @@ def records(docs: DataFrame, meta: DataFrame, metrics: DataFrame | None = None,
     return inner.select(key, F.to_json(record, {"ignoreNullFields": "false"}).alias("line"))
 
 
+def _parts(batches, columns: list[str]):
+    """The rows of each part as arrays, from batches sorted by part."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        for part, rows in batch.groupby("part", sort=True):
+            if held and held[0]["part"].iloc[0] != part:
+                whole = pd.concat(held)
+                yield int(whole["part"].iloc[0]), [whole[c].to_numpy() for c in columns]
+                held = []
+            held.append(rows)
+    if held:
+        whole = pd.concat(held)
+        yield int(whole["part"].iloc[0]), [whole[c].to_numpy() for c in columns]
+
+
 def assign_shards(lines: DataFrame, limit: int = SHARD_BYTES, key: str = "stem") -> DataFrame:
     """Adds shard: lines in key order fill shards up to limit bytes (newlines included), a larger line its own.
 
-    The greedy fill is a fold over sizes in order. It runs per key range and starts a new shard with each range, so
-    shards keep the limit and the order while ranges fill in parallel; one range, which is what a table of up to
-    four shards gets, is the plain greedy fill over all.
+    The greedy fill over all lines, at any size. Each key range works out, for every line at which its first new
+    shard may start, how many shards start from there on and how full the last one is left; these few rows are
+    chained in range order, and then every range numbers its lines from the fill that comes in.
     """
-    sized = lines.withColumn("__bytes", F.octet_length("line") + 1)
-    total = sized.agg(F.coalesce(F.sum("__bytes"), F.lit(0))).first()[0]
-    ranges = max(1, total // (16 * limit)) if total > 4 * limit else 1
+    sized = lines.select(key, (F.octet_length("line") + 1).cast("long").alias("bytes"))
+    total = sized.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    ranges = int(min(max(1, total // (16 * limit)), MAX_RANGES))
+    placed = settled(sized.repartitionByRange(ranges, key).withColumn("part", F.spark_partition_id()), "sized")
+    ordered = placed.repartition(ranges, "part").sortWithinPartitions("part", key, "bytes")
+
+    def starts(batches):
+        for part, (sizes,) in _parts(batches, ["bytes"]):
+            before = np.concatenate(([0], np.cumsum(sizes)))
+            n = len(sizes)
+            after = np.maximum(np.searchsorted(before, before[:-1] + limit, "right") - 1, np.arange(1, n + 1)).tolist()
+            count, left = [0] * (n + 1), [0] * (n + 1)
+            for i in range(n - 1, -1, -1):
+                count[i] = count[after[i]] + 1
+                left[i] = left[after[i]] if after[i] < n else int(before[n] - before[i])
+            m = int(np.searchsorted(before[:n], limit, "right"))
+            # A shard that comes in may hold the whole range: the last row says how many bytes that is.
+            yield pd.DataFrame({"part": part, "at": [*before[:m].tolist(), int(before[n])], "size": [*sizes[:m].tolist(), 0], "count": [*count[:m], 0], "left": [*left[:m], 0], "last": [False] * m + [True]})
+
+    def chain(batches):
+        shard, used = -1, limit + 1
+        for part, (at, size, count, left, last) in _parts(batches, ["at", "size", "count", "left", "last"]):
+            yield pd.DataFrame({"part": [part], "shard": [shard], "used": [used]})
+            over = np.flatnonzero((used + at + size > limit) & ~last)
+            if len(over):
+                shard, used = shard + int(count[over[0]]), int(left[over[0]])
+            else:
+                used += int(at[last][0])
+
+    small = ordered.mapInPandas(starts, "part int, at long, size long, count long, left long, last boolean")
+    chained = settled(small.coalesce(1).sortWithinPartitions("part", "last", "at").mapInPandas(chain, "part int, shard long, used long"), "chained")
+    incoming = {r["part"]: (r["shard"], r["used"]) for r in chained.collect()}
 
     def fill(batches):
-        shard, used = -1, 0
+        part, shard, used = None, -1, 0
         for batch in batches:
             numbers = []
-            for size in batch["__bytes"]:
-                if shard < 0 or used + size > limit:
+            for here, size in zip(batch["part"].tolist(), batch["bytes"].tolist(), strict=True):
+                if here != part:
+                    part, (shard, used) = here, incoming[here]
+                if used + size > limit:
                     shard, used = shard + 1, 0
                 used += size
                 numbers.append(shard)
-            yield batch.assign(local=numbers)
-
-    ordered = sized.repartitionByRange(ranges, key) if ranges > 1 else sized.select(key, "__bytes").coalesce(1)
-    part = ordered.sortWithinPartitions(key).select(key, "__bytes", F.spark_partition_id().alias("part"))
-    local = part.mapInPandas(fill, f"{key} string, __bytes long, part int, local long")
-    used = local.groupBy("part").agg((F.max("local") + 1).alias("n"))
-    before = used.select("part", F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("first"))
-    return lines.join(local.join(before, "part").select(key, (F.col("first") + F.col("local")).alias("shard")), key)
+            yield pd.DataFrame({key: batch[key], "shard": numbers})
+
+    return lines.join(ordered.mapInPandas(fill, f"{key} string, shard long"), key)

@@ -178,3 +178,16 @@ def test_artefacts(spark):
     assert [r[0] for r in pages.select(artefacts.is_mostly_blank(F.col("p"))).collect()] == [True, False, True, None]
     waits = spark.range(4).select(artefacts.attempt_timeout(F.col("id")).alias("t"), artefacts.retry_delay(F.col("id"), F.lit(1.0)).alias("d")).collect()
     assert [w["t"] for w in waits] == [45.0, 67.5, 101.25, 151.875] and waits[2]["d"] == 3.0
+
+
+def test_shards_of_many_ranges_are_one_greedy_fill(spark):
+    sizes = [(i * 7919) % 90 + (200 if i % 97 == 0 else 0) for i in range(1500)]
+    rows = [(f"{i:05}", "x" * n) for i, n in enumerate(sizes)]
+    want, shard, used = [], -1, 101
+    for n in sizes:
+        if used + n + 1 > 100:
+            shard, used = shard + 1, 0
+        used += n + 1
+        want.append(shard)
+    got = export.assign_shards(spark.createDataFrame(rows, "stem string, line string"), 100).orderBy("stem").collect()
+    assert [r["shard"] for r in got] == want
