@@ -259,11 +259,47 @@ def test_signature_collisions_follow_generalised_jaccard():
     assert abs(brute_cws(small_a, small_b) - 2 / 6) < 0.03
 
 
+def test_variates_are_gamma_and_uniform():
+    words = np.random.default_rng(6).integers(0, 2**63, 800, dtype=np.uint64)
+    first = fingerprint_cws.hashes(words, 0)
+    r, b, start = (v.ravel() for v in fingerprint_cws.variates(words, first))
+    c = np.exp(start + r - r * b)
+    grid = np.linspace(0.2, 8, 40)
+    for v in (r, c):
+        assert np.abs([(v <= x).mean() - (1 - np.exp(-x) * (1 + x)) for x in grid]).max() < 0.01
+    assert np.abs([(b <= x).mean() - x for x in np.linspace(0, 1, 21)]).max() < 0.01
+    assert np.abs(np.corrcoef([r, b, c]) - np.eye(3)).max() < 0.02
+    by_sample = first.astype(np.float64)
+    assert np.abs(np.corrcoef(by_sample.T) - np.eye(fingerprint_cws.SAMPLES)).max() < 0.2
+
+
+def test_signature_is_the_least_value_by_definition():
+    """Every sample is the word and t of the least c * exp(r b - r t - r), computed word by word."""
+    bag = Counter({f"w{i}": 1 + i % 4 for i in range(60)}) + Counter({"often": 500})
+    got = fingerprint_cws.signature(" ".join(w for w, n in bag.items() for _ in range(n)))
+    best = [(np.inf, None)] * fingerprint_cws.SAMPLES
+    for w, n in bag.items():
+        word = np.array([xxhash.xxh64_intdigest(w.encode(), fingerprint_cws.SEED)], np.uint64)
+        first = fingerprint_cws.hashes(word, 0)
+        r, b, start = (v[0] for v in fingerprint_cws.variates(word, first))
+        c = np.exp(start + r - r * b)
+        t = np.floor(np.log(n) / r + b)
+        value = c * np.exp(r * b - r * t - r)
+        for k in range(fingerprint_cws.SAMPLES):
+            mixed = ((int(first[0, k]) ^ int(t[k])) * 0xBF58476D1CE4E5B9 % 2**64) >> 48
+            best[k] = min(best[k], (value[k], int(first[0, k]) & 0xFFFF if t[k] == 0 else mixed))
+    assert (got == np.array([code for _, code in best])).mean() > 0.99
+
+
 def test_unrelated_texts_of_many_words_do_not_look_alike():
-    a, b = (fingerprint_cws.signature(" ".join(f"{x}{i}" for i in range(90_000))) for x in "ab")
-    assert fingerprint_cws.likeness(a, b) < 0.05
+    for n in (2000, 20_000, 90_000):
+        a, b = (fingerprint_cws.signature(" ".join(f"{x}{i}" for i in range(n))) for x in "ab")
+        assert fingerprint_cws.likeness(a, b) < 0.01
     again = fingerprint_cws.signature(" ".join(f"a{i}" for i in reversed(range(90_000))))
-    assert (a == again).all()
+    assert (fingerprint_cws.signature(" ".join(f"a{i}" for i in range(90_000))) == again).all()
+    left, right = "one two three two " * 50, "one two three two " * 40 + "four five " * 30
+    both = fingerprint_cws.signatures(left, right, 700)
+    assert all((x == fingerprint_cws.signature(t)).all() for x, t in zip(both, (left, right), strict=True))
 
 
 def test_fingerprints_match_brute_force(docs):
