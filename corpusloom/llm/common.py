@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import tempfile
 import uuid
 
@@ -39,3 +40,11 @@ def crc_mod(column: str, n: int):
 
 def parallelism(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2)
+
+
+def surrogate_key(spark: SparkSession) -> str:
+    """The secret key of surrogates, from the session; without one, a public stand-in that protects nothing."""
+    found = spark.conf.get("spark.corpusloom.surrogateKey", None)
+    if not found:
+        logging.getLogger(__name__).warning("spark.corpusloom.surrogateKey is unset: surrogates are made with a public key and can be undone")
+    return found or "public-example-key"

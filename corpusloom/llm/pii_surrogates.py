@@ -3,13 +3,20 @@
 Detected entities are replaced by keyed surrogates of the same type and format. An entity's symbols (letters by
 case, script and vowel or consonant; digits; hexadecimal digits; address octets) are permuted: a keyed
 unbalanced Feistel network, a keyed shift of every symbol, and the network backwards. That is one-to-one on all
-entities of a format and has no fixed point, so equal entities stay equal and different ones different across the
-whole corpus without a table, and no entity stands for itself. Given names of the gazetteer move inside their
-gender's and script's list instead. ``collisions`` checks this over all entities of a table; ``replace`` runs it
-and takes another derived key should a listed and a spelled name ever meet.
+entities of a format and moves each of them, so equal entities stay equal and different ones different across the
+whole corpus without a table. Names go word by word, so that a surname alone keeps the surrogate it has behind a
+given name. Given names of the gazetteer move inside their gender's and script's list; for other names, and for
+secrets of letters and digits, the permutation is walked on until its image is again no listed name, or again of
+the secret's own kind, which keeps it one-to-one on those that are left. ``collisions`` checks all entities of a
+table; ``replace`` runs it and takes another derived key where an entity would stand for itself.
+
+Persons are found behind a title, or as a listed given name before a capitalised word; every name word found so
+counts again wherever else the same text has it. A name with neither, or a listed given name alone, is not found.
+The key belongs to the caller: who has it can undo every surrogate.
 
 Edge cases: a null text stays null and an empty one empty; texts without entities are returned unchanged; rows
-are judged one by one, so null ids and repeated rows change nothing; an empty table gives an empty result.
+are judged one by one, so null ids and repeated rows change nothing; an entity without any known letter or digit
+stays as it is; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -17,8 +24,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_KEY = "surrogate-key"
 ROUNDS = 4
+#: Most steps of a walk; no format has as many listed names, and kinds of secrets come back far sooner.
+WALK = 96
 
 #: Given names by script and gender, and titles (fixed values).
 GIVEN_NAMES = {
@@ -39,6 +47,7 @@ ALPHABETS = (
 )
 _HEX = "0123456789abcdef"
 
+_NAME = r"\p{Lu}[\p{L}'-]+"
 _SECRET_HEAD = r"(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[ \t]*[=:][ \t]*[\"']?"
 #: Entity types in the order in which they are tried at a position.
 PATTERNS = {
@@ -50,11 +59,13 @@ PATTERNS = {
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
     "card": r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
-    "person": rf"(?<![\p{{L}}])(?:{'|'.join(TITLES.split())})\.? (?:\p{{Lu}}[\p{{L}}'-]+)(?: \p{{Lu}}[\p{{L}}'-]+)?",
+    "person": rf"(?<![\p{{L}}])(?=\p{{Lu}})(?:(?:{'|'.join(TITLES.split())})\.? {_NAME}(?: {_NAME})?|(?:{'|'.join(' '.join(GIVEN_NAMES.values()).split())}) {_NAME})",
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: A text without any of these characters or titles holds no entity.
-GATE = rf"[0-9@]|(?<![\p{{L}}])(?:{'|'.join(TITLES.split())})\.? \p{{Lu}}"
+#: A text without any of these characters or names holds no entity.
+GATE = rf"[0-9@]|{PATTERNS['person']}"
+_TITLE = rf"^(?:{'|'.join(TITLES.split())})\.? "
+_LISTED = [n.lower() for names in GIVEN_NAMES.values() for n in names.split()]
 
 
 def entity_type(entity: Column) -> Column:
@@ -127,16 +138,31 @@ def _symbols(body: Column, mode: Column) -> Column:
     )
 
 
-def _spelled(body: Column, mode: Column, key: Column) -> Column:
-    """The body with its symbols permuted inside their alphabets."""
+def _class(kind: Column, body: Column) -> Column:
+    """What a surrogate must share with the body: a secret's kind of symbols, and whether a name is listed."""
+    symbols = F.when(F.rlike(body, F.lit("^[0-9]+$")), 0).when(F.rlike(body, F.lit("^[0-9a-f]+$")), 1).otherwise(2)
+    return F.when(kind == "secret", symbols).when(kind == "person", F.lower(body).isin(_LISTED).cast("int")).otherwise(0)
+
+
+def _spelled(body: Column, kind: Column, key: Column) -> Column:
+    """The body with its symbols permuted inside their alphabets, walked on until it is of its own class again."""
     master = _tables()[0]
+    mode = F.when(kind == "ip", "octet").when((kind == "secret") & (_class(kind, body) == 1), "hex").otherwise("plain")
     rank = lambda symbols, i: F.size(F.filter(F.slice(symbols, F.lit(1), i + 1), lambda y: y["size"] > 0))
-    written_as = lambda s, v: F.when(mode == "octet", v.cast("string")).otherwise(F.substr(F.lit(master), s["start"] + v, F.lit(1)))
+    written_as = lambda s, v: F.when(kind == "ip", v.cast("string")).otherwise(F.substr(F.lit(master), s["start"] + v, F.lit(1)))
 
     def woven(symbols: Column) -> Column:
-        movable = F.filter(symbols, lambda s: s["size"] > 0)
-        moved = _permuted(F.transform(movable, lambda s: s["value"]), F.transform(movable, lambda s: s["size"]), key)
-        return _let(moved, lambda out: F.array_join(F.transform(symbols, lambda s, i: F.when(s["size"] > 0, written_as(s, F.element_at(out, F.greatest(rank(symbols, i), F.lit(1))))).otherwise(s["token"])), ""))
+        sizes = F.transform(F.filter(symbols, lambda s: s["size"] > 0), lambda s: s["size"])
+        values = F.transform(F.filter(symbols, lambda s: s["size"] > 0), lambda s: s["value"])
+        word = lambda out: F.array_join(F.transform(symbols, lambda s, i: F.when(s["size"] > 0, written_as(s, F.element_at(out, F.greatest(rank(symbols, i), F.lit(1))))).otherwise(s["token"])), "")
+
+        def step(a: Column, _: Column) -> Column:
+            moved = lambda v: F.struct(v.alias("values"), word(v).alias("word"))
+            judged = lambda m: F.struct(m["values"].alias("values"), m["word"].alias("word"), (_class(kind, m["word"]) == _class(kind, body)).alias("done"))
+            return F.when(a["done"], a).otherwise(_let(_let(_permuted(a["values"], sizes, key), moved), judged))
+
+        start = F.struct(values.alias("values"), body.alias("word"), (F.size(values) == 0).alias("done"))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), start, step)["word"]
 
     return _let(_symbols(body, mode), woven)
 
@@ -149,78 +175,83 @@ def _luhn(number: Column) -> Column:
 
 
 def _listed(name: Column, key: Column) -> Column:
-    """A listed given name's successor by a keyed step in its list; null for other names."""
+    """A listed given name's successor by a keyed step in its list, in capitals for capitals; null for other names."""
     out = F.lit(None).cast("string")
     for pool, names in GIVEN_NAMES.items():
         listed = F.array(*[F.lit(n) for n in names.split()])
         n = len(names.split())
         step = F.pmod(F.conv(F.substring(F.sha2(F.concat_ws("|", key, F.lit(pool)), 256), 1, 8), 16, 10).cast("long"), F.lit(n - 1)) + 1
-        at = F.array_position(listed, name)
-        out = F.when(at > 0, F.element_at(listed, (F.pmod(at - 1 + step, F.lit(n)) + 1).cast("int"))).otherwise(out)
+        at = F.array_position(F.array(*[F.lit(x.lower()) for x in names.split()]), F.lower(name))
+        successor = F.element_at(listed, (F.pmod(at - 1 + step, F.lit(n)) + 1).cast("int"))
+        out = F.when(at > 0, F.when(name == F.upper(name), F.upper(successor)).otherwise(successor)).otherwise(out)
     return out
 
 
-def surrogate(entity: Column, key: str = DEFAULT_KEY) -> Column:
-    """The surrogate of an entity found by ``ENTITY``: what its type keeps in front and behind, the rest permuted.
+def surrogate(entity: Column, key: str) -> Column:
+    """The surrogate of an entity found by ``entities``: what its type keeps in front and behind, the rest permuted.
 
     E-mail addresses keep their last label, secrets and access keys their heads, phone numbers the country, cards
     the first digit and their check sum, accounts the country, persons the title and so their gender.
     """
-    rest = lambda head: F.substr(entity, F.length(head) + 1, F.length(entity))
-    titles = rf"^(?:{'|'.join(TITLES.split())})\.? "
 
     def of(kind: Column) -> Column:
-        k = F.concat_ws("|", F.lit(key), kind)
-        title = F.regexp_extract(entity, titles, 0)
-        given = F.regexp_extract(rest(title), "^[^ ]+", 0)
         head = (
             F.when(kind == "secret", F.regexp_extract(entity, f"^{_SECRET_HEAD}", 0)).when(kind == "access_key", F.lit("AKIA"))
             .when(kind == "phone", F.regexp_extract(entity, r"^(?:\+[0-9]{1,3})?", 0)).when(kind == "card", F.substring(entity, 1, 1))
-            .when(kind == "iban", F.substring(entity, 1, 2)).when(kind == "person", title).otherwise(F.lit(""))
+            .when(kind == "iban", F.substring(entity, 1, 2)).when(kind == "person", F.regexp_extract(entity, _TITLE, 0)).otherwise(F.lit(""))
         )
         tail = F.when(kind == "email", F.regexp_extract(entity, r"\.[A-Za-z]+$", 0)).when(kind == "card", F.substring(entity, -1, 1)).otherwise(F.lit(""))
-        named = F.when(kind == "person", _listed(given, k))
-        parts = F.struct(head.alias("head"), tail.alias("tail"), named.alias("named"), F.when(named.isNotNull(), given).otherwise(F.lit("")).alias("given"))
-        return _let(parts, lambda p: assembled(kind, k, p))
+        return _let(F.struct(head.alias("head"), tail.alias("tail")), lambda p: assembled(kind, F.concat_ws("|", F.lit(key), kind), p))
 
     def assembled(kind: Column, k: Column, p: Column) -> Column:
-        front = F.length(p["head"]) + F.length(p["given"])
-        body = F.substr(entity, front + 1, F.length(entity) - front - F.length(p["tail"]))
-        mode = F.when(kind == "ip", "octet").when((kind == "secret") & F.rlike(body, F.lit("^[0-9a-f]+$")), "hex").otherwise("plain")
-        whole = F.concat(p["head"], F.coalesce(p["named"], F.lit("")), _let(F.struct(body.alias("b"), mode.alias("m")), lambda x: _spelled(x["b"], x["m"], k)))
+        body = F.substr(entity, F.length(p["head"]) + 1, F.length(entity) - F.length(p["head"]) - F.length(p["tail"]))
+        parts = F.when(kind == "person", F.split(body, " ")).otherwise(F.array(body))
+        moved = F.transform(parts, lambda b: F.coalesce(F.when(kind == "person", _listed(b, k)), _spelled(b, kind, k)))
         check = lambda w: F.pmod(_luhn(entity) - _luhn(F.concat(w, F.lit("0"))), F.lit(10)).cast("string")
-        return _let(whole, lambda w: F.concat(w, F.when(kind == "card", check(w)).otherwise(p["tail"])))
+        return _let(F.concat(p["head"], F.array_join(moved, " ")), lambda w: F.concat(w, F.when(kind == "card", check(w)).otherwise(p["tail"])))
 
     return _let(entity_type(entity), of)
 
 
+def _pattern(text: Column) -> Column:
+    """``ENTITY`` and every name word of the text's persons; null where there is none."""
+    persons = F.when(F.rlike(text, F.lit(PATTERNS["person"])), F.regexp_extract_all(text, F.lit(PATTERNS["person"]), 0))
+    names = F.array_distinct(F.flatten(F.transform(persons, lambda p: F.split(F.regexp_replace(p, _TITLE, ""), " "))))
+    return _let(names, lambda n: F.when(F.size(n) > 0, F.concat(F.lit(rf"{ENTITY}|(?<![\p{{L}}])(?:"), F.array_join(n, "|"), F.lit(r")(?![\p{L}])"))))
+
+
 def entities(text: Column) -> Column:
     """The entities of a text in order; null for a null text."""
-    return F.when(F.rlike(text, F.lit(GATE)), F.regexp_extract_all(text, F.lit(ENTITY), 0)).when(text.isNotNull(), F.array().cast("array<string>"))
+    found = _let(_pattern(text), lambda p: F.when(p.isNotNull(), F.regexp_extract_all(text, p, 0)).otherwise(F.regexp_extract_all(text, F.lit(ENTITY), 0)))
+    return F.when(F.rlike(text, F.lit(GATE)), found).when(text.isNotNull(), F.array().cast("array<string>"))
 
 
-def replaced(text: Column, found: Column, key: str = DEFAULT_KEY) -> Column:
+def replaced(text: Column, found: Column, key: str) -> Column:
     """The text with its entities (as ``entities`` found them) replaced."""
-    between = F.split(text, ENTITY, -1)
-    pieces = F.zip_with(between, found, lambda b, e: F.concat(b, F.coalesce(surrogate(e, key), F.lit(""))))
-    return F.when(F.size(found) > 0, F.array_join(pieces, "")).otherwise(text)
+
+    def woven(pattern: Column) -> Column:
+        between = F.when(pattern.isNotNull(), F.split(text, pattern, -1)).otherwise(F.split(text, ENTITY, -1))
+        return F.array_join(F.zip_with(between, found, lambda b, e: F.concat(b, F.coalesce(surrogate(e, key), F.lit("")))), "")
+
+    return F.when(F.size(found) > 0, _let(_pattern(text), woven)).otherwise(text)
 
 
-def pairs(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
+def pairs(docs: DataFrame, key: str) -> DataFrame:
     """Every distinct entity of a table: kind, entity, surrogate, rows."""
     each = docs.select(F.explode(entities(F.col("text"))).alias("entity")).groupBy("entity").agg(F.count("*").alias("rows"))
     return each.select(entity_type(F.col("entity")).alias("kind"), "entity", surrogate(F.col("entity"), key).alias("surrogate"), "rows")
 
 
-def collisions(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
+def collisions(docs: DataFrame, key: str) -> DataFrame:
     """Surrogates that stand for several entities (but for case), or for themselves."""
     same = F.lower("entity")
     by = pairs(docs, key).groupBy("kind", F.lower("surrogate").alias("surrogate")).agg(F.min(same).alias("a"), F.max(same).alias("b"))
-    return by.where((F.col("a") != F.col("b")) | (F.col("a") == F.col("surrogate")))
+    movable = F.rlike(F.col("a"), F.lit(f"[{''.join(ALPHABETS)}]"))
+    return by.where((F.col("a") != F.col("b")) | ((F.col("a") == F.col("surrogate")) & movable))
 
 
-def replace(docs: DataFrame, key: str = DEFAULT_KEY, attempts: int = 4) -> DataFrame:
-    """docs with text replaced and the columns __pii_found (entities) and __pii_key; all other columns unchanged."""
+def replace(docs: DataFrame, key: str, attempts: int = 4) -> DataFrame:
+    """docs with text replaced and a column __pii_found of entities; all other columns unchanged."""
     for attempt in range(attempts):
         used = key if attempt == 0 else f"{key}#{attempt}"
         if collisions(docs, used).isEmpty():

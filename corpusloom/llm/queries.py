@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fingerprint_cws, language_id, maxscore, packing, pii_surrogates, simhash_dedup, site_style, source_mix, toxicity, url_rules
-from .common import table
+from .common import surrogate_key, table
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,7 +40,7 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = pii_surrogates.replace(table(spark, sf_dir, "documents"))
+    done = pii_surrogates.replace(table(spark, sf_dir, "documents"), surrogate_key(spark))
     return done.select("doc_id", "text", F.coalesce(F.size("__pii_found"), F.lit(0)).alias("n_entities"))
 
 
