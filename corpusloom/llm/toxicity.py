@@ -3,11 +3,13 @@
 Features of a whole text: densities of lexicons (insults, profanity, threats, and words or word beginnings that
 labelled rows show to be toxic), closeness of lexicon words to the second person, capitals, punctuation and
 obfuscation rates. The trees and the calibration are pyspark.ml models, fitted on a bounded sample: at most
-``PER_CLASS`` labelled rows of each class, by hash; three quarters fit lexicon and trees, one quarter calibrates.
+``PER_CLASS`` labelled rows of each class, by hash; of each class every fourth row calibrates, the others fit
+lexicon and trees.
 
 Edge cases: null and empty texts have zero features and are scored like any other; rows without a label, with a
 null label or a null id are scored and never learned from; several labels of one id count as toxic if any is;
-without labels of both classes every score is 0.
+without labels of both classes every score is 0, and with fewer than four of one class the trees' own
+probability stands uncalibrated; of several documents of one id the first text in order is learned from.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from .common import crc_mod, written
 
@@ -170,9 +173,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, folds: int = 3, fold: in
     n = {r["label"]: r["n"] for r in label.groupBy("label").agg(F.count("*").alias("n")).collect()}
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
     limit = F.when(F.col("label") == 1, F.lit(int(min(1.0, per_class / max(1, n.get(1, 0))) * (1 << 30)))).otherwise(F.lit(int(min(1.0, per_class / max(1, n.get(0, 0))) * (1 << 30))))
-    picked = label.where(draw <= limit).select(F.col("doc_id").alias("__id"), "label", (F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)) == 0).alias("calibrates"))
+    by_hash = W.partitionBy("label").orderBy(draw, "doc_id")  # over at most about per_class rows each
+    picked = label.where(draw <= limit).select(F.col("doc_id").alias("__id"), "label", (F.row_number().over(by_hash) % 4 == 0).alias("calibrates"))
     few = F.broadcast(picked)  # at most about 2 x per_class rows, whatever the input
-    return docs.select(F.col("doc_id").alias("__id"), "text").join(few, "__id").select("text", "label", "calibrates")
+    found = docs.select(F.col("doc_id").alias("__id"), "text").join(few, "__id")
+    return found.groupBy("__id", "label", "calibrates").agg(F.min("text").alias("text")).select("text", "label", "calibrates")
 
 
 class Model:
@@ -194,7 +199,7 @@ class Model:
         self.trees = trees.fit(fit)
         fit.unpersist()
         judged = self.trees.transform(ready.where("calibrates"))
-        if not judged.isEmpty():
+        if judged.select("__tox_label").distinct().count() == 2:
             iso = IsotonicRegression(featuresCol="__tox_probability", featureIndex=1, labelCol="__tox_label", predictionCol="__tox_score")
             self.calibration = iso.fit(judged.select("__tox_probability", "__tox_label"))
 
