@@ -58,10 +58,13 @@ def _draw(column: Column, digits: int) -> Column:
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the ``keep`` columns, size, source_size, target, copies and taken for every row of docs."""
-    inner = [f"__mix_{c}" for c in keep]
-    light = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *[F.col(c).alias(i) for c, i in zip(keep, inner, strict=True)])
-    light = light if keep else written(light, "sizes")
+    """doc_id, source, size, source_size, target, copies and taken for every row of docs.
+
+    With ``keep``, those columns of docs instead of doc_id and source, for the rows that have copies.
+    """
+    tie = F.xxhash64("text")  # of rows of one id and size, so that reruns agree on the text
+    light = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), tie.alias("tie"))
+    light = written(light, "sizes")
     parts = math.ceil(math.sqrt(light.count()) / 4) or 1  # as many buckets as keep both their number and their rows small
     targets = source_targets(light.select("source", "size"), weights, share, cap)
     bucketed = light.withColumn("kind", F.length(F.bin("size"))).withColumn("part", F.pmod(_draw(F.col("doc_id"), 7), F.lit(parts)))
@@ -69,7 +72,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP
     running = W.partitionBy("source").orderBy("kind", "part").rowsBetween(W.unboundedPreceding, -1)
     starts = counts.select("source", "kind", "part", F.coalesce(F.sum("n").over(running), F.lit(0)).alias("before"))
     starts = starts.join(targets, starts["source"].eqNullSafe(targets["source"])).drop(targets["source"])
-    within = W.partitionBy("source", "kind", "part").orderBy("size", F.col("doc_id").asc_nulls_first())
+    within = W.partitionBy("source", "kind", "part").orderBy("size", F.col("doc_id").asc_nulls_first(), "tie")
     ranked = bucketed.withColumn("place", F.row_number().over(within))
     s = starts.select(*[F.col(c).alias(f"s_{c}") for c in ("source", "kind", "part", "before", "source_size", "target")])
     joined = ranked.join(s, ranked["source"].eqNullSafe(s["s_source"]) & (ranked["kind"] == s["s_kind"]) & (ranked["part"] == s["s_part"]))
@@ -78,7 +81,19 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP
     upto = F.floor(each * (F.col("s_before") + F.col("place")) + offset)
     since = F.floor(each * (F.col("s_before") + F.col("place") - 1) + offset)
     out = joined.withColumn("copies", (upto - since).cast("int"))
-    return out.select(
-        "doc_id", "source", *[F.col(i).alias(c) for c, i in zip(keep, inner, strict=True) if c not in ("doc_id", "source")],
-        "size", F.col("s_source_size").alias("source_size"), F.col("s_target").alias("target"), "copies", (F.col("copies") * F.col("size")).alias("taken"),
+    out = out.select(
+        "doc_id", "source", "tie", "size", F.col("s_source_size").alias("source_size"), F.col("s_target").alias("target"), "copies", (F.col("copies") * F.col("size")).alias("taken"),
     )
+    return out.drop("tie") if not keep else _with_columns(docs, out, keep)
+
+
+def _with_columns(docs: DataFrame, mixed: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """The kept columns of docs beside the light rows: texts are shuffled once, and equal rows are told apart by number."""
+    number = lambda *by: F.row_number().over(W.partitionBy("__row").orderBy(*by))
+    row = lambda *names: F.xxhash64(*names)
+    few = mixed.withColumn("__row", row("doc_id", "source", "size", "tie")).withColumn("__nth", number("copies"))
+    few = few.where("copies > 0").drop("tie", *[c for c in keep if c in mixed.columns])
+    full = docs.select(*[F.col(c).alias(f"__mix_{c}") for c in keep], row("doc_id", "source", word_count(F.col("text")), F.xxhash64("text")).alias("__row"))
+    full = full.withColumn("__nth", number(F.lit(0)))
+    joined = full.join(few, ["__row", "__nth"]).drop("__row", "__nth")
+    return joined.select(*[F.col(f"__mix_{c}").alias(c) for c in keep], *[c for c in few.columns if not c.startswith("__")])
