@@ -3,10 +3,15 @@
 Pages of a host are merged into a style tree: a style node is an element path (tags with their classes), with the
 distribution of its child sequences (presentation) and of its own texts (content) over the host's pages. Entropy
 tells boilerplate from content: a node whose presentations and contents repeat over pages has low importance.
-Host statistics of few instances lean on those of the same path over all hosts. Importance is composed bottom-up,
-and branches below the threshold are removed from each page. Elements that markup itself names as menus, headers,
-footers, sidebars, notices, adverts, forms, comments, scripts or styles go in any case, and what an article or
-main element holds is not judged by repetition, as whole articles are copied too.
+Importance is composed bottom-up, and branches that are below the threshold in all their nodes are removed from each page, inside articles as
+outside of them. A host's own pages decide; only for a node with fewer than ``OWN`` instances there do those of the
+same path on other hosts weigh in. Whole articles are copied too: equal articles of a host count once, and
+branches inside an article stay where without them less than half of it would be left.
+
+Elements that markup itself names as menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts
+or styles go in any case: by tag or role, or by a class or id made up of such words alone (``ad``, ``comment-list``),
+unless the page's article or main element is inside. A page's article and main elements stand for it where they
+hold at least half of what is left.
 
 Edge cases: a null or empty html gives an empty text; a null url counts as the host without name; unclosed, stray
 and nested tags are read as browsers do for blocks; repeated rows are pages each; an empty table gives none.
@@ -27,8 +32,9 @@ from pyspark.sql import functions as F
 from .common import written
 from .url_rules import url_host
 
-#: Importance below which a branch goes, the instances a decision needs, and the weight of all hosts in instances.
-THRESHOLD, LEAST, LEAN = 0.5, 8, 40
+#: Importance below which a branch goes, the instances a decision needs on the host, or else on all of them, and the
+#: weight of all hosts in instances.
+THRESHOLD, OWN, LEAST, LEAN = 0.5, 3, 8, 40
 GAMMA = 0.9
 #: Element names and name parts (fixed values).
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -36,10 +42,8 @@ RAW = set("script style textarea title noscript template iframe xmp noembed nofr
 BLOCKS = set("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split())
 DROPPED = set("script style noscript template iframe object embed svg canvas form nav aside footer head title select button textarea input dialog menu map audio video noembed noframes".split())
 ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
-NAMED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adbox|adslot|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscribe|subscription|paywall|menu\w*|nav|navbar|navigation|breadcrumbs?|sidebar\w*|widgets?|related|recommend\w*|share|sharing|social|footer|masthead|topbar|site-header|page-header|comments?|commentlist|respond|replies|reply|disqus|pagination|pager|toolbar|login|signup|search|skip-link|outbrain|taboola)(?:$|[\s_-])",
-    re.I,
-)
+NAMED = set("ad ads adbox adslot advert adverts advertisement advertising sponsor sponsored sponsors promo promos promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription paywall menu menus nav navbar navigation breadcrumb breadcrumbs sidebar widget widgets related recommended recommendations share sharing social footer masthead topbar comment comments commentlist respond replies disqus pagination pager toolbar login signup search outbrain taboola".split())
+NEUTRAL = set("area article articles bar block box btn button buttons bottom container content form group header inner item items left link links list main menu news page panel post posts right section site sticky text thread title top wrap wrapper".split())
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*)>""", re.S)
@@ -48,15 +52,22 @@ _SEED = 3
 
 
 class Node:
-    __slots__ = ("children", "depth", "drop", "key", "path", "tag")
+    __slots__ = ("children", "depth", "drop", "key", "named", "path", "tag")
 
-    def __init__(self, tag: str, key: str, parent: "Node | None", drop: bool):
-        self.tag, self.key, self.drop = tag, key, drop
+    def __init__(self, tag: str, key: str, parent: "Node | None", drop: bool, named: bool = False):
+        self.tag, self.key, self.drop, self.named = tag, key, drop, named
         self.depth = parent.depth + 1 if parent else 0
         self.path = xxhash.xxh64_intdigest(f"{parent.path if parent else 0}/{key}", _SEED) >> 1
         self.children: list[Node | str] = []
 
 
+def is_boilerplate_name(name: str) -> bool:
+    """Whether a class or id is made of words for boilerplate, and of neutral ones, alone."""
+    parts = [x.rstrip("0123456789") for x in re.split("[-_]+", re.sub("([a-z])([A-Z])", r"\1-\2", name).lower())]
+    parts = [x for x in parts if x]
+    return any(x in NAMED for x in parts) and all(x in NAMED or x in NEUTRAL for x in parts)
+
+
 def parse(page: str) -> Node:
     """The page's element tree; children are nodes and undecoded texts."""
     root = Node("#root", "#root", None, False)
@@ -98,8 +109,12 @@ def parse(page: str) -> Node:
         names = " ".join((attrs.get("class", ""), attrs.get("id", ""))).strip()
         key = tag + ("." + ".".join(sorted(re.sub(r"\d+", "0", names).lower().split())) if names else "")
         inside = any(x.tag in ("article", "main") for x in stack)
-        drop = tag in DROPPED or "hidden" in attrs or attrs.get("role", "").lower() in ROLES or (tag == "header" and not inside) or bool(names and tag not in ("html", "body", "main") and NAMED.search(names))
-        node = Node(tag, key, stack[-1], drop)
+        drop = tag in DROPPED or "hidden" in attrs or attrs.get("role", "").lower() in ROLES or (tag == "header" and not inside)
+        named = bool(names) and tag not in ("html", "body", "main", "article") and any(map(is_boilerplate_name, names.split()))
+        node = Node(tag, key, stack[-1], drop or named, named and not drop)
+        if tag in ("article", "main"):
+            for above in stack:  # what holds the article is not what its name says
+                above.drop, above.named = above.drop and not above.named, False
         stack[-1].children.append(node)
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
@@ -126,60 +141,98 @@ def _inside(node: Node) -> tuple[str, list[Node]]:
     return " ".join("".join(words).split()), below
 
 
+def _texts(node: Node) -> list[str]:
+    """The texts of a node's blocks, in page order but for what is dropped."""
+    out, stack = [], [node]
+    while stack:
+        text, below = _inside(stack.pop())
+        if text:
+            out.append(text)
+        stack += [c for c in reversed(below) if not c.drop]
+    return out
+
+
 def style_counts(page: str) -> Counter:
-    """(path, parent, depth, kind, value) of a page's blocks that markup leaves open; kind 0 presentation, 1 content."""
+    """(path, parent, depth, kind, value, article) of a page's blocks that markup leaves open.
+
+    Kind 0 is presentation, 1 content; article is a hash of the article's texts for the blocks inside, else 0.
+    """
     out: Counter = Counter()
-    stack = [(parse(page), 0)]
+    stack = [(parse(page), 0, 0)]
     while stack:
-        node, parent = stack.pop()
+        node, parent, article = stack.pop()
         if node.drop:
             continue
+        if not article and node.tag in ("article", "main"):
+            article = (xxhash.xxh64_intdigest("\n".join(_texts(node)), _SEED) >> 1) | 1
         text, below = _inside(node)
         shape = [k for i, k in enumerate(c.key for c in below) if i == 0 or below[i - 1].key != k]
-        out[(node.path, parent, node.depth, 0, xxhash.xxh64_intdigest(",".join(shape), _SEED) >> 1)] += 1
+        out[(node.path, parent, node.depth, 0, xxhash.xxh64_intdigest(",".join(shape), _SEED) >> 1, article)] += 1
         if text:
-            out[(node.path, parent, node.depth, 1, xxhash.xxh64_intdigest(text, _SEED) >> 1)] += 1
-        stack += [(c, node.path) for c in below if c.tag not in ("article", "main")]
+            out[(node.path, parent, node.depth, 1, xxhash.xxh64_intdigest(text, _SEED) >> 1, article)] += 1
+        stack += [(c, node.path, article) for c in below]
     return out
 
 
-def extract(page: str | None, removed: set[int]) -> str:
-    """The page's blocks, joined by newlines, without what is dropped or removed."""
-    root = parse(page or "")
-    every: list[tuple[str, bool]] = []
+def _lines(root: Node, removed: set[int], spared: set[int]) -> list[tuple[str, int]]:
+    """(line, article) of a page: article is the id of the outermost article or main element around, else 0.
+
+    Branches of the removed paths are left out, but not inside spared articles.
+    """
+    every: list[tuple[str, int]] = []
     words: list[str] = []
-    marked = False
-    stack: list[tuple[object, bool]] = [(root, False)]
+    stack: list[tuple[object, int]] = [(root, 0)]
 
-    def flush(inside: bool) -> None:
+    def flush(article: int) -> None:
         line = " ".join(html_lib.unescape("".join(words)).split())
         if line:
-            every.append((line, inside))
+            every.append((line, article))
         words.clear()
 
     while stack:
-        item, inside = stack.pop()
+        item, article = stack.pop()
         if isinstance(item, str):
             words.append(item)
         elif isinstance(item, Node):
-            if item.drop or (not inside and item.tag in BLOCKS and item.path in removed):
-                if item.tag in BLOCKS:
-                    flush(inside)
+            block = item.tag in BLOCKS
+            if item.drop or (block and item.path in removed and article not in spared):
+                if block:
+                    flush(article)
                 continue
             if item.tag == "br":
                 words.append(" ")
                 continue
-            block = item.tag in BLOCKS
             if block:
-                flush(inside)
-                stack.append((None, inside or item.tag in ("article", "main")))
-            within = inside or item.tag in ("article", "main")
+                flush(article)
+                stack.append((None, article))
+            within = article or (id(item) if item.tag in ("article", "main") else 0)
+            if within != article:
+                stack.append((None, within))
             stack += [(c, within) for c in reversed(item.children)]
         else:
-            flush(inside)
-    flush(False)
-    marked = any(inside for _, inside in every)
-    return "\n".join(line for line, inside in every if inside or not marked)
+            flush(article)
+    flush(0)
+    return every
+
+
+def extract(page: str | None, removed: set[int]) -> str:
+    """The page's blocks, joined by newlines, without what is dropped or removed."""
+    root = parse(page or "")
+
+    def sizes(lines: list[tuple[str, int]]) -> Counter:
+        out: Counter = Counter()
+        for line, article in lines:
+            out[article] += len(line)
+        return out
+
+    lines = _lines(root, removed, set())
+    if removed:
+        left, full = sizes(lines), sizes(_lines(root, set(), set()))
+        spared = {a for a, n in full.items() if a and 2 * left[a] < n}
+        lines = _lines(root, removed, spared) if spared else lines
+    kept = sizes(lines)
+    of_article = kept.total() - kept[0]
+    return "\n".join(line for line, article in lines if article or 2 * of_article < kept.total())
 
 
 def style_trees(pages: DataFrame) -> DataFrame:
@@ -190,11 +243,13 @@ def style_trees(pages: DataFrame) -> DataFrame:
             total: Counter = Counter()
             for host, page in zip(batch["host"], batch["html"], strict=True):
                 for key, n in style_counts(page or "").items():
-                    total[(host, *key)] += n
-            yield pd.DataFrame([(*k, n) for k, n in total.items()], columns=["host", "path", "parent", "depth", "kind", "value", "n"])
+                    total[(host, *key)] = max(total[(host, *key)], n) if key[-1] else total[(host, *key)] + n
+            yield pd.DataFrame([(*k, n) for k, n in total.items()], columns=["host", "path", "parent", "depth", "kind", "value", "article", "n"])
 
-    counted = pages.select("host", "html").mapInPandas(count, "host string, path long, parent long, depth int, kind int, value long, n long")
-    counted = written(counted.groupBy("host", "path", "parent", "depth", "kind", "value").agg(F.sum("n").alias("n")), "styles")
+    counted = pages.select("host", "html").mapInPandas(count, "host string, path long, parent long, depth int, kind int, value long, article long, n long")
+    # An article's block counts once for all copies of the article; what stands outside of articles once a page.
+    once = counted.groupBy("host", "path", "parent", "depth", "kind", "value", "article").agg(F.when(F.col("article") != 0, F.max("n")).otherwise(F.sum("n")).alias("n"))
+    counted = written(once.groupBy("host", "path", "parent", "depth", "kind", "value").agg(F.sum("n").alias("n")), "styles")
 
     def entropy(*by: str) -> DataFrame:
         n = F.sum("n")
@@ -203,30 +258,35 @@ def style_trees(pages: DataFrame) -> DataFrame:
     own = entropy("host", "path", "parent", "depth", "kind")
     everywhere = entropy("path", "kind").select("path", "kind", F.col("total").alias("all_total"), F.col("spread").alias("all_spread"))
     diverse = lambda total, spread: F.when(F.col(total) > 1, (F.log(total) - F.col(spread) / F.col(total)) / F.log(total)).otherwise(F.lit(1.0))
-    blended = (F.col("total") * diverse("total", "spread") + LEAN * diverse("all_total", "all_spread")) / (F.col("total") + LEAN)
+    leaning = (F.col("total") * diverse("total", "spread") + LEAN * diverse("all_total", "all_spread")) / (F.col("total") + LEAN)
+    blended = F.when(F.col("total") >= OWN, diverse("total", "spread")).otherwise(leaning)
     scored = own.join(everywhere, ["path", "kind"]).select("host", "path", "parent", "depth", "kind", "total", "all_total", blended.alias("importance"))
 
     def compose(rows: pd.DataFrame) -> pd.DataFrame:
         imp: dict[int, dict[int, tuple[float, int]]] = {}
         up: dict[int, int] = {}
-        enough: dict[int, int] = {}
+        enough: dict[int, bool] = {}
         depth: dict[int, int] = {}
         for path, parent, deep, kind, total, everything, value in rows[["path", "parent", "depth", "kind", "total", "all_total", "importance"]].itertuples(index=False):
             imp.setdefault(path, {})[kind] = (value, total)
             up[path], depth[path] = parent, deep
-            enough[path] = max(enough.get(path, 0), everything)
+            enough[path] = enough.get(path, False) or total >= OWN or everything >= LEAST
         below: dict[int, list[tuple[float, int]]] = {}
-        composed: dict[int, float] = {}
+        low: list[int] = []
+        alive: set[int] = set()  # branches that stay, or hold one that stays
         for path in sorted(imp, key=lambda p: -depth[p]):
             parts = below.get(path, []) + ([imp[path][1]] if 1 in imp[path] else [])
             shape, total = imp[path].get(0, (0.0, 1))
             weight = sum(n for _, n in parts)
             inner = sum(v * n for v, n in parts) / weight if weight else shape
             keep = GAMMA ** max(1, len(parts))
-            composed[path] = (1 - keep) * shape + keep * inner
-            below.setdefault(up[path], []).append((composed[path], total))
-        low = sorted(p for p, v in composed.items() if v < THRESHOLD and depth[p] > 2 and enough[p] >= LEAST)
-        return pd.DataFrame({"host": [rows["host"].iloc[0]], "removed": [low]})
+            importance = (1 - keep) * shape + keep * inner
+            below.setdefault(up[path], []).append((importance, total))
+            if path in alive or importance >= THRESHOLD or depth[path] <= 2 or not enough[path]:
+                alive.add(up[path])
+            else:
+                low.append(path)
+        return pd.DataFrame({"host": [rows["host"].iloc[0]], "removed": [sorted(low)]})
 
     return scored.groupBy("host").applyInPandas(compose, "host string, removed array<long>")
 
