@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import fingerprint_cws, language_id, maxscore, packing, pii_surrogates, simhash_dedup, site_style, source_mix, toxicity, url_rules
 
+KEY = "a test key"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size int, host string, bucket string"
 AWKWARD = [
@@ -340,6 +341,20 @@ def test_toxicity_held_out(spark):
     assert (got[got["toxic"] == 0]["predicted"] == 1).mean() < 0.03
 
 
+def test_toxicity_of_few_labels(spark):
+    clean = [(i, f"the river runs past village number {i} and the mill on its bank") for i in range(54)]
+    toxic = [(100 + i, f"you are a stupid idiot and worthless scum, you pathetic loser {i}") for i in range(6)]
+    docs = spark.createDataFrame(clean + toxic, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= 100)) for i, _ in clean + toxic], "doc_id long, toxic int")
+    got = toxicity.Model(docs, labels, folds=1, fold=1).score(docs).collect()
+    assert min(r["__tox_score"] for r in got if r["doc_id"] >= 100) >= 0.7 > max(r["__tox_score"] for r in got if r["doc_id"] < 100)
+    three = labels.where("toxic = 0 or doc_id < 103")
+    uncalibrated = toxicity.Model(docs, three, folds=1, fold=1)
+    assert uncalibrated.calibration is None and uncalibrated.trees is not None
+    repeated = docs.union(docs.where("doc_id = 100")).union(docs.where("doc_id = 100"))
+    assert toxicity.labelled_sample(repeated, labels, 1, 1).count() == 60
+
+
 def test_obfuscated_insults_count():
     tokens = toxicity.TokenKinds({})
     plain, hidden = (toxicity.text_features(t, tokens) for t in ("you are an idiot now", "you are an 1d!0t now"))
@@ -356,6 +371,35 @@ def test_style_tree_removes_what_repeats(spark):
     assert got == {i: f"T{i}\nText {i} is here&there.\nAnd more {i}" for i in range(40)}
 
 
+def test_style_tree_on_small_hosts_and_inside_articles(spark):
+    """Hosts of a dozen pages: what repeats goes inside articles too; copied articles and lone ones stay whole."""
+    rows, want = [], {}
+    for host in range(5):
+        for i in range(12):
+            body = f"<p>story {host} {i} first.</p><p>story {host} {i} second, which goes on.</p>"
+            share, strip = f"<div class='x1'>Tell friends of site {host}</div>", f"<div class='x2'><p>All about site {host}</p></div>"
+            text = f"story {host} {i} first.\nstory {host} {i} second, which goes on."
+            page = f"<body><div>{strip}<article><h1>Title {host} {i}</h1>{body}{share}</article></div></body>" if host < 3 else f"<body><div>{strip}<div class='c'>{body}</div>{share}</div></body>"
+            rows.append((len(rows), f"http://h{host}.example/{i}", page))
+            want[len(rows) - 1] = (f"Title {host} {i}\n" if host < 3 else "") + text
+    for i in range(12):  # one article, copied all over a host
+        rows.append((len(rows), f"http://copies.example/{i}", "<body><article><h1>One title</h1><p>The same text.</p><p>And more of it.</p></article></body>"))
+        want[len(rows) - 1] = "One title\nThe same text.\nAnd more of it."
+    got = {r["page_id"]: r["text"] for r in site_style.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == want
+
+
+def test_names_of_classes_alone_remove_no_content():
+    cases = {
+        '<div id="page" class="has-sidebar"><p>Story</p></div>': "Story", '<article class="post no-comments"><p>Story</p></article>': "Story",
+        '<article><p>Story</p><div class="search-party">Found them</div></article>': "Story\nFound them",
+        "<div><p>The long story that stands outside of the teaser.</p><article><p>teaser</p></article></div>": "The long story that stands outside of the teaser.\nteaser",
+        '<div class="content sidebar"><article><p>Story</p></article></div>': "Story", '<p>Story</p><div class="ad">Buy</div><ul class="comment-list"><li>me too</li></ul><div id="cookieNotice">ok</div>': "Story",
+        "<article>One<article>Two</article>Three</article>": "One\nTwo\nThree",
+    }
+    assert {page: site_style.extract(page, set()) for page in cases} == cases
+
+
 def test_articles_equal_their_source(spark, tiny):
     pages = spark.read.parquet(f"{tiny}/pages.parquet")
     raw = {r["page_id"]: r["html"] for r in pages.collect()}
@@ -440,7 +484,7 @@ def test_surrogates(spark):
         (3, "again Jane.Doe@mail.example.com"), (4, "version 1.2.3 of 2024, chapter 12"), (5, None), (6, ""),
     ]
     docs = spark.createDataFrame(texts, "doc_id long, text string")
-    got = {r["doc_id"]: r["text"] for r in pii_surrogates.replace(docs).collect()}
+    got = {r["doc_id"]: r["text"] for r in pii_surrogates.replace(docs, KEY).collect()}
     assert (got[4], got[5], got[6]) == (texts[3][1], None, "")
     first, second = re.findall(r"\S+@\S+", got[1])
     assert first.rstrip(",").lower() == second.rstrip(",").lower() and first != "Jane.Doe@mail.example.com"
@@ -457,15 +501,41 @@ def test_surrogates(spark):
 
 def test_surrogates_are_one_to_one(spark):
     every = spark.range(0, 10000).select(F.format_string("555-%02d-%04d", (F.col("id") / 100).cast("int"), F.col("id") % 100).alias("e"))
-    got = every.select("e", pii_surrogates.surrogate(F.col("e")).alias("s"))
+    got = every.select("e", pii_surrogates.surrogate(F.col("e"), KEY).alias("s"))
     assert got.select("s").distinct().count() == 10000
     assert got.where("e = s").count() == 0
 
 
+def test_many_names_stay_distinct(spark):
+    """100,000 surnames, the listed names in three cases, and secrets of every kind: no collision, no fixed point."""
+    syllables = F.array(*[F.lit(a + b) for a in "bdfklmnprst" for b in "aeiou"])
+    at = lambda k: F.element_at(syllables, (F.pmod(F.floor(F.col("id") / 55**k), F.lit(55)) + 1).cast("int"))
+    name = F.concat(F.initcap(at(0)), at(1), F.when(F.col("id") >= 3025, at(2)).otherwise(F.lit("")))
+    names = spark.range(100_000).select(F.concat(F.lit("Mr "), name).alias("text"))
+    listed = [f"Mr {form(n)}" for pool in pii_surrogates.GIVEN_NAMES.values() for n in pool.split() for form in (str, str.upper, str.lower)]
+    secrets = [f"password={x}" for x in ("1a2b3c", "abc12z", "1234567", "7654321", "deadbeef1", "12345z", "12345u", "a1b2c3")]
+    docs = names.union(spark.createDataFrame([(x,) for x in listed + secrets], "text string"))
+    assert pii_surrogates.collisions(docs, KEY).count() == 0
+    kind = lambda c: F.when(F.rlike(c, F.lit("=[0-9]+$")), 0).when(F.rlike(c, F.lit("=[0-9a-f]+$")), 1).otherwise(2)
+    changed = pii_surrogates.pairs(docs.where("text like 'password%'"), KEY)
+    assert changed.where(kind(F.col("entity")) != kind(F.col("surrogate"))).count() == 0 and changed.count() == len(secrets)
+
+
+def test_names_keep_their_surrogates_word_by_word(spark):
+    text = "Mr Jon Smith met Peter Miller. Smith left; then Miller and Jon came with Smithson. MR X."
+    (row,) = pii_surrogates.replace(spark.createDataFrame([(1, text)], "doc_id long, text string"), KEY).collect()
+    m = re.fullmatch(r"Mr (\w+) (\w+) met (\w+) (\w+)\. (\w+) left; then (\w+) and (\w+) came with Smithson\. MR X\.", row["text"])
+    assert m and m[2] == m[5] and m[4] == m[6] and m[1] == m[7]
+    assert m[3] in pii_surrogates.GIVEN_NAMES["latin male"].split() and len({m[1], m[2], m[3], m[4]} | {"Jon", "Smith", "Peter", "Miller"}) == 8
+    assert row["__pii_found"] == ["Mr Jon Smith", "Peter Miller", "Smith", "Miller", "Jon"]
+    others = [pii_surrogates.surrogate(F.lit("Mr Jon Smith"), k).alias(k) for k in ("one", "two")]
+    assert len(set(spark.range(1).select(*others).first())) == 2
+
+
 def test_awkward_rows(awkward, none, spark):
     n = len(AWKWARD)
     runs = {
-        "language": language_id.identify, "fingerprints": fingerprint_cws.fingerprints, "mix": source_mix.mix, "dedup": simhash_dedup.near_duplicates, "similar": simhash_dedup.similar_documents, "pii": pii_surrogates.replace,
+        "language": language_id.identify, "fingerprints": fingerprint_cws.fingerprints, "mix": source_mix.mix, "dedup": simhash_dedup.near_duplicates, "similar": simhash_dedup.similar_documents, "pii": lambda d: pii_surrogates.replace(d, KEY),
         "toxicity": lambda d: toxicity.judge(d, spark.createDataFrame([(2, 1), (5, 0), (None, 1), (6, None)], "doc_id long, toxic int")),
     }
     for name, run in runs.items():
