@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import packing, pii_surrogates, simhash_dedup, source_mix, toxicity
-from corpusloom.llm.common import table, written
+from corpusloom.llm.common import surrogate_key, table, written
 
 #: Several stages depend on fitted models or iterate, which SQL cannot express; tests compare with brute force.
 ORACLE_SQL = None
@@ -39,7 +39,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Puts surrogates in place of personal data and secrets; n_chars follows the text."""
-    done = pii_surrogates.replace(docs)
+    done = pii_surrogates.replace(docs, surrogate_key(spark))
     touched = F.size("__pii_found") > 0
     return done.withColumn("n_chars", F.when(touched, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
