@@ -32,6 +32,8 @@ MAX_BITS = 3
 PIVOTS = 16
 #: Largest bucket compared in one piece; larger ones are compared block against block, in many tasks.
 BLOCK_ROWS = 4096
+#: Pairs that a task holds at a time, which bounds its memory.
+PAIRS_AT_ONCE = 200_000
 #: Documents whose shingles are counted, and how many frequent shingles are kept, to put the rare first.
 SAMPLE_ROWS, FREQUENT = 50_000, 200_000
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -95,7 +97,7 @@ def near_pairs(left: np.ndarray, right: np.ndarray | None, max_bits: int, pivots
     low = np.searchsorted(first, table_l[:, 0] - max_bits, "left")
     high = np.searchsorted(first, table_l[:, 0] + max_bits, "right")
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    step = max(1, 2_000_000 // max(1, len(right)))
+    step = max(1, PAIRS_AT_ONCE // max(1, len(right)))
     for at in range(0, len(left), step):
         lengths = (high - low)[at : at + step]
         i = np.repeat(np.arange(at, at + len(lengths)), lengths)
@@ -279,16 +281,21 @@ def prefix(s: np.ndarray, frequent: np.ndarray, ranks: np.ndarray, similarity: f
     return s[np.lexsort((s, rank))[:keep]]
 
 
-def parities(s: np.ndarray) -> np.ndarray:
-    """128 bits as two integers: how many shingles fall on each bit, modulo two; sets differ in no fewer shingles than bits."""
-    return np.packbits(np.bincount(s & 127, minlength=128).astype(np.uint8) & 1).view(np.int64)
+def least_common(m: np.ndarray, n: np.ndarray, similarity: float) -> np.ndarray:
+    """How many of their prefix shingles two sets of m and n shingles share at least, should they reach the similarity.
 
+    They have at least o = s / (1 + s) * (m + n) shingles in common. Of a prefix of p shingles at most m - o are not
+    common, and the common ones of both prefixes are the first common ones in the same order: the shorter list is in both.
+    """
+    o = np.ceil(similarity / (1 + similarity) * (m + n) - 1e-6)
+    kept = lambda x: x - np.ceil(similarity * x - 1e-9) + 1
+    return np.maximum(1, np.minimum(kept(m) - (m - o), kept(n) - (n - o))).astype(np.int64)
 
-def bucket_pairs(key: np.ndarray, node: np.ndarray, label: np.ndarray, size: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray, similarity: float):
-    """Arrays (a, b) of nodes with a key in common (rows sorted by key), differing labels, and room for the similarity.
 
-    A shared key at places p and q of sets of m and n leaves at most min(p, q) + min(m - p, n - q) common shingles;
-    and the sets may not differ in more shingles than the similarity allows, which their parities (low, high) bound.
+def bucket_pairs(key: np.ndarray, node: np.ndarray, label: np.ndarray, size: np.ndarray, at: np.ndarray, similarity: float):
+    """Arrays (a, b, m, n) of nodes with a key in common (rows sorted by key), of differing labels and with room for
+    the similarity, and their sizes: a shared key at places p and q of sets of m and n leaves at most
+    min(p, q) + min(m - p, n - q) common shingles.
     """
     i, apart = np.arange(len(key)), 0
     while True:
@@ -301,11 +308,10 @@ def bucket_pairs(key: np.ndarray, node: np.ndarray, label: np.ndarray, size: np.
         most = np.minimum(at[i], at[j]) + np.minimum(size[i] - at[i], size[j] - at[j])
         fits = (label[i] != label[j]) & (most * (1 + similarity) >= similarity * (size[i] + size[j]) - 1e-6)
         a, b = i[fits], j[fits]
-        differ = sum(np.bitwise_count((x[a] ^ x[b]).view(np.uint64)).astype(np.int64) for x in (low, high))
-        fits = differ * (1 + similarity) <= (1 - similarity) * (size[a] + size[b]) + 1e-6
-        a, b = node[a[fits]], node[b[fits]]
         if len(a):
-            yield np.minimum(a, b), np.maximum(a, b)
+            swap = node[a] > node[b]
+            a, b = np.where(swap, b, a), np.where(swap, a, b)
+            yield node[a], node[b], size[a], size[b]
 
 
 def prefix_pairs(sets: DataFrame, labels: DataFrame, rows: int, similarity: float) -> DataFrame:
@@ -314,13 +320,12 @@ def prefix_pairs(sets: DataFrame, labels: DataFrame, rows: int, similarity: floa
     spark = sets.sparkSession
     shared = spark.sparkContext.broadcast((frequent, ranks))
 
-    @F.pandas_udf("keys array<int>, low long, high long")
-    def prefixes(every: pd.Series) -> pd.DataFrame:
-        bits = np.array([parities(s) for s in every], np.int64).reshape(-1, 2)
-        return pd.DataFrame({"keys": [prefix(s, *shared.value, similarity) for s in every], "low": bits[:, 0], "high": bits[:, 1]})
+    @F.pandas_udf("array<int>")
+    def prefixes(every: pd.Series) -> pd.Series:
+        return pd.Series([prefix(s, *shared.value, similarity) for s in every])
 
-    short = sets.select("node", F.size("s").alias("size"), prefixes(F.col("s")).alias("p")).select("node", "size", "p.*").dropDuplicates(["node"])
-    named = short.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "size", "low", "high", F.posexplode("keys").alias("at", "key"))
+    short = sets.select("node", F.size("s").alias("size"), prefixes(F.col("s")).alias("keys")).dropDuplicates(["node"])
+    named = short.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "size", F.posexplode("keys").alias("at", "key"))
 
     def pairs(batches):
         kept: pd.DataFrame | None = None
@@ -332,22 +337,28 @@ def prefix_pairs(sets: DataFrame, labels: DataFrame, rows: int, similarity: floa
             end = len(key) if batch is None else int(np.searchsorted(key, key[-1], "left"))
             kept, part = (None if batch is None else part.iloc[end:]), part.iloc[:end]
             found, n = [], 0
-            for a, b in bucket_pairs(*(part[c].to_numpy() for c in ("key", "node", "label", "size", "at", "low", "high")), similarity):
-                found.append((a, b))
-                n += len(a)
-                if n > 500_000:
-                    yield _unique_pairs(found)
+            for some in bucket_pairs(*(part[c].to_numpy() for c in ("key", "node", "label", "size", "at")), similarity):
+                found.append(some)
+                n += len(some[0])
+                if n > PAIRS_AT_ONCE:
+                    yield _counted_pairs(found, similarity)
                     found, n = [], 0
             if found:
-                yield _unique_pairs(found)
+                yield _counted_pairs(found, similarity)
 
     dealt = named.repartition(parallelism(spark), "key").sortWithinPartitions("key")
-    return dealt.mapInPandas(pairs, "a long, b long").distinct()
-
-
-def _unique_pairs(found: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
-    a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-    return pd.DataFrame({"a": a, "b": b}).drop_duplicates()
+    counted = dealt.mapInPandas(pairs, "a long, b long, least int, n int").groupBy("a", "b").agg(F.max("least").alias("least"), F.sum("n").alias("n"))
+    return counted.where("n >= least").select("a", "b")
+
+
+def _counted_pairs(found: list[tuple[np.ndarray, ...]], similarity: float) -> pd.DataFrame:
+    """Each pair once, with the number of its shared prefix shingles here and the number it needs in all."""
+    a, b, m, n = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((b, a))
+    first = np.flatnonzero(np.concatenate(([True], (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0))))
+    shared = np.diff(np.append(first, len(order))).astype(np.int32)
+    a, b, m, n = (x[order[first]] for x in (a, b, m, n))
+    return pd.DataFrame({"a": a, "b": b, "least": least_common(m, n, similarity).astype(np.int32), "n": shared})
 
 
 def _classes(hashed: DataFrame, distinct: DataFrame, links: DataFrame, columns: list[str] | None = None) -> DataFrame:
