@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import count
+from .text import SPACE, count, strip
 
 #: Sentences are left out with too much Latin or too many digits, or with too few or too many words (fixed values).
 LATIN_SHARE, DIGIT_SHARE, FEWEST_WORDS, MOST_WORDS = 0.5, 0.5, 4, 512
-#: Class labels after merging six classes to four, by former label (fixed values).
-MERGED_LABELS = {0: 0, 1: 1, 2: 2, 3: 3, 4: 3, 5: 2}
+#: Class labels that others are merged into (fixed values).
+MERGED_LABELS = {5: 0, 4: 1}
 UNSURE = -9999
 
 
@@ -18,14 +18,27 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, r"\s+"), lambda w: w != "")
 
 
+def _roman(n: int) -> str:
+    return "X" * (n // 10) + ("", "I", "II", "III", "IV", "V", "VI", "VII", "VIII", "IX")[n % 10]
+
+
+#: What is taken out of or joined in a sentence, in this order (fixed values).
+RULES = (
+    (r"\(?\d+\)|\d+\.", ""), (r"\{\d+\}", ""),
+    (r"(?<!\S)\(?(?:στ|[α-ω]|ΣΤ|[Α-Ω])[ʹ'´).](?!\S)", ""),
+    (r"[↩\[\]—―]", ""),
+    (r"(\S+)&(\S+)", "$1$2"), (r"&(\S+)", "$1"), (r"(\S+)&", "$1"),
+    (r"/\d+/", ""),
+    (rf"\b(?:{'|'.join(_roman(n) for n in range(1, 21))})[.)]", ""),
+)
+
+
 def cleaned_sentence(text: Column) -> Column:
-    """Without list numbers, Greek and Roman numerals at the start, and bracketed remarks; & joins words."""
-    out = F.regexp_replace(text, r"[\[(][^\])]*[\])]", "")
-    out = F.regexp_replace(out, r"^\s*\d+[.)]\s*", "")
-    out = F.regexp_replace(out, r"^\s*[Α-Ωα-ω]{1,3}[΄'ʹ][.)]?\s*", "")
-    out = F.regexp_replace(out, r"^\s*(?:XX|XIX|XVIII|XVII|XVI|XV|XIV|XIII|XII|XI|IX|X|VIII|VII|VI|IV|V|III|II|I)[.)]\s*", "")
-    out = F.regexp_replace(out, r"(\S+)&(\S+)", "$1$2")
-    return F.trim(F.regexp_replace(out, r"\s+", " "))
+    """Without list numbers, Greek and Roman numerals and odd marks; & joins words; at last without brackets."""
+    out = F.trim(F.regexp_replace(text, f"[{SPACE}]+", " "))
+    for pattern, by in RULES:
+        out = F.regexp_replace(out, f"(?U){pattern}", by)
+    return F.regexp_replace(strip(out), r"[<>\[\](){}]", "")
 
 
 def usable(text: Column) -> Column:
@@ -45,4 +58,4 @@ def masked_label(mask: Column, label: Column) -> Column:
 
 
 def merged_label(label: Column) -> Column:
-    return F.element_at(F.create_map(*[F.lit(x) for kv in MERGED_LABELS.items() for x in kv]), label)
+    return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in MERGED_LABELS.items() for x in kv]), label), label)

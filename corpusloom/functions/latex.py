@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import SPACE
+
 #: Limits (fixed values).
 TAIL_LIMIT, TAIL_KEPT, LENGTH_LIMIT, ACCEPT_LENGTH = 50, 12, 3000, 6000
 FORBIDDEN = (r"\includegraphics", r"\write18")
@@ -16,7 +18,7 @@ def _let(value: Column, body) -> Column:
 
 
 def _tokens(text: Column) -> Column:
-    return F.filter(F.split(text, r"\s+"), lambda t: t != "")
+    return F.filter(F.split(text, f"[{SPACE}]+"), lambda t: t != "")
 
 
 def _run(tokens: Column) -> Column:
@@ -32,18 +34,22 @@ def tail_run(text: Column) -> Column:
 def sanitized(text: Column) -> Column:
     """struct(latex, truncated_by_repeat, truncated_by_length, tail_run): repeated tails clamped, then cut to length.
 
-    Only texts with a long tail run or over the length limit are touched.
+    Only texts with a long tail run or over the length limit are touched; of these a tail is clamped wherever it is
+    longer than what is kept of one. The cut is at the last blank or backslash before the limit, if there is one.
     """
 
     def clamp(tokens: Column, run: Column) -> Column:
-        return F.when(run > TAIL_LIMIT, F.array_join(F.slice(tokens, F.lit(1), F.size(tokens) - run + TAIL_KEPT), " ")).otherwise(text)
-
-    def cut(clamped: Column, run: Column) -> Column:
-        head = F.substring(clamped, 1, LENGTH_LIMIT)
-        at_break = F.regexp_extract(head, r"(?s)^(.*)[ \n\t\\]", 1)
-        too_long = F.length(clamped) > LENGTH_LIMIT
-        out = F.when(too_long, _let(at_break, lambda b: F.when(b != "", b).otherwise(head))).otherwise(clamped)
-        return F.struct(out.alias("latex"), (run > TAIL_LIMIT).alias("truncated_by_repeat"), too_long.alias("truncated_by_length"), run.alias("tail_run"))
+        gate = (run > TAIL_LIMIT) | (F.length(text) > LENGTH_LIMIT)
+        repeats = gate & (run > TAIL_KEPT)
+        clamped = F.when(repeats, F.array_join(F.slice(tokens, F.lit(1), F.size(tokens) - run + TAIL_KEPT), " ")).otherwise(text)
+        return F.struct(clamped.alias("text"), repeats.alias("repeats"))
+
+    def cut(done: Column, run: Column) -> Column:
+        head = F.substring(done["text"], 1, LENGTH_LIMIT)
+        at_break = F.when(F.rlike(head, F.lit(r"[ \n\t\\]")), F.regexp_extract(head, r"(?s)^(.*)[ \n\t\\]", 1)).otherwise(head)
+        too_long = F.length(done["text"]) > LENGTH_LIMIT
+        out = F.when(too_long, F.regexp_replace(at_break, rf"[{SPACE}]+\z", "")).otherwise(done["text"])
+        return F.struct(out.alias("latex"), done["repeats"].alias("truncated_by_repeat"), too_long.alias("truncated_by_length"), run.alias("tail_run"))
 
     measured = F.struct(_tokens(text).alias("t"), tail_run(text).alias("n"))
     return _let(measured, lambda m: _let(clamp(m["t"], m["n"]), lambda c: cut(c, m["n"])))
@@ -61,9 +67,9 @@ def accept_score(text: Column) -> Column:
     return F.when(F.coalesce(bad, F.lit(True)), 0.0).otherwise(1.0)
 
 
-def crop_dpi(height: Column, base: Column) -> Column:
-    """The resolution for a formula crop: doubled for low ones, raised for small ones, lowered for tall ones."""
-    return F.when(height < 40, base * 2).when(height < 120, base * 1.5).when(height > 800, base * 0.75).otherwise(base)
+def crop_dpi(height: Column, base: int = 220, least: int = 180, most: int = 320) -> Column:
+    """The resolution for a formula crop by its height in pixels: more for small crops, less for tall ones, in bounds."""
+    return F.when(height < 40, min(most, max(base + 60, least))).when(height < 120, min(most, max(base + 20, least))).when(height > 800, max(least, base - 40)).otherwise(base)
 
 
 def recommended_phase(total: Column) -> Column:

@@ -1,19 +1,21 @@
-"""Greek noise metrics of a text as regular-expression counts."""
+"""Greek noise metrics of a text, counted over its code points."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import functools
+import re
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
-from .text import count, is_table_line, latin_ratio, lines
+from .text import latin_ratio
 
 #: Letters by class, permitted doubles and impossible pairs (fixed values). What is not listed as a vowel, accented
 #: letters of the extended block among it, counts as a consonant.
 VOWELS = "ΑαΆάΕεΈέΗηΉήΙιΊίϊϋΟοΌόυΰύΥΎΩωΏώ"
 ALLOWED_DOUBLES = "λμνρστκπγ"
 IMPOSSIBLE_PAIRS = ("κξ", "γξ", "χξ", "πψ", "βψ", "φψ", "ρλ", "μρ", "γβ", "δτ", "τδ", "βπ", "πβ")
-COMBINING = r"\x{300}-\x{36F}\x{1DC0}-\x{1DFF}\x{20D0}-\x{20FF}"
-GREEK = r"\x{370}-\x{3FF}\x{1F00}-\x{1FFF}"
 SHORT_BASELINE, SHORT_WORD, LONG_WORD, LONG_WEIGHT = 26.0, 3, 21, 380
 FIELDS = (
     "score", "latin_pct", "table_ratio", "poly_ratio", "len_greek", "total_words", "v_pen", "c_pen", "bad_double", "misplaced_sigma", "invalid_bigram", "long_word_count",
@@ -21,47 +23,82 @@ FIELDS = (
 )
 
 
-def _low(pair: str) -> str:
-    """A pair's pattern for any case of its letters."""
-    return "".join(f"[{c}{c.upper()}]" for c in pair)
+_COUNTS = ("solid", "tabular", "poly", "greek_words", "len_greek", "total_words", "v_pen", "c_pen", "bad_double", "misplaced_sigma", "invalid_bigram", "long_word_count", "longest_word", "short_word_count", "max_run", "long_weight")
+_POLYTONIC = re.compile("[\u1f00-\u1fff\u0300-\u036f\u1dc0-\u1dff\u20d0-\u20ff]")
+_GREEK = re.compile("[\u0370-\u03ff\u1f00-\u1fff]")
+
+
+@functools.lru_cache(maxsize=1)
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By code point: 1 for a vowel, 2 for another Greek letter, 3 for a combining mark; may double; lower case."""
+    kinds, doubles, low = np.zeros(0x2101, np.uint8), np.zeros(0x2101, bool), np.arange(0x2101)
+    kinds[0x370:0x400] = kinds[0x1F00:0x2000] = 2
+    kinds[[ord(c) for c in VOWELS]] = 1
+    kinds[0x300:0x370] = kinds[0x1DC0:0x1E00] = kinds[0x20D0:0x2100] = 3
+    doubles[[ord(c) for c in ALLOWED_DOUBLES]] = True
+    low[0x391:0x3AA] += 0x20
+    return kinds, doubles, low
+
+
+def counts_of(text: str) -> tuple[int, ...]:
+    """The counts of ``_COUNTS`` for one text, each in one pass over its code points."""
+    solid = tabular = poly = greek_words = 0
+    kept = text
+    if "|" in text:
+        every = [x.removesuffix("\r") for x in text.split("\n")]
+        every = every[:-1] if every[-1] == "" else every
+        bare = [x.strip() for x in every]
+        solid = sum(map(bool, bare))
+        flags = [b.startswith("|") and b.endswith("|") for b in bare]
+        tabular = sum(flags)
+        kept = "\n".join(x for x, flag in zip(every, flags, strict=True) if not flag) if tabular else text
+    if _POLYTONIC.search(kept):
+        greek = [w for w in kept.split() if _GREEK.search(w)]
+        greek_words, poly = len(greek), sum(_POLYTONIC.search(w) is not None for w in greek)
+    kinds, doubles, low = _tables()
+    code = np.minimum(np.frombuffer(kept.encode("utf-32-le", "surrogatepass"), np.uint32), 0x2100).astype(np.int32)
+    kind = kinds[code]
+    if (kind == 3).any():
+        code, kind = code[kind != 3], kind[kind != 3]
+    letter = kind > 0
+    if not letter.any():
+        return (solid, tabular, poly, greek_words, *[0] * 12)
+
+    def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        begin = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
+        return begin, np.diff(np.append(begin, len(values)))
+
+    begin, length = runs(kind)
+    of, after = kind[begin], np.append(kind[begin[1:]], 9)
+    excess = np.where((length >= 4) & (after != 0), length - 3, 0)
+    starts, sizes = runs(letter)
+    sizes = sizes[letter[starts]]
+    both = letter[1:] & letter[:-1]
+    pair = low[code[:-1]] * 0x10000 + low[code[1:]]
+    ends = (code == 0x3C3) & ~np.append(letter[1:], False)
+    over = sizes[sizes >= LONG_WORD]
+    return (
+        solid, tabular, poly, greek_words, int(letter.sum()), len(sizes), int(excess[of == 1].sum()), int(excess[of == 2].sum()), int((both & (code[1:] == code[:-1]) & ~doubles[code[1:]]).sum()), int(ends.sum()),
+        int((both & np.isin(pair, [ord(a) * 0x10000 + ord(b) for a, b in IMPOSSIBLE_PAIRS])).sum()), len(over), int(sizes.max()), int((sizes < SHORT_WORD).sum()), int(length[of > 0].max()), int(np.minimum(over - (LONG_WORD - 1), LONG_WEIGHT).sum()),
+    )
 
 
 def noise_metrics(df, text: str = "text"):
-    """df with one column per name in ``FIELDS``; null texts count as empty."""
+    """df with one column per name in ``FIELDS``; null texts count as empty. One pass over each text, no shuffle."""
     source = F.coalesce(F.col(text), F.lit(""))
-    every = lines(source)
-    solid = F.filter(every, lambda x: F.rlike(x, F.lit(r"[^\s]")))
-    tabular = F.filter(solid, lambda x: is_table_line(x))
-    staged = df.withColumn("__solid", F.size(solid)).withColumn("__tabular", F.size(tabular)).withColumn(
-        "__kept", F.when(F.col("__tabular") > 0, F.array_join(F.filter(every, lambda x: ~is_table_line(x)), "\n")).otherwise(source)
-    )
-    staged = staged.withColumn("__bare", F.regexp_replace("__kept", f"[{COMBINING}]+", ""))
-    bare = F.col("__bare")
-    consonant = f"[{GREEK}&&[^{VOWELS}]]"
-    runs = lambda own, other: F.regexp_extract_all(bare, F.lit(rf"{own}{{4,}}(?={other}|\z)"), 0)
-    excess = lambda found: F.aggregate(found, F.lit(0), lambda a, r: a + F.length(r) - 3)
-    words = F.regexp_extract_all(bare, F.lit(f"[{GREEK}]+"), 0)
-    staged = staged.withColumn("__words", F.transform(words, F.length)).withColumn("__vowel_runs", runs(f"[{VOWELS}]", consonant)).withColumn("__consonant_runs", runs(consonant, f"[{VOWELS}]"))
-    sizes = F.col("__words")
-    over = F.filter(sizes, lambda n: n >= LONG_WORD)
-    kept_words = F.filter(F.split(F.col("__kept"), r"(?U)\s+"), lambda w: F.rlike(w, F.lit(f"[{GREEK}]")))
-    every_run = F.concat(F.regexp_extract_all(bare, F.lit(f"[{VOWELS}]+|{consonant}+"), 0), F.array(F.lit("")))
-    staged = staged.select(
+
+    @F.pandas_udf("array<bigint>")
+    def counted(texts: pd.Series) -> pd.Series:
+        return pd.Series([np.array(counts_of(t), np.int64) for t in texts])
+
+    n = {name: F.col("__counts")[i] for i, name in enumerate(_COUNTS)}
+    whole = ("total_words", "v_pen", "c_pen", "long_word_count", "longest_word", "short_word_count", "max_run")
+    staged = df.withColumn("__counts", counted(source)).select(
         *df.columns,
         latin_ratio(source).alias("latin_pct"),
-        F.when(F.col("__solid") > 0, F.col("__tabular") / F.col("__solid")).otherwise(0.0).alias("table_ratio"),
-        F.size(F.filter(kept_words, lambda w: F.rlike(w, F.lit(rf"[\x{{1F00}}-\x{{1FFF}}{COMBINING}]")))).alias("__poly"),
-        F.size(kept_words).alias("__greek_words"),
-        count(bare, f"[{GREEK}]").alias("len_greek"), F.size(sizes).alias("total_words"),
-        excess(F.col("__vowel_runs")).alias("v_pen"), excess(F.col("__consonant_runs")).alias("c_pen"),
-        count(bare, rf"([{GREEK}&&[^{ALLOWED_DOUBLES}]])(?=\1)").alias("bad_double"),
-        count(bare, f"σ(?![{GREEK}])").alias("misplaced_sigma"),
-        count(bare, "|".join(f"(?={_low(p)})" for p in IMPOSSIBLE_PAIRS)).alias("invalid_bigram"),
-        F.size(over).alias("long_word_count"), F.coalesce(F.array_max(sizes), F.lit(0)).alias("longest_word"),
-        F.size(F.filter(sizes, lambda n: n < SHORT_WORD)).alias("short_word_count"),
-        F.array_max(F.transform(every_run, F.length)).alias("max_run"),
-        F.aggregate(over, F.lit(0), lambda a, n: a + F.least(n - (LONG_WORD - 1), F.lit(LONG_WEIGHT))).alias("__long_weight"),
-        (F.col("__tabular") > 0).alias("__had_tables"),
+        F.when(n["solid"] > 0, n["tabular"] / n["solid"]).otherwise(0.0).alias("table_ratio"),
+        *[(n[c].cast("int") if c in whole else n[c]).alias(c) for c in _COUNTS[4:15]],
+        n["long_weight"].alias("__long_weight"), n["poly"].alias("__poly"), n["greek_words"].alias("__greek_words"), (n["tabular"] > 0).alias("__had_tables"),
     )
     rate = lambda name: F.when(F.col("len_greek") > 0, 1000.0 * F.col(name) / F.col("len_greek")).otherwise(0.0)
     poly = F.when((F.col("len_greek") > 0) & (F.col("__greek_words") > 0), F.col("__poly") / F.col("__greek_words")).otherwise(0.0)

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 #: Words for truth values and stage outcomes (fixed values).
 TRUE_WORDS, FALSE_WORDS = ("true", "1", "yes", "y"), ("false", "0", "no", "n")
-SUCCESS_WORDS = ("success", "ok", "done", "completed", "extracted", "true")
-FAILURE_WORDS = ("failed", "failure", "error", "problematic", "timeout")
+SUCCESS_WORDS = ("success", "ok", "complete", "completed", "partial", "chunked")
+FAILURE_WORDS = ("failed", "failure", "error", "timeout", "problematic", "skipped")
+NUMBER_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 
 def strict_bool(value: Column) -> Column:
@@ -18,9 +19,10 @@ def strict_bool(value: Column) -> Column:
 
 
 def loose_bool(value: Column) -> Column:
-    """False words are false, empty ones (none, na) null, and anything else true."""
-    word = F.lower(F.trim(value.cast("string")))
-    return F.when(word.isin("", "na", "none") | word.isNull(), F.lit(None).cast("boolean")).when(word.isin(*FALSE_WORDS), False).otherwise(True)
+    """False words are false, empty ones (none, na) null, and anything else true; of numbers, 0 is false and NaN null."""
+    word, number = F.lower(F.trim(value.cast("string"))), value.cast("string").try_cast("double")
+    by_number = F.when(F.isnan(number), F.lit(None).cast("boolean")).otherwise(number != 0)
+    return F.when(F.typeof(value).isin(*NUMBER_TYPES), by_number).when(word.isin("", "na", "none") | word.isNull(), F.lit(None).cast("boolean")).when(word.isin(*FALSE_WORDS), False).otherwise(True)
 
 
 def as_float(value: Column) -> Column:

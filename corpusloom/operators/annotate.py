@@ -6,43 +6,70 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from ..functions.text import SPACE, python_lines, strip
+
 #: Labels (fixed values): contents, references, body, appendix, front matter, other.
 CONTENTS, REFERENCES, BODY, APPENDIX, FRONT, OTHER = "π", "β", "κ", "α", "ε.σ.", "άλλο"
 FRONT_LIMIT = 300
 INDEX_NUMBERS, INDEX_EQUAL, INDEX_HIGHEST, INDEX_FEW = 7, 4, 400, 4
 
 
+_LETTER = "[A-Za-zΑ-Ωα-ω]"
+
+
+def contents_rows(text: Column) -> Column:
+    """The table rows of a text, stripped; a row broken after its first part is joined with the next line."""
+    every = F.transform(python_lines(text), strip)
+    opens, ends = (lambda x: F.startswith(x, F.lit("|"))), (lambda x: F.endswith(x, F.lit("|")))
+    broken = lambda x, after: opens(x) & ~ends(x) & ~opens(after) & ends(after)
+    joined = F.zip_with(every, F.slice(every, F.lit(2), F.greatest(F.size(every), F.lit(1))), lambda x, after: F.when(broken(x, after), F.concat(x, F.lit(" "), after)).otherwise(x))
+    return F.filter(joined, lambda x: opens(x) & ends(x))
+
+
 def page_numbers(text: Column) -> Column:
-    """The page numbers at the ends of lines that look like entries of a contents list, in order."""
-    flat = F.regexp_replace(F.regexp_replace(text, r"[|]", " "), "[ \\t]+", " ")
-    bare = F.transform(F.split(flat, "\n"), lambda x: F.trim(F.regexp_replace(x, r"[._-]{3,}", " ")))
+    """The page numbers at the ends of table rows that look like entries of a contents list, in order.
+
+    A row counts if its first half has a letter. In the second half the first of a range of numbers counts, or else
+    the last whole number below 400; in either case no letter may follow.
+    """
+    collapsed = F.transform(contents_rows(text), lambda x: F.regexp_replace(F.regexp_replace(x, f"[{SPACE}]+", " "), r"(?:[._-]\s?){3,}", " "))
 
     def number(x: Column) -> Column:
-        half = F.ceil(F.length(x) / 2).cast("int")
+        half = F.floor(F.length(x) / 2).cast("int")
         first, second = F.substr(x, F.lit(1), half), F.substr(x, half + 1, F.length(x))
-        ranged = F.regexp_extract(second, r"(\d+)\s*[-–]\s*\d+\s*$", 1)
-        right = F.regexp_extract(second, r"(\d+)[^\dA-Za-zΑ-Ωα-ω]*$", 1)
-        value = F.when(ranged != "", ranged).otherwise(right).try_cast("int")
-        return F.when(F.rlike(first, F.lit("[A-Za-zΑ-Ωα-ω]")) & (value < INDEX_HIGHEST), value)
+        ranged = rf"(?U)^.*?\b(\d{{1,3}})(\s*-\s*\d{{1,3}}\b.*)\z"
+        low = F.when(F.rlike(F.regexp_extract(second, ranged, 2), F.lit(f"^(?:(?!{_LETTER}).)+\\z")), F.regexp_extract(second, ranged, 1).try_cast("int"))
+        single = F.regexp_extract_all(second, F.lit(rf"(?U)\b(\d{{1,3}}(?:\.\d+)?)\b(?=(?:(?!{_LETTER}).)*\z)"), 1)
+        whole = F.filter(F.transform(single, lambda n: F.when(~F.contains(n, F.lit(".")), n.try_cast("int"))), lambda n: n < INDEX_HIGHEST)
+        last = F.when(F.size(whole) > 0, F.element_at(whole, -1))
+        return F.when(F.rlike(first, F.lit(_LETTER)), F.coalesce(F.when(low < INDEX_HIGHEST, low), last))
 
-    return F.filter(F.transform(bare, number), lambda n: n.isNotNull())
+    return F.filter(F.transform(collapsed, number), lambda n: n.isNotNull())
 
 
 def is_contents_list(text: Column) -> Column:
-    """Whether the page numbers never fall for seven entries, of at most four equal in a row, or for four in a table."""
-    start = F.struct(F.lit(-1).alias("last"), F.lit(0).alias("run"), F.lit(0).alias("same"), F.lit(0).alias("best"))
+    """Whether seven page numbers in a row never fall, of which a fifth equal one begins anew, or, where all lines but
+    one are table rows, four numbers and more never fall."""
+
+    def judged(m: Column) -> Column:
+        start = F.struct(F.lit(None).cast("int").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("same"), F.lit(0).alias("best"), F.lit(False).alias("fell"))
+
+        def step(a: Column, n: Column) -> Column:
+            equal = (n == a["last"]) & (a["same"] < INDEX_EQUAL)
+            run = F.when(equal | (n > a["last"]), a["run"] + 1).otherwise(1)
+            same = F.when(equal, a["same"] + 1).otherwise(1)
+            return F.struct(n.alias("last"), run.alias("run"), same.alias("same"), F.greatest(a["best"], run).alias("best"), (a["fell"] | F.coalesce(n < a["last"], F.lit(False))).alias("fell"))
+
+        def decided(end: Column) -> Column:
+            n = F.size(m["numbers"])
+            few = (m["rows"] >= m["lines"] - 1) & (n >= INDEX_FEW) & ~end["fell"]
+            return F.when(n < INDEX_NUMBERS, few).otherwise(end["best"] >= INDEX_NUMBERS)
 
-    def step(a: Column, n: Column) -> Column:
-        same = F.when(n == a["last"], a["same"] + 1).otherwise(1)
-        run = F.when((n < a["last"]) | (same > INDEX_EQUAL), 1).otherwise(a["run"] + 1)
-        return F.struct(n.alias("last"), run.alias("run"), same.alias("same"), F.greatest(a["best"], run).alias("best"))
+        return F.element_at(F.transform(F.array(F.aggregate(m["numbers"], start, step)), decided), 1)
 
-    numbers = page_numbers(text)
-    longest = F.aggregate(numbers, start, step)["best"]
-    solid = F.filter(F.split(text, "\n"), lambda x: F.trim(x) != "")
-    tabular = F.filter(solid, lambda x: F.rlike(x, F.lit(r"^\s*\|.*\|\s*$")))
-    in_table = (longest >= INDEX_FEW) & (longest == F.size(numbers)) & (F.size(tabular) >= F.size(solid) - 1)
-    return (longest >= INDEX_NUMBERS) | in_table
+    measured = F.struct(page_numbers(text).alias("numbers"), F.size(contents_rows(text)).alias("rows"), F.size(python_lines(text)).alias("lines"))
+    found = F.element_at(F.transform(F.array(measured), judged), 1)
+    return F.coalesce(F.contains(text, F.lit("|")) & found, F.lit(False))
 
 
 def override_contents(sections: DataFrame, key: str = "doc_id", text: str = "content", label: str = "label") -> DataFrame:
@@ -50,8 +77,9 @@ def override_contents(sections: DataFrame, key: str = "doc_id", text: str = "con
     has grown, π is no longer believed."""
     w = W.partitionBy(key).orderBy("id").rowsBetween(W.unboundedPreceding, 0)
     early = (F.sum("section_length").over(w) <= FRONT_LIMIT) & (F.sum("section_propo").over(w) <= FRONT_LIMIT)
-    fixed = F.when(early & is_contents_list(F.col(text)), CONTENTS).when(~early & (F.col(label) == CONTENTS), OTHER).otherwise(F.col(label))
-    return sections.withColumn(label, fixed)
+    listed = sections.withColumn("__listed", is_contents_list(F.col(text)))  # below the window, which then needs no text
+    fixed = F.when(early & F.col("__listed"), CONTENTS).when(~early & (F.col(label) == CONTENTS), OTHER).otherwise(F.col(label))
+    return listed.withColumn(label, fixed).drop("__listed")
 
 
 def annotate_text(sections: DataFrame, key: str = "doc_id", label: str = "label") -> DataFrame:

@@ -70,15 +70,20 @@ def matching_names(files: DataFrame, patterns: list[str], name: str = "filename"
     return files.where(fits).dropDuplicates([name])
 
 
-def is_mostly_blank(pixels: Column) -> Column:
-    """Whether hardly any byte of an 8-bit page image is off the brightest value; large images are sampled."""
+def is_mostly_blank(pixels: Column, alpha: bool = False) -> Column:
+    """Whether hardly any pixel of an 8-bit page image differs from its first one in any colour.
+
+    Pixels are three bytes, or four with an alpha channel, which does not count; large images are sampled; an image
+    without a whole pixel is blank.
+    """
+    width = 4 if alpha else 3
 
     @F.pandas_udf("boolean")
     def blank(images: pd.Series) -> pd.Series:
         def one(data: bytes) -> bool:
-            values = np.frombuffer(data, np.uint8)
-            values = values[::SAMPLE_STEP] if len(values) > FULL_PIXELS else values
-            return not len(values) or float((values < 255 - TOLERANCE).mean()) <= BLANK_SHARE
+            every = np.frombuffer(data, np.uint8, len(data) // width * width).reshape(-1, width)[:, :3]
+            some = (every[::SAMPLE_STEP] if len(every) > FULL_PIXELS else every).astype(np.int16)
+            return not len(some) or float((np.abs(some - some[0]) > TOLERANCE).any(axis=1).mean()) <= BLANK_SHARE
 
         return images.map(one, na_action="ignore")
 

@@ -8,7 +8,6 @@ import re
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from ..functions.text import content_chars, lines, script_percentages
 from ..sources.scratch import settled
@@ -134,50 +133,54 @@ def badness(judged: Column, kept: Column) -> Column:
     return F.when(judged > 0, F.greatest(F.lit(0.0), F.round(1 - kept / judged, 3))).otherwise(0.0)
 
 
-def table_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, at, line, is_row, is_rule, columns, island) for every line; islands are runs of table rows.
+_ROW, _RULE = re.compile(r"\s*\|.*\|\s*\Z"), re.compile(r"\s*\|\s*[-:]+\s*\|")
+_ISSUE = "line_number int, description string, expected_columns int, found_columns int, start_line int, end_line int"
 
-    A rule line separates a header from a body; it may lack its last pipe and so not be a row. Lines of a document
-    stay in its partition: windows run over (key), no further shuffle is needed after the first.
+
+def _columns(line: str) -> int:
+    bare = line.strip()
+    return bare.count("|") - 1 if len(bare) > 1 and bare[0] == bare[-1] == "|" else 0
+
+
+def malformed(text: str) -> list[tuple]:
+    """The issues of a text's tables, as ``table_issues`` has them.
+
+    A rule line opens a table: the row right above it is its header, the rows below it are its body; the search goes
+    on behind the body.
     """
-    split = docs.select(key, F.posexplode(lines(F.col(text))).alias("at", "line"))
-    bare = F.trim(F.regexp_replace("line", r"^\s+|\s+$", ""))
-    row = F.rlike(F.col("line"), F.lit(r"^\s*\|.*\|\s*$"))
-    rule = F.rlike(F.col("line"), F.lit(r"^\s*\|\s*[-:]+\s*\|"))
-    inner = F.length(bare) - F.length(F.replace(bare, F.lit("|"), F.lit(""))) - 1
-    w = W.partitionBy(key).orderBy("at")
-    flagged = split.select(key, "at", "line", row.alias("is_row"), rule.alias("is_rule"), F.when(F.startswith(bare, F.lit("|")) & F.endswith(bare, F.lit("|")) & (F.length(bare) > 1), inner).otherwise(0).alias("columns"))
-    begins = F.col("is_row") & ~F.coalesce(F.lag("is_row").over(w), F.lit(False))
-    return flagged.withColumn("island", F.sum(begins.cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0)))
+    every = text.split("\n")
+    every = [x.removesuffix("\r") for x in (every[:-1] if every[-1] == "" else every)]
+    found, free = [], 0
+    for at in (i for i, x in enumerate(every) if _RULE.match(x)):
+        if at < free:
+            continue
+        free = next((i for i in range(at + 1, len(every)) if not _ROW.match(every[i])), len(every))
+        headed, expected = at > 0 and _ROW.match(every[at - 1]) is not None, _columns(every[at])
+        span = (at - 1 if headed else at, free - 1)
+        if not headed:
+            found.append((at + 1, "Table separator without header row", None, expected, *span))
+        elif _columns(every[at - 1]) != expected:
+            found.append((at + 1, "Table header and separator column count mismatch", _columns(every[at - 1]), expected, *span))
+        odd = [(i + 1, n) for i in range(at + 1, free) if expected and (n := _columns(every[i])) != expected]
+        found += [(line, "Table row has inconsistent column count", expected, n, *span) for line, n in odd]
+    return found
 
 
 def table_issues(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, line_number, description, expected_columns, found_columns, start_line, end_line) of malformed tables.
 
-    A table is the first rule line of a run of rows, or a rule without last pipe right above one, with the row
-    above it as header and the rows below it as body.
+    line_number counts from 1, start_line and end_line from 0. Expected is what the table should have by the line
+    above: the header's columns for the rule line (null without one), the rule line's for the rows. Every document is
+    judged where it is; texts without a rule line never reach Python.
     """
-    every = table_lines(docs, key, text)
-    w = W.partitionBy(key).orderBy("at")
-    near = every.withColumns({"above_row": F.coalesce(F.lag("is_row").over(w), F.lit(False)), "above_columns": F.lag("columns").over(w), "below_row": F.coalesce(F.lead("is_row").over(w), F.lit(False)), "below_island": F.lead("island").over(w)})
-    rules = near.where("is_rule").withColumn("body_island", F.when(F.col("is_row"), F.col("island")).when(F.col("below_row"), F.col("below_island")))
-    first = rules.withColumn("nth", F.row_number().over(W.partitionBy(key, F.coalesce("body_island", -1 - F.col("at"))).orderBy("at"))).where("nth = 1")
-    heads = first.select(key, F.col("at").alias("rule_at"), F.col("columns").alias("expected"), "above_row", "above_columns", "body_island")
-    body = every.where("is_row").select(F.col(key).alias("b_key"), F.col("at").alias("b_at"), F.col("island").alias("b_island"), F.col("columns").alias("b_columns"))
-    joined = heads.join(body, (F.col(key) == F.col("b_key")) & (F.col("body_island") == F.col("b_island")) & (F.col("b_at") > F.col("rule_at")), "left")
-    spans = joined.groupBy(key, "rule_at", "expected", "above_row", "above_columns").agg(
-        F.coalesce(F.max("b_at"), F.col("rule_at")).alias("end_line"),
-        F.sort_array(F.collect_list(F.when((F.col("expected") > 0) & (F.col("b_columns") != F.col("expected")), F.struct(F.col("b_at").alias("line"), F.col("b_columns").alias("found"))))).alias("odd"),
-    )
-    start = F.when(F.col("above_row"), F.col("rule_at") - 1).otherwise(F.col("rule_at"))
-    issue = lambda line, text, found: F.struct(line.alias("line_number"), F.lit(text).alias("description"), F.col("expected").alias("expected_columns"), found.alias("found_columns"))
-    none = F.lit(None).cast("int")
-    heading = F.when(~F.col("above_row"), F.array(issue(F.col("rule_at"), "separator without header", none))).when(
-        F.col("above_columns") != F.col("expected"), F.array(issue(F.col("rule_at"), "header and separator differ", F.col("above_columns")))
-    )
-    body_issues = F.transform("odd", lambda o: issue(o["line"], "row differs from separator", o["found"]))
-    found = spans.select(key, start.alias("start_line"), "end_line", F.explode(F.concat(F.coalesce(heading, F.array_except(body_issues, body_issues)), body_issues)).alias("i"))
-    return found.select(key, "i.line_number", "i.description", "i.expected_columns", "i.found_columns", "start_line", "end_line")
+
+    @F.pandas_udf(f"array<struct<{_ISSUE.replace(' int', ':int').replace(' string', ':string')}>>")
+    def issues(texts: pd.Series) -> pd.Series:
+        names = [c.split()[0] for c in _ISSUE.split(", ")]
+        return pd.Series([[dict(zip(names, x, strict=True)) for x in malformed(t)] for t in texts])
+
+    ruled = docs.where(F.rlike(text, F.lit(r"(?m)^\s*\|\s*[-:]+\s*\|")))
+    return ruled.select(key, F.explode(issues(F.col(text))).alias("i")).select(key, "i.*")
 
 
 def remove_tables(docs: DataFrame, issues: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -2,24 +2,85 @@
 
 from __future__ import annotations
 
+import json
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
-from ..functions.text import python_lines, strip
+from ..functions.text import strip
 
 #: Longest stripped line that counts as "other" (fixed value).
 SHORT_LINE = 20
+KINDS = ("table", "list", "other", "text")
+_TITLE, _NUMBERED, _TABLE = re.compile(r"#+\s*(.+)\Z"), re.compile(r"\d+\.\s+"), re.compile(r"\|(?:.*\|)?\Z")
+_SECTION = "id:int,header:string,start_line:int,end_line:int,place:string,content:string,section_length:bigint"
+_ROW = _SECTION + ",section_propo:bigint," + ",".join(f"has_{k}:boolean" for k in KINDS) + ",json_section:string"
 
 
 def is_bullet(line: Column) -> Column:
     return F.rlike(strip(line), F.lit(r"^(?:-|\d+\.\s+)"))
 
 
-def document_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, at, line, n_lines) with Python's line boundaries."""
-    split = python_lines(F.col(text))
-    return docs.select(key, F.size(split).alias("n_lines"), F.posexplode(split).alias("at", "line"))
+def sections_of(text: str) -> list[dict]:
+    """A text's sections, as ``split_sections`` has them."""
+    every = text.splitlines()
+    found: list[dict] = []
+    bodies: list[list[str]] = []
+    for at, line in enumerate(every):
+        bare = line.strip()
+        head = bare.startswith("#")
+        if head or not found:
+            title = _TITLE.match(bare) if head else None
+            found.append({"id": len(found), "header": title[1] if title else bare or "Document", "start_line": at, "end_line": at, "section_length": 0})
+            bodies.append([])
+        found[-1]["end_line"] = at
+        if not head:
+            bodies[-1].append(line)
+            found[-1]["section_length"] += bare != ""
+    for row, body in zip(found, bodies, strict=True):
+        row["place"] = f"{row['start_line'] / max(1, len(every)):.2f}-{row['end_line'] / max(1, len(every)):.2f}"
+        row["content"] = "\n".join(body)
+    return found
+
+
+def blocks_of(content: str) -> list[tuple[int, str, str]]:
+    """The blocks of a section's content, as ``blocks`` has them."""
+    found: list[tuple[int, str, list[str]]] = []
+    since, last = None, None
+    for line in content.split("\n"):
+        bare = line.strip()
+        mark = "blank" if not bare else "table" if _TABLE.match(bare) else "bullet" if bare[0] == "-" or _NUMBERED.match(bare) else None
+        since = mark or since
+        kind = "table" if mark == "table" else "list" if since == "bullet" and mark in (None, "bullet") else "other" if bare and len(bare) < SHORT_LINE else "text"
+        if kind == "other" or kind != last:
+            found.append((len(found) + 1, kind, []))
+        found[-1][2].append(line)
+        last = kind
+    return [(nth, kind, value) for nth, kind, of in found if (value := "\n".join(of)).strip()]
+
+
+def rows_of(text: str) -> list[dict]:
+    """A text's sections with their blocks' kinds, the blocks as JSON and the share of the document."""
+    found = sections_of(text)
+    total = sum(row["section_length"] for row in found)
+    for row in found:
+        made = blocks_of(row["content"])
+        row |= {f"has_{k}": any(kind == k for _, kind, _ in made) for k in KINDS}
+        row["json_section"] = json.dumps([{kind: value} for _, kind, value in made], ensure_ascii=False, indent=2)
+        row["section_propo"] = round(row["section_length"] / total * 1000) if total else 0
+    return found
+
+
+def _each(docs: DataFrame, key: str, text: str, of, schema: str) -> DataFrame:
+    """(key, one row per item that ``of`` finds in the text): every document stays where it is."""
+
+    @F.pandas_udf(f"array<struct<{schema}>>")
+    def found(texts: pd.Series) -> pd.Series:
+        return pd.Series([of(t) for t in texts])
+
+    return docs.where(F.col(text).isNotNull()).select(key, F.explode(found(F.col(text))).alias("i")).select(key, "i.*")
 
 
 def split_sections(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -28,20 +89,7 @@ def split_sections(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     A header is a stripped line that begins with #. Leading lines make section 0, titled by the first line, which
     also stays in its body; other headers are not in the body.
     """
-    w = W.partitionBy(key).orderBy("at")
-    every = document_lines(docs, key, text).withColumn("bare", strip(F.col("line"))).withColumn("head", F.startswith("bare", F.lit("#")))
-    numbered = every.withColumn("nth", F.sum(F.col("head").cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0)))
-    body = F.when(~F.col("head"), F.struct("at", "line"))
-    grouped = numbered.groupBy(key, "nth", "n_lines").agg(
-        F.min("at").alias("start_line"), F.max("at").alias("end_line"), F.min_by("bare", "at").alias("first"), F.max("head").alias("titled"),
-        F.array_sort(F.collect_list(body)).alias("body"), F.count_if(~F.col("head") & (F.col("bare") != "")).cast("long").alias("section_length"),
-    )
-    title = F.regexp_extract("first", r"^#+\s*(.+)$", 1)
-    header = F.when(F.col("titled"), F.when(title != "", title).otherwise(F.col("first"))).otherwise(F.when(F.col("first") != "", F.col("first")).otherwise("Document"))
-    last = F.greatest(F.col("n_lines"), F.lit(1))
-    place = F.format_string("%.2f-%.2f", F.col("start_line") / last, F.col("end_line") / last)
-    ordered = grouped.withColumn("id", F.row_number().over(W.partitionBy(key).orderBy("nth")) - 1)
-    return ordered.select(key, "id", header.alias("header"), "start_line", "end_line", place.alias("place"), F.array_join(F.transform("body", lambda b: b["line"]), "\n").alias("content"), "section_length")
+    return _each(docs, key, text, sections_of, _SECTION)
 
 
 def blocks(sections: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -50,33 +98,12 @@ def blocks(sections: DataFrame, key: str = "doc_id") -> DataFrame:
     A table is a run of lines between pipes. A list begins with a bullet and goes on over lines that are neither
     blank nor bullets' end nor table. A short line alone is "other", and the lines between make a text.
     """
-    split = F.split("content", "\n", -1)
-    w = W.partitionBy(key, "id").orderBy("at")
-    every = sections.select(key, "id", F.posexplode(split).alias("at", "line")).withColumn("bare", strip(F.col("line")))
-    table = F.rlike("bare", F.lit(r"^\|(?:.*\|)?$"))
-    stop = F.when(table, "table").when(F.col("bare") == "", "blank").when(is_bullet(F.col("line")), "bullet")
-    marked = every.withColumn("mark", stop).withColumn("since", F.last("mark", ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, 0)))
-    kind = (
-        F.when(F.col("mark") == "table", "table").when((F.col("since") == "bullet") & (F.coalesce("mark", F.lit("bullet")) == "bullet"), "list")
-        .when((F.col("bare") != "") & (F.length("bare") < SHORT_LINE), "other").otherwise("text")
-    )
-    kinds = marked.withColumn("kind", kind)
-    begins = (F.col("kind") == "other") | (F.col("kind") != F.coalesce(F.lag("kind").over(w), F.lit("")))
-    numbered = kinds.withColumn("nth", F.sum(begins.cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0)))
-    made = numbered.groupBy(key, "id", "nth", "kind").agg(F.array_sort(F.collect_list(F.struct("at", "line"))).alias("of"))
-    value = F.array_join(F.transform("of", lambda b: b["line"]), "\n")
-    return made.select(key, "id", "nth", "kind", value.alias("value")).where(strip(F.col("value")) != "")
+    of = lambda content: [{"nth": nth, "kind": kind, "value": value} for nth, kind, value in blocks_of(content)]
+    keyed = sections.select(F.struct(key, "id").alias("__of"), "content")
+    made = _each(keyed, "__of", "content", of, "nth:int,kind:string,value:string")
+    return made.select(f"__of.{key}", "__of.id", "nth", "kind", "value")
 
 
 def section_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Sections with has_table, has_list, has_other, has_text, json_section and the share of the document in 1/1000."""
-    sections = split_sections(docs, key, text)
-    made = blocks(sections, key)
-    has = [F.max(F.col("kind") == k).alias(f"has_{k}") for k in ("table", "list", "other", "text")]
-    flags = made.groupBy(key, "id").agg(*has, F.array_sort(F.collect_list(F.struct("nth", "kind", "value"))).alias("of"))
-    as_json = F.transform("of", lambda b: F.create_map(b["kind"], b["value"]))
-    joined = sections.join(flags.select(key, "id", *[f"has_{k}" for k in ("table", "list", "other", "text")], F.to_json(as_json).alias("json_section")), [key, "id"], "left")
-    total = F.sum("section_length").over(W.partitionBy(key))
-    share = F.when(total > 0, F.bround(F.col("section_length") / total * 1000, 0)).otherwise(0).cast("long")
-    filled = {f"has_{k}": F.coalesce(F.col(f"has_{k}"), F.lit(False)) for k in ("table", "list", "other", "text")}
-    return joined.withColumns(filled | {"json_section": F.coalesce("json_section", F.lit("[]")), "section_propo": share})
+    return _each(docs, key, text, rows_of, _ROW)

@@ -11,21 +11,34 @@ from .documents import _SQL_LINES, SP, table
 SHARD_BYTES = 200_000
 
 
+def _rows(numbers, form: str = "| Chapter {c} ....... | {n} |") -> list[str]:
+    return [form.format(c=c, n=n) for c, n in zip("ABCDEFGHIJK", numbers, strict=False)]
+
+
+#: Contents lists and what only looks like one: rising, with equals that begin anew, too few rising in a row, falling
+#: back, ranges and letters behind, and without a table.
+CONTENTS = (
+    _rows((1, 3, 3, 9, 12, 20, 31, 40, 44)), _rows((1, 1, 1, 1, 1, 1, 1, 2, 3, 4, 5)), _rows((1, 1, 1, 1, 1, 1, 1, 2, 3)), _rows((9, 8, 7, 6, 5, 4, 3, 2)),
+    _rows((1, 2, 3, 4, 5, 6, 7), "| Chapter {c} | see {n}-99 |"), _rows((1, 2, 3, 4, 5, 6, 7), "| Chapter {c} | {n} pages |"), _rows((1, 2, 3, 4, 5, 6, 7, 8), "Chapter {c} ....... {n}"),
+)
+LISTED = (0, 1, 4)
+
+
 def _markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as Markdown: a header first, every seventh line a header, every fifth a bullet, tables and contents at the end of some."""
     lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
     marked = F.transform(lines, lambda x, i: F.concat(F.when(i % 7 == 0, "## ").when(i % 5 == 0, "- ").otherwise(""), x))
-    contents = "\n## Contents\n" + "\n".join(f"Chapter {c} ....... {p}" for c, p in zip("ABCDEFGHI", (1, 3, 3, 9, 12, 20, 31, 40, 44), strict=True))
+    contents = F.element_at(F.array(*[F.lit("\n".join(["## Contents", *rows]) + "\n") for rows in CONTENTS]), (F.floor(F.col("doc_id") / 6) % len(CONTENTS) + 1).cast("int"))
     text = F.concat(
-        F.when(F.col("doc_id") % 9 == 0, "intro line\n").otherwise(""), F.when(F.col("doc_id") % 6 == 0, contents.strip() + "\n").otherwise(""), F.array_join(marked, "\n"),
+        F.when(F.col("doc_id") % 9 == 0, "intro line\n").otherwise(""), F.when(F.col("doc_id") % 6 == 0, contents).otherwise(""), F.array_join(marked, "\n"),
         F.when(F.col("doc_id") % 4 == 0, "\n## Data\n| a | b |\n|---|---|\n| 1 | 2 |\n\nshort\nand a line that is longer than twenty").otherwise(""),
     )
     return table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
 
 
-_CONTENTS = "'## Contents' || chr(10) || " + " || chr(10) || ".join(f"'Chapter {c} ....... {p}'" for c, p in zip("ABCDEFGHI", (1, 3, 3, 9, 12, 20, 31, 40, 44), strict=True))
+_CONTENTS = "[" + ", ".join("array_to_string(['## Contents', " + ", ".join(f"'{x}'" for x in rows) + "], chr(10)) || chr(10)" for rows in CONTENTS) + f"][CAST(doc_id // 6 % {len(CONTENTS)} AS INTEGER) + 1]"
 _MD = rf"""t AS (
-  SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN 'intro line' || chr(10) ELSE '' END || CASE WHEN doc_id % 6 = 0 THEN {_CONTENTS} || chr(10) ELSE '' END
+  SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN 'intro line' || chr(10) ELSE '' END || CASE WHEN doc_id % 6 = 0 THEN {_CONTENTS} ELSE '' END
     || array_to_string([CASE WHEN i % 7 = 1 THEN '## ' WHEN i % 5 = 1 THEN '- ' ELSE '' END || x FOR x, i IN string_split(coalesce(text, ''), chr(10))], chr(10))
     || CASE WHEN doc_id % 4 = 0 THEN array_to_string(['', '## Data', '| a | b |', '|---|---|', '| 1 | 2 |', '', 'short', 'and a line that is longer than twenty'], chr(10)) ELSE '' END AS text FROM documents
 ), l AS (SELECT doc_id, len(a) AS n_lines, unnest(a) AS line, generate_subscripts(a, 1) - 1 AS pos FROM (SELECT doc_id, {_SQL_LINES.format("text")} AS a FROM t)
@@ -91,7 +104,7 @@ def index_override(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 INDEX_OVERRIDE_SQL = f"""WITH {_MD}, {_LABELLED}, e AS (
-  SELECT *, sum(section_length) OVER w <= 300 AND sum(section_propo) OVER w <= 300 AS early, starts_with(content, 'Chapter A ....... 1') AS toc FROM lab WINDOW w AS (PARTITION BY doc_id ORDER BY id)
+  SELECT *, sum(section_length) OVER w <= 300 AND sum(section_propo) OVER w <= 300 AS early, (header = 'Contents' AND doc_id // 6 % {len(CONTENTS)} IN {LISTED}) AS toc FROM lab WINDOW w AS (PARTITION BY doc_id ORDER BY id)
 ), f AS (SELECT doc_id, id, CASE WHEN early AND toc THEN 'π' WHEN NOT early AND label = 'π' THEN 'άλλο' ELSE label END AS label FROM e)
 SELECT doc_id, label, count(*) AS sections, CAST(sum(id) AS BIGINT) AS ids FROM f GROUP BY ALL
 """
@@ -195,7 +208,7 @@ def section_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sections.section_rows(_markdown(spark, sf_dir)).withColumn("label", F.when(F.col("has_table"), "table").when(F.col("has_list"), "list").otherwise("text"))
     ready = rows.select("doc_id", "id", "label", F.concat_ws(" ", "header", "content").alias("combined"), *[F.col(f"has_{k}").cast("double").alias(f"has_{k}") for k in ("table", "list", "other", "text")])
     train = ready.where(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0)
-    model = annotate.classifier(vocabulary=200, max_iter=5).fit(train)
+    model = annotate.classifier().fit(train)
     return model.transform(ready).select("doc_id", "id", "label", "predicted")
 
 

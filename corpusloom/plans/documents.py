@@ -199,11 +199,11 @@ t AS (
 ), h AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, island ORDER BY pos) AS nth FROM i WHERE is_rule AND is_row) WHERE nth = 1
 ), e AS (SELECT h.doc_id, h.island, h.pos, max(b.pos) AS last FROM h JOIN i b ON b.doc_id = h.doc_id AND b.island = h.island AND b.is_row GROUP BY ALL
 ), issues AS (
-  SELECT h.doc_id, h.pos AS line_number, CASE WHEN NOT coalesce(h.pr, false) THEN 'separator without header' ELSE 'header and separator differ' END AS description, h.cols AS expected_columns,
-    CASE WHEN coalesce(h.pr, false) THEN h.pc END AS found_columns, CASE WHEN coalesce(h.pr, false) THEN h.pos - 1 ELSE h.pos END AS start_line, e.last AS end_line
+  SELECT h.doc_id, h.pos + 1 AS line_number, CASE WHEN NOT coalesce(h.pr, false) THEN 'Table separator without header row' ELSE 'Table header and separator column count mismatch' END AS description, CASE WHEN coalesce(h.pr, false) THEN h.pc END AS expected_columns,
+    h.cols AS found_columns, CASE WHEN coalesce(h.pr, false) THEN h.pos - 1 ELSE h.pos END AS start_line, e.last AS end_line
   FROM h JOIN e USING (doc_id, island) WHERE NOT coalesce(h.pr, false) OR h.pc <> h.cols
   UNION ALL
-  SELECT h.doc_id, b.pos, 'row differs from separator', h.cols, b.cols, CASE WHEN coalesce(h.pr, false) THEN h.pos - 1 ELSE h.pos END, e.last
+  SELECT h.doc_id, b.pos + 1, 'Table row has inconsistent column count', h.cols, b.cols, CASE WHEN coalesce(h.pr, false) THEN h.pos - 1 ELSE h.pos END, e.last
   FROM h JOIN e USING (doc_id, island) JOIN i b ON b.doc_id = h.doc_id AND b.island = h.island AND b.is_row AND b.pos > h.pos WHERE h.cols > 0 AND b.cols <> h.cols
 )"""
 MALFORMED_SQL = f"WITH {_TABLE_BASE} SELECT * FROM issues"
@@ -239,15 +239,15 @@ SELECT doc_id, CAST(length(t) AS INTEGER) AS before, CAST(CASE WHEN cut IS NULL
 
 
 def canonicalize_md(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.concat(F.coalesce("text", F.lit("")), F.lit("  \n\n\n\nan exam-\nple<sup>3</sup>\xa0end"))
+    text = F.concat(F.coalesce("text", F.lit("")), F.lit("  \n\n\n\nan exam-\nple<sup>3</sup>\xa0&NBSP;\xa0end<sup>12a</sup> of x<sup>[14]</sup> EX-\nAM"))
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(ocr_text.canonical_markdown(text).cast("binary")).alias("text_md5"))
 
 
 CANONICALIZE_SQL = rf"""
-WITH t AS (SELECT doc_id, coalesce(text, '') || '  ' || repeat(chr(10), 4) || 'an exam-' || chr(10) || 'ple<sup>3</sup>' || chr(160) || 'end' AS t FROM documents
-), a AS (SELECT doc_id, regexp_replace(regexp_replace(t, '\x{{A0}}|&nbsp;', ' ', 'g'), '[ \t]+\n', chr(10), 'g') AS t FROM t
-), b AS (SELECT doc_id, regexp_replace(t, '([\p{{L}}\p{{N}}\p{{M}}_])-\n([a-zα-ωά-ώ])', '\1\2', 'g') AS t FROM a
-), c AS (SELECT doc_id, regexp_replace(regexp_replace(t, '<sup>\[?(\d+)\]?</sup>', '[^\1]', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g') AS t FROM b)
+WITH t AS (SELECT doc_id, coalesce(text, '') || '  ' || repeat(chr(10), 4) || 'an exam-' || chr(10) || 'ple<sup>3</sup>' || chr(160) || '&NBSP;' || chr(160) || 'end<sup>12a</sup> of x<sup>[14]</sup> EX-' || chr(10) || 'AM' AS t FROM documents
+), a AS (SELECT doc_id, regexp_replace(regexp_replace(t, '(?i)(\x{{A0}}|&nbsp;)+', ' ', 'g'), '[ \t]+\n', chr(10), 'g') AS t FROM t
+), b AS (SELECT doc_id, regexp_replace(t, '(?i)([\p{{L}}\p{{N}}\p{{M}}_])-\n([a-zα-ωά-ώ])', '\1\2', 'g') AS t FROM a
+), c AS (SELECT doc_id, regexp_replace(regexp_replace(t, '<sup>(\d{{2,}}([A-Za-z]{{1,2}})?)</sup>', '[^\1]', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g') AS t FROM b)
 SELECT doc_id, md5(regexp_replace(t, '^[{SP}]+|[{SP}]+$', '', 'g')) AS text_md5 FROM c
 """
 
@@ -277,15 +277,15 @@ NFC_SQL = "SELECT doc_id, md5(nfc_normalize(replace(replace(coalesce(text, ''),
 
 
 def cleaned_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.concat(F.lit("<|User|>  "), F.coalesce("text", F.lit("")), F.lit("\n\n\n\n<center>x</center> <|det|>"))
+    text = F.concat(F.lit("<|User|>  "), F.coalesce("text", F.lit("")), F.lit("\n\n\n\n<center>x</center> <|det|><|left over|>\n  figure_note[[1, 2]] seen\n[[3]] kept"))
     return table(spark, sf_dir, "documents").select("doc_id", F.length(ocr_text.cleaned_output(text)).alias("length"))
 
 
 _BLANK = SP.replace(r"\x09-\x0D", r"\x09\x0B-\x0D")
 CLEANED_OUTPUT_SQL = rf"""
-WITH t AS (SELECT doc_id, '<|User|>  ' || coalesce(text, '') || repeat(chr(10), 4) || '<center>x</center> <|det|>' AS t FROM documents
-), a AS (SELECT doc_id, regexp_replace(regexp_replace(t, '<[|｜](User|Assistant|grounding|/?ref|/?det)[|｜]>|<image>|</?s>', '', 'g'), '</?center>', '', 'g') AS t FROM t
-), b AS (SELECT doc_id, regexp_replace(t, '(?m)^[ \t]*(text|title|table|image|list|equation|sub_title)?\[\[\d+(,\s*\d+){{3}}\]\][ \t]*', '', 'g') AS t FROM a
+WITH t AS (SELECT doc_id, '<|User|>  ' || coalesce(text, '') || repeat(chr(10), 4) || '<center>x</center> <|det|><|left over|>' || chr(10) || '  figure_note[[1, 2]] seen' || chr(10) || '[[3]] kept' AS t FROM documents
+), a AS (SELECT doc_id, regexp_replace(regexp_replace(t, '<[|｜][^>]{{0,64}}[|｜]>|<image>|</?s>', '', 'g'), '</?center>', '', 'g') AS t FROM t
+), b AS (SELECT doc_id, regexp_replace(t, '(?m)^[ \t]*[A-Za-z_]+\[\[.*?\]\][ \t]*', '', 'g') AS t FROM a
 ), c AS (SELECT doc_id, regexp_replace(regexp_replace(t, '(?m)^[{_BLANK}]+|[{_BLANK}]+$', '', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g') AS t FROM b
 ), d AS (SELECT doc_id, regexp_replace(regexp_replace(t, '\$\^\{{?([A-Za-z0-9+\-]+)\}}?\$', '<sup>\1</sup>', 'g'), '\$_\{{?([A-Za-z0-9+\-]+)\}}?\$', '<sub>\1</sub>', 'g') AS t FROM c)
 SELECT doc_id, CAST(length(regexp_replace(t, '^[{SP}]+|[{SP}]+$', '', 'g')) AS INTEGER) AS length FROM d
@@ -303,9 +303,9 @@ LATEX_SANITIZE_SQL = r"""
 WITH t AS (SELECT doc_id, coalesce(text, '') || repeat(' x', CAST(doc_id % 80 AS INTEGER)) AS t FROM documents
 ), k AS (SELECT *, [w FOR w IN regexp_split_to_array(t, '\s+') IF w <> ''] AS ws FROM t
 ), r AS (SELECT *, CASE WHEN len(ws) = 0 THEN 0 ELSE coalesce(list_position(list_reverse([w <> ws[-1] FOR w IN ws]), true) - 1, len(ws)) END AS run FROM k
-), c AS (SELECT *, CASE WHEN run > 50 THEN array_to_string(ws[:len(ws) - run + 12], ' ') ELSE t END AS x FROM r
+), c AS (SELECT *, (run > 50 OR length(t) > 3000) AND run > 12 AS cutting, CASE WHEN (run > 50 OR length(t) > 3000) AND run > 12 THEN array_to_string(ws[:len(ws) - run + 12], ' ') ELSE t END AS x FROM r
 ), h AS (SELECT *, substr(x, 1, 3000) AS head, regexp_extract(substr(x, 1, 3000), '(?s)^(.*)[ \n\t\\]', 1) AS brk FROM c)
-SELECT doc_id, md5(CASE WHEN length(x) > 3000 THEN (CASE WHEN brk <> '' THEN brk ELSE head END) ELSE x END) AS latex_md5, run > 50 AS truncated_by_repeat, length(x) > 3000 AS truncated_by_length, CAST(run AS INTEGER) AS tail_run FROM h
+SELECT doc_id, md5(CASE WHEN length(x) > 3000 THEN regexp_replace(CASE WHEN regexp_matches(head, '[ \n\t\\]') THEN brk ELSE head END, '\s+$', '') ELSE x END) AS latex_md5, cutting AS truncated_by_repeat, length(x) > 3000 AS truncated_by_length, CAST(run AS INTEGER) AS tail_run FROM h
 """
 
 

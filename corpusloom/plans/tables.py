@@ -181,19 +181,25 @@ FROM a GROUP BY stem
 """
 
 
+#: Forms that words of conversations take in turn, to be read as truth values, numbers and outcomes.
+FORMS = ("YES", "n/a", "none", " f ", "NaN", "done", "error", "complete", "partial", " Chunked", "skipped", "timeout", "ok", "1.5", "0.0", "")
+
+
 def value_coercions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words of conversations read as truth values, numbers and outcomes."""
-    words = table(spark, sf_dir, "conversations").select(F.explode(F.array(F.lower("role"), F.concat(F.col("turn").cast("string"), F.lit(" ")), F.lit("YES"), F.lit("n/a"), F.lit("none"), F.lit(" f "), F.lit("NaN"), F.lit("done"), F.lit("error"))).alias("w"))
-    made = words.select("w", values.strict_bool(F.col("w")).alias("strict"), values.loose_bool(F.col("w")).alias("loose"), values.as_float(F.col("w")).alias("number"), values.outcome(F.col("w")).alias("outcome"))
-    return made.groupBy("w", "strict", "loose", "number", "outcome").agg(F.count("*").alias("n"))
+    """Roles, turns and forms of words in conversations read as truth values, numbers and outcomes."""
+    form = F.element_at(F.array(*[F.lit(x) for x in FORMS]), (F.pmod(F.col("conv_id") + F.col("turn"), F.lit(len(FORMS))) + 1).cast("int"))
+    words = table(spark, sf_dir, "conversations").select(F.explode(F.array(F.lower("role"), F.concat(F.col("turn").cast("string"), F.lit(" ")), form)).alias("w"), (F.col("turn").cast("double") - 1).alias("d"))
+    made = words.select("w", values.strict_bool(F.col("w")).alias("strict"), values.loose_bool(F.col("w")).alias("loose"), values.loose_bool(F.when(F.col("d") > 2, F.lit(float("nan"))).otherwise(F.col("d"))).alias("of_number"), values.as_float(F.col("w")).alias("number"), values.outcome(F.col("w")).alias("outcome"))
+    return made.groupBy("w", "strict", "loose", "of_number", "number", "outcome").agg(F.count("*").alias("n"))
 
 
-COERCE_SQL = """
-WITH w AS (SELECT unnest([lower(role), CAST(turn AS VARCHAR) || ' ', 'YES', 'n/a', 'none', ' f ', 'NaN', 'done', 'error']) AS w FROM conversations
-), t AS (SELECT w, lower(trim(w)) AS x, TRY_CAST(trim(w) AS DOUBLE) AS d FROM w)
+_FORMS = ", ".join(f"'{x}'" for x in FORMS)
+COERCE_SQL = f"""
+WITH w AS (SELECT unnest([lower(role), CAST(turn AS VARCHAR) || ' ', [{_FORMS}][CAST((conv_id + turn) % {len(FORMS)} AS INTEGER) + 1]]) AS w, CAST(turn AS DOUBLE) - 1 AS e FROM conversations
+), t AS (SELECT w, e, lower(trim(w)) AS x, TRY_CAST(trim(w) AS DOUBLE) AS d FROM w)
 SELECT w, CASE WHEN x IN ('true', '1', 'yes', 'y', 't') THEN true WHEN x IN ('false', '0', 'no', 'n', 'f') THEN false END AS strict,
-  CASE WHEN x IN ('', 'na', 'none') OR x IS NULL THEN NULL WHEN x IN ('false', '0', 'no', 'n') THEN false ELSE true END AS loose, CASE WHEN isnan(d) THEN NULL ELSE d END AS number,
-  CASE WHEN x IN ('success', 'ok', 'done', 'completed', 'extracted', 'true') THEN 'success' WHEN x IN ('failed', 'failure', 'error', 'problematic', 'timeout') THEN 'failure' END AS outcome, count(*) AS n FROM t GROUP BY ALL
+  CASE WHEN x IN ('', 'na', 'none') OR x IS NULL THEN NULL WHEN x IN ('false', '0', 'no', 'n') THEN false ELSE true END AS loose, CASE WHEN e <= 2 THEN e <> 0 END AS of_number, CASE WHEN isnan(d) THEN NULL ELSE d END AS number,
+  CASE WHEN x IN ('success', 'ok', 'complete', 'completed', 'partial', 'chunked') THEN 'success' WHEN x IN ('failed', 'failure', 'error', 'timeout', 'problematic', 'skipped') THEN 'failure' END AS outcome, count(*) AS n FROM t GROUP BY ALL
 """
 
 

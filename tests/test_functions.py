@@ -50,6 +50,9 @@ def test_coercions(spark):
     words = ["true", " T ", "No", "", "maybe", None, "1", "na"]
     assert column(spark, words, values.strict_bool) == [True, True, False, None, None, None, True, None]
     assert column(spark, words, values.loose_bool) == [True, True, False, None, True, None, True, None]
+    assert spark.sql("select 0.0d x union all select 2.0d union all select double('nan')").select(values.loose_bool(F.col("x"))).collect() == [(False,), (True,), (None,)]
+    marks = ["success", "OK", " complete", "partial", "chunked", "skipped", "error", "done", "extracted", "true", None]
+    assert column(spark, marks, values.outcome) == ["success"] * 5 + ["failure"] * 2 + [None] * 4
     assert column(spark, ["1.5", "NaN", " ", "x", None], values.as_float) == [1.5, None, None, None, None]
     assert column(spark, ["", "a", "a,b", None], lambda c: values.add_stage(c, "b")) == ["b", "a,b", "a,b", "b"]
 
@@ -77,6 +80,16 @@ def test_latex(spark):
     assert (cut[0]["latex"], cut[0]["truncated_by_repeat"], cut[0]["tail_run"]) == (" ".join(["x"] * 12), True, 60)
     assert cut[1]["latex"] == "a b" and not cut[1]["truncated_by_length"]
     assert len(cut[2]["latex"]) == 3000 and len(cut[3]["latex"]) <= 3000
+    (long_tail,) = column(spark, ["y" * 3500 + " x" * 20], latex.sanitized)  # the length alone opens the gate; then a tail of 20 is cut to 12
+    assert (long_tail["truncated_by_repeat"], long_tail["truncated_by_length"], long_tail["latex"]) == (True, True, "y" * 3000)
+    assert column(spark, [30, 100, 500, 900], latex.crop_dpi, "int") == [280, 240, 220, 180]
+    assert column(spark, [30, 900], lambda c: latex.crop_dpi(c, base=300), "int") == [320, 260]
+
+
+def test_greek_sentences(spark):
+    texts = ["(1) α) πρώτο\tκείμενο 2. και", "IV. λόγος & έργο&πράξη /12/ {3} [τέλος] — <x>", "a&b &c d& XX) (β) γ' στ. δ"]
+    assert column(spark, texts, greek_prep.cleaned_sentence) == ["πρώτο κείμενο  και", "λόγος & έργοπράξη   τέλος  x", "ab c d     δ"]
+    assert column(spark, [0, 1, 2, 3, 4, 5], greek_prep.merged_label, "int") == [0, 1, 2, 3, 1, 0]
     assert column(spark, ["{a}", "}{", "\\includegraphics", "{", "x" * 6001, None], latex.accept_score) == [1.0, 0.0, 0.0, 0.0, 0.0, 0.0]
 
 
@@ -88,12 +101,15 @@ def test_early_stop(spark):
 def test_tables_and_markdown(spark):
     page = "<table><tr><td>n/a</td><td> — </td></tr></table><table><tr><td>x</td><td>--</td></tr></table>"
     assert column(spark, [page, "plain", None], ocr_text.tables_tidied) == ["<table><tr><td>x</td><td></td></tr></table>", "plain", None]
-    assert column(spark, ["exam-\nple  \n\n\n\nend<sup>3</sup>"], ocr_text.canonical_markdown) == ["example\n\nend[^3]"]
-    assert column(spark, ["<|User|>Hi<｜det｜>\n\n\n\n<center>x</center>"], ocr_text.cleaned_output) == ["Hi\n\nx"]
+    texts = ["exam-\nple  \n\n\n\nend<sup>3</sup> of<sup>12a</sup>", "EX-\nAM&NBSP;\xa0x<sup>[12]</sup>"]
+    assert column(spark, texts, ocr_text.canonical_markdown) == ["example\n\nend<sup>3</sup> of[^12a]", "EXAM x<sup>[12]</sup>"]
+    texts = ["<|User|>Hi<｜det｜>\n\n\n\n<center>x</center>", "a<|some left over|>b\n any_label[[1, 2]] c\n[[3]] d", "<table><th>&nbsp;</th><td>&ndash;</td></table>e"]
+    assert column(spark, texts, ocr_text.cleaned_output) == ["Hi\n\nx", "ab\nc\n[[3]] d", "e"]
+    assert column(spark, ["<td>&nbsp;N/A </td>", "<b>n/</b> a", "x", "&mdash;"], ocr_text.is_placeholder) == [True, True, False, True]
     assert column(spark, ["Say it. Say it. now"], lambda c: ocr_text.without_echo(c, "Say it.\n<image>")) == ["now"]
     assert column(spark, ["é​"], ocr_text.normalized) == ["é"]
 
 
 def test_sentences(spark):
     assert column(spark, ["", "α β γ", "α β γ δ", "only latin words here now", "1 2 3 4 5 6"], greek_prep.usable) == [0, 0, 1, 0, 0]
-    assert column(spark, ["1. α [σημ.] β&γ", "XIV. α"], greek_prep.cleaned_sentence) == ["α βγ", "α"]
+    assert column(spark, ["1. α [σημ.] β&γ", "XIV. α"], greek_prep.cleaned_sentence) == ["α σημ. βγ", "α"]

@@ -34,8 +34,10 @@ def test_maths_carries_over_lines(spark):
 def test_tables(spark):
     docs = spark.createDataFrame([(1, "| a | b |\n|---|---|\n| 1 | 2 | 3 |\nend\n"), (2, "t\n|---|\n| 1 | 2 |"), (3, "| a | b |\n|---|---|\n| 1 | 2 |"), (4, None)], "doc_id int, text string")
     issues = cleaner.table_issues(docs)
-    got = sorted((r["doc_id"], r["description"], r["expected_columns"], r["found_columns"], r["start_line"], r["end_line"]) for r in issues.collect())
-    assert got == [(1, "row differs from separator", 2, 3, 0, 2), (2, "row differs from separator", 1, 2, 1, 2), (2, "separator without header", 1, None, 1, 2)]
+    got = sorted(tuple(r) for r in issues.collect())
+    assert got == [
+        (1, 3, "Table row has inconsistent column count", 2, 3, 0, 2), (2, 2, "Table separator without header row", None, 1, 1, 2), (2, 3, "Table row has inconsistent column count", 1, 2, 1, 2),
+    ]
     texts = {r["doc_id"]: r["text"] for r in cleaner.remove_tables(docs, issues).collect()}
     assert texts == {1: "<!-- table-removed -->\nend\n", 2: "t\n<!-- table-removed -->", 3: "| a | b |\n|---|---|\n| 1 | 2 |", 4: None}
 
@@ -113,10 +115,18 @@ def test_annotation(spark):
 
 
 def test_contents_lists(spark):
-    toc = "\n".join(f"Title {c} ........ {p}" for c, p in zip("ABCDEFGH", (1, 3, 3, 5, 9, 12, 20, 44), strict=True))
-    falling = "\n".join(f"Title {c} ........ {p}" for c, p in zip("ABCDEFGH", (8, 7, 6, 5, 4, 3, 2, 1), strict=True))
-    rows = spark.createDataFrame([(1, toc), (2, falling), (3, "no numbers"), (4, "| A | 1 |\n| B | 2 |\n| C | 5 |\n| D | 9 |")], "i int, t string")
-    assert [r[0] for r in rows.orderBy("i").select(annotate.is_contents_list(F.col("t"))).collect()] == [True, False, False, True]
+    of = lambda *numbers, form="| Title {c} ........ | {p} |": "\n".join(form.format(c=c, p=p) for c, p in zip("ABCDEFGHIJK", numbers, strict=False))
+    cases = [
+        (of(1, 3, 3, 5, 9, 12, 20, 44), True, [1, 3, 3, 5, 9, 12, 20, 44]), (of(8, 7, 6, 5, 4, 3, 2, 1), False, [8, 7, 6, 5, 4, 3, 2, 1]), ("no numbers", False, []), (None, False, None),
+        (of(1, 1, 1, 1, 1, 1, 1, 2, 3, 4, 5), True, [1] * 7 + [2, 3, 4, 5]), (of(1, 1, 1, 1, 1, 1, 1, 2, 3), False, [1] * 7 + [2, 3]),  # the fifth equal one begins anew
+        (of(1, 2, 5, 9), True, [1, 2, 5, 9]), (of(1, 2, 5, 9) + "\nand\nwords", False, [1, 2, 5, 9]), (of(1, 2, 9, 5), False, [1, 2, 9, 5]), (of(1, 2, 5), False, [1, 2, 5]),
+        (of(1, 2, 3, 4, 5, 6, 7, 8, form="Title {c} ........ {p}"), False, []), (of(1, 2, 3, 4, form="| Title {c} | from {p}-99 |"), True, [1, 2, 3, 4]),
+        (of(1, 2, 3, 4, form="| Title {c} | {p} pages |"), False, []), (of(1, 2, 3, 4, form="| {p} | 1.5 {p} 400 |"), False, []), (of(1, 2, 3, 4, form="| Title {c} | {p} 400 1.5 |"), True, [1, 2, 3, 4]),
+        (of(1, 2, 3, 4, form="| Title {c}\nmore | {p} |"), False, [1, 2, 3, 4]),
+    ]
+    rows = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(cases)], "i int, t string")
+    got = rows.orderBy("i").select(annotate.is_contents_list(F.col("t")), annotate.page_numbers(F.col("t"))).collect()
+    assert [(r[0], r[1]) for r in got] == [(listed, numbers) for _, listed, numbers in cases]
 
 
 def test_percentiles(spark):
@@ -174,8 +184,11 @@ def test_artefacts(spark):
     assert {r["stem"]: (r["complete"], r["given_up"]) for r in artefacts.chunk_manifest(chunks).collect()} == {"a": (False, False), "b": (False, True), "c": (True, False)}
     names = spark.createDataFrame([("a.pdf",), ("b1.pdf",), ("b1.pdf",), ("c.md",)], "filename string")
     assert sorted(r["filename"] for r in artefacts.matching_names(names, ["a.pdf", "x/b?.pdf"]).collect()) == ["a.pdf", "b1.pdf"]
-    pages = spark.createDataFrame([(bytearray([255] * 100),), (bytearray([0] * 50 + [255] * 50),), (bytearray(),), (None,)], "p binary")
-    assert [r[0] for r in pages.select(artefacts.is_mostly_blank(F.col("p"))).collect()] == [True, False, True, None]
+    grey, speck = [128, 130, 126] * 2000, [0, 0, 0]
+    pages = spark.createDataFrame([(bytearray(x),) for x in (grey, grey[3:] + speck, grey[60:] + speck * 20, [])] + [(None,)], "p binary")
+    assert [r[0] for r in pages.select(artefacts.is_mostly_blank(F.col("p"))).collect()] == [True, True, False, True, None]
+    see_through = spark.createDataFrame([(bytearray([9, 9, 9, 0, 9, 9, 9, 255]),)], "p binary")
+    assert see_through.select(artefacts.is_mostly_blank(F.col("p"), alpha=True)).first()[0]
     waits = spark.range(4).select(artefacts.attempt_timeout(F.col("id")).alias("t"), artefacts.retry_delay(F.col("id"), F.lit(1.0)).alias("d")).collect()
     assert [w["t"] for w in waits] == [45.0, 67.5, 101.25, 151.875] and waits[2]["d"] == 3.0
 
