@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -135,17 +137,25 @@ def classifier(vocabulary: int = 2000, max_iter: int = 100):
     ])
 
 
-def stratified_split(rows: DataFrame, label: str, key: str, share: float, out: str = "part") -> DataFrame:
-    """Marks the first share of each label train and the rest test, in the order of a hash of the key.
+def stratified_split(rows: DataFrame, label: str, key: str, shares: float | dict[str, float], out: str = "part") -> DataFrame:
+    """Deals the rows of each label into named parts by their shares, in the order of a hash of the key.
 
-    Ranks are split over buckets of the hash, whose counts are summed up, so no label has to fit a task.
+    A number stands for train with that share and test with the rest. Ranks are split over buckets of the hash, as many
+    as keep a bucket small, whose counts are summed up, so no label has to fit a task.
     """
-    hashed = rows.withColumn("__h", F.sha2(F.col(key).cast("string"), 256)).withColumn("__b", F.substring("__h", 1, 2))
+    shares = shares if isinstance(shares, dict) else {"train": shares, "test": 1 - shares}
+    digits = max(2, math.ceil(math.log(max(1, rows.count()) / 10_000 + 1, 16)))
+    hashed = rows.withColumn("__h", F.sha2(F.col(key).cast("string"), 256)).withColumn("__b", F.substring("__h", 1, digits))
     sizes = hashed.groupBy(label, "__b").agg(F.count("*").alias("__n"))
     w = W.partitionBy(label).orderBy("__b")
     before = sizes.select(label, "__b", F.coalesce(F.sum("__n").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__before"), F.sum("__n").over(W.partitionBy(label)).alias("__all"))
     placed = hashed.withColumn("__at", F.row_number().over(W.partitionBy(label, "__b").orderBy("__h", key))).join(before, [label, "__b"])
-    return placed.withColumn(out, F.when(F.col("__before") + F.col("__at") <= F.round(F.col("__all") * share), "train").otherwise("test")).drop("__h", "__b", "__at", "__before", "__all")
+    *names, last = shares
+    part, upto = F.lit(last), sum(shares.values())
+    for name, following in zip(reversed(names), reversed(list(shares)[1:]), strict=True):
+        upto -= shares[following]
+        part = F.when(F.col("__before") + F.col("__at") <= F.round(F.col("__all") * round(upto, 9)), name).otherwise(part)
+    return placed.withColumn(out, part).drop("__h", "__b", "__at", "__before", "__all")
 
 
 def confusion(rows: DataFrame, truth: str, predicted: str) -> DataFrame:
@@ -160,3 +170,10 @@ def classification_report(matrix: DataFrame, truth: str, predicted: str) -> Data
     ratio = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(0.0)
     p, r = ratio("hits", "guessed"), ratio("hits", "support")
     return both.select("label", p.alias("precision"), r.alias("recall"), F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(0.0).alias("f1"), "support")
+
+
+def overall_scores(report: DataFrame) -> DataFrame:
+    """One row from a per-label report: support, accuracy, and precision, recall and f1 weighted by support."""
+    n = F.sum("support")
+    weighted = lambda c: F.when(n > 0, F.sum(F.col(c) * F.col("support")) / n).otherwise(0.0).alias(f"weighted_{c}")
+    return report.agg(n.alias("support"), F.when(n > 0, F.sum(F.col("recall") * F.col("support")) / n).otherwise(0.0).alias("accuracy"), weighted("precision"), weighted("recall"), weighted("f1"))

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import content_chars, lines, script_percentages
+from ..functions.text import SPACE, content_chars, lines, script_percentages
 from ..sources.scratch import settled
 
 #: Placeholders, artefacts of broken extraction and letters by script (fixed values).
@@ -133,6 +133,12 @@ def badness(judged: Column, kept: Column) -> Column:
     return F.when(judged > 0, F.greatest(F.lit(0.0), F.round(1 - kept / judged, 3))).otherwise(0.0)
 
 
+def badness_of_letters(raw: Column, done: Column) -> Column:
+    """The share of characters that are not blank that cleaning took out; 0 for a text without any."""
+    solid = lambda c: F.length(F.regexp_replace(c, f"[{SPACE}]+", ""))
+    return F.when(solid(raw) > 0, F.greatest(solid(raw) - solid(done), F.lit(0)) / solid(raw)).otherwise(0.0)
+
+
 _ROW, _RULE = re.compile(r"\s*\|.*\|\s*\Z"), re.compile(r"\s*\|\s*[-:]+\s*\|")
 _ISSUE = "line_number int, description string, expected_columns int, found_columns int, start_line int, end_line int"
 

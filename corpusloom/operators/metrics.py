@@ -67,3 +67,16 @@ def label_shares(df: DataFrame, label: str) -> DataFrame:
     counts = df.groupBy(label).agg(F.count("*").alias("n"))
     total = df.select(F.count("*").alias("__all"))
     return counts.join(F.broadcast(total), F.lit(True)).select(label, "n", (F.col("n") / F.col("__all")).alias("share"))  # one row beside a row per label
+
+
+def missing_share(df: DataFrame, column: str) -> DataFrame:
+    """Rows, rows whose column is null or blank, and their share; a share of 0 for no rows."""
+    blank = F.count_if(F.coalesce(F.trim(F.col(column).cast("string")), F.lit("")) == "")
+    return df.agg(F.count("*").alias("rows"), blank.alias("missing")).withColumn("share", F.when(F.col("rows") > 0, F.col("missing") / F.col("rows")).otherwise(0.0))
+
+
+def rolling(attempts: DataFrame, key: str, order: str, failed: str, seconds: str, failures: int = 50, durations: int = 200) -> DataFrame:
+    """Each attempt with its key's share of failures among the last attempts and its mean seconds among them."""
+    last = lambda n: W.partitionBy(key).orderBy(order).rowsBetween(1 - n, 0)
+    share = F.avg(F.col(failed).cast("int")).over(last(failures))
+    return attempts.withColumns({"failed_share": share, "mean_seconds": F.avg(seconds).over(last(durations)), "easing": share >= 0.2})

@@ -121,8 +121,8 @@ SELECT doc_id, CASE WHEN total = 0 THEN 0.0 ELSE 100.0::DOUBLE * g / total END A
 
 
 def core_clean_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts without maths, entities or tags, where cleaning is taking out letters and marking lines."""
-    docs = table(spark, sf_dir, "documents").where(F.col("text").isNotNull() & ~F.rlike("text", F.lit(r"[$&<\r]")))
+    """All texts, with the marks of maths, entities and tags turned into stars, which leaves letters and lines to clean."""
+    docs = table(spark, sf_dir, "documents").where(F.col("text").isNotNull()).select("doc_id", F.translate("text", "$&<\r", "****").alias("text"))
     done = docs.select("doc_id", cleaner.clean_text(F.col("text")).alias("c"))
     return done.select("doc_id", F.md5(F.col("c.text").cast("binary")).alias("cleaned_md5"), "c.judged_chars", "c.kept_chars", cleaner.badness(F.col("c.judged_chars"), F.col("c.kept_chars")).alias("badness"))
 
@@ -141,7 +141,7 @@ def _char_class(chars: str) -> str:
 
 _UNUSUAL = _char_class(cleaner.unusual_letters())
 CORE_CLEAN_SQL = rf"""
-WITH d AS (SELECT doc_id, text FROM documents WHERE text IS NOT NULL AND NOT regexp_matches(text, '[$&<\r]')
+WITH d AS (SELECT doc_id, translate(text, '$&<' || chr(13), '****') AS text FROM documents WHERE text IS NOT NULL
 ), l AS (SELECT doc_id, text, unnest(ls) AS x, generate_subscripts(ls, 1) AS pos FROM (SELECT *, {_SQL_LINES.format("text")} AS ls FROM d)
 ), c AS (
   SELECT *, regexp_replace(x, '{_UNUSUAL}', '', 'g') AS y,

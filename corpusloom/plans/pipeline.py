@@ -58,7 +58,7 @@ class Corpus:
         """Expands link lists, leaves out what is done and what repeats, names the rest, fetches and merges results."""
         column = url_ops.url_column(urls, self.url_column)
         rows = url_ops.explode_links(urls.withColumnRenamed(column, "url"), "url")
-        rows = rows.withColumn("row_idx", F.col("source_row") * 1000 + F.col("url_index"))
+        rows = rows.withColumn("row_idx", F.col("source_row") * 2**31 + F.col("url_index") + 1)  # a cell has fewer than 2^31 links
         marked = url_ops.mark_duplicates(rows)
         done = self.table("download_results").where("download_success") if self.has("download_results") else None
         todo = marked.where(~F.col("is_duplicate") & (F.col("url") != ""))
@@ -142,8 +142,8 @@ class Corpus:
         gathered = export.gather_chunks(self.metadata().withColumn("language", F.lit(None).cast("string")))
         return export.records(export.joined_texts(self.table(name)), gathered, **options)
 
-    def jsonl(self, path: str, **options) -> None:
-        files.write_jsonl(self.export_lines(**options), path)
+    def jsonl(self, path: str, single: bool = False, **options) -> None:
+        files.write_jsonl(self.export_lines(**options), path, single)
 
     def jsonl_sharded(self, path: str, limit: int = export.SHARD_BYTES, prefix: str = "train", compression: str = "zstd") -> DataFrame:
         return files.write_shards(export.assign_shards(self.export_lines(), limit), path, prefix, compression)

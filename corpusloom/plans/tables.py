@@ -231,6 +231,50 @@ SELECT label, precision, recall, CASE WHEN precision + recall > 0 THEN 2 * preci
 """
 
 
+def label_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return annotate.overall_scores(label_confusion(spark, sf_dir))
+
+
+LABEL_SCORES_SQL = f"""
+WITH r AS ({CONFUSION_SQL})
+SELECT CAST(sum(support) AS BIGINT) AS support, sum(recall * support) / sum(support) AS accuracy, sum(precision * support) / sum(support) AS weighted_precision, sum(recall * support) / sum(support) AS weighted_recall,
+  sum(f1 * support) / sum(support) AS weighted_f1 FROM r
+"""
+
+
+def missing_doctypes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.missing_share(doctype_join(spark, sf_dir), "document_type")
+
+
+MISSING_DOCTYPES_SQL = f"SELECT count(*) AS rows, count(*) FILTER (coalesce(trim(document_type), '') = '') AS missing, count(*) FILTER (coalesce(trim(document_type), '') = '') / count(*) AS share FROM ({DOCTYPE_SQL})"
+
+
+def rolling_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as attempts of their users: the latest failures and durations."""
+    attempts = table(spark, sf_dir, "events").select("event_id", "user_id", (F.pmod(F.floor("value"), F.lit(3)) == 0).alias("failed"), F.floor("value").alias("seconds"))
+    return metrics.rolling(attempts, "user_id", "event_id", "failed", "seconds").select("event_id", "failed_share", "mean_seconds", "easing")
+
+
+ROLLING_SQL = """
+WITH a AS (SELECT event_id, user_id, CAST(floor(value) AS BIGINT) AS s, CAST(floor(value) AS BIGINT) % 3 = 0 AS f FROM events
+), r AS (
+  SELECT event_id, avg(CAST(f AS INTEGER)) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS failed_share,
+    avg(s) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 199 PRECEDING AND CURRENT ROW) AS mean_seconds FROM a
+)
+SELECT event_id, failed_share, mean_seconds, failed_share >= 0.2 AS easing FROM r
+"""
+
+
+def split_three_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return annotate.stratified_split(table(spark, sf_dir, "labels").select("doc_id", "quality"), "quality", "doc_id", {"train": 0.7, "validation": 0.15, "test": 0.15})
+
+
+SPLIT_THREE_SQL = """
+WITH r AS (SELECT doc_id, quality, row_number() OVER (PARTITION BY quality ORDER BY sha256(CAST(doc_id AS VARCHAR)), doc_id) AS nth, count(*) OVER (PARTITION BY quality) AS n FROM labels)
+SELECT doc_id, quality, CASE WHEN nth <= round(n * 0.7) THEN 'train' WHEN nth <= round(n * 0.85) THEN 'validation' ELSE 'test' END AS part FROM r
+"""
+
+
 def label_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.label_shares(table(spark, sf_dir, "documents"), "lang")
 
@@ -257,6 +301,7 @@ QUERIES = {
     "clean_gates": (clean_gates, CLEAN_GATES_SQL), "empty_gates": (empty_gates, EMPTY_GATES_SQL), "ocr_routing": (ocr_routing, OCR_ROUTING_SQL), "math_routing": (math_routing, MATH_ROUTING_SQL),
     "math_density": (math_density, MATH_DENSITY_SQL), "timing_summary": (timing_summary, TIMING_SQL), "domain_stats": (domain_stats, DOMAIN_STATS_SQL), "metadata_upsert": (metadata_upsert, UPSERT_SQL),
     "result_merge": (result_merge, MERGE_SQL), "resume_antijoin": (resume_antijoin, RESUME_SQL), "state_merge": (state_merge, STATE_SQL), "artifact_synthesis": (artifact_synthesis, SYNTHESIS_SQL),
-    "value_coercions": (value_coercions, COERCE_SQL), "doctype_join": (doctype_join, DOCTYPE_SQL), "label_confusion": (label_confusion, CONFUSION_SQL), "label_shares": (label_shares, LABEL_SHARES_SQL),
+    "value_coercions": (value_coercions, COERCE_SQL), "doctype_join": (doctype_join, DOCTYPE_SQL), "label_confusion": (label_confusion, CONFUSION_SQL), "label_shares": (label_shares, LABEL_SHARES_SQL), "label_scores": (label_scores, LABEL_SCORES_SQL), "missing_doctypes": (missing_doctypes, MISSING_DOCTYPES_SQL),
+    "rolling_failures": (rolling_failures, ROLLING_SQL), "split_three_ways": (split_three_ways, SPLIT_THREE_SQL),
     "split_stratified": (split_stratified, SPLIT_SQL), "global_row_ids": (global_row_ids, ROW_IDS_SQL),
 }

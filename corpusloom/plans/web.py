@@ -41,7 +41,7 @@ def _varied(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def url_canonical_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_ops.mark_duplicates(_varied(spark, sf_dir)).select("page_id", "url_norm", "is_duplicate", "duplicate_of")
+    return url_ops.mark_duplicates(_varied(spark, sf_dir)).select("page_id", "url_norm", "is_duplicate", "duplicate_of", "download_error")
 
 
 _VARIED = """v AS (
@@ -55,7 +55,7 @@ WITH {_VARIED}, p AS (
 ), k AS (SELECT *, [struct_pack(k := split_part(x, '=', 1), v := CASE WHEN contains(x, '=') THEN regexp_extract(x, '=(.*)$', 1) ELSE '' END) FOR x IN string_split(q, '&') IF x <> ''] AS kv FROM p
 ), n AS (SELECT page_id, url, CASE WHEN url = '' THEN '' ELSE scheme || '://' || host || path || CASE WHEN len(kv) > 0 THEN '?' || array_to_string([x.k || '=' || x.v FOR x IN list_sort(kv)], '&') ELSE '' END END AS url_norm FROM k
 ), f AS (SELECT *, first_value(page_id) OVER w AS fid, first_value(url) OVER w AS furl FROM n WINDOW w AS (PARTITION BY url_norm ORDER BY page_id))
-SELECT page_id, url_norm, page_id <> fid AS is_duplicate, CASE WHEN page_id <> fid THEN furl ELSE '' END AS duplicate_of FROM f
+SELECT page_id, url_norm, page_id <> fid AS is_duplicate, CASE WHEN page_id <> fid THEN furl ELSE '' END AS duplicate_of, CASE WHEN page_id <> fid THEN 'Duplicate URL (skipped)' ELSE '' END AS download_error FROM f
 """
 
 

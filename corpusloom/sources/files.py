@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import io
 import json
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import base_name, canonical_stem
 from ..functions.urls import SUPPORTED
+from .scratch import settled
 
 PAGE = "page_no int, formula_count int, code_count int, formula_chars long, formula_truncated int, parse_sec double, time_sec double"
 METRICS = f"file string, page_count int, totals map<string,double>, pages array<struct<{', '.join(f.replace(' ', ':', 1) for f in PAGE.split(', '))}>>"
@@ -98,48 +99,60 @@ def write_table(df: DataFrame, path: str) -> None:
     fs.delete(old, True)
 
 
-def write_jsonl(lines: DataFrame, path: str) -> None:
-    """One JSON Lines folder part, in stem order; an empty table writes an empty part."""
-    lines.orderBy("stem").coalesce(1).select("line").write.mode("overwrite").text(path)
+def write_jsonl(lines: DataFrame, path: str, single: bool = False) -> None:
+    """JSON Lines in stem order, in parts whose names keep the order; ``single`` has one task write one part.
+
+    An empty table writes an empty part.
+    """
+    ordered = lines.orderBy("stem").select("line")
+    (ordered.coalesce(1) if single else ordered).write.mode("overwrite").text(path)
 
 
 def write_shards(lines: DataFrame, path: str, prefix: str = "train", compression: str = "zstd", level: int = 3) -> DataFrame:
-    """Writes (stem, line, shard) rows as {prefix}-{shard}.jsonl[.zst] through Hadoop's file systems.
+    """Writes (stem, line, shard) rows as files {prefix}-{shard}.jsonl[.zst] below a path that all executors reach.
 
-    Each shard is one sorted stretch of a partition: lines are compressed by the executors, a shard at a time, and
-    stored as binary rows that the driver never sees. Returns (shard, name, rows, bytes).
+    A shard is a sorted stretch of one partition. It is streamed line by line into a file of another name, which is
+    then moved to its own, so that a repeated task replaces a file and never leaves half of one. Returns (shard, name,
+    rows, bytes) of the files.
     """
     name = F.format_string(f"{prefix}-%06d.jsonl" + (".zst" if compression == "zstd" else ""), "shard")
     columns = lines.select("shard", "stem", "line", name.alias("name"))
     n = max(1, lines.agg(F.coalesce(F.max("shard"), F.lit(0)) + 1).first()[0])
     ordered = columns.repartitionByRange(n, "shard").sortWithinPartitions("shard", "stem")
 
-    def compress(batches):
+    def write(batches):
         import pandas as pd
         import zstandard
+        from pyarrow import fs
+
+        uri = path if "://" in path else f"file://{path}"
+        system, root = fs.FileSystem.from_uri(uri.replace("file:/", "file:///", 1) if re.match("file:/[^/]", uri) else uri)
+        system.create_dir(root)
 
-        state: dict = {}
+        class Shard:
+            def __init__(self, number: int, label: str):
+                self.number, self.label, self.rows, self.draft = number, label, 0, f"{root}/.{label}.{uuid.uuid4().hex}"
+                self.file = system.open_output_stream(self.draft, compression=None)
+                self.out = zstandard.ZstdCompressor(level=level).stream_writer(self.file) if compression == "zstd" else self.file
 
-        def close() -> pd.DataFrame:
-            data = state["buffer"].getvalue() if compression != "zstd" else state["buffer"].getvalue() + state["out"].flush()
-            return pd.DataFrame([(state["shard"], state["name"], state["rows"], len(data), data)], columns=["shard", "name", "rows", "bytes", "data"])
+            def close(self) -> pd.DataFrame:
+                self.out.close()
+                system.move(self.draft, f"{root}/{self.label}")
+                return pd.DataFrame([(self.number, self.label, self.rows, system.get_file_info(f"{root}/{self.label}").size)], columns=["shard", "name", "rows", "bytes"])
 
+        shard = None
         for batch in batches:
-            for shard, label, line in zip(batch["shard"], batch["name"], batch["line"], strict=True):
-                if state and state["shard"] != shard:
-                    yield close()
-                    state = {}
-                if not state:
-                    state = {"shard": shard, "name": label, "rows": 0, "buffer": io.BytesIO(), "out": zstandard.ZstdCompressor(level=level).compressobj()}
-                data = f"{line}\n".encode()
-                state["buffer"].write(state["out"].compress(data) if compression == "zstd" else data)
-                state["rows"] += 1
-        if state:
-            yield close()
-
-    made = ordered.mapInPandas(compress, "shard long, name string, rows long, bytes long, data binary")
-    made.write.mode("overwrite").parquet(path)
-    return lines.sparkSession.read.parquet(path).select("shard", "name", "rows", "bytes")
+            for number, label, line in zip(batch["shard"], batch["name"], batch["line"], strict=True):
+                if shard is not None and shard.number != number:
+                    yield shard.close()
+                    shard = None
+                shard = shard or Shard(number, label)
+                shard.out.write(f"{line}\n".encode())
+                shard.rows += 1
+        if shard is not None:
+            yield shard.close()
+
+    return settled(ordered.mapInPandas(write, "shard long, name string, rows long, bytes long"), "shards")
 
 
 def write_report(report: DataFrame, path: str, key: str = "file_name") -> None:

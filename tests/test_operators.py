@@ -1,10 +1,12 @@
 """Operators on small tables with results worked out by hand."""
 
 import pytest
+import zstandard
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from corpusloom.operators import annotate, artefacts, cleaner, export, gates, metadata, metrics, sections, urls
+from corpusloom.sources import files
 from corpusloom.streaming import resume
 
 
@@ -204,3 +206,29 @@ def test_shards_of_many_ranges_are_one_greedy_fill(spark):
         want.append(shard)
     got = export.assign_shards(spark.createDataFrame(rows, "stem string, line string"), 100).orderBy("stem").collect()
     assert [r["shard"] for r in got] == want
+
+
+@pytest.mark.parametrize("compression", ["zstd", "none"])
+def test_shard_files(spark, tmp_path, compression):
+    """Real files of compressed lines, filled greedily in stem order; a larger line has a shard of its own."""
+    sizes = [30, 30, 50, 10, 120, 5]
+    rows = spark.createDataFrame([(f"s{i}", "x" * (n - 1)) for i, n in enumerate(sizes)], "stem string, line string")
+    made = files.write_shards(export.assign_shards(rows, 50), str(tmp_path), "part", compression).orderBy("shard").collect()
+    names = [f"part-{i:06d}.jsonl" + (".zst" if compression == "zstd" else "") for i in range(6)]
+    assert [r["name"] for r in made] == names and sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == names
+    for r, n in zip(made, sizes, strict=True):
+        data = (tmp_path / r["name"]).read_bytes()
+        text = zstandard.ZstdDecompressor().stream_reader(data).read() if compression == "zstd" else data
+        assert (len(data), text) == (r["bytes"], b"x" * (n - 1) + b"\n")
+
+
+def test_names_past_their_period(spark):
+    row = spark.range(1).select(urls.unique_name(F.lit(5)).alias("a"), urls.unique_name(F.lit(urls.NAME_PERIOD + 5)).alias("b")).first()
+    assert (row["a"], row["b"]) == ("AAF_005", "AAF_005_1")
+    ranks = urls.bucketed_rank(spark.createDataFrame([(i,) for i in [*range(50), 10**15]], "row_idx long"), "row_idx", "r", rows_per_bucket=10)
+    assert [r["r"] for r in ranks.orderBy("row_idx").collect()] == list(range(51))
+
+
+def test_letters_lost(spark):
+    rows = spark.createDataFrame([("ab c d", "ab d"), ("  ", ""), ("", ""), ("x", "x")], "a string, b string")
+    assert [r[0] for r in rows.select(cleaner.badness_of_letters(F.col("a"), F.col("b"))).collect()] == [0.25, 0.0, 0.0, 0.0]
