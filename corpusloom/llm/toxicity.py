@@ -62,7 +62,7 @@ class TokenKinds(dict):
     """Maps a token to the number of its kind: a row of (insult, profanity, threat, learned weight, second person,
     capitals, masked, obfuscated, stretched). There are few kinds; known tokens are cleared when they are CACHE."""
 
-    CACHE = 500_000
+    CACHE = 100_000
 
     def __init__(self, learned: dict[str, float]):
         super().__init__()
@@ -133,7 +133,7 @@ def text_features(text: str | None, tokens: TokenKinds) -> np.ndarray:
     return out
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def _tokens(learned: tuple[tuple[str, float], ...]) -> TokenKinds:
     return TokenKinds(dict(learned))
 
@@ -143,10 +143,12 @@ def _features(learned: dict[str, float]):
 
     @F.pandas_udf("array<double>")
     def vectors(texts: pd.Series) -> pd.Series:
-        tokens = _tokens(known)
-        if len(tokens) > tokens.CACHE:
-            tokens.clear()
-        return pd.Series([text_features(t, tokens) for t in texts])
+        tokens, rows = _tokens(known), []
+        for text in texts:
+            if len(tokens) > tokens.CACHE:  # asked before every text, as a batch may hold far more new tokens
+                tokens.clear()
+            rows.append(text_features(text, tokens))
+        return pd.Series(rows)
 
     return vectors
 
