@@ -39,8 +39,18 @@ def is_table_line(line: Column) -> Column:
     return F.rlike(line, F.lit(rf"^[{SPACE}]*\|(?:(?s:.*)\|)?[{SPACE}]*\z"))
 
 
+def chars_of(text: Column, characters: str) -> Column:
+    """How many characters of a class a text has, by what is left without its runs; 0 for null."""
+    return F.coalesce(F.length(text) - F.length(F.regexp_replace(text, f"[{characters}]+", "")), F.lit(0)).cast("long")
+
+
+def solid_chars(text: Column) -> Column:
+    """Characters that are not white space; 0 for null."""
+    return F.coalesce(F.length(F.regexp_replace(text, f"[{SPACE}]+", "")), F.lit(0)).cast("long")
+
+
 def latin_letters(text: Column) -> Column:
-    return count(text, "[A-Za-z]")
+    return chars_of(text, "A-Za-z")
 
 
 def latin_ratio(text: Column) -> Column:
@@ -55,16 +65,17 @@ def without_markup(text: Column) -> Column:
     for env in MATH_ENVIRONMENTS:
         name = env.replace("*", r"\*")
         out = F.regexp_replace(out, rf"(?d)\\begin\{{{name}\}}.*?\\end\{{{name}\}}", "")
-    return F.regexp_replace(out, r"(?d)(\\\[.*?\\\])|(\\\(.*?\\\))|(\$\$.*?\$\$)", "")
+    out = F.regexp_replace(out, r"(?d)(\\\[.*?\\\])|(\\\(.*?\\\))|(\$\$.*?\$\$)", "")
+    return F.when(F.rlike(text, F.lit(r"<!--|\\|\$\$")), out).otherwise(text)
 
 
 def content_chars(text: Column) -> Column:
     """Characters that are not white space, outside comments and maths."""
-    return count(without_markup(text), f"[^{SPACE}]")
+    return solid_chars(without_markup(text))
 
 
 def script_percentages(text: Column) -> tuple[Column, Column]:
     """Greek and Latin shares of what is not white space, in percent; 0 if nothing is there."""
-    total = count(text, f"[^{SPACE}]")
+    total = solid_chars(text)
     share = lambda n: F.when(total == 0, F.lit(0.0)).otherwise(100.0 * n / total)
-    return share(count(text, f"[{GREEK_LETTERS}]")), share(latin_letters(text))
+    return share(chars_of(text, GREEK_LETTERS)), share(latin_letters(text))

@@ -63,14 +63,31 @@ def _untagged(line: str) -> tuple[str, int]:
     return "".join(out) + line[at:], removed
 
 
-def cleaned(text: str, unwanted: dict[int, None]) -> tuple[str, int, int]:
+class Letters:
+    """The characters that cleaning takes out, and a pattern of all that a line needs a closer look for."""
+
+    def __init__(self, unwanted: str):
+        some = "".join(map(re.escape, unwanted))
+        self.gone = re.compile(f"[{some}]+") if unwanted else re.compile(r"(?!)")
+        self.odd = re.compile("[<&$\r]|" + "|".join(re.escape(a) for a in ARTEFACTS if "<" not in a and "&" not in a) + (f"|[{some}]" if unwanted else ""))
+        self.blank = [c for c in unwanted if c.isspace()]
+
+
+def cleaned(text: str, letters: Letters) -> tuple[str, int, int]:
     """The cleaned text, the characters judged and the characters kept of them.
 
     Maths between $$ is copied and not judged; whether it is open carries over lines, but a rejected line does not
     open or close it.
     """
+    if not letters.odd.search(text):
+        n = len(text) - text.count("\n")
+        return text, n, n
     out, judged, kept, maths = [], 0, 0, False
     for raw in re.split(r"\r?\n", text[:-1] if text.endswith("\n") else text) if text else []:
+        if not maths and not letters.odd.search(raw):
+            judged, kept = judged + len(raw), kept + len(raw)
+            out.append(raw)
+            continue
         bare = raw.strip()
         if bare == TEXT_MISSING:
             judged += len(raw)
@@ -89,8 +106,8 @@ def cleaned(text: str, unwanted: dict[int, None]) -> tuple[str, int, int]:
                 in_maths += len(part)
                 text_parts.append(part)
             else:
-                stays = part.translate(unwanted)
-                lost += sum(1 for c in part if ord(c) in unwanted and not c.isspace())
+                stays = letters.gone.sub("", part)
+                lost += len(part) - len(stays) - sum(map(part.count, letters.blank))
                 plain += len(part)
                 text_parts.append(stays)
             if i + 1 < len(parts):
@@ -118,11 +135,11 @@ def cleaned(text: str, unwanted: dict[int, None]) -> tuple[str, int, int]:
 
 def clean_text(text: Column, scripts=("greek", "latin")) -> Column:
     """struct(text, judged_chars, kept_chars) of the line cleaner; null for null."""
-    unwanted = dict.fromkeys(map(ord, unusual_letters(scripts)))
+    letters = Letters(unusual_letters(scripts))
 
     @F.pandas_udf("text string, judged_chars long, kept_chars long")
     def clean(texts: pd.Series) -> pd.DataFrame:
-        rows = [(None, None, None) if t is None else cleaned(t, unwanted) for t in texts]
+        rows = [(None, None, None) if t is None else cleaned(t, letters) for t in texts]
         out = pd.DataFrame(rows, columns=["text", "judged_chars", "kept_chars"])
         return out.astype({"judged_chars": "Int64", "kept_chars": "Int64"})
 
