@@ -13,9 +13,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder for cut lineage: ``spark.checkpoint.dir``, or a new temporary one where it is unset."""
+    """The shared folder for cut lineage: ``spark.checkpoint.dir``. Where it is unset, a new temporary folder in local
+    mode, and an error on a cluster, whose machines share no such folder."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="spark-scratch-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
