@@ -19,10 +19,19 @@ Adapter = Callable[[DataFrame], DataFrame]
 
 
 def stub_recognition(rows: DataFrame) -> DataFrame:
-    """Stands for a recognition model: a fixed note per document."""
+    """Stands for a recognition model in tests: a fixed note per document."""
     return rows.select("stem", F.concat(F.lit("[recognised text of "), F.col("stem"), F.lit("]")).alias("text"))
 
 
+def conversion_backend(wanted: str | None = None, recognise: bool = False, enrich: bool = False) -> str:
+    """safe (text layer alone) or docling (layout models) for ``wanted``, which may be auto: recognition and enrichment
+    need the layout models, whatever is wanted."""
+    choice = (wanted or "auto").strip().lower()
+    if choice not in ("auto", "safe", "docling"):
+        raise ValueError(f"unknown backend {wanted!r}: auto, safe or docling")
+    return "docling" if choice == "docling" or recognise or enrich else "safe"
+
+
 class Corpus:
     """Phases over output folders: downloads, markdown, clean_markdown, sections, export and the metadata table.
 
@@ -99,8 +108,8 @@ class Corpus:
         files.write_table(gated, self.path("metadata"))
         return gates.good_files(self.table("metadata"), drop_bad)
 
-    def ocr(self, recognise: Adapter = stub_recognition, reprocess: bool = False) -> DataFrame:
-        """Sends flagged documents through recognition, takes its texts, and cleans again."""
+    def ocr(self, recognise: Adapter, reprocess: bool = False) -> DataFrame:
+        """Sends flagged documents through recognition (stem, filename to stem, text), takes its texts, and cleans again."""
         skip = self.table("skiplist") if self.has("skiplist") else self.spark.createDataFrame([], "stem string")
         todo = gates.ocr_candidates(self.metadata(), skip, reprocess)
         texts = recognise(todo.select("stem", "filename"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from corpusloom import catalogue
-from corpusloom.plans.pipeline import Corpus
+from corpusloom.plans.pipeline import Corpus, conversion_backend, stub_recognition
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -53,7 +53,7 @@ def test_corpus_phases(spark, tmp_path):
     assert {r["stem"] for r in corpus.table("skiplist").collect()} == {"bad"}
     corpus.update(corpus.metadata().select("stem", F.concat("stem", F.lit(".pdf")).alias("filename")))
     assert {r["stem"] for r in corpus.clean().collect()} == {"a"}
-    corpus.ocr()
+    corpus.ocr(stub_recognition)
     assert corpus.metadata().where("ocr_success").first()["stem"] == "b"
     assert corpus.section().where("stem = 'a'").count() == 2
     labelled = corpus.annotate(lambda s: s.withColumn("label", F.lit("άλλο")))
@@ -62,3 +62,10 @@ def test_corpus_phases(spark, tmp_path):
     assert shards.agg(F.sum("rows")).first()[0] == 2
     corpus.jsonl(str(tmp_path / "jsonl"))
     assert spark.read.json(str(tmp_path / "jsonl")).count() == 2
+
+
+def test_conversion_backend():
+    assert [conversion_backend(w) for w in (None, "auto", " Safe ", "docling")] == ["safe", "safe", "safe", "docling"]
+    assert conversion_backend("safe", recognise=True) == conversion_backend(enrich=True) == "docling"
+    with pytest.raises(ValueError, match="unknown backend"):
+        conversion_backend("fast")
