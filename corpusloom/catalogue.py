@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from .plans import corpus, documents, tables, web
+from .plans import corpus, documents, states, tables, web
 
-MODULES = (documents, web, tables, corpus)
+MODULES = (documents, web, tables, states, corpus)
 
 
 def queries() -> dict:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..functions.latex import recommended_phase
+from ..sources.scratch import settled
 
 
 def math_density(pages: DataFrame, key: str = "stem", count: str = "formula_count") -> DataFrame:
@@ -27,12 +28,23 @@ def nearest_rank(df: DataFrame, key: str, value: str, share: float, out: str = "
     return reached.where(F.col("upto") >= F.ceil(F.col("all") * share)).groupBy(key).agg(F.min(value).alias(out))
 
 
-def timing_summary(df: DataFrame, key: str, value: str, order: str) -> DataFrame:
-    """Count, sum, mean, and the values at places round((n - 1) q) in arrival order, for q of 0.5 and 0.9."""
-    times = F.transform(F.array_sort(F.collect_list(F.struct(order, value))), lambda x: x[value])
-    grouped = df.groupBy(key).agg(F.count(value).alias("n"), F.sum(value).alias("total"), F.avg(value).alias("mean"), times.alias("__t"))
-    at = lambda q: F.element_at("__t", (F.bround((F.size("__t") - 1) * F.lit(q), 0) + 1).cast("int"))
-    return grouped.select(key, "n", "total", "mean", at(0.5).alias("p50"), at(0.9).alias("p90"))
+def timing_summary(df: DataFrame, key: str, value: str, order: str, rows_per_bucket: int = 100_000) -> DataFrame:
+    """Count, sum, mean, and the values at places round((n - 1) q) in arrival order, for q of 0.5 and 0.9.
+
+    Rows are dealt into ranges of (key, order), which also split a key of many rows; places follow from the ranges' counts.
+    """
+    buckets = max(1, df.count() // rows_per_bucket)
+    dealt = df.select(key, value, order).repartitionByRange(buckets, key, order).withColumn("__b", F.spark_partition_id())
+    ranged = settled(dealt, "timed")
+    sizes = ranged.groupBy(key, "__b").agg(F.count("*").alias("__n"), F.count(value).alias("n"), F.sum(value).alias("total"))
+    w = W.partitionBy(key)
+    before = sizes.select(F.col(key).alias("__k"), F.col("__b").alias("__c"), F.coalesce(F.sum("__n").over(w.orderBy("__b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__before"), F.sum("__n").over(w).alias("__all"))
+    at = ranged.withColumn("__at", F.row_number().over(W.partitionBy(key, "__b").orderBy(order, value)))
+    placed = at.join(before, at[key].eqNullSafe(F.col("__k")) & (F.col("__b") == F.col("__c"))).select("__k", value, (F.col("__before") + F.col("__at") - 1).alias("__at"), "__all")
+    place = lambda q: F.bround((F.col("__all") - 1) * F.lit(q), 0).cast("long") == F.col("__at")
+    places = placed.where(place(0.5) | place(0.9)).groupBy("__k").agg(F.max(F.when(place(0.5), F.col(value))).alias("p50"), F.max(F.when(place(0.9), F.col(value))).alias("p90"))
+    sums = sizes.groupBy(key).agg(F.sum("n").alias("n"), F.sum("total").alias("total")).withColumn("mean", F.when(F.col("n") > 0, F.col("total") / F.col("n")))
+    return sums.join(places, F.col(key).eqNullSafe(F.col("__k"))).select(key, "n", "total", "mean", "p50", "p90")
 
 
 def per_page(items: DataFrame, key: str = "stem") -> DataFrame:

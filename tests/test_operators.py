@@ -232,3 +232,16 @@ def test_names_past_their_period(spark):
 def test_letters_lost(spark):
     rows = spark.createDataFrame([("ab c d", "ab d"), ("  ", ""), ("", ""), ("x", "x")], "a string, b string")
     assert [r[0] for r in rows.select(cleaner.badness_of_letters(F.col("a"), F.col("b"))).collect()] == [0.25, 0.0, 0.0, 0.0]
+
+
+def test_timing_summary_over_ranges(spark):
+    """A key of most rows, a null key and null values, over many ranges, against a plain list."""
+    made = [("hot" if i % 10 else None, i, None if i % 7 == 0 else (i * 37) % 101) for i in range(600)] + [("one", 0, 5), ("none", 1, None)]
+    got = {r["k"]: r for r in metrics.timing_summary(spark.createDataFrame(made, "k string, at int, ms long"), "k", "ms", "at", rows_per_bucket=40).collect()}
+    assert set(got) == {"hot", None, "one", "none"}
+    for key, r in got.items():
+        held = [v for k, _, v in sorted((m for m in made if m[0] == key), key=lambda m: m[1])]
+        known = [v for v in held if v is not None]
+        assert (r["n"], r["total"]) == (len(known), sum(known) if known else None)
+        assert [r["p50"], r["p90"]] == [held[round((len(held) - 1) * q)] for q in (0.5, 0.9)]
+    assert metrics.timing_summary(spark.createDataFrame([], "k string, at int, ms long"), "k", "ms", "at").count() == 0
