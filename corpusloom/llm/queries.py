@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint_cws, language_id, maxscore, packing, pii_surrogates, simhash_dedup, site_style, source_mix, toxicity, url_rules
+from . import filter_audit, fingerprint_cws, language_id, maxscore, minhash_tensor, packing, pii_surrogates, simhash_dedup, site_style, source_mix, token_alignment, toxicity, url_rules
 from .common import surrogate_key, table
 
 
@@ -53,6 +53,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents")))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_documents(table(spark, sf_dir, "documents"))
+
+
+def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_tensor.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -60,7 +72,10 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_language_id, op2_toxicity, op3_fingerprints, op4_html_extraction, op5_top_k, op6_source_mix, op7_url_filters, op8_pii_surrogates, op9_simhash_dedup, op10_packing, pipeline)
+    own = (
+        op1_language_id, op2_toxicity, op3_fingerprints, op4_html_extraction, op5_top_k, op6_source_mix, op7_url_filters, op8_pii_surrogates, op9_simhash_dedup, op10_packing,
+        op11_token_alignment, op12_minhash_dedup, op13_filter_audit, pipeline,
+    )
     return {f.__name__: f for f in own}
 
 
@@ -123,5 +138,50 @@ FROM r
 """
 
 
+OP12_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM w
+), g AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s
+), l AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM g x JOIN g y ON x.g = y.g AND x.doc_id <> y.doc_id
+  GROUP BY x.doc_id, y.doc_id HAVING 100 * count(*) >= 85 * (any_value(x.n) + any_value(y.n) - count(*))
+), r AS (
+  SELECT doc_id, doc_id AS other FROM s UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.other = l.a
+), c AS (SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id)
+SELECT s.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, s.doc_id = component_id AS kept FROM s JOIN c ON s.doc_id = c.doc_id
+"""
+
+OP13_SQL = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, {_WORDS} AS w FROM documents
+), m AS (
+  SELECT d.doc_id, part, coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS toxic,
+    CASE WHEN len(w) < 100 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN d.doc_id > min(d.doc_id) OVER (PARTITION BY text) THEN 16 ELSE 0 END AS mask
+  FROM d LEFT JOIN labels ON d.doc_id = labels.doc_id
+), c AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM m GROUP BY part, mask
+), f(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)
+), p(filter_order, letter, bit, step, before) AS (
+  SELECT '', '', 0, 0, 0 UNION ALL
+  SELECT p.filter_order || f.letter, f.letter, f.bit, p.step + 1, p.before | p.bit FROM p JOIN f ON (p.before | p.bit) & f.bit = 0
+), e AS (
+  SELECT part, filter_order AS prefix, letter, step,
+    sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END) AS kept, sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & before <> 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS redundant, sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM p, c WHERE step > 0 GROUP BY ALL
+), o AS (SELECT p.filter_order, e.* FROM p JOIN e ON starts_with(p.filter_order, e.prefix) WHERE p.step = 5
+), h AS (SELECT part, letter, sum(removed) AS shapley FROM o GROUP BY ALL)
+SELECT o.part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(shapley AS BIGINT) AS shapley
+FROM o JOIN h ON o.part = h.part AND o.letter = h.letter
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_top_k": OP5_SQL, "op6_source_mix": OP6_SQL, "op7_url_filters": OP7_SQL}
+    return {"op5_top_k": OP5_SQL, "op6_source_mix": OP6_SQL, "op7_url_filters": OP7_SQL, "op12_minhash_dedup": OP12_SQL, "op13_filter_audit": OP13_SQL}
