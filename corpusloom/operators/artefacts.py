@@ -1,4 +1,4 @@
-"""Artefacts of extraction: formula indexes, chunk manifests, sidecars, progress, page images."""
+"""Artefacts of extraction: formula indexes, chunk manifests, sidecars, page images."""
 
 from __future__ import annotations
 
@@ -54,12 +54,6 @@ def merge_sidecars(existing: DataFrame, fresh: DataFrame, key: str = "stem") ->
     return upsert(existing, fresh, key)
 
 
-def progress(domains: DataFrame) -> DataFrame:
-    """Domains by time left, the longest first, and then by what remains, the fewest first."""
-    eta = F.col("remaining") * F.col("mean_seconds")
-    return domains.withColumn("eta_seconds", eta).orderBy(F.col("eta_seconds").desc(), "remaining")
-
-
 def matching_names(files: DataFrame, patterns: list[str], name: str = "filename") -> DataFrame:
     """Files whose name is one of the patterns, or fits one with * and ?, each once."""
     fits = F.lit(False)
@@ -88,12 +82,3 @@ def is_mostly_blank(pixels: Column, alpha: bool = False) -> Column:
         return images.map(one, na_action="ignore")
 
     return blank(pixels)
-
-
-def retry_delay(retries: Column, jitter: Column) -> Column:
-    """Seconds to wait before the next attempt: half a second doubled per retry, times one to one and a half."""
-    return F.lit(0.5) * F.pow(F.lit(2.0), retries) * (F.lit(1.0) + jitter / 2)
-
-
-def attempt_timeout(retries: Column, base: float = 45.0, most: float = 180.0) -> Column:
-    return F.least(F.lit(base) * F.pow(F.lit(1.5), retries), F.lit(most))

@@ -13,14 +13,12 @@ from ..functions.values import add_stage
 from ..operators import annotate, cleaner, export, gates, metadata, metrics, sections
 from ..operators import urls as url_ops
 from ..sources import files
+from ..sources.snapshots import Snapshots
 
 #: What an adapter gets and returns: a DataFrame of files or pages in, one of texts or formulas out.
 Adapter = Callable[[DataFrame], DataFrame]
-
-
-def stub_recognition(rows: DataFrame) -> DataFrame:
-    """Stands for a recognition model in tests: a fixed note per document."""
-    return rows.select("stem", F.concat(F.lit("[recognised text of "), F.col("stem"), F.lit("]")).alias("text"))
+#: Keys of the tables; the others have stems.
+KEYS = {"download_results": "url"}
 
 
 def conversion_backend(wanted: str | None = None, recognise: bool = False, enrich: bool = False) -> str:
@@ -44,24 +42,38 @@ class Corpus:
     def path(self, name: str) -> str:
         return f"{self.output_dir}/{name}"
 
+    def snapshots(self, name: str) -> Snapshots:
+        return Snapshots(self.spark, self.path(name), KEYS.get(name, "stem"))
+
     def has(self, name: str) -> bool:
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
-        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(where)
+        return self.snapshots(name).latest() is not None
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        return self.snapshots(name).read()
+
+    def put(self, name: str, rows: DataFrame) -> DataFrame:
+        """The table with these rows alone; whoever reads an older version keeps it."""
+        self.snapshots(name).replace(rows)
+        return self.table(name)
+
+    def merge(self, name: str, rows: DataFrame, how=metadata.merge_results) -> DataFrame:
+        """Merges rows by key into the table, which others may change at the same time."""
+        self.snapshots(name).merge(rows, how)
+        return self.table(name)
 
     def metadata(self) -> DataFrame:
         """The metadata table; one row per Markdown document where there is none yet."""
         if self.has("metadata"):
             return self.table("metadata")
-        found = files.find_metadata(self.spark, [self.path("download_results"), self.input_dir], self.url_column)
+        found = files.find_metadata(self.spark, [self.path("download_results"), *files.metadata_folders(self.input_dir)], self.url_column)
         base = found if found is not None else self.table("markdown").select("filename")
         return metadata.with_defaults(base.withColumn("stem", canonical_stem(F.col("filename"))))
 
     def update(self, rows: DataFrame) -> None:
         """Merges rows by stem into the metadata table."""
-        files.write_table(metadata.upsert(self.metadata(), rows, "stem"), self.path("metadata"))
+        if not self.has("metadata"):
+            self.merge("metadata", self.metadata(), metadata.upsert)  # another writer's first table is merged with, not replaced
+        self.merge("metadata", rows, metadata.upsert)
 
     def download(self, urls: DataFrame, fetch: Adapter) -> DataFrame:
         """Expands link lists, leaves out what is done and what repeats, names the rest, fetches and merges results."""
@@ -74,9 +86,7 @@ class Corpus:
         todo = todo if done is None else metadata.pending(todo, done, key="url")
         used = done.select(F.col("filename_base").alias("name")) if done is not None else self.spark.createDataFrame([], "name string")
         results = fetch(url_ops.assign_names(todo, used))
-        merged = results if done is None else metadata.merge_results(self.table("download_results"), results, "url")
-        files.write_table(merged, self.path("download_results"))
-        return self.table("download_results")
+        return self.merge("download_results", results)
 
     def extract(self, convert: Adapter | None = None, formats: str = "all") -> DataFrame:
         """Turns files into Markdown rows, without those that are done or skipped. Text formats need no adapter."""
@@ -88,25 +98,22 @@ class Corpus:
         fine, rejects = cleaner.readable(found)
         texts = fine.where(F.col("ext").isin("md", "csv", "xml", "html")).select("stem", "filename", "text") if convert is None else convert(found)
         self.reject(rejects.where(F.col("ext").isin("md", "csv", "xml", "html")).select("stem")) if convert is None else None
-        files.write_table(metadata.merge_results(self.table("markdown"), texts, "stem") if self.has("markdown") else texts, self.path("markdown"))
+        self.merge("markdown", texts)
         self.update(self.table("markdown").select("stem", "filename", F.lit("success").alias("extract_status")))
         return self.table("markdown")
 
     def reject(self, stems: DataFrame) -> None:
         """Adds stems to the skip list."""
-        every = stems.select("stem").union(self.table("skiplist").select("stem")) if self.has("skiplist") else stems.select("stem")
-        files.write_table(every.distinct(), self.path("skiplist"))
+        self.merge("skiplist", stems.select("stem").distinct())
 
     def clean(self, drop_bad: bool = True, empty_char_threshold: int = 0, empty_min_pages: int = 0, scripts=("greek", "latin")) -> DataFrame:
         """Cleans and scores documents, gates them, and returns the metadata of the good ones."""
         cleaned, report = cleaner.quality_report(self.table("markdown"), scripts, "stem")
-        files.write_table(cleaned, self.path("clean_markdown"))
-        noise = noise_metrics(self.table("clean_markdown").select("stem", "text"))
+        noise = noise_metrics(self.put("clean_markdown", cleaned).select("stem", "text"))
         scored = report.withColumnsRenamed({"badness_score_all_chars": "mojibake_badness_score", "percentage_greek_cleaned": "percentage_greek", "percentage_latin_cleaned": "latin_percentage"})
         both = scored.join(noise.select("stem", F.bround("score", 3).alias("greek_badness_score"), F.bround("poly_ratio", 2).alias("polytonic_ratio")), "stem")
         gated = gates.gate(gates.settle_columns(metadata.upsert(self.metadata(), both, "stem")), empty_char_threshold, empty_min_pages)
-        files.write_table(gated, self.path("metadata"))
-        return gates.good_files(self.table("metadata"), drop_bad)
+        return gates.good_files(self.put("metadata", gated), drop_bad)
 
     def ocr(self, recognise: Adapter, reprocess: bool = False) -> DataFrame:
         """Sends flagged documents through recognition (stem, filename to stem, text), takes its texts, and cleans again."""
@@ -114,28 +121,25 @@ class Corpus:
         todo = gates.ocr_candidates(self.metadata(), skip, reprocess)
         texts = recognise(todo.select("stem", "filename"))
         named = texts.join(todo.select("stem", "filename"), "stem")
-        files.write_table(metadata.merge_results(self.table("markdown"), named.select("stem", "filename", "text"), "stem"), self.path("markdown"))
+        self.merge("markdown", named.select("stem", "filename", "text"))
         stage = self.metadata().join(named.select("stem"), "stem").select("stem", F.lit("ok").alias("filter"), F.lit(False).alias("needs_ocr"), F.lit(True).alias("ocr_success"), add_stage(F.col("processing_stage"), "ocr").alias("processing_stage"))
         self.update(stage)
         return self.clean(drop_bad=False)
 
     def triage_math(self, pages: DataFrame) -> DataFrame:
         """Formula density from (stem, formula_count) page rows into the metadata."""
-        files.write_table(metadata.triage_update(self.metadata(), metrics.math_density(pages)), self.path("metadata"))
-        return gates.math_candidates(self.table("metadata"))
+        return gates.math_candidates(self.put("metadata", metadata.triage_update(self.metadata(), metrics.math_density(pages))))
 
     def formula_enrich(self, items: DataFrame) -> DataFrame:
         """Results of formula recognition, (stem, accept_score, time_ms) rows, into the metadata."""
         done = metrics.formula_summary(items).withColumn("time_sec", F.col("time_ms") / 1000)
-        files.write_table(metadata.math_update(self.metadata(), done), self.path("metadata"))
-        return self.table("metadata")
+        return self.put("metadata", metadata.math_update(self.metadata(), done))
 
     def section(self) -> DataFrame:
         good = gates.section_candidates(self.metadata())
         name = "clean_markdown" if self.has("clean_markdown") else "markdown"
         rows = sections.section_rows(self.table(name).join(good.select("stem"), "stem", "left_semi"), "stem")
-        files.write_table(rows, self.path("sections"))
-        return self.table("sections")
+        return self.put("sections", rows)
 
     def annotate(self, label: Adapter, methods: dict[str, str] | None = None, types: DataFrame | None = None) -> DataFrame:
         """Labels sections (an adapter adds the column label), corrects contents lists, and annotates by document type."""
@@ -143,8 +147,7 @@ class Corpus:
         typed = self.metadata().select("stem", "filename", "document_type")
         typed = typed if types is None else annotate.with_document_types(typed, types)
         joined = labelled.join(typed.select("stem", "document_type"), "stem", "left")
-        files.write_table(annotate.annotate(joined, annotate.annotation_method(F.col("document_type"), methods or {}), "stem"), self.path("annotated"))
-        return self.table("annotated")
+        return self.put("annotated", annotate.annotate(joined, annotate.annotation_method(F.col("document_type"), methods or {}), "stem"))
 
     def export_lines(self, **options) -> DataFrame:
         name = "clean_markdown" if self.has("clean_markdown") else "markdown"

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import io
 import json
 import re
 import uuid
 
+import pandas as pd
+import zstandard
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import base_name, canonical_stem
 from ..functions.urls import SUPPORTED
 from .scratch import settled
+from .snapshots import Snapshots
 
 PAGE = "page_no int, formula_count int, code_count int, formula_chars long, formula_truncated int, parse_sec double, time_sec double"
 METRICS = f"file string, page_count int, totals map<string,double>, pages array<struct<{', '.join(f.replace(' ', ':', 1) for f in PAGE.split(', '))}>>"
@@ -61,15 +66,12 @@ def read_training(spark: SparkSession, path: str) -> DataFrame:
 
 def read_compressed_json(files: DataFrame) -> Column:
     """The text of .json and .json.zst contents (column content of read_files)."""
-    import pandas as pd
 
     @F.pandas_udf("string")
     def text(contents: pd.Series) -> pd.Series:
-        import zstandard
-
         def one(data: bytes) -> str:
-            if data[:4] == b"\x28\xb5\x2f\xfd":
-                data = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(data)).read()
+            if data[:4] == b"\x28\xb5\x2f\xfd":  # the mark of a zstd frame
+                data = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(data), read_across_frames=True).read()
             return data.decode("utf-8")
 
         return contents.map(one, na_action="ignore")
@@ -84,21 +86,6 @@ def page_ranges(docs: DataFrame, pages: str = "page_count", longest: int = 600,
     return cut.withColumn("page_end", F.when(F.col(pages) > longest, F.least(F.col("page_start") + step - 1, F.col(pages))).otherwise(F.col(pages)))
 
 
-def write_table(df: DataFrame, path: str) -> None:
-    """Replaces a Parquet table: written beside it and then renamed, so that a reader sees the old or the new one."""
-    spark = df.sparkSession
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(conf)
-    fresh = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
-    df.write.parquet(fresh.toString())
-    old = jvm.org.apache.hadoop.fs.Path(f"{path}.old-{uuid.uuid4().hex}")
-    if fs.exists(target):
-        fs.rename(target, old)
-    fs.rename(fresh, target)
-    fs.delete(old, True)
-
-
 def write_jsonl(lines: DataFrame, path: str, single: bool = False) -> None:
     """JSON Lines in stem order, in parts whose names keep the order; ``single`` has one task write one part.
 
@@ -121,8 +108,6 @@ def write_shards(lines: DataFrame, path: str, prefix: str = "train", compression
     ordered = columns.repartitionByRange(n, "shard").sortWithinPartitions("shard", "stem")
 
     def write(batches):
-        import pandas as pd
-        import zstandard
         from pyarrow import fs
 
         uri = path if "://" in path else f"file://{path}"
@@ -166,6 +151,13 @@ def table_properties(config: dict, required: tuple[str, ...] = ("pipeline_versio
     return json.dumps({**{f"config_{k}": str(v) for k, v in config.items()}, **{k: config.get(k, f"MISSING: {k}") for k in required}}, ensure_ascii=False, sort_keys=True)
 
 
+def metadata_folders(folder: str) -> list[str]:
+    """Where the metadata of a folder's documents may lie, in order: the folder, its downloads, and the same of its parent."""
+    inner = folder.rstrip("/")
+    parent = inner.rpartition("/")[0]
+    return [f"{base}{part}" for base in ([inner, parent] if parent and not parent.endswith("/") else [inner]) for part in ("", "/download_results")]
+
+
 def find_metadata(spark: SparkSession, folders: list[str], url_column: str = "url") -> DataFrame | None:
     """The first metadata table among the folders' Parquet files: with quality columns first, then downloads, then any."""
     from ..operators.metadata import table_kind
@@ -177,7 +169,8 @@ def find_metadata(spark: SparkSession, folders: list[str], url_column: str = "ur
         fs = where.getFileSystem(conf)
         if fs.exists(where):
             paths = sorted(s.getPath().toString() for s in fs.listStatus(where) if s.getPath().getName().endswith(".parquet"))
-            tables += [spark.read.parquet(p) for p in paths]
+            table = Snapshots(spark, folder)
+            tables += ([table.read()] if table.latest() is not None else []) + [spark.read.parquet(p) for p in paths]
     quality = {"mojibake_badness_score", "greek_badness_score", "filter", "needs_ocr"}
     for fits in (lambda d: bool(quality & set(d.columns)), lambda d: table_kind(d, url_column) == "downloads", lambda d: True):
         for d in tables:

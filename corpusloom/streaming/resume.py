@@ -1,18 +1,14 @@
-"""Incremental runs: new files as a stream, each batch merged into the metadata table once."""
+"""Incremental runs: new files as a stream, each batch merged into a table once."""
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.names import base_name, canonical_stem
 from ..operators.metadata import merge_results
-from ..sources.files import write_table
-
-#: A domain rests after so many timeouts in a row, twice as long each time, up to the limit (fixed values).
-TIMEOUTS, REST, REST_LIMIT, FAILURES = 5, 60.0, 900.0, 3
+from ..sources.snapshots import Snapshots
 
 
 def new_markdown(spark: SparkSession, path: str) -> DataFrame:
@@ -23,41 +19,13 @@ def new_markdown(spark: SparkSession, path: str) -> DataFrame:
 
 
 def process_new(stream: DataFrame, step, table_path: str, checkpoint: str, key: str = "stem") -> StreamingQuery:
-    """Runs step(batch) on what is new and merges its rows by key into the table; a batch that is run again after a
-    failure gives the same table. Stops when everything there is has been read."""
-
-    def merge(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        new = step(batch)
-        try:
-            old = spark.read.parquet(table_path)
-        except Exception as e:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            old = None
-        write_table(new if old is None else merge_results(old, new, key), table_path)
-
-    return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
+    """Runs step(batch) on what is new and merges its rows by key into the table of snapshots at table_path.
 
-def domain_state(attempts: DataFrame, domain: str = "base_domain") -> DataFrame:
-    """(base_domain, timeouts_in_a_row, rest_seconds, failures, given_up) per domain over a stream of attempts.
-
-    attempts: (base_domain, at double, outcome string) with outcome ok, timeout or failure, in order of time inside a
-    batch. The state of a domain is a few numbers.
+    Only the key ranges that a batch touches are rewritten. The number of the batch is committed with its rows, so a batch
+    that is run again after a failure changes nothing. Stops when everything there is has been read.
     """
 
-    def update(key, batches, state):
-        row, total, rests = state.get if state.exists else (0, 0, 0)
-        for batch in batches:
-            for outcome in batch.sort_values("at")["outcome"]:
-                row = row + 1 if outcome == "timeout" else 0
-                total += outcome != "ok"
-                rests = rests + 1 if row and row % TIMEOUTS == 0 else rests
-        state.update((row, int(total), rests))
-        rest = min(REST_LIMIT, REST * 2 ** (rests - 1)) if rests else 0.0
-        yield pd.DataFrame({domain: [key[0]], "timeouts_in_a_row": [row], "rest_seconds": [rest], "failures": [int(total)], "given_up": [total >= FAILURES]})
-
-    return attempts.groupBy(domain).applyInPandasWithState(
-        update, f"{domain} string, timeouts_in_a_row int, rest_seconds double, failures int, given_up boolean", "row int, total int, rests int", "update", "NoTimeout"
-    )
+    def merge(batch: DataFrame, number: int) -> None:
+        Snapshots(batch.sparkSession, table_path, key).merge(step(batch), merge_results, (checkpoint, number))
+
+    return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

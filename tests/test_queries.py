@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from corpusloom import catalogue
-from corpusloom.plans.pipeline import Corpus, conversion_backend, stub_recognition
+from corpusloom.plans.pipeline import Corpus, conversion_backend
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -42,6 +42,11 @@ def test_entry(spark):
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 
+def stub_recognition(rows):
+    """Stands for a recognition model: a fixed note per document."""
+    return rows.select("stem", F.concat(F.lit("[recognised text of "), F.col("stem"), F.lit("]")).alias("text"))
+
+
 def test_corpus_phases(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
