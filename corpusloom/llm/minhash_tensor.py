@@ -108,13 +108,14 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     known = classes.join(ends, "node", "left_semi").select("node", "digest", "least")
 
-    @F.pandas_udf("digest binary, s array<long>")
-    def sets(texts: pd.Series) -> pd.DataFrame:
-        every = [shingle_set(t, shingle) for t in texts]
-        return pd.DataFrame({"digest": [xxhash.xxh3_128_digest(s.tobytes()) for s in every], "s": [s.view(np.int64) for s in every]})
+    def sets(batches):
+        for batch in batches:
+            every = [shingle_set(t, shingle) for t in batch["text"]]
+            yield pd.DataFrame({"digest": [xxhash.xxh3_128_digest(s.tobytes()) for s in every], "s": [s.view(np.int64) for s in every]})
 
+    # A map over batches, unlike a function in a select, stays behind the semi-join: only texts of ends are cut into shingles.
     texts = docs.select("doc_id", "text").join(known.select("least"), F.col("doc_id").eqNullSafe(F.col("least")), "left_semi")
-    made = texts.select(sets(F.col("text")).alias("made")).select("made.*").join(known.select("digest", "node"), "digest")
+    made = texts.select("text").mapInPandas(sets, "digest binary, s array<long>").join(known.select("digest", "node"), "digest")
     held = written(made.select("node", "s").dropDuplicates(["node"]), "sets")
     both = pairs.join(held.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b").join(held.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
     common = F.size(F.array_intersect("sa", "sb"))
