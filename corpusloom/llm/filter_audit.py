@@ -73,7 +73,7 @@ def cells(docs: DataFrame, labels: DataFrame, part: str = "lang", failures=defau
     return counted, letters
 
 
-#: One row for each prefix of letters and mask cell. A level emits what its step, the filter `letter`, does to the mask.
+#: One row for each prefix of letters and mask cell; `unused` has the letters that may follow a set of applied bits. A level emits what its step, the filter `letter`, does to the mask.
 STEPS_SQL = """
 WITH RECURSIVE steps(prefix, letter, step, applied, mask, kept, removed, redundant, alone) AS (
   SELECT '', '', 0, 0, m.mask, true, false, false, false FROM {masks} m
@@ -81,7 +81,7 @@ WITH RECURSIVE steps(prefix, letter, step, applied, mask, kept, removed, redunda
   SELECT concat(s.prefix, f.letter), f.letter, s.step + 1, s.applied | f.bit, s.mask,
     (s.mask & (s.applied | f.bit)) = 0, (s.mask & s.applied) = 0 AND (s.mask & f.bit) <> 0,
     (s.mask & s.applied) <> 0 AND (s.mask & f.bit) <> 0, s.mask = f.bit
-  FROM steps s JOIN {filters} f ON (s.applied & f.bit) = 0
+  FROM steps s JOIN {unused} f ON s.applied = f.applied
 ) SELECT * FROM steps WHERE step > 0
 """
 
@@ -89,8 +89,8 @@ WITH RECURSIVE steps(prefix, letter, step, applied, mask, kept, removed, redunda
 def prefix_steps(masks: DataFrame, letters: str) -> DataFrame:
     """The recursion over the masks that occur: prefixes of all lengths x masks, whatever the corpus holds."""
     spark = masks.sparkSession
-    filters = spark.createDataFrame([(x, 1 << i) for i, x in enumerate(letters)], "letter string, bit int")
-    return spark.sql(STEPS_SQL, filters=filters, masks=masks)
+    unused = [(applied, x, 1 << i) for applied in range(1 << len(letters)) for i, x in enumerate(letters) if not applied >> i & 1]
+    return spark.sql(STEPS_SQL, unused=spark.createDataFrame(unused, "applied int, letter string, bit int"), masks=masks)
 
 
 def audit(docs: DataFrame, labels: DataFrame, part: str = "lang", failures=default_failures) -> DataFrame:
