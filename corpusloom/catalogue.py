@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from .plans import corpus, documents, states, tables, web
+from .plans import corpus, documents, nested, states, tables, web
 
-MODULES = (documents, web, tables, states, corpus)
+MODULES = (documents, web, tables, states, corpus, nested)
 
 
 def queries() -> dict:

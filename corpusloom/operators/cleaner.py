@@ -157,6 +157,7 @@ def badness_of_letters(raw: Column, done: Column) -> Column:
 
 
 _ROW, _RULE = re.compile(r"\s*\|.*\|\s*\Z"), re.compile(r"\s*\|\s*[-:]+\s*\|")
+RULED = r"(?m)^\s*\|\s*[-:]+\s*\|"
 _ISSUE = "line_number int, description string, expected_columns int, found_columns int, start_line int, end_line int"
 
 
@@ -165,19 +166,24 @@ def _columns(line: str) -> int:
     return bare.count("|") - 1 if len(bare) > 1 and bare[0] == bare[-1] == "|" else 0
 
 
-def malformed(text: str) -> list[tuple]:
-    """The issues of a text's tables, as ``table_issues`` has them.
-
-    A rule line opens a table: the row right above it is its header, the rows below it are its body; the search goes
-    on behind the body.
-    """
+def ruled_tables(text: str) -> tuple[list[str], list[tuple[int, int]]]:
+    """A text's lines, and its tables as (rule line, first line behind the body): a rule line opens a table, the rows below
+    it are its body, and the search goes on behind the body."""
     every = text.split("\n")
     every = [x.removesuffix("\r") for x in (every[:-1] if every[-1] == "" else every)]
-    found, free = [], 0
+    tables, free = [], 0
     for at in (i for i, x in enumerate(every) if _RULE.match(x)):
-        if at < free:
-            continue
-        free = next((i for i in range(at + 1, len(every)) if not _ROW.match(every[i])), len(every))
+        if at >= free:
+            free = next((i for i in range(at + 1, len(every)) if not _ROW.match(every[i])), len(every))
+            tables.append((at, free))
+    return every, tables
+
+
+def malformed(text: str) -> list[tuple]:
+    """The issues of a text's tables, as ``table_issues`` has them. The row right above a rule line is its header."""
+    every, tables = ruled_tables(text)
+    found = []
+    for at, free in tables:
         headed, expected = at > 0 and _ROW.match(every[at - 1]) is not None, _columns(every[at])
         span = (at - 1 if headed else at, free - 1)
         if not headed:
@@ -189,6 +195,17 @@ def malformed(text: str) -> list[tuple]:
     return found
 
 
+def table_counts(text: Column) -> Column:
+    """(tables, issues) of a text; null where it has no rule line."""
+
+    @F.pandas_udf("tables int, issues int")
+    def counts(texts: pd.Series) -> pd.DataFrame:
+        known = [t or "" for t in texts]
+        return pd.DataFrame({"tables": [len(ruled_tables(t)[1]) for t in known], "issues": [len(malformed(t)) for t in known]}).astype("int32")
+
+    return F.when(F.rlike(text, F.lit(RULED)), counts(text))
+
+
 def table_issues(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, line_number, description, expected_columns, found_columns, start_line, end_line) of malformed tables.
 
@@ -202,7 +219,7 @@ def table_issues(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         names = [c.split()[0] for c in _ISSUE.split(", ")]
         return pd.Series([[dict(zip(names, x, strict=True)) for x in malformed(t)] for t in texts])
 
-    ruled = docs.where(F.rlike(text, F.lit(r"(?m)^\s*\|\s*[-:]+\s*\|")))
+    ruled = docs.where(F.rlike(text, F.lit(RULED)))
     return ruled.select(key, F.explode(issues(F.col(text))).alias("i")).select(key, "i.*")
 
 

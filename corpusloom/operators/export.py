@@ -63,12 +63,23 @@ def joined_texts(files: DataFrame, stem: str = "stem", text: str = "text") -> Da
     return grouped.select(F.col("__base").alias(stem), F.when(F.size("p") > 0, F.array_join("p", "\n")).otherwise(F.col("own")).alias(text))
 
 
-def source_fields(docs: DataFrame, source: DataFrame, fields: list[str], key: str = "stem") -> DataFrame:
-    """docs with the fields of a source table; a missing key or a blank field stops the job."""
+def source_rows(source: DataFrame, fields: list[str], key: str = "stem", order: str | None = None) -> DataFrame:
+    """(key, fields...) of each document of a source table: of rows of the document and of chunks of it (by the page range in
+    their stems) the first that is not a chunk's, else the first, in ``order``, or as the table is read."""
+    own = without_chunk(F.col(key))
+    at = F.monotonically_increasing_id() if order is None else F.col(order)
+    rows = source.where(F.coalesce(F.trim(key), F.lit("")) != "").select(own.alias("__base"), F.struct((F.col(key) != own).alias("chunk"), at.alias("at")).alias("__order"), F.struct(*fields).alias("__row"))
+    best = rows.groupBy("__base").agg(F.min_by("__row", "__order").alias("__row"))
+    return best.select(F.col("__base").alias(key), *(F.col("__row")[f].alias(f) for f in fields))
+
+
+def source_fields(docs: DataFrame, source: DataFrame, fields: list[str], key: str = "stem", order: str | None = None) -> DataFrame:
+    """docs with the fields of a source table, one row of it a document (``source_rows``); a missing key or a blank field
+    stops the job."""
     lacking = [f for f in fields if f not in source.columns]
     if lacking:
         raise ValueError(f"source metadata lacks {', '.join(lacking)}")
-    joined = docs.join(source.select(key, F.lit(True).alias("__there"), *fields), key, "left")
+    joined = docs.join(source_rows(source, fields, key, order).withColumn("__there", F.lit(True)), key, "left")
     known = F.when(F.col("__there").isNull(), F.raise_error(F.concat(F.lit("no source metadata for "), F.col(key))))
     checked = {f: F.when(F.coalesce(F.trim(F.col(f).cast("string")), F.lit("")) == "", F.coalesce(known, F.raise_error(F.concat(F.lit(f"blank {f} for "), F.col(key))))).otherwise(F.col(f).cast("string")) for f in fields}
     return joined.withColumns(checked).drop("__there")

@@ -9,6 +9,8 @@ from pyspark.sql.window import Window as W
 
 from ..functions.names import canonical_stem
 from ..functions.values import add_stage, outcome
+from ..sources.listing import probed
+from ..sources.scratch import settled
 
 #: The metadata table's columns, types and defaults (fixed values).
 DEFAULTS: dict[str, tuple[str, object]] = {
@@ -90,10 +92,23 @@ def load_state(meta: DataFrame, markdown: DataFrame) -> tuple[DataFrame, DataFra
     return fine, failed
 
 
-def save_state(meta: DataFrame, processed: DataFrame, problematic: DataFrame) -> DataFrame:
-    """meta (with stem) with the outcome of each stem; unknown stems come in as rows; a problem beats success."""
+def save_state(meta: DataFrame, processed: DataFrame, problematic: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """meta (with stem) with the outcome of each stem; unknown stems come in as rows; a problem beats success.
+
+    files: a listing of source files. Rows that come in take their name and extension from it, by the order of extensions,
+    and whether there is such a file; without one, and where it has none of a stem, they are named .pdf.
+    """
     marks = processed.select("stem", F.lit(1).alias("rank")).union(problematic.select("stem", F.lit(2).alias("rank"))).groupBy("stem").agg(F.max("rank").alias("__rank"))
-    joined = meta.join(marks, "stem", "full_outer")
+    joined = meta.withColumn("__known", F.lit(True)).join(marks, "stem", "full_outer")
+    if files is not None:
+        fresh = probed(joined.where("__known is null").select("stem"), files).toDF("stem", "__name", "__ext", "__found")
+        joined = joined.join(fresh, "stem", "left")
+        had = lambda c, kind: F.col(c) if c in meta.columns else F.lit(None).cast(kind)
+        joined = joined.withColumns({
+            "filename": F.coalesce("filename", "__name"), "file_ext": F.coalesce(had("file_ext", "string"), "__ext"),
+            "download_success": F.coalesce(had("download_success", "boolean"), "__found"), "filename_base": F.coalesce(had("filename_base", "string"), F.when(F.col("__name").isNotNull(), F.col("stem"))),
+        }).drop("__name", "__ext", "__found")
+    joined = joined.drop("__known")
     ok, bad = F.col("__rank") == 1, F.col("__rank") == 2
     stages = F.when(ok, add_stage(F.col("processing_stage"), "extract")).otherwise(F.col("processing_stage"))
     return joined.withColumns({
@@ -131,8 +146,14 @@ def math_update(meta: DataFrame, results: DataFrame) -> DataFrame:
 
 
 def row_ids(df: DataFrame, *order: str) -> DataFrame:
-    """Adds row_id, the rank of (group, ...) over all groups: group sizes are summed up, ranks run inside groups."""
-    group = order[0]
-    sizes = df.groupBy(group).agg(F.count("*").alias("__n"))
-    before = sizes.select(group, F.coalesce(F.sum("__n").over(W.orderBy(group).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
-    return df.withColumn("__at", F.row_number().over(W.partitionBy(group).orderBy(*order[1:]))).join(before, group).withColumn("row_id", F.col("__before") + F.col("__at") - 1).drop("__at", "__before")
+    """Adds row_id, the rank of each row by ``order`` over all rows, from 0.
+
+    Rows are dealt into ranges and sorted there, so a group of many rows is split too; a row's place follows from the
+    rows of the ranges before its own, one number a range.
+    """
+    inside = 33  # bits of a row's place in its range
+    placed = settled(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id()), "ranged")
+    sizes = placed.groupBy(F.shiftright("__at", inside).alias("__range")).agg(F.count("*").alias("__n"))
+    before = sizes.select("__range", F.coalesce(F.sum("__n").over(W.orderBy("__range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    ranked = placed.withColumn("__range", F.shiftright("__at", inside)).join(F.broadcast(before), "__range")  # a row a range
+    return ranked.withColumn("row_id", F.col("__before") + F.col("__at").bitwiseAND(F.lit((1 << inside) - 1))).drop("__at", "__range", "__before")

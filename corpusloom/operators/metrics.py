@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from ..functions.latex import recommended_phase
+from ..functions.latex import recommended_phase, sanitized
 from ..sources.scratch import settled
+from .cleaner import table_counts
 
 
 def math_density(pages: DataFrame, key: str = "stem", count: str = "formula_count") -> DataFrame:
@@ -47,6 +48,54 @@ def timing_summary(df: DataFrame, key: str, value: str, order: str, rows_per_buc
     return sums.join(places, F.col(key).eqNullSafe(F.col("__k"))).select(key, "n", "total", "mean", "p50", "p90")
 
 
+#: What page metrics read of a document's nodes.
+NODES = "texts array<struct<label string, text string, orig string, prov array<struct<page_no int>>>>"
+#: Timings per page and the columns they fill (fixed values).
+TIMINGS = {"ocr": "ocr_sec", "page_parse": "parse_sec", "layout": "layout_sec", "table_structure": "table_sec"}
+
+
+def document_nodes(documents: DataFrame, key: str = "stem") -> DataFrame:
+    """(key, page_no, label, chars, dropped): formulas and code of (key, document) rows of nested JSON, once for each page
+    of a node's provenance; characters after clamping degenerate formulas, and how many the clamping dropped.
+
+    Of a node without text its original form counts. What cannot be read as JSON has no nodes.
+    """
+    nodes = documents.select(key, F.inline(F.from_json("document", NODES)["texts"])).where(F.col("label").isin("formula", "code"))
+    raw = F.coalesce(F.nullif("text", F.lit("")), "orig", F.lit(""))
+    told = nodes.select(key, "label", raw.alias("raw"), "prov").withColumn("kept", F.when(F.col("label") == "formula", F.length(sanitized(F.col("raw"))["latex"])).otherwise(F.length("raw")))
+    dropped = F.greatest(F.lit(0), F.length("raw") - F.col("kept"))
+    return told.select(key, "label", F.col("kept").alias("chars"), dropped.alias("dropped"), F.explode("prov.page_no").alias("page_no"))
+
+
+def document_pages(documents: DataFrame, key: str = "stem") -> DataFrame:
+    """One row per page of (key, document, page_count, timings, enrich_sec): counts and characters of formulas and code, how
+    many formulas were cut and by how much, seconds per page of each timing, and the page's share of the enrichment time.
+
+    ``timings`` maps the names of TIMINGS to seconds in page order; missing ones are 0 and those beyond the pages are left
+    out, as are nodes on pages that the document does not have. The enrichment time is split by formula characters, or by
+    formulas where there are no characters. Documents without pages have no rows.
+    """
+    formula = F.col("label") == "formula"
+    counted = document_nodes(documents, key).groupBy(key, "page_no").agg(
+        F.count_if(formula).alias("formula_count"), F.coalesce(F.sum(F.when(formula, F.col("chars"))), F.lit(0)).alias("formula_chars"), F.count_if(formula & (F.col("dropped") > 0)).alias("formula_truncated"),
+        F.coalesce(F.sum(F.when(formula, F.col("dropped"))), F.lit(0)).alias("formula_truncated_chars"), F.count_if(F.col("label") == "code").alias("code_count"),
+    )
+    counts = [c for c in counted.columns if c not in (key, "page_no")]
+    n = F.coalesce("page_count", F.lit(0))
+    pages = documents.where(n > 0).select(key, "timings", F.coalesce("enrich_sec", F.lit(0.0)).alias("__enrich"), F.explode(F.sequence(F.lit(1), n)).alias("page_no"))
+    seconds = [F.coalesce(F.try_element_at(F.col("timings")[name], F.col("page_no")), F.lit(0.0)).alias(column) for name, column in TIMINGS.items()]
+    met = pages.join(counted, [key, "page_no"], "left").select(key, "page_no", "__enrich", *seconds, *(F.coalesce(c, F.lit(0)).alias(c) for c in counts))
+    return shared_time(met, F.col("__enrich"), key).withColumnRenamed("time_share", "doc_enrich_share_sec").drop("__enrich")
+
+
+def page_reports(pages: DataFrame, key: str = "stem") -> DataFrame:
+    """(key, report): the rows of document_pages as one JSON object per document, its pages in order."""
+    fields = [c for c in pages.columns if c != key]
+    grouped = pages.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("page_no", *(c for c in fields if c != "page_no")))).alias("pages"), F.sum("doc_enrich_share_sec").alias("__sec"))
+    totals = F.struct(F.round("__sec", 9).alias("doc_enrich_total_sec"))
+    return grouped.select(key, F.to_json(F.struct(F.col(key).alias("file"), F.size("pages").alias("page_count"), totals.alias("totals"), "pages")).alias("report"))
+
+
 def per_page(items: DataFrame, key: str = "stem") -> DataFrame:
     """Formula and code counts and formula characters per page from (key, page_no, label, latex) rows."""
     formula = F.col("label") == "formula"
@@ -70,9 +119,10 @@ def formula_summary(items: DataFrame, key: str = "stem") -> DataFrame:
     return items.groupBy(key).agg(F.count("*").alias("items"), F.count_if(F.col("accept_score") >= 1.0).alias("accepted"), F.sum("time_ms").alias("time_ms"))
 
 
-def table_summary(issues: DataFrame, key: str) -> DataFrame:
-    """Issues per file, counted both as tables and as malformed ones."""
-    return issues.groupBy(key).agg(F.count("*").alias("total_tables"), F.count("*").alias("malformed_tables"))
+def table_summary(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, total_tables, malformed_tables) of every file: its tables, as rule lines open them, and their issues."""
+    counted = table_counts(F.col(text))
+    return docs.select(key, F.coalesce(counted["tables"], F.lit(0)).alias("total_tables"), F.coalesce(counted["issues"], F.lit(0)).alias("malformed_tables"))
 
 
 def label_shares(df: DataFrame, label: str) -> DataFrame:
@@ -87,8 +137,37 @@ def missing_share(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.count("*").alias("rows"), blank.alias("missing")).withColumn("share", F.when(F.col("rows") > 0, F.col("missing") / F.col("rows")).otherwise(0.0))
 
 
-def rolling(attempts: DataFrame, key: str, order: str, failed: str, seconds: str, failures: int = 50, durations: int = 200) -> DataFrame:
-    """Each attempt with its key's share of failures among the last attempts and its mean seconds among them."""
-    last = lambda n: W.partitionBy(key).orderBy(order).rowsBetween(1 - n, 0)
-    share = F.avg(F.col(failed).cast("int")).over(last(failures))
-    return attempts.withColumns({"failed_share": share, "mean_seconds": F.avg(seconds).over(last(durations)), "easing": share >= 0.2})
+def rolling(attempts: DataFrame, key: str, order: str, error: str, seconds: str, errors: int = 50, durations: int = 200, block: int = 10_000) -> DataFrame:
+    """Each attempt with the state of its key at that time: the share of timeouts and of refusals (429, 503 and 403) among
+    its last ``errors`` errors, the mean seconds of its last ``durations`` attempts, and whether to ease off: at a fifth of
+    either share or beyond a minute, once there has been an error.
+
+    Rows are ranked within their key over ranges of (key, order), so that a busy key is many ranges; windows run over blocks
+    of ranks, to which the last rows of the block before are added. A null error is none; shares are null before the first.
+    """
+    if block < max(errors, durations):
+        raise ValueError("a block holds at least a window's rows")
+    placed = settled(attempts.repartitionByRange(key, order).withColumn("__b", F.spark_partition_id()), "attempts")
+    failed = F.col(error).isNotNull()
+    sizes = placed.groupBy(key, "__b").agg(F.count("*").alias("__n"), F.count_if(failed).alias("__m"))
+    up = W.partitionBy(key).orderBy("__b").rowsBetween(W.unboundedPreceding, -1)
+    before = sizes.select(F.col(key).alias("__k"), F.col("__b").alias("__c"), *(F.coalesce(F.sum(c).over(up), F.lit(0)).alias(f"{c}_before") for c in ("__n", "__m")))
+    run = W.partitionBy(key, "__b").orderBy(order)
+    at = placed.withColumns({"__r": F.row_number().over(run), "__e": F.count_if(failed).over(run.rowsBetween(W.unboundedPreceding, 0))})
+    ranked = at.join(before, at[key].eqNullSafe(F.col("__k")) & (F.col("__b") == F.col("__c")))
+    ranked = settled(ranked.withColumns({"__r": F.col("__r") + F.col("__n_before") - 1, "__e": F.col("__e") + F.col("__m_before")}).select(*attempts.columns, "__r", "__e"), "ranked")
+
+    def windowed(rows: DataFrame, rank: str, n: int, **aggregates: Column) -> DataFrame:
+        own = F.floor(F.col(rank) / block)
+        copies = F.when(F.col(rank) % block > block - n, F.array(own, own + 1)).otherwise(F.array(own))
+        dealt = rows.withColumn("__block", F.explode(copies))
+        last = W.partitionBy(key, "__block").orderBy(rank).rowsBetween(1 - n, 0)
+        return dealt.withColumns({name: a.over(last) for name, a in aggregates.items()}).where(F.col("__block") == own).drop("__block")
+
+    share = lambda *words: F.avg(F.when(F.rlike(error, F.lit("|".join(words))), 1.0).otherwise(0.0))
+    told = windowed(ranked.where(failed).select(key, error, "__e"), "__e", errors, timeout_share=share("Timeout"), refused_share=share("HTTP 429", "HTTP 503", "HTTP 403"))
+    told = told.select(F.col(key).alias("__k"), F.col("__e").alias("__f"), "timeout_share", "refused_share")
+    timed = windowed(ranked, "__r", durations, mean_seconds=F.avg(seconds))
+    met = timed.join(told, timed[key].eqNullSafe(F.col("__k")) & (F.col("__e") == F.col("__f")), "left")
+    easing = F.coalesce((F.col("timeout_share") >= 0.2) | (F.col("refused_share") >= 0.2) | (F.col("timeout_share").isNotNull() & (F.col("mean_seconds") > 60)), F.lit(False))
+    return met.withColumn("easing", easing).select(*attempts.columns, "timeout_share", "refused_share", "mean_seconds", "easing")

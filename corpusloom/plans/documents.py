@@ -163,7 +163,7 @@ def clean_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaner.quality_report(table(spark, sf_dir, "documents").select("doc_id", "text"))[1]
 
 
-def _with_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tables_in_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with a well-formed table behind every fourth, a short row behind every fifth, a headless one behind every seventh."""
     good = "\n| a | b |\n|---|---|\n| 1 | 2 |\nend"
     short = "\n| a | b |\n|---|---|\n| 1 | 2 | 3 |\nend"
@@ -174,11 +174,11 @@ def _with_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def malformed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaner.table_issues(_with_tables(spark, sf_dir))
+    return cleaner.table_issues(tables_in_documents(spark, sf_dir))
 
 
 def remove_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _with_tables(spark, sf_dir)
+    docs = tables_in_documents(spark, sf_dir)
     done = cleaner.remove_tables(docs, cleaner.table_issues(docs))
     return done.select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"), count(F.col("text"), "<!-- table-removed -->").alias("removed"))
 

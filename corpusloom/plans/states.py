@@ -148,21 +148,31 @@ SELECT doc_id, CASE WHEN h < 40 THEN 280 WHEN h < 120 THEN 240 WHEN h > 800 THEN
 
 
 def source_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with fields of their source's metadata, which must be there for each of them."""
-    docs = table(spark, sf_dir, "documents").where("doc_id is not null").select(F.col("doc_id").cast("string").alias("stem"))
-    source = table(spark, sf_dir, "documents").where("doc_id is not null").select(F.col("doc_id").cast("string").alias("stem"), F.coalesce("lang", F.lit("und")).alias("language"), F.coalesce("n_chars", F.lit(0)).alias("length"))
-    return export.source_fields(docs.distinct(), source.dropDuplicates(["stem"]), ["language", "length"])
+    """Documents with fields of their source's metadata, whose rows are documents', repeated ones and chunks' among them."""
+    rows = table(spark, sf_dir, "documents").where("doc_id is not null").select("doc_id", F.coalesce("lang", F.lit("und")).alias("language"), F.coalesce("n_chars", F.lit(0)).alias("length")).dropDuplicates(["doc_id"])
+    i = F.col("doc_id")
+    copy = lambda when, suffix, at, language: F.when(when, F.array(F.struct(F.concat(F.lit("d"), i.cast("string"), F.lit(suffix)).alias("stem"), F.lit(at).alias("at"), language.alias("language")))).otherwise(F.array())
+    own = F.col("language")
+    copies = F.concat(copy(i % 2 == 0, "__p0001-0200", 0, F.concat(F.lit("first of "), own)), copy(i % 3 != 0, "", 1, own), copy(i % 5 == 0, "", 2, F.lit("again")), copy((i % 3 == 0) & (i % 5 != 0), "__p0201-0300", 3, F.concat(F.lit("last of "), own)))
+    source = rows.select("length", F.inline(copies))
+    return export.source_fields(rows.select(F.concat(F.lit("d"), i.cast("string")).alias("stem")), source, ["language", "length"], order="at")
 
 
-SOURCE_FIELDS_SQL = "SELECT CAST(doc_id AS VARCHAR) AS stem, coalesce(lang, 'und') AS language, CAST(coalesce(n_chars, 0) AS VARCHAR) AS length FROM documents WHERE doc_id IS NOT NULL"
+SOURCE_FIELDS_SQL = """
+WITH d AS (SELECT DISTINCT ON (doc_id) doc_id, coalesce(lang, 'und') AS language, CAST(coalesce(n_chars, 0) AS VARCHAR) AS length FROM documents WHERE doc_id IS NOT NULL)
+SELECT 'd' || doc_id AS stem, CASE WHEN doc_id % 3 <> 0 THEN language WHEN doc_id % 5 = 0 THEN 'again' WHEN doc_id % 2 = 0 THEN 'first of ' || language ELSE 'last of ' || language END AS language, length FROM d
+"""
 
 
 def table_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Issues of malformed tables counted by document."""
-    return metrics.table_summary(documents.malformed_tables(spark, sf_dir), "doc_id")
+    """Tables and issues of every document."""
+    return metrics.table_summary(documents.tables_in_documents(spark, sf_dir))
 
 
-TABLE_ISSUES_SQL = f"SELECT doc_id, count(*) AS total_tables, count(*) AS malformed_tables FROM ({documents.MALFORMED_SQL}) GROUP BY doc_id"
+TABLE_ISSUES_SQL = f"""
+WITH {documents._TABLE_BASE}, a AS (SELECT doc_id, count(*) AS n FROM h GROUP BY doc_id), b AS (SELECT doc_id, count(*) AS n FROM issues GROUP BY doc_id)
+SELECT t.doc_id, CAST(coalesce(a.n, 0) AS INTEGER) AS total_tables, CAST(coalesce(b.n, 0) AS INTEGER) AS malformed_tables FROM t LEFT JOIN a ON t.doc_id = a.doc_id LEFT JOIN b ON t.doc_id = b.doc_id
+"""
 
 QUERIES = {
     "page_metrics": (page_metrics, PAGE_METRICS_SQL), "formula_results": (formula_results, FORMULA_RESULTS_SQL), "triage_rows": (triage_rows, TRIAGE_SQL), "section_routing": (section_routing, SECTION_ROUTING_SQL),

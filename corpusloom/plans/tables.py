@@ -249,19 +249,29 @@ def missing_doctypes(spark: SparkSession, sf_dir: str) -> DataFrame:
 MISSING_DOCTYPES_SQL = f"SELECT count(*) AS rows, count(*) FILTER (coalesce(trim(document_type), '') = '') AS missing, count(*) FILTER (coalesce(trim(document_type), '') = '') / count(*) AS share FROM ({DOCTYPE_SQL})"
 
 
+#: What attempts made of events fail with, by a remainder (fixed values).
+ERRORS = ("Timeout after 45 s", "HTTP 429", "HTTP 404", "HTTP 403", "HTTP 503")
+
+
 def rolling_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as attempts of their users: the latest failures and durations."""
-    attempts = table(spark, sf_dir, "events").select("event_id", "user_id", (F.pmod(F.floor("value"), F.lit(3)) == 0).alias("failed"), F.floor("value").alias("seconds"))
-    return metrics.rolling(attempts, "user_id", "event_id", "failed", "seconds").select("event_id", "failed_share", "mean_seconds", "easing")
+    """Events as attempts of their users, some of which fail: timeouts, refusals, durations, and whether to ease off."""
+    kind = F.pmod(F.floor("value"), F.lit(23)).cast("int")
+    error = F.when(kind < len(ERRORS), F.element_at(F.array(*map(F.lit, ERRORS)), kind + 1))
+    attempts = table(spark, sf_dir, "events").select("event_id", "user_id", error.alias("error"), F.floor("value").alias("seconds"))
+    return metrics.rolling(attempts, "user_id", "event_id", "error", "seconds").select("event_id", "timeout_share", "refused_share", "mean_seconds", "easing")
 
 
-ROLLING_SQL = """
-WITH a AS (SELECT event_id, user_id, CAST(floor(value) AS BIGINT) AS s, CAST(floor(value) AS BIGINT) % 3 = 0 AS f FROM events
+_ERRORS = ", ".join(f"'{e}'" for e in ERRORS)
+ROLLING_SQL = f"""
+WITH a AS (SELECT event_id, user_id, CAST(floor(value) AS BIGINT) AS s, [{_ERRORS}][CAST(floor(value) AS BIGINT) % 23 + 1] AS e FROM events
 ), r AS (
-  SELECT event_id, avg(CAST(f AS INTEGER)) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS failed_share,
-    avg(s) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 199 PRECEDING AND CURRENT ROW) AS mean_seconds FROM a
+  SELECT *, avg(s) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 199 PRECEDING AND CURRENT ROW) AS mean_seconds, count(e) OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM a
+), f AS (
+  SELECT user_id, n, avg(CASE WHEN contains(e, 'Timeout') THEN 1.0::DOUBLE ELSE 0 END) OVER w AS timeout_share, avg(CASE WHEN e IN ('HTTP 429', 'HTTP 503', 'HTTP 403') THEN 1.0::DOUBLE ELSE 0 END) OVER w AS refused_share
+  FROM r WHERE e IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY n ROWS BETWEEN 49 PRECEDING AND CURRENT ROW)
 )
-SELECT event_id, failed_share, mean_seconds, failed_share >= 0.2 AS easing FROM r
+SELECT event_id, timeout_share, refused_share, mean_seconds, coalesce(timeout_share >= 0.2 OR refused_share >= 0.2 OR (timeout_share IS NOT NULL AND mean_seconds > 60), false) AS easing
+FROM r LEFT JOIN f ON r.user_id IS NOT DISTINCT FROM f.user_id AND r.n = f.n
 """
 
 

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import io
-import json
-import re
 import uuid
 
 import pandas as pd
@@ -15,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import base_name, canonical_stem
 from ..functions.urls import SUPPORTED
+from .listing import arrow_folder
 from .scratch import settled
 from .snapshots import Snapshots
 
@@ -108,10 +107,7 @@ def write_shards(lines: DataFrame, path: str, prefix: str = "train", compression
     ordered = columns.repartitionByRange(n, "shard").sortWithinPartitions("shard", "stem")
 
     def write(batches):
-        from pyarrow import fs
-
-        uri = path if "://" in path else f"file://{path}"
-        system, root = fs.FileSystem.from_uri(uri.replace("file:/", "file:///", 1) if re.match("file:/[^/]", uri) else uri)
+        system, root = arrow_folder(path)
         system.create_dir(root)
 
         class Shard:
@@ -146,11 +142,6 @@ def write_report(report: DataFrame, path: str, key: str = "file_name") -> None:
     report.orderBy(key).select(F.col(key).alias("File Name"), show("badness_score_all_chars", "%.4f").alias("Badness"), show("percentage_greek_cleaned", "%.2f%%").alias("Greek Percentage"), show("percentage_latin_cleaned", "%.2f%%").alias("Latin Percentage")).write.mode("overwrite").option("header", True).csv(path)
 
 
-def table_properties(config: dict, required: tuple[str, ...] = ("pipeline_version", "source", "created", "description")) -> str:
-    """Properties of a table as JSON, with config_ before configuration keys and MISSING notes for required ones."""
-    return json.dumps({**{f"config_{k}": str(v) for k, v in config.items()}, **{k: config.get(k, f"MISSING: {k}") for k in required}}, ensure_ascii=False, sort_keys=True)
-
-
 def metadata_folders(folder: str) -> list[str]:
     """Where the metadata of a folder's documents may lie, in order: the folder, its downloads, and the same of its parent."""
     inner = folder.rstrip("/")
