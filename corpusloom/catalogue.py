@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from .plans import corpus, documents, nested, states, tables, web
+from .plans import corpus, documents, nested, runs, states, tables, web
 
-MODULES = (documents, web, tables, states, corpus, nested)
+MODULES = (documents, web, tables, states, corpus, nested, runs)
 
 
 def queries() -> dict:
