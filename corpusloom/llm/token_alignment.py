@@ -36,7 +36,7 @@ from .common import written
 #: Bytes of text that one call of merge_asof takes (more only for one longer text), and those of a block of documents.
 BATCH_BYTES, BLOCK_BYTES = 1_000_000, 4_000_000
 #: Characters whose classes all regular-expression engines in question agree on; other texts take the slower encoder.
-_COMMON = re.compile("[\x00-ɏͰ-ԯ‐-‧₠-₿]*")
+_COMMON = re.compile(r"[\x00-\u024F\u0370-\u052F\u2010-\u2027\u20A0-\u20BF]*")
 
 
 def default_paths() -> tuple[str, str]:
@@ -85,10 +85,10 @@ class ByteLevel:
         ranks = {b: i for i, b in enumerate(self.bytes) if i not in special}
         return tiktoken.Encoding("byte_level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def __call__(self, texts: list[str]) -> list[list[int]]:
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
         one = lambda t: self.slow.encode(t, add_special_tokens=False).ids
         quick = self.fast.encode_ordinary if self.fast else one
-        return [(quick if _COMMON.fullmatch(t) else one)(" " + t) for t in texts]
+        return [np.array((quick if _COMMON.fullmatch(t) else one)(" " + t), np.int32) for t in texts]
 
 
 class Pieces:
@@ -101,8 +101,8 @@ class Pieces:
         pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.bytes = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
 
-    def __call__(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1)
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x, np.int32) for x in self.model.encode(texts, num_threads=1)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -110,9 +110,24 @@ def tokenizers_of(path_a: str, path_b: str) -> tuple[ByteLevel, Pieces]:
     return ByteLevel(path_a), Pieces(path_b)
 
 
+class Strings:
+    """Byte strings by number, put together many at a time."""
+
+    def __init__(self, strings: list[bytes]):
+        self.length = np.array([len(x) for x in strings], np.int64)
+        self._begin = np.cumsum(self.length) - self.length
+        self._bytes = np.frombuffer(b"".join(strings), np.uint8)
+
+    def joined(self, numbers: np.ndarray) -> np.ndarray:
+        """The bytes of the strings one behind the other."""
+        lengths = self.length[numbers]
+        shift = self._begin[numbers] - (np.cumsum(lengths) - lengths)
+        return self._bytes[np.repeat(shift, lengths) + np.arange(int(lengths.sum()))]
+
+
 @functools.lru_cache(maxsize=4)
-def _lengths(tokens: ByteLevel | Pieces) -> np.ndarray:
-    return np.array([len(b) for b in tokens.bytes], np.int64)
+def _spellings(tokens: ByteLevel | Pieces) -> Strings:
+    return Strings(tokens.bytes)
 
 
 @dataclass
@@ -144,15 +159,16 @@ def align(texts: list[str | None], tokens: tuple[ByteLevel, Pieces]) -> Aligned:
     wholes = [(" " + texts[k]).encode() for k in chosen]
     sizes = np.array([len(w) for w in wholes], np.int64)
     flat, counts, good = [], [], np.ones(len(chosen), bool)
+    whole = np.frombuffer(b"".join(wholes), np.uint8)
     for side in tokens:
         each = side([texts[k] for k in chosen])
         n = np.array([len(x) for x in each], np.int64)
-        ids = np.fromiter(itertools.chain.from_iterable(each), np.int64, int(n.sum()))
-        cuts = np.concatenate(([0], np.cumsum(n)))
-        covered = np.concatenate(([0], np.cumsum(_lengths(side)[ids])))[cuts]
-        spelled = b"".join(map(side.bytes.__getitem__, ids.tolist()))
-        if not (np.array_equal(np.diff(covered), sizes) and spelled == b"".join(wholes)):
-            good &= np.array([spelled[a:b] == w for a, b, w in zip(covered, covered[1:], wholes, strict=True)], bool)
+        ids = np.concatenate([np.zeros(0, np.int32), *each]).astype(np.int64)
+        covered = np.diff(np.concatenate(([0], np.cumsum(_spellings(side).length[ids])))[np.concatenate(([0], np.cumsum(n)))])
+        spelled = _spellings(side).joined(ids)
+        if not (np.array_equal(covered, sizes) and np.array_equal(spelled, whole)):
+            cuts = np.cumsum(covered)
+            good &= np.array([spelled[b - a : b].tobytes() == w for a, b, w in zip(covered, cuts, wholes, strict=True)], bool)
         flat.append(ids)
         counts.append(n)
     chosen_at = np.array(chosen, np.int64)
@@ -163,10 +179,10 @@ def align(texts: list[str | None], tokens: tuple[ByteLevel, Pieces]) -> Aligned:
     for side, all_ids, n in zip(tokens, flat, counts, strict=True):
         keep = np.repeat(good, n)
         own = all_ids[keep]
-        ends = np.cumsum(_lengths(side)[own])
+        ends = np.cumsum(_spellings(side).length[own])
         doc.append(np.repeat(chosen_at, n)[keep])
         ids.append(own)
-        start.append(ends - _lengths(side)[own])
+        start.append(ends - _spellings(side).length[own])
         end.append(ends)
     frames = [pd.DataFrame({"start": s, "doc": d, "position": np.arange(len(s))}) for s, d in zip(start, doc, strict=True)]
     b_of_a, a_of_b = covering(frames[0].drop(columns="position"), frames[1]), covering(frames[1].drop(columns="position"), frames[0])
@@ -181,9 +197,9 @@ def align(texts: list[str | None], tokens: tuple[ByteLevel, Pieces]) -> Aligned:
 
 
 @functools.lru_cache(maxsize=1)
-def _spelled(size: int) -> list[bytes]:
+def _decimals(size: int) -> Strings:
     """Each id in decimal with a comma, a bar and a semicolon behind it."""
-    return [f"{i}{mark}".encode() for i in range(size) for mark in ",|;"]
+    return Strings([f"{i}{mark}".encode() for i in range(size) for mark in ",|;"])
 
 
 def group_digests(found: Aligned, size: int) -> list[str]:
@@ -197,9 +213,9 @@ def group_digests(found: Aligned, size: int) -> list[str]:
     codes[np.arange(len(a_group)) + b_before[a_group]] = 3 * found.ids[0] + a_last
     codes[np.arange(len(b_group)) + a_through[b_group]] = 3 * found.ids[1] + 2 * b_last
     cuts = np.concatenate(([0], np.cumsum(found.per_document(found.doc[0]) + found.per_document(found.doc[1]))))
-    spelled = _spelled(size)
-    digest = lambda a, b: hashlib.sha256(b"".join(map(spelled.__getitem__, codes[a:b].tolist()))[:-1]).hexdigest()
-    return [digest(a, b) if a < b else "" for a, b in itertools.pairwise(cuts.tolist())]
+    decimals = _decimals(size)
+    text, ends = decimals.joined(codes).tobytes(), np.concatenate(([0], np.cumsum(decimals.length[codes])))[cuts]
+    return [hashlib.sha256(text[a : b - 1]).hexdigest() if a < b else "" for a, b in itertools.pairwise(ends.tolist())]
 
 
 def _batches(texts: pd.Series):
