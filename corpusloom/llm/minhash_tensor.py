@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import parallelism, written
-from .simhash_dedup import components
+from .graph import components, labels_of
 
 SHINGLE, PERCENT = 3, 85
 #: Sketches of a collection, and minhashes of a sketch.
@@ -41,8 +41,8 @@ _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
-def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
-    """The sorted distinct 64-bit hashes of a text's word shingles."""
+def shingle_hashes(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """The 64-bit hashes of a text's word shingles, repeats included; of fewer words than a shingle that of all of them."""
     data = b" ".join(_WORD.findall((text or "").encode("utf-8", "surrogatepass").translate(_LOWER)))
     if not data:
         return np.zeros(0, np.uint64)
@@ -52,12 +52,17 @@ def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
         return np.array([xxhash.xxh64_intdigest(data, 42)], np.uint64)
     digest = xxhash.xxh64_intdigest
     grams = (digest(data[a:b], 42) for a, b in zip(starts, ends[shingle - 1 :], strict=False))
-    return np.unique(np.fromiter(grams, np.uint64, len(starts) - shingle + 1))
+    return np.fromiter(grams, np.uint64, len(starts) - shingle + 1)
+
+
+def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """The sorted distinct hashes of a text's word shingles."""
+    return np.unique(shingle_hashes(text, shingle))
 
 
-def hash_family(seed: int = 23) -> tuple[np.ndarray, np.ndarray]:
+def hash_family(sketches: int = SKETCHES, seed: int = 23) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(seed)
-    n = 2 * SKETCHES * WIDTH
+    n = 2 * sketches * WIDTH
     return rng.integers(0, 2**64, n, dtype=np.uint64), rng.integers(0, 2**63, n, dtype=np.uint64) * 2 + 1
 
 
@@ -79,22 +84,24 @@ def sketches(least: np.ndarray) -> np.ndarray:
     return mixed
 
 
+def signatures(sets: list[np.ndarray], family: tuple[np.ndarray, np.ndarray]) -> dict[str, list]:
+    """digest, size, u and v of sets: 128 bits that tell sets apart, sizes, and the two collections of sketches."""
+    least = np.zeros((len(sets), len(family[0])), np.uint64)
+    for i, s in enumerate(sets):
+        if len(s):
+            least[i] = minhashes(s, family)
+    both = sketches(least).view(np.int64)
+    half = both.shape[1] // 2
+    return {"digest": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], "size": [len(s) for s in sets], "u": list(both[:, :half]), "v": list((both[:, half:] >> 32).astype(np.int32))}
+
+
 def sketched(text: Column, shingle: int = SHINGLE) -> Column:
-    """(digest, size, u, v): 128 bits that tell sets apart, the set's size and its two collections of sketches."""
+    """(digest, size, u, v) of a text column's sets."""
     family = hash_family()
 
     @F.pandas_udf("digest binary, size long, u array<long>, v array<int>")
     def sketch(texts: pd.Series) -> pd.DataFrame:
-        digests, sizes, least = [], [], np.zeros((len(texts), len(family[0])), np.uint64)
-        for i, t in enumerate(texts):
-            s = shingle_set(t, shingle)
-            digests.append(xxhash.xxh3_128_digest(s.tobytes()))
-            sizes.append(len(s))
-            if len(s):
-                least[i] = minhashes(s, family)
-        both = sketches(least).view(np.int64)
-        v = (both[:, SKETCHES:] >> 32).astype(np.int32)
-        return pd.DataFrame({"digest": digests, "size": sizes, "u": list(both[:, :SKETCHES]), "v": list(v)})
+        return pd.DataFrame(signatures([shingle_set(t, shingle) for t in texts], family))
 
     return sketch(text)
 
@@ -138,6 +145,14 @@ def leader_pairs(met: DataFrame, classes: DataFrame) -> DataFrame:
     return led.where("a < b").select("a", "b")
 
 
+def across_labels(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose labels differ; a node without a label is its own."""
+    named = pairs
+    for x in "ab":
+        named = named.join(labels.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}")), x, "left")
+    return named.where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
+
+
 def cross_pairs(rows: pd.DataFrame, percent: int):
     """Frames (a, b) of pairs of one batch of whole meetings: a second sketch in common, other labels, sizes that allow the
     similarity, and this meeting and this second sketch the first that both nodes have in common.
@@ -231,9 +246,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     met = written(meetings(classes), "meetings")
     led = written(leader_pairs(met, classes), "leaders")
     first = written(verified(led, classes, docs, shingle, percent), "near")
-    ends = first.select(F.col("a").alias("fp")).union(first.select(F.col("b").alias("fp"))).distinct()
-    labels = components(first, ends.select("fp", F.col("fp").alias("least"))).select(F.col("fp").alias("node"), F.col("least").alias("label"))
-    rest = written(popular_first(written(candidate_pairs(met, classes, labels, percent), "candidates")), "candidates")
+    rest = written(popular_first(written(candidate_pairs(met, classes, labels_of(first), percent), "candidates")), "candidates")
     links = written(first.union(verified(rest, classes, docs, shingle, percent)), "near")
     joined = components(links, classes.select(F.col("node").alias("fp"), F.coalesce("least", last).alias("least"))).select(F.col("fp").alias("node"), F.col("least").alias("low"))
     known = written(classes.select("digest", "node", "least").join(joined, "node", "left").select("digest", F.coalesce("low", "least").alias("low")), "classes")

@@ -17,16 +17,16 @@ before all others; repeated rows share a class; an empty table gives an empty re
 from __future__ import annotations
 
 import itertools
-import math
-import re
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import minhash_tensor
 from .common import parallelism, written
+from .graph import components, labels_of
+from .minhash_tensor import shingle_hashes
 
 MAX_BITS = 3
 PIVOTS = 16
@@ -34,28 +34,21 @@ PIVOTS = 16
 BLOCK_ROWS = 4096
 #: Pairs that a task holds at a time, which bounds its memory.
 PAIRS_AT_ONCE = 200_000
-#: Documents whose shingles are counted, and how many frequent shingles are kept, to put the rare first.
-SAMPLE_ROWS, FREQUENT = 50_000, 200_000
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+#: Sketches of a collection of similar_documents: at 0.8 more are needed than at 0.85.
+SKETCHES = 28
+
+
+def bits_of(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of 64-bit hashes; zero for none."""
+    ones = np.zeros(64, np.int64)
+    for low in range(0, len(hashes), 65536):
+        ones += np.unpackbits(hashes[low : low + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
 def fingerprint_of(text: str | None, shingle: int = 3) -> int:
     """The SimHash of one text: bit i is set if it is set in over half of the shingles' hashes."""
-    data = b" ".join(_WORD.findall((text or "").encode("utf-8", "surrogatepass").translate(_LOWER)))
-    if not data:
-        return 0
-    ends = [i for i, c in enumerate(data) if c == 32] if len(data) < 64 else np.flatnonzero(np.frombuffer(data, np.uint8) == 32).tolist()
-    starts = [0, *(e + 1 for e in ends)]
-    ends.append(len(data))
-    if len(starts) <= shingle:
-        return xxhash.xxh64_intdigest(data, 42)
-    digest, ones, total = xxhash.xxh64_intdigest, np.zeros(64, np.int64), len(starts) - shingle + 1
-    for low in range(0, total, 65536):
-        part = zip(starts[low : min(low + 65536, total)], ends[low + shingle - 1 :], strict=False)
-        hashes = np.array([digest(data[a:b], 42) for a, b in part], np.uint64)
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * ones > total, bitorder="little").view(np.uint64)[0])
+    return bits_of(shingle_hashes(text, shingle))
 
 
 def fingerprints(text: Column, shingle: int = 3) -> Column:
@@ -203,164 +196,6 @@ def link_fingerprints(distinct: DataFrame, masks: list[int], max_bits: int = MAX
     return dealt_out.mapInPandas(links, "a long, b long, apart int").distinct()
 
 
-def components(links: DataFrame, nodes: DataFrame, max_rounds: int = 50) -> DataFrame:
-    """(fp, least): the least ``least`` that links reach from each fp; nodes: (fp, least), one row per fp.
-
-    Each round takes the least label among a node's neighbours and then the label of the label's owner, so that
-    long chains shrink geometrically; every round is written to the shared folder.
-    """
-    both = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    labels = written(nodes.join(both.select(F.col("a").alias("fp")).distinct(), "fp", "left_semi").select("fp", "least", F.col("fp").alias("owner")), "labels")
-    for _ in range(max_rounds):
-        seen = both.join(labels.select(F.col("fp").alias("b"), "least", "owner"), "b").groupBy(F.col("a").alias("fp")).agg(F.min(F.struct("least", "owner")).alias("best"))
-        hop = labels.join(seen, "fp", "left").select("fp", F.col("least").alias("was"), F.least(F.struct("least", "owner"), F.coalesce("best", F.struct("least", "owner"))).alias("now"))
-        hop = hop.select("fp", "was", F.col("now.least").alias("least"), F.col("now.owner").alias("owner"))
-        up = labels.select(F.col("fp").alias("owner"), F.struct(F.col("least"), F.col("owner")).alias("above"))
-        jumped = hop.join(up, "owner", "left").select("fp", "was", F.least(F.struct("least", "owner"), F.coalesce("above", F.struct("least", "owner"))).alias("now"))
-        step = written(jumped.select("fp", F.col("now.least").alias("least"), F.col("now.owner").alias("owner"), (F.col("now.least") != F.col("was")).alias("moved")), "labels")
-        labels = step.drop("moved")
-        if step.where("moved").isEmpty():
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    return labels.select("fp", "least")
-
-
-def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
-    """Sorted distinct 32-bit hashes of a text's word shingles."""
-    words = _WORD.findall((text or "").encode("utf-8", "surrogatepass").translate(_LOWER))
-    if not words:
-        return np.zeros(0, np.int32)
-    grams = (b" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1)))
-    return np.unique(np.fromiter((xxhash.xxh32_intdigest(g, 42) for g in grams), np.uint32).view(np.int32))
-
-
-def shingle_sets(text: Column, shingle: int) -> Column:
-    """(fp, node, s) of a text column: its SimHash, a 64-bit hash of its shingle set, and the set."""
-
-    @F.pandas_udf("fp long, node long, s array<int>")
-    def sets(texts: pd.Series) -> pd.DataFrame:
-        every = [shingle_hashes(t, shingle) for t in texts]
-        fps = np.array([fingerprint_of(t, shingle) for t in texts], np.uint64).view(np.int64)
-        nodes = np.array([xxhash.xxh64_intdigest(x.tobytes(), 42) for x in every], np.uint64).view(np.int64)
-        return pd.DataFrame({"fp": fps, "node": nodes, "s": every})
-
-    return sets(text)
-
-
-def similar_links(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets (node, s) have a Jaccard similarity of at least ``similarity``."""
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    ended = written(sets.join(ends, "node", "left_semi").select("node", "s").dropDuplicates(["node"]), "shingles")
-
-    @F.pandas_udf("double")
-    def jaccard(left: pd.Series, right: pd.Series) -> pd.Series:
-        common = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(left, right, strict=True)]
-        return pd.Series([c / max(1, len(x) + len(y) - c) for c, x, y in zip(common, left, right, strict=True)], dtype="float64")
-
-    both = pairs.join(ended.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a").join(ended.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
-    return both.where(jaccard(F.col("sa"), F.col("sb")) >= similarity).select("a", "b")
-
-
-def frequent_shingles(sets: DataFrame, rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent shingles of a sample of documents, sorted, and their ranks, the most frequent highest."""
-    every = max(1, rows // SAMPLE_ROWS)
-    counted = sets.where(F.pmod(F.xxhash64("node"), F.lit(every)) == 0).select(F.explode("s").alias("key")).groupBy("key").agg(F.count("*").alias("n"))
-    top = counted.where("n > 1").orderBy(F.desc("n"), "key").limit(FREQUENT).select("key").toPandas()["key"].to_numpy(np.int32)
-    order = np.argsort(top)
-    return top[order], len(top) - order
-
-
-def prefix(s: np.ndarray, frequent: np.ndarray, ranks: np.ndarray, similarity: float) -> np.ndarray:
-    """The first shingles of a set in one order for all, the rarest first: similar sets share one of them."""
-    keep = len(s) - math.ceil(similarity * len(s) - 1e-9) + 1 if len(s) else 0
-    rank = np.zeros(len(s), np.int64)
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
-        rank = np.where(frequent[at] == s, ranks[at], 0)
-    return s[np.lexsort((s, rank))[:keep]]
-
-
-def least_common(m: np.ndarray, n: np.ndarray, similarity: float) -> np.ndarray:
-    """How many of their prefix shingles two sets of m and n shingles share at least, should they reach the similarity.
-
-    They have at least o = s / (1 + s) * (m + n) shingles in common. Of a prefix of p shingles at most m - o are not
-    common, and the common ones of both prefixes are the first common ones in the same order: the shorter list is in both.
-    """
-    o = np.ceil(similarity / (1 + similarity) * (m + n) - 1e-6)
-    kept = lambda x: x - np.ceil(similarity * x - 1e-9) + 1
-    return np.maximum(1, np.minimum(kept(m) - (m - o), kept(n) - (n - o))).astype(np.int64)
-
-
-def bucket_pairs(key: np.ndarray, node: np.ndarray, label: np.ndarray, size: np.ndarray, at: np.ndarray, similarity: float):
-    """Arrays (a, b, m, n) of nodes with a key in common (rows sorted by key), of differing labels and with room for
-    the similarity, and their sizes: a shared key at places p and q of sets of m and n leaves at most
-    min(p, q) + min(m - p, n - q) common shingles.
-    """
-    i, apart = np.arange(len(key)), 0
-    while True:
-        apart += 1
-        i = i[i + apart < len(key)]
-        i = i[key[i] == key[i + apart]]
-        if not len(i):
-            return
-        j = i + apart
-        most = np.minimum(at[i], at[j]) + np.minimum(size[i] - at[i], size[j] - at[j])
-        fits = (label[i] != label[j]) & (most * (1 + similarity) >= similarity * (size[i] + size[j]) - 1e-6)
-        a, b = i[fits], j[fits]
-        if len(a):
-            swap = node[a] > node[b]
-            a, b = np.where(swap, b, a), np.where(swap, a, b)
-            yield node[a], node[b], size[a], size[b]
-
-
-def prefix_pairs(sets: DataFrame, labels: DataFrame, rows: int, similarity: float) -> DataFrame:
-    """Every pair (a, b) of nodes that may reach the similarity, without those of one label; labels: (node, label)."""
-    frequent, ranks = frequent_shingles(sets, rows)
-    spark = sets.sparkSession
-    shared = spark.sparkContext.broadcast((frequent, ranks))
-
-    @F.pandas_udf("array<int>")
-    def prefixes(every: pd.Series) -> pd.Series:
-        return pd.Series([prefix(s, *shared.value, similarity) for s in every])
-
-    short = sets.select("node", F.size("s").alias("size"), prefixes(F.col("s")).alias("keys")).dropDuplicates(["node"])
-    named = short.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "size", F.posexplode("keys").alias("at", "key"))
-
-    def pairs(batches):
-        kept: pd.DataFrame | None = None
-        for batch in itertools.chain(batches, [None]):
-            part = kept if batch is None else batch if kept is None else pd.concat([kept, batch])
-            if part is None or not len(part):
-                continue
-            key = part["key"].to_numpy()
-            end = len(key) if batch is None else int(np.searchsorted(key, key[-1], "left"))
-            kept, part = (None if batch is None else part.iloc[end:]), part.iloc[:end]
-            found, n = [], 0
-            for some in bucket_pairs(*(part[c].to_numpy() for c in ("key", "node", "label", "size", "at")), similarity):
-                found.append(some)
-                n += len(some[0])
-                if n > PAIRS_AT_ONCE:
-                    yield _counted_pairs(found, similarity)
-                    found, n = [], 0
-            if found:
-                yield _counted_pairs(found, similarity)
-
-    dealt = named.repartition(parallelism(spark), "key").sortWithinPartitions("key")
-    counted = dealt.mapInPandas(pairs, "a long, b long, least int, n int").groupBy("a", "b").agg(F.max("least").alias("least"), F.sum("n").alias("n"))
-    return counted.where("n >= least").select("a", "b")
-
-
-def _counted_pairs(found: list[tuple[np.ndarray, ...]], similarity: float) -> pd.DataFrame:
-    """Each pair once, with the number of its shared prefix shingles here and the number it needs in all."""
-    a, b, m, n = (np.concatenate(x) for x in zip(*found, strict=True))
-    order = np.lexsort((b, a))
-    first = np.flatnonzero(np.concatenate(([True], (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0))))
-    shared = np.diff(np.append(first, len(order))).astype(np.int32)
-    a, b, m, n = (x[order[first]] for x in (a, b, m, n))
-    return pd.DataFrame({"a": a, "b": b, "least": least_common(m, n, similarity).astype(np.int32), "n": shared})
-
-
 def _classes(hashed: DataFrame, distinct: DataFrame, links: DataFrame, columns: list[str] | None = None) -> DataFrame:
     joined = components(links, distinct.where("least is not null"))
     linked = distinct.join(joined.withColumnRenamed("least", "low"), "fp", "left").select("fp", F.coalesce("low", "least").alias("component_id"))
@@ -378,33 +213,54 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = MAX_BITS)
     return _classes(hashed, distinct, link_fingerprints(distinct.select("fp"), exact_masks(max_bits), max_bits))
 
 
-def similar_documents(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, max_bits: int = 12, missed: float = 0.1) -> DataFrame:
-    """Like near_duplicates, but links are all pairs of documents whose shingle sets reach the similarity, and equal fingerprints.
+def signed_documents(text: Column, shingle: int) -> Column:
+    """(fp, digest, size, u, v) of a text column in one pass: its SimHash, and what ``minhash_tensor`` makes of its set."""
+    family = minhash_tensor.hash_family(SKETCHES)
+
+    @F.pandas_udf("fp long, digest binary, size long, u array<long>, v array<int>")
+    def sign(texts: pd.Series) -> pd.DataFrame:
+        fps, sets = np.zeros(len(texts), np.uint64), []
+        for i, t in enumerate(texts):
+            hashes = shingle_hashes(t, shingle)
+            fps[i] = bits_of(hashes)
+            sets.append(np.unique(hashes))
+        return pd.DataFrame({"fp": fps.view(np.int64), **minhash_tensor.signatures(sets, family)})
+
+    return sign(text)
+
+
+def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """Like near_duplicates, but links are pairs of documents whose shingle sets reach the similarity, verified on the full
+    sets, and equal fingerprints.
 
-    Verified SimHash pairs (sampled bits, the closest first) come first, only so that large groups of copies are one
-    label each. Prefix filtering of the sets, rarest shingles first, then gives every pair of documents of different
-    labels that can reach the similarity, and each is verified: a lost or failed SimHash pair costs no result.
+    Pairs of fingerprints within MAX_BITS, found by pivot tables as in near_duplicates, come first and make one label of each
+    group of close copies. Similar sets whose fingerprints lie further apart (at a similarity of 0.8 ten bits and more are
+    common) are found by ``minhash_tensor``'s tables: each set against one leader, and then every pair of different labels
+    that shares a key, once. A pair at 0.8 shares none with a probability below one in a million; all found are verified.
     """
-    hashed = written(docs.select("doc_id", shingle_sets(F.col("text"), shingle).alias("h")).select("doc_id", "h.*"), "simhash")
-    sets = hashed.select("node", "s")
-    by_fp = written(hashed.groupBy("fp").agg(F.min("node").alias("head")), "distinct")
-    rows = by_fp.count()
-    equal = hashed.select("fp", "node").distinct().join(by_fp, "fp").where("node != head").select(F.col("head").alias("a"), F.col("node").alias("b"))
-    bits = max(14, math.ceil(math.log2(max(2, rows))) - 4)
-    tables = math.ceil(math.log(missed) / math.log(1 - math.comb(56, bits) / math.comb(64, bits)))
-    near = link_fingerprints(by_fp.select("fp"), sampled_masks(bits, tables), max_bits, pivot_fingerprints(4)).select(F.col("a").alias("fa"), F.col("b").alias("fb"))
-    heads = [by_fp.select(F.col("fp").alias(f"f{x}"), F.col("head").alias(x)) for x in "ab"]
-    near = written(near.join(heads[0], "fa").join(heads[1], "fb").where("a != b").select("a", "b"), "candidates")
-    first = written(similar_links(near, sets, similarity).union(equal), "similar")
-    ends = first.select(F.col("a").alias("fp")).union(first.select(F.col("b").alias("fp"))).distinct()
-    labels = components(first, ends.select("fp", F.col("fp").alias("least"))).select(F.col("fp").alias("node"), F.col("least").alias("label"))
-    pairs = written(prefix_pairs(sets, labels, rows, similarity), "pairs")
-    links = written(first.union(similar_links(pairs, sets, similarity)), "similar")
-    # A node with null ids only links like any other and takes the least id that it reaches.
+    hashed = written(docs.select("doc_id", signed_documents(F.col("text"), shingle).alias("h")).select("doc_id", "h.*"), "simhash")
+    grouped = hashed.groupBy("digest").agg(F.min("doc_id").alias("least"), F.min("fp").alias("fp"), *(F.first(c).alias(c) for c in ("size", "u", "v")))
+    classes = written(grouped.withColumn("node", F.monotonically_increasing_id()), "sets")
+    # Equal sets may have different fingerprints, as repeated shingles count in these: all of a set's fingerprints link.
+    by_fp = written(hashed.select("fp", "digest").distinct().join(classes.select("digest", "node"), "digest").select("fp", "node"), "fingerprints")
+    heads = written(by_fp.groupBy("fp").agg(F.min("node").alias("head")), "heads")
+    equal = by_fp.join(heads, "fp").where("node != head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
+    close = link_fingerprints(heads.select("fp"), exact_masks(), MAX_BITS).select(F.col("a").alias("fa"), F.col("b").alias("fb"))
+    ends = [heads.select(F.col("fp").alias(f"f{x}"), F.col("head").alias(x)) for x in "ab"]
+    near = written(close.join(ends[0], "fa").join(ends[1], "fb").where("a != b").select("a", "b").distinct(), "candidates")
+    verified = lambda pairs: minhash_tensor.verified(pairs, classes, docs, shingle, percent)
+    links = written(verified(near).union(equal), "similar")
+    full = classes.where("size > 0")
+    met = written(minhash_tensor.meetings(full), "meetings")
+    led = minhash_tensor.across_labels(minhash_tensor.leader_pairs(met, full), labels_of(links))
+    links = written(links.union(verified(written(led, "leaders"))), "similar")
+    rest = written(minhash_tensor.candidate_pairs(met, full, labels_of(links), percent), "candidates")
+    links = written(links.union(verified(written(minhash_tensor.popular_first(rest), "candidates"))), "similar")
+    # A node of null ids only links like any other and takes the least id that it reaches.
     last = F.lit(2**63 - 1)
-    nodes = written(hashed.groupBy(F.col("node").alias("fp")).agg(F.coalesce(F.min("doc_id"), last).alias("least")), "nodes")
-    found = _classes(hashed.select("doc_id", F.col("fp").alias("simhash"), F.col("node").alias("fp")), nodes, links, ["simhash"])
-    return found.select("doc_id", F.col("simhash").alias("fp"), F.nullif("component_id", last).alias("component_id"))
+    joined = components(links, classes.select(F.col("node").alias("fp"), F.coalesce("least", last).alias("least"))).select(F.col("fp").alias("node"), F.col("least").alias("low"))
+    known = written(classes.select("digest", "node", "least").join(joined, "node", "left").select("digest", F.coalesce("low", "least").alias("low")), "classes")
+    return hashed.select("doc_id", "fp", "digest").join(known, "digest").select("doc_id", "fp", F.nullif("low", last).alias("component_id"))
 
 
 def fingerprint_hex(fp: Column) -> Column:

@@ -254,6 +254,6 @@ def test_audit_of_other_filters(spark):
     marks = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     rows = filter_audit.audit(docs, marks, "kind", lambda t: {"S": F.length(t) < 2, "B": F.contains(t, F.lit("b"))}).collect()
     got = {(r["filter_order"], r["step"]): (r["kept"], r["removed"], r["redundant"], r["unique_fails"], r["shapley"]) for r in rows}
-    assert len(rows) == 18 and got["SBE", 1] == (2, 2, 0, 1, 11)
+    assert len(rows) == 18 and got["SBE", 1] == (2, 2, 0, 1, 9)
     assert got["SBE", 3][:4] == (0, 0, 1, 0)
     assert got["ESB", 1][:3] == (3, 1, 0) and got["ESB", 2][:3] == (2, 1, 1)
