@@ -8,10 +8,12 @@ root of what separate tables would compute. Two sets of similarity s share no ke
 
 Equal sets are one node, so that exact copies, however many, cost one row. Table keys are not all written out: nodes
 meet by sketches of the first collection, and those of the second are paired with them where at least two nodes meet.
-Each node is first verified against one leader, the least node with a key in common, so that a large group of near
+Each node is first verified against one leader, the most popular node with a key in common, so that a large group of near
 copies becomes one label at a linear cost. Then all pairs of nodes with a key in common and different labels are
-enumerated, each once, at the first key that they share, and all of them are verified on the full sets. Pairs of equal
-labels are passed over without being visited; a meeting of many nodes is compared block by block in many tasks.
+enumerated, each once, at the first key that they share; pairs of equal labels are passed over without being visited, and
+a meeting of many nodes is compared block by block in many tasks. There, common 32-bit hashes are counted by bit sets;
+what fell together when hashes were cut is added, so the count is never below the true one, and a pair too far apart by it
+goes no further. All other pairs are verified on the full sets of 64-bit hashes.
 
 Edge cases: null, empty and wordless texts have empty sets and are linked with nothing, not with each other; fewer words
 than a shingle are one shingle; null ids order after all others, and rows that have one take the least id they reach;
@@ -37,6 +39,8 @@ SHINGLE, PERCENT = 3, 85
 SKETCHES, WIDTH = 20, 4
 #: Most rows of a meeting that are compared in one piece, and pairs that a task holds at a time.
 BLOCK_ROWS, PAIRS_AT_ONCE = 4096, 200_000
+#: Bytes of bit sets that are compared at a time.
+BITS_AT_ONCE = 32_000_000
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -106,25 +110,31 @@ def sketched(text: Column, shingle: int = SHINGLE) -> Column:
     return sketch(text)
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes with 100 x common >= percent x all shingles, counted on the full sets.
+def sets_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+    """(node, s, w): the sets of some nodes, made from the texts again, as sorted 64-bit hashes and as 32-bit ones.
 
-    Sets are made from the texts again, only for nodes of pairs. The set that moves with a pair is that of the end with
-    fewer pairs (the caller's b); the other end's meets it where its pairs are.
+    A map over batches, unlike a function in a select, stays behind the semi-join, so that only their texts are cut up.
     """
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    known = classes.join(ends, "node", "left_semi").select("node", "digest", "least")
+    known = classes.join(nodes, "node", "left_semi").select("node", "digest", "least")
 
     def sets(batches):
         for batch in batches:
             every = [shingle_set(t, shingle) for t in batch["text"]]
-            yield pd.DataFrame({"digest": [xxhash.xxh3_128_digest(s.tobytes()) for s in every], "s": [s.view(np.int64) for s in every]})
+            short = [np.unique((s >> np.uint64(32)).astype(np.uint32)).view(np.int32) for s in every]
+            yield pd.DataFrame({"digest": [xxhash.xxh3_128_digest(s.tobytes()) for s in every], "s": [s.view(np.int64) for s in every], "w": short})
 
-    # A map over batches, unlike a function in a select, stays behind the semi-join: only texts of ends are cut into shingles.
     texts = docs.select("doc_id", "text").join(known.select("least"), F.col("doc_id").eqNullSafe(F.col("least")), "left_semi")
-    made = texts.select("text").mapInPandas(sets, "digest binary, s array<long>").join(known.select("digest", "node"), "digest")
-    held = written(made.select("node", "s").dropDuplicates(["node"]), "sets")
-    both = pairs.join(held.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b").join(held.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
+    made = texts.select("text").mapInPandas(sets, "digest binary, s array<long>, w array<int>").join(known.select("digest", "node"), "digest")
+    return made.select("node", "s", "w").dropDuplicates(["node"])
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes with 100 x common >= percent x all shingles, counted on the full sets.
+
+    The set that moves with a pair is that of the end with fewer pairs (the caller's b); the other end's meets it where its
+    pairs are.
+    """
+    both = pairs.join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b").join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
     common = F.size(F.array_intersect("sa", "sb"))
     return both.where(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
@@ -137,12 +147,16 @@ def meetings(classes: DataFrame) -> DataFrame:
 
 
 def leader_pairs(met: DataFrame, classes: DataFrame) -> DataFrame:
-    """(a, b): each node b with the least node a that has a table key in common with it."""
-    keys = met.select("node", "bucket").join(classes.select("node", "v"), "node").select("node", "bucket", F.posexplode("v").alias("j", "v"))
-    keys = written(keys.select("node", F.xxhash64("bucket", "j", "v").alias("key")), "keys")
-    least = keys.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
-    led = keys.join(least.select("key", "a"), "key").groupBy(F.col("node").alias("b")).agg(F.min("a").alias("a"))
-    return led.where("a < b").select("a", "b")
+    """(a, b): each node b with the most popular node a that has a table key in common with it, of equal ones the greater.
+
+    A node's popularity is how many nodes it meets, over all meetings: in a group of versions the one that most are near to.
+    """
+    popular = met.groupBy("node").agg(F.sum("n").alias("popularity"))
+    keys = met.select("node", "bucket").join(classes.select("node", "v"), "node").join(popular, "node").select("node", "popularity", "bucket", F.posexplode("v").alias("j", "v"))
+    keys = written(keys.select("node", "popularity", F.xxhash64("bucket", "j", "v").alias("key")), "keys")
+    best = keys.groupBy("key").agg(F.max(F.struct("popularity", "node")).alias("best"), F.count("*").alias("n")).where("n > 1")
+    led = keys.select("node", "key").join(best.select("key", "best"), "key").groupBy(F.col("node").alias("b")).agg(F.max("best")["node"].alias("a"))
+    return led.where("a != b").select("a", "b")
 
 
 def across_labels(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -153,14 +167,35 @@ def across_labels(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return named.where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
 
 
+def in_common(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many values the sets at places x and y have in common, pair by pair, by bit sets over values of several sets."""
+    used, place = np.unique(np.concatenate((x, y)), return_inverse=True)
+    held = [sets[k] for k in used.tolist()]
+    sizes = np.array([len(h) for h in held], np.int64)
+    _, column, count = np.unique(np.concatenate(held), return_inverse=True, return_counts=True)
+    shared = np.cumsum(count > 1) - 1
+    width = int(shared[-1]) + 1
+    bits = np.zeros((len(held), max(1, -(-width // 64)) * 8), np.uint8)
+    keep = count[column] > 1
+    row, at = np.repeat(np.arange(len(held)), sizes)[keep], shared[column[keep]]
+    np.bitwise_or.at(bits, (row, at >> 3), np.left_shift(1, at & 7).astype(np.uint8))
+    words = bits.view(np.uint64)
+    out, step = np.empty(len(x), np.int64), max(1, BITS_AT_ONCE // (8 * words.shape[1]))
+    left, right = place[: len(x)], place[len(x) :]
+    for k in range(0, len(x), step):
+        out[k : k + step] = np.bitwise_count(words[left[k : k + step]] & words[right[k : k + step]]).sum(1, dtype=np.int64)
+    return out
+
+
 def cross_pairs(rows: pd.DataFrame, percent: int):
-    """Frames (a, b) of pairs of one batch of whole meetings: a second sketch in common, other labels, sizes that allow the
-    similarity, and this meeting and this second sketch the first that both nodes have in common.
+    """Frames (a, b) of pairs of one batch of whole meetings: a second sketch in common, other labels, sizes and common 32-bit
+    hashes that allow the similarity, and this meeting and this second sketch the first that both nodes have in common.
 
     Sides: rows of side 0 pair with each other, those of 1 and 2 between the sides.
     """
     bucket, label, side, size, node, i = (rows[c].to_numpy() for c in ("bucket", "label", "side", "size", "node", "i"))
-    u, v = np.stack(rows["u"].to_numpy()), np.stack(rows["v"].to_numpy())
+    u, v, sets = np.stack(rows["u"].to_numpy()), np.stack(rows["v"].to_numpy()), rows["w"].tolist()
+    merged = size - np.array([len(w) for w in sets])  # hashes that fell together when cut to 32 bits
     label_rank = np.unique(label, return_inverse=True)[1].astype(np.int64)
     width = int(label_rank.max()) + 1
     bucket_rank = np.unique(bucket, return_inverse=True)[1].astype(np.int64)
@@ -191,22 +226,26 @@ def cross_pairs(rows: pd.DataFrame, percent: int):
                 x, y = x[fits], y[fits]
                 first = ~((u[x] == u[y]) & (np.arange(u.shape[1]) < i[x][:, None])).any(1) & ~(v[x, :j] == v[y, :j]).any(1)
                 x, y = x[first], y[first]
+                if len(x):
+                    common = in_common(sets, x, y) + np.minimum(merged[x], merged[y])
+                    near = 100 * common >= percent * (size[x] + size[y] - common)
+                    x, y = x[near], y[near]
                 if len(x):
                     yield pd.DataFrame({"a": node[x], "b": node[y]})
             cut = stop
 
 
-def candidate_pairs(met: DataFrame, classes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """(a, b): all pairs of nodes of different labels with a table key in common and sizes that allow the similarity."""
+def candidate_pairs(met: DataFrame, classes: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """(a, b): all pairs of nodes of different labels with a table key in common that may reach the similarity."""
     named = met.join(labels, "node", "left").select("node", "bucket", "i", F.coalesce("label", "node").alias("label"))
     mixed = named.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
     mixed = written(mixed.select("bucket", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks")), "mixed")
-    left = named.join(mixed, "bucket").join(classes.select("node", "size", "u", "v"), "node")
+    left = named.join(mixed, "bucket").join(classes.select("node", "size", "u", "v"), "node").join(sets.select("node", "w"), "node")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     spread = left.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = spread.select(
         F.when(F.col("blocks") == 1, F.col("bucket")).otherwise(F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other"))).alias("bucket"),
-        F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"), "node", "label", "size", "i", "u", "v",
+        F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"), "node", "label", "size", "i", "u", "v", "w",
     )
 
     def pairs(batches):
@@ -244,10 +283,11 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     grouped = hashed.where("size > 0").groupBy("digest").agg(F.min("doc_id").alias("least"), *(F.first(c).alias(c) for c in ("size", "u", "v")))
     classes = written(grouped.withColumn("node", F.monotonically_increasing_id()), "sets_of_documents")
     met = written(meetings(classes), "meetings")
+    sets = written(sets_of(met.select("node").distinct(), classes, docs, shingle), "sets")
     led = written(leader_pairs(met, classes), "leaders")
-    first = written(verified(led, classes, docs, shingle, percent), "near")
-    rest = written(popular_first(written(candidate_pairs(met, classes, labels_of(first), percent), "candidates")), "candidates")
-    links = written(first.union(verified(rest, classes, docs, shingle, percent)), "near")
+    first = written(verified(led, sets, percent), "near")
+    rest = written(popular_first(written(candidate_pairs(met, classes, sets, labels_of(first), percent), "candidates")), "candidates")
+    links = written(first.union(verified(rest, sets, percent)), "near")
     joined = components(links, classes.select(F.col("node").alias("fp"), F.coalesce("least", last).alias("least"))).select(F.col("fp").alias("node"), F.col("least").alias("low"))
     known = written(classes.select("digest", "node", "least").join(joined, "node", "left").select("digest", F.coalesce("low", "least").alias("low")), "classes")
     told = hashed.where("size > 0").select("doc_id", "size", "digest").join(known, "digest").select("doc_id", "size", F.nullif("low", last).alias("component_id"))

@@ -248,13 +248,15 @@ def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> D
     close = link_fingerprints(heads.select("fp"), exact_masks(), MAX_BITS).select(F.col("a").alias("fa"), F.col("b").alias("fb"))
     ends = [heads.select(F.col("fp").alias(f"f{x}"), F.col("head").alias(x)) for x in "ab"]
     near = written(close.join(ends[0], "fa").join(ends[1], "fb").where("a != b").select("a", "b").distinct(), "candidates")
-    verified = lambda pairs: minhash_tensor.verified(pairs, classes, docs, shingle, percent)
-    links = written(verified(near).union(equal), "similar")
     full = classes.where("size > 0")
     met = written(minhash_tensor.meetings(full), "meetings")
+    nodes = met.select("node").union(near.select(F.explode(F.array("a", "b")))).distinct()
+    sets = written(minhash_tensor.sets_of(nodes, classes, docs, shingle), "sets")
+    verified = lambda pairs: minhash_tensor.verified(pairs, sets, percent)
+    links = written(verified(near).union(equal), "similar")
     led = minhash_tensor.across_labels(minhash_tensor.leader_pairs(met, full), labels_of(links))
     links = written(links.union(verified(written(led, "leaders"))), "similar")
-    rest = written(minhash_tensor.candidate_pairs(met, full, labels_of(links), percent), "candidates")
+    rest = written(minhash_tensor.candidate_pairs(met, full, sets, labels_of(links), percent), "candidates")
     links = written(links.union(verified(written(minhash_tensor.popular_first(rest), "candidates"))), "similar")
     # A node of null ids only links like any other and takes the least id that it reaches.
     last = F.lit(2**63 - 1)

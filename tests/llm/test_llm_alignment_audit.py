@@ -178,9 +178,12 @@ def test_pairs_across_labels_once_each():
     n = 60
     u, v = rng.integers(0, 4, (n, 3)), rng.integers(0, 3, (n, 4)).astype(np.int32)
     label, size = rng.integers(0, 9, n), rng.integers(90, 110, n)
-    rows = [(i * 100 + int(u[k, i]), k, int(label[k]), 0, int(size[k]), i, u[k], v[k]) for k in range(n) for i in range(3)]
-    frame = pd.DataFrame(rows, columns=["bucket", "node", "label", "side", "size", "i", "u", "v"]).sort_values("bucket")
-    want = {(a, b) for a in range(n) for b in range(a) if label[a] != label[b] and (u[a] == u[b]).any() and (v[a] == v[b]).any() and 100 * min(size[a], size[b]) >= 85 * max(size[a], size[b])}
+    sets = [np.unique(np.concatenate((np.arange(80), rng.choice(np.arange(80, 120), m - 80, replace=False)))).astype(np.int32) for m in size]
+    rows = [(i * 100 + int(u[k, i]), k, int(label[k]), 0, int(size[k]), i, u[k], v[k], sets[k]) for k in range(n) for i in range(3)]
+    frame = pd.DataFrame(rows, columns=["bucket", "node", "label", "side", "size", "i", "u", "v", "w"]).sort_values("bucket")
+    alike = lambda a, b: 100 * len(np.intersect1d(sets[a], sets[b])) >= 85 * len(np.union1d(sets[a], sets[b]))
+    want = {(a, b) for a in range(n) for b in range(a) if label[a] != label[b] and (u[a] == u[b]).any() and (v[a] == v[b]).any() and alike(a, b)}
+    assert 20 < len(want) < n * n / 4
     found = pd.concat(minhash_tensor.cross_pairs(frame, 85))
     pairs = [(max(a, b), min(a, b)) for a, b in zip(found["a"], found["b"], strict=True)]
     assert len(pairs) == len(set(pairs)) and set(pairs) == want
