@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import html
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -252,19 +254,29 @@ SELECT doc_id, md5(regexp_replace(t, '^[{SP}]+|[{SP}]+$', '', 'g')) AS text_md5
 """
 
 
+#: Cells that words of some lengths become, with what SQL expects their references to stand for (fixed values).
+REFERENCE_CELLS = {3: ("&#8212;", "—"), 4: ("<i>&#x2013;</i>", "–"), 5: ("&copy; &notit; &AMP", "© ¬it; &"), 6: ("&#x96;&nbsp", "–"), 7: ("&nosuch;", "&nosuch;")}
+
+
 def placeholder_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words of pages as cells: which of them stand for nothing."""
+    """Words of pages as cells, some with character references: which of them stand for nothing, and their characters."""
     words = table(spark, sf_dir, "pages").select("page_id", F.explode(F.split(F.coalesce("html", F.lit("")), "[ <>]+")).alias("w"))
-    cells = words.withColumn("cell", F.when(F.length("w") % 4 == 0, F.concat(F.lit("<b>n/"), F.lit("</b>"), F.lit(" "))).when(F.length("w") % 4 == 1, F.lit(" N/A ")).otherwise(F.col("w")))
-    return cells.groupBy("page_id").agg(F.count("*").alias("cells"), F.count_if(ocr_text.is_placeholder(F.col("cell"))).alias("placeholders"))
+    cell = F.when(F.length("w") % 12 == 1, "<b>n/</b> ").when(F.length("w") % 12 == 2, " N/A ")
+    for length, (given, _) in REFERENCE_CELLS.items():
+        cell = cell.when(F.length("w") % 12 == length, given)
+    cells = words.withColumn("cell", cell.otherwise(F.regexp_replace("w", "&", "+")))
+    plain = F.length(ocr_text.references_decoded(F.col("cell")))
+    return cells.groupBy("page_id").agg(F.count("*").alias("cells"), F.count_if(ocr_text.is_placeholder(F.col("cell"))).alias("placeholders"), F.sum(plain).alias("characters"))
 
 
 _PLACEHOLDERS = ", ".join(f"'{p}'" for p in ocr_text.PLACEHOLDERS)
+_CASES = " ".join(f"WHEN {length} THEN '{want}'" for length, (_, want) in REFERENCE_CELLS.items())
+_LENGTHS = " ".join(f"WHEN {length} THEN {len(html.unescape(given))}" for length, (given, _) in REFERENCE_CELLS.items())
 PLACEHOLDER_SQL = rf"""
 WITH w AS (SELECT page_id, unnest(regexp_split_to_array(coalesce(html, ''), '[ <>]+')) AS w FROM pages
-), c AS (SELECT page_id, CASE WHEN length(w) % 4 = 0 THEN '<b>n/</b> ' WHEN length(w) % 4 = 1 THEN ' N/A ' ELSE w END AS cell FROM w
-), n AS (SELECT page_id, lower(trim(regexp_replace(regexp_replace(cell, '(?i)<[^>]+>', ' ', 'g'), '\s+', ' ', 'g'))) AS x FROM c)
-SELECT page_id, count(*) AS cells, count(*) FILTER (x = '' OR x IN ({_PLACEHOLDERS}) OR regexp_replace(x, '[\s._\-\\/]+', '', 'g') IN ({_PLACEHOLDERS})) AS placeholders FROM n GROUP BY page_id
+), c AS (SELECT page_id, CASE length(w) % 12 WHEN 1 THEN '<b>n/</b> ' WHEN 2 THEN ' N/A ' {_CASES} ELSE replace(w, '&', '+') END AS cell, CASE length(w) % 12 WHEN 1 THEN 10 WHEN 2 THEN 5 {_LENGTHS} ELSE length(w) END AS n FROM w
+), n AS (SELECT page_id, n, lower(trim(regexp_replace(regexp_replace(cell, '(?i)<[^>]+>', ' ', 'g'), '\s+', ' ', 'g'))) AS x FROM c)
+SELECT page_id, count(*) AS cells, count(*) FILTER (x = '' OR x IN ({_PLACEHOLDERS}) OR regexp_replace(x, '[\s._\-\\/]+', '', 'g') IN ({_PLACEHOLDERS})) AS placeholders, CAST(sum(n) AS BIGINT) AS characters FROM n GROUP BY page_id
 """
 
 

@@ -1,5 +1,7 @@
 """Column functions against hand-made cases."""
 
+import html
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,3 +115,13 @@ def test_tables_and_markdown(spark):
 def test_sentences(spark):
     assert column(spark, ["", "α β γ", "α β γ δ", "only latin words here now", "1 2 3 4 5 6"], greek_prep.usable) == [0, 0, 1, 0, 0]
     assert column(spark, ["1. α [σημ.] β&γ", "XIV. α"], greek_prep.cleaned_sentence) == ["α σημ. βγ", "α"]
+
+
+def test_character_references(spark):
+    """As Python's own decoding of HTML has them."""
+    texts = [
+        "a &amp; b &#8212; &#x2013; &copy;", "&notit; &not &ampx &AMP &nosuch; &", "&#128; &#x81; &#0; &#xD800; &#1114112; &#99999999999999999999; &#x1; &#13; &#xFFFE; &#x1FFFF; &#xFDD0; &#x1F600;",
+        "&fjlig;&NotEqualTilde;", "no reference", "", "&&amp;;&lt;td&gt;&#60", "&#x;&#;&#xg", "&" + "a" * 40 + ";", "&CounterClockwiseContourIntegral;", "&acE;&aacute&eacutex", None, "&#0000065;&#X41",
+    ]
+    assert column(spark, texts, ocr_text.references_decoded) == [None if t is None else html.unescape(t) for t in texts]
+    assert column(spark, ["&#8212;", "&#x2013; ", "&nbsp;&#160;", "&copy;", "<td>&#45;</td>"], ocr_text.is_placeholder) == [True, True, True, False, True]
