@@ -38,9 +38,11 @@ SHINGLE, PERCENT = 3, 85
 #: Sketches of a collection, and minhashes of a sketch.
 SKETCHES, WIDTH = 20, 4
 #: Most rows of a meeting that are compared in one piece, and pairs that a task holds at a time.
-BLOCK_ROWS, PAIRS_AT_ONCE = 4096, 200_000
+BLOCK_ROWS, PAIRS_AT_ONCE = 2048, 30_000
+#: Texts whose sets a task holds at a time.
+TEXTS_AT_ONCE = 500
 #: Bytes of bit sets that are compared at a time.
-BITS_AT_ONCE = 32_000_000
+BITS_AT_ONCE = 4_000_000
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -118,8 +120,8 @@ def sets_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int)
     known = classes.join(nodes, "node", "left_semi").select("node", "digest", "least")
 
     def sets(batches):
-        for batch in batches:
-            every = [shingle_set(t, shingle) for t in batch["text"]]
+        for text in (batch["text"].iloc[k : k + TEXTS_AT_ONCE] for batch in batches for k in range(0, len(batch), TEXTS_AT_ONCE)):
+            every = [shingle_set(t, shingle) for t in text]
             short = [np.unique((s >> np.uint64(32)).astype(np.uint32)).view(np.int32) for s in every]
             yield pd.DataFrame({"digest": [xxhash.xxh3_128_digest(s.tobytes()) for s in every], "s": [s.view(np.int64) for s in every], "w": short})
 
