@@ -10,15 +10,16 @@ from pyspark.sql import functions as F
 from ..functions.names import canonical_stem
 from ..functions.noise import noise_metrics
 from ..functions.values import add_stage
-from ..operators import annotate, cleaner, export, gates, metadata, metrics, sections
+from ..operators import annotate, cleaner, export, gates, metadata, metrics, rounds, sections
 from ..operators import urls as url_ops
-from ..sources import files
+from ..sources import files, listing
+from ..sources.scratch import settled
 from ..sources.snapshots import Snapshots
 
 #: What an adapter gets and returns: a DataFrame of files or pages in, one of texts or formulas out.
 Adapter = Callable[[DataFrame], DataFrame]
 #: Keys of the tables; the others have stems.
-KEYS = {"download_results": "url"}
+KEYS = {"download_results": "url", "download_failures": "url"}
 
 
 def conversion_backend(wanted: str | None = None, recognise: bool = False, enrich: bool = False) -> str:
@@ -30,6 +31,13 @@ def conversion_backend(wanted: str | None = None, recognise: bool = False, enric
     return "docling" if choice == "docling" or recognise or enrich else "safe"
 
 
+def _added_up(before: DataFrame, now: DataFrame, key: str) -> DataFrame:
+    """Failures of earlier runs and of this one; keys without a failure in this run have succeeded and start anew."""
+    met = before.select(key, F.col("download_retry_count").alias("__before"), F.col("last_error").alias("__error")).join(now, key, "full_outer")
+    count = F.when(F.col("download_retry_count") == 0, 0).otherwise(F.coalesce("__before", F.lit(0)) + F.coalesce("download_retry_count", F.lit(0))).cast("int")
+    return met.select(key, count.alias("download_retry_count"), F.when(F.col("download_retry_count") == 0, None).otherwise(F.coalesce("last_error", "__error")).alias("last_error"))
+
+
 class Corpus:
     """Phases over output folders: downloads, markdown, clean_markdown, sections, export and the metadata table.
 
@@ -75,17 +83,31 @@ class Corpus:
             self.merge("metadata", self.metadata(), metadata.upsert)  # another writer's first table is merged with, not replaced
         self.merge("metadata", rows, metadata.upsert)
 
-    def download(self, urls: DataFrame, fetch: Adapter) -> DataFrame:
-        """Expands link lists, leaves out what is done and what repeats, names the rest, fetches and merges results."""
+    def download(self, fetch: Adapter, urls: DataFrame | None = None, most_failures: int = 3) -> DataFrame:
+        """Expands link lists, leaves out what is done, repeats or has failed too often, names the rest, fetches and merges
+        results, and adds up failures by URL for the runs to come.
+
+        Without ``urls`` the first Parquet file of the input folder is taken. fetch: from (url, filename_base, ...) rows to
+        (url, download_success, download_error, ...) rows.
+        """
+        if urls is None:
+            urls = listing.first_table(self.spark, [self.input_dir])
+            if urls is None:
+                raise ValueError(f"no Parquet file in {self.input_dir}")
         column = url_ops.url_column(urls, self.url_column)
-        rows = url_ops.explode_links(urls.withColumnRenamed(column, "url"), "url")
+        numbered = urls if "row_idx" in urls.columns else settled(urls.withColumn("row_idx", F.monotonically_increasing_id()), "urls")
+        rows = url_ops.explode_links(numbered.withColumnRenamed(column, "url"), "url")
         rows = rows.withColumn("row_idx", F.col("source_row") * 2**31 + F.col("url_index") + 1)  # a cell has fewer than 2^31 links
         marked = url_ops.mark_duplicates(rows)
         done = self.table("download_results").where("download_success") if self.has("download_results") else None
-        todo = marked.where(~F.col("is_duplicate") & (F.col("url") != ""))
+        counts = self.table("download_failures") if self.has("download_failures") else None
+        todo = rounds.worth_trying(marked.where(~F.col("is_duplicate") & (F.col("url") != "")), counts, most_failures)
         todo = todo if done is None else metadata.pending(todo, done, key="url")
         used = done.select(F.col("filename_base").alias("name")) if done is not None else self.spark.createDataFrame([], "name string")
-        results = fetch(url_ops.assign_names(todo, used))
+        results = settled(fetch(url_ops.assign_names(todo, used)), "downloads")
+        error = F.col("download_error") if "download_error" in results.columns else F.lit(None).cast("string")
+        failures = rounds.counted_failures(None, results.select("url", F.coalesce("download_success", F.lit(False)).alias("success"), error.alias("error")))
+        self.merge("download_failures", failures, _added_up)
         return self.merge("download_results", results)
 
     def extract(self, convert: Adapter | None = None, formats: str = "all") -> DataFrame:
@@ -115,11 +137,13 @@ class Corpus:
         gated = gates.gate(gates.settle_columns(metadata.upsert(self.metadata(), both, "stem")), empty_char_threshold, empty_min_pages)
         return gates.good_files(self.put("metadata", gated), drop_bad)
 
-    def ocr(self, recognise: Adapter, reprocess: bool = False) -> DataFrame:
-        """Sends flagged documents through recognition (stem, filename to stem, text), takes its texts, and cleans again."""
+    def ocr(self, recognise: Adapter, reprocess: bool = False, limit: int | None = None, max_pages: int | None = None) -> DataFrame:
+        """Sends flagged documents through recognition (stem, filename, max_pages to stem, text), takes its texts, and cleans
+        again. At most ``limit`` documents are taken, the first by stem; of each the adapter reads ``max_pages`` pages."""
         skip = self.table("skiplist") if self.has("skiplist") else self.spark.createDataFrame([], "stem string")
         todo = gates.ocr_candidates(self.metadata(), skip, reprocess)
-        texts = recognise(todo.select("stem", "filename"))
+        todo = todo if limit is None else rounds.first_rows(todo.select("stem", "filename"), limit, "stem")
+        texts = settled(recognise(todo.select("stem", "filename", F.lit(max_pages).cast("int").alias("max_pages"))), "recognised")
         named = texts.join(todo.select("stem", "filename"), "stem")
         self.merge("markdown", named.select("stem", "filename", "text"))
         stage = self.metadata().join(named.select("stem"), "stem").select("stem", F.lit("ok").alias("filter"), F.lit(False).alias("needs_ocr"), F.lit(True).alias("ocr_success"), add_stage(F.col("processing_stage"), "ocr").alias("processing_stage"))
@@ -161,8 +185,8 @@ class Corpus:
         return files.write_shards(export.assign_shards(self.export_lines(), limit), path, prefix, compression)
 
     def process_all(self, label: Adapter, convert: Adapter | None = None, urls: DataFrame | None = None, fetch: Adapter | None = None) -> DataFrame:
-        if urls is not None and fetch is not None:
-            self.download(urls, fetch)
+        if fetch is not None:
+            self.download(fetch, urls)
         self.extract(convert)
         self.section()
         return self.annotate(label)

@@ -31,9 +31,13 @@ def arrow_folder(path: str):
 
 
 def list_files(spark: SparkSession, path: str, recursive: bool = True, pattern: str = "*") -> DataFrame:
-    """(path, filename, stem, ext, length, modified) of the files below a folder; contents are not read. Spark leaves out
-    names that begin with a dot or an underscore."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).option("pathGlobFilter", pattern).load(path)
+    """(path, filename, stem, ext, length, modified) of the files below a folder, or right in it; contents are not read.
+    Spark leaves out names that begin with a dot or an underscore. Names of folders are not taken for columns."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path)
+    if not recursive:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder = where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toString()
+        found = found.where(F.regexp_replace("path", "/[^/]*$", "") == folder)
     named = found.select("path", base_name(F.col("path")).alias("filename"), "length", F.col("modificationTime").alias("modified"))
     return named.select("path", "filename", canonical_stem(F.col("filename")).alias("stem"), F.lower(F.regexp_extract("filename", r"\.([^.]+)$", 1)).alias("ext"), "length", "modified")
 
@@ -54,13 +58,14 @@ def probed(stems: DataFrame, files: DataFrame, priority: tuple[str, ...] = PRIOR
 
 
 def first_table(spark: SparkSession, folders: list[str]) -> DataFrame | None:
-    """The first Parquet file by name of the first folder that has one."""
+    """The first Parquet file by name of the first folder that has one, with the places of its rows as row_idx."""
     for folder in folders:
         where = spark._jvm.org.apache.hadoop.fs.Path(folder)
         if where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
             first = list_files(spark, folder, recursive=False, pattern="*.parquet").agg(F.min_by("path", "filename")).first()[0]
             if first:
-                return spark.read.parquet(first)
+                rows = spark.read.parquet(first)
+                return rows if "row_idx" in rows.columns else rows.select("*", F.col("_metadata.row_index").alias("row_idx"))
     return None
 
 

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators import export, metadata, metrics, rounds
+from corpusloom.plans.pipeline import Corpus
 from corpusloom.sources import files, listing
 
 
@@ -162,3 +163,47 @@ def test_source_rows_prefer_documents(spark):
     assert {r["stem"]: r["language"] for r in export.source_rows(source, ["language"], order="at").collect()} == {"a": "own", "b": "second"}
     docs = spark.createDataFrame([("a",), ("b",)], "stem string")
     assert export.source_fields(docs, source, ["language"], order="at").count() == 2
+
+
+def test_downloads_over_runs(spark, tmp_path):
+    """The first table of the folder, another column's name, and URLs that fail in every run until they are left out."""
+    source = tmp_path / "in"
+    source.mkdir()
+    pd.DataFrame({"pdf_url": ["http://a.org/x", "http://a.org/bad", "http://a.org/x#again", "http://a.org/late"]}).to_parquet(source / "a.parquet")
+    pd.DataFrame({"pdf_url": ["http://z.org/never"]}).to_parquet(source / "z.parquet")
+    tried = []
+
+    def fetch(rows):
+        tried.append({r["url"] for r in rows.collect()})
+        good = F.when(F.col("url").endswith("late"), len(tried) == 3).otherwise(~F.col("url").endswith("bad"))
+        return rows.select("url", "filename_base", good.alias("download_success"), F.when(~good, "HTTP 404").alias("download_error"))
+
+    corpus = Corpus(spark, str(source), str(tmp_path / "out"), "pdf_url")
+    for _ in range(4):
+        results = corpus.download(fetch)
+    bad, late = "http://a.org/bad", "http://a.org/late"
+    assert tried == [{"http://a.org/x", bad, late}, {bad, late}, {bad, late}, set()]
+    assert {r["url"]: r["download_success"] for r in results.collect()} == {"http://a.org/x": True, bad: False, late: True}
+    assert {r["url"]: r["download_retry_count"] for r in corpus.table("download_failures").collect()} == {"http://a.org/x": 0, bad: 3, late: 0}
+    with pytest.raises(ValueError):
+        Corpus(spark, str(tmp_path / "out"), str(tmp_path / "other")).download(fetch)
+
+
+def test_recognition_takes_a_limit(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    for name in ("a", "b", "c"):
+        (source / f"{name}.md").write_text("GLYPH<c=1,font=/X>\nGLYPH<c=2,font=/X>\n")
+    corpus = Corpus(spark, str(source), str(tmp_path / "out"))
+    corpus.extract()
+    corpus.update(corpus.metadata().select("stem", F.concat("stem", F.lit(".pdf")).alias("filename")))
+    corpus.clean()
+    seen = []
+
+    def recognise(rows):
+        seen.extend((r["stem"], r["max_pages"]) for r in rows.collect())
+        return rows.select("stem", F.lit("plain words of a page").alias("text"))
+
+    corpus.ocr(recognise, limit=2, max_pages=7)
+    assert sorted(seen) == [("a", 7), ("b", 7)]
+    assert {r["stem"] for r in corpus.metadata().where("ocr_success").collect()} == {"a", "b"}
