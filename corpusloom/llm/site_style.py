@@ -1,12 +1,14 @@
 """HTML main-text extraction with a site style tree.
 
-Pages of a host are merged into a style tree: a style node is an element path (tags with their classes), with the
-distribution of its child sequences (presentation) and of its own texts (content) over the host's pages. Entropy
-tells boilerplate from content: a node whose presentations and contents repeat over pages has low importance.
-Importance is composed bottom-up, and branches that are below the threshold in all their nodes are removed from each page, inside articles as
-outside of them. A host's own pages decide; only for a node with fewer than ``OWN`` instances there do those of the
-same path on other hosts weigh in. Whole articles are copied too: equal articles of a host count once, and
-branches inside an article stay where without them less than half of it would be left.
+Pages of a host are merged into a style tree: a style node is a path of elements, each told by its tag and classes and by
+its place in the sequence of its parent's blocks (which run of equal elements it is in, and whether it begins, ends or stands
+inside it), with the distribution of its child sequences (presentation) and of its own texts (content) over the host's
+pages. Entropy tells boilerplate from content: a node whose presentations and contents repeat over pages has low
+importance. Importance is composed bottom-up, and branches that are below the threshold in all their nodes are removed from
+each page, inside articles as outside of them; a heading stays inside an article,
+and elsewhere where the block behind it stays. Only a host's own pages
+decide, at least ``OWN`` of them that are not copies: equal articles of a host count once, and so do equal pages. Branches
+inside an article stay where without them less than half of it would be left.
 
 Elements that markup itself names as menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts
 or styles go in any case: by tag or role, or by a class or id made up of such words alone (``ad``, ``comment-list``),
@@ -32,9 +34,8 @@ from pyspark.sql import functions as F
 from .common import written
 from .url_rules import url_host
 
-#: Importance below which a branch goes, the instances a decision needs on the host, or else on all of them, and the
-#: weight of all hosts in instances.
-THRESHOLD, OWN, LEAST, LEAN = 0.5, 3, 8, 40
+#: Importance below which a branch goes, and the instances on the host that a decision needs.
+THRESHOLD, OWN = 0.2, 5
 GAMMA = 0.9
 #: Element names and name parts (fixed values).
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -44,6 +45,7 @@ DROPPED = set("script style noscript template iframe object embed svg canvas for
 ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 NAMED = set("ad ads adbox adslot advert adverts advertisement advertising sponsor sponsored sponsors promo promos promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription paywall menu menus nav navbar navigation breadcrumb breadcrumbs sidebar widget widgets related recommended recommendations share sharing social footer masthead topbar comment comments commentlist respond replies disqus pagination pager toolbar login signup search outbrain taboola".split())
 NEUTRAL = set("area article articles bar block box btn button buttons bottom container content form group header inner item items left link links list main menu news page panel post posts right section site sticky text thread title top wrap wrapper".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*)>""", re.S)
@@ -57,7 +59,7 @@ class Node:
     def __init__(self, tag: str, key: str, parent: "Node | None", drop: bool, named: bool = False):
         self.tag, self.key, self.drop, self.named = tag, key, drop, named
         self.depth = parent.depth + 1 if parent else 0
-        self.path = xxhash.xxh64_intdigest(f"{parent.path if parent else 0}/{key}", _SEED) >> 1
+        self.path = 0
         self.children: list[Node | str] = []
 
 
@@ -152,29 +154,69 @@ def _texts(node: Node) -> list[str]:
     return out
 
 
-def style_counts(page: str) -> Counter:
+def place(root: Node) -> list[tuple[Node, int, str, list[Node]]]:
+    """Gives every block that markup leaves open its style path; returns (block, parent's path, own text, blocks below)."""
+    out, stack = [], [(root, 0)]
+    while stack:
+        node, parent = stack.pop()
+        text, below = _inside(node)
+        open_ = [c for c in below if not c.drop]
+        out.append((node, parent, text, open_))
+        runs: Counter = Counter()
+        for i, c in enumerate(open_):
+            begins, ends = i == 0 or open_[i - 1].key != c.key, i + 1 == len(open_) or open_[i + 1].key != c.key
+            runs[c.key] += begins
+            spot = f"{c.key}#{min(runs[c.key], 4)}{'b' * begins}{'e' * ends}"
+            c.path = xxhash.xxh64_intdigest(f"{node.path}/{spot}", _SEED) >> 1
+        stack += [(c, node.path) for c in reversed(open_)]
+    return out
+
+
+def style_counts(page: str, copied: bool = False) -> Counter:
     """(path, parent, depth, kind, value, article) of a page's blocks that markup leaves open.
 
-    Kind 0 is presentation, 1 content; article is a hash of the article's texts for the blocks inside, else 0.
+    Kind 0 is presentation, 1 content; article is a hash of the article's texts for the blocks inside, and of the page for
+    those outside if the page is one of several copies, else 0.
     """
     out: Counter = Counter()
-    stack = [(parse(page), 0, 0)]
-    while stack:
-        node, parent, article = stack.pop()
-        if node.drop:
-            continue
-        if not article and node.tag in ("article", "main"):
+    root = parse(page)
+    articles = {id(root): (xxhash.xxh64_intdigest(page, _SEED) >> 1) | 1 if copied else 0}
+    within: set[int] = set()
+    for node, parent, text, below in place(root):
+        article = articles[id(node)]
+        if id(node) not in within and node.tag in ("article", "main"):
             article = (xxhash.xxh64_intdigest("\n".join(_texts(node)), _SEED) >> 1) | 1
-        text, below = _inside(node)
+            within.add(id(node))
+        for c in below:
+            articles[id(c)] = article
+            if id(node) in within:
+                within.add(id(c))
         shape = [k for i, k in enumerate(c.key for c in below) if i == 0 or below[i - 1].key != k]
         out[(node.path, parent, node.depth, 0, xxhash.xxh64_intdigest(",".join(shape), _SEED) >> 1, article)] += 1
         if text:
             out[(node.path, parent, node.depth, 1, xxhash.xxh64_intdigest(text, _SEED) >> 1, article)] += 1
-        stack += [(c, node.path, article) for c in below]
     return out
 
 
-def _lines(root: Node, removed: set[int], spared: set[int]) -> list[tuple[str, int]]:
+def spared_headings(placed: list[tuple[Node, int, str, list[Node]]], removed: set[int]) -> set[int]:
+    """Ids of headings of removed paths that stay: those before a block that stays, and all inside an article."""
+    out: set[int] = set()
+    within: set[int] = set()
+    for node, _, _, below in placed:
+        if node.tag in ("article", "main"):
+            within.add(id(node))
+        stays = False
+        for c in reversed(below):
+            if id(node) in within:
+                within.add(id(c))
+            if c.tag not in HEADINGS or c.path not in removed:
+                stays = c.path not in removed
+            elif stays or id(node) in within:
+                out.add(id(c))
+    return out
+
+
+def _lines(root: Node, removed: set[int], spared: set[int], headings: set[int] = frozenset()) -> list[tuple[str, int]]:
     """(line, article) of a page: article is the id of the outermost article or main element around, else 0.
 
     Branches of the removed paths are left out, but not inside spared articles.
@@ -195,7 +237,7 @@ def _lines(root: Node, removed: set[int], spared: set[int]) -> list[tuple[str, i
             words.append(item)
         elif isinstance(item, Node):
             block = item.tag in BLOCKS
-            if item.drop or (block and item.path in removed and article not in spared):
+            if item.drop or (block and item.path in removed and article not in spared and id(item) not in headings):
                 if block:
                     flush(article)
                 continue
@@ -218,6 +260,7 @@ def _lines(root: Node, removed: set[int], spared: set[int]) -> list[tuple[str, i
 def extract(page: str | None, removed: set[int]) -> str:
     """The page's blocks, joined by newlines, without what is dropped or removed."""
     root = parse(page or "")
+    headings = spared_headings(place(root), removed) if removed else set()
 
     def sizes(lines: list[tuple[str, int]]) -> Counter:
         out: Counter = Counter()
@@ -225,11 +268,11 @@ def extract(page: str | None, removed: set[int]) -> str:
             out[article] += len(line)
         return out
 
-    lines = _lines(root, removed, set())
+    lines = _lines(root, removed, set(), headings)
     if removed:
         left, full = sizes(lines), sizes(_lines(root, set(), set()))
         spared = {a for a, n in full.items() if a and 2 * left[a] < n}
-        lines = _lines(root, removed, spared) if spared else lines
+        lines = _lines(root, removed, spared, headings) if spared else lines
     kept = sizes(lines)
     of_article = kept.total() - kept[0]
     return "\n".join(line for line, article in lines if article or 2 * of_article < kept.total())
@@ -241,36 +284,31 @@ def style_trees(pages: DataFrame) -> DataFrame:
     def count(batches):
         for batch in batches:
             total: Counter = Counter()
-            for host, page in zip(batch["host"], batch["html"], strict=True):
-                for key, n in style_counts(page or "").items():
+            for host, page, copied in zip(batch["host"], batch["html"], batch["copied"], strict=True):
+                for key, n in style_counts(page or "", copied).items():
                     total[(host, *key)] = max(total[(host, *key)], n) if key[-1] else total[(host, *key)] + n
             yield pd.DataFrame([(*k, n) for k, n in total.items()], columns=["host", "path", "parent", "depth", "kind", "value", "article", "n"])
 
-    counted = pages.select("host", "html").mapInPandas(count, "host string, path long, parent long, depth int, kind int, value long, article long, n long")
-    # An article's block counts once for all copies of the article; what stands outside of articles once a page.
+    told = pages.select("host", "html", F.xxhash64("html").alias("same"))
+    copies = told.groupBy("host", "same").agg(F.count("*").alias("n")).where("n > 1").select("host", "same", F.lit(True).alias("copied"))
+    marked = told.join(copies, ["host", "same"], "left").select("host", "html", F.coalesce("copied", F.lit(False)).alias("copied"))
+    counted = marked.mapInPandas(count, "host string, path long, parent long, depth int, kind int, value long, article long, n long")
+    # A block of copied articles and pages counts once for all of them; what else stands outside of articles once a page.
     once = counted.groupBy("host", "path", "parent", "depth", "kind", "value", "article").agg(F.when(F.col("article") != 0, F.max("n")).otherwise(F.sum("n")).alias("n"))
-    counted = written(once.groupBy("host", "path", "parent", "depth", "kind", "value").agg(F.sum("n").alias("n")), "styles")
-
-    def entropy(*by: str) -> DataFrame:
-        n = F.sum("n")
-        return counted.groupBy(*by, "value").agg(n.alias("n")).groupBy(*by).agg(n.alias("total"), F.sum(F.col("n") * F.log("n")).alias("spread"))
-
-    own = entropy("host", "path", "parent", "depth", "kind")
-    everywhere = entropy("path", "kind").select("path", "kind", F.col("total").alias("all_total"), F.col("spread").alias("all_spread"))
-    diverse = lambda total, spread: F.when(F.col(total) > 1, (F.log(total) - F.col(spread) / F.col(total)) / F.log(total)).otherwise(F.lit(1.0))
-    leaning = (F.col("total") * diverse("total", "spread") + LEAN * diverse("all_total", "all_spread")) / (F.col("total") + LEAN)
-    blended = F.when(F.col("total") >= OWN, diverse("total", "spread")).otherwise(leaning)
-    scored = own.join(everywhere, ["path", "kind"]).select("host", "path", "parent", "depth", "kind", "total", "all_total", blended.alias("importance"))
+    valued = written(once.groupBy("host", "path", "parent", "depth", "kind", "value").agg(F.sum("n").alias("n")), "styles")
+    scored = valued.groupBy("host", "path", "parent", "depth", "kind").agg(F.sum("n").alias("total"), F.sum(F.col("n") * F.log("n")).alias("spread"))
+    diverse = F.when(F.col("total") > 1, (F.log("total") - F.col("spread") / F.col("total")) / F.log("total")).otherwise(F.lit(1.0))
+    scored = scored.select("host", "path", "parent", "depth", "kind", "total", diverse.alias("importance"))
 
     def compose(rows: pd.DataFrame) -> pd.DataFrame:
         imp: dict[int, dict[int, tuple[float, int]]] = {}
         up: dict[int, int] = {}
         enough: dict[int, bool] = {}
         depth: dict[int, int] = {}
-        for path, parent, deep, kind, total, everything, value in rows[["path", "parent", "depth", "kind", "total", "all_total", "importance"]].itertuples(index=False):
+        for path, parent, deep, kind, total, value in rows[["path", "parent", "depth", "kind", "total", "importance"]].itertuples(index=False):
             imp.setdefault(path, {})[kind] = (value, total)
             up[path], depth[path] = parent, deep
-            enough[path] = enough.get(path, False) or total >= OWN or everything >= LEAST
+            enough[path] = enough.get(path, False) or total >= OWN
         below: dict[int, list[tuple[float, int]]] = {}
         low: list[int] = []
         alive: set[int] = set()  # branches that stay, or hold one that stays

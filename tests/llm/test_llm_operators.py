@@ -389,6 +389,37 @@ def test_style_tree_on_small_hosts_and_inside_articles(spark):
     assert got == want
 
 
+def main_texts(spark, rows):
+    return {r["page_id"]: r["text"] for r in site_style.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_style_tree_tells_places_apart(spark):
+    """Blocks of one element name are judged by their place; small hosts and copies lose nothing."""
+    story = lambda i: f"The {i}th story is about {'the sea and its ships ' * (i % 3 + 2)}number {i}."
+    share = "<p>Share this story with all of your friends today.</p>"
+    rows = [(i, f"http://food.org/{i}", f"<html><body><article><p>{story(i)}</p><h2>Ingredients</h2>{share}</article></body></html>") for i in range(6)]
+    rows += [(10 + i, f"http://two.org/{i}", f"<html><body><article>teaser {i}</article><div><p>The long story: {story(i)}</p></div></body></html>") for i in range(2)]
+    rows += [(20 + i, f"http://same.org/{i}", f"<html><body><div><p>{story(1)}</p></div></body></html>") for i in range(9)]
+    got = main_texts(spark, rows)
+    assert all(got[i] == f"{story(i)}\nIngredients" for i in range(6))
+    assert all(got[10 + i] == f"teaser {i}\nThe long story: {story(i)}" for i in range(2))
+    assert all(got[20 + i] == story(1) for i in range(9))
+
+
+def test_style_tree_cleans_a_site_without_telling_names(spark):
+    """Nothing but the tree tells this site's menu, notice and copyright from its texts."""
+    words = "sea ship port wind sail rope mast deck crew tide".split()
+    text = lambda i, k: " ".join(words[(i * 7 + k * 3 + j * (i + 1)) % 10] for j in range(9)) + f" {i} {k}"
+    page = lambda i: (
+        "<html><body><div class='x1'><p><a href='/'>Home</a> <a href='/a'>All texts</a></p><p>Welcome to our pages</p></div>"
+        + f"<div class='q7'><h1>Title {i}</h1>" + "".join(f"<p>{text(i, k)}</p>" for k in range(2 + i % 3)) + "</div><div class='z3'><p>All rights reserved by the owners of these pages</p></div></body></html>"
+    )
+    rows = [(i, f"http://plain.org/{i}", page(i)) for i in range(12)]
+    got = main_texts(spark, rows)
+    assert got == {i: "\n".join([f"Title {i}", *(text(i, k) for k in range(2 + i % 3))]) for i in range(12)}
+    assert all("Home All texts" in site_style.extract(h, set()) and "rights" in site_style.extract(h, set()) for _, _, h in rows)
+
+
 def test_names_of_classes_alone_remove_no_content():
     cases = {
         '<div id="page" class="has-sidebar"><p>Story</p></div>': "Story", '<article class="post no-comments"><p>Story</p></article>': "Story",
