@@ -5,13 +5,16 @@ case, script and vowel or consonant; digits; hexadecimal digits; address octets)
 unbalanced Feistel network, a keyed shift of every symbol, and the network backwards. That is one-to-one on all
 entities of a format and moves each of them, so equal entities stay equal and different ones different across the
 whole corpus without a table. Names go word by word, so that a surname alone keeps the surrogate it has behind a
-given name. Given names of the gazetteer move inside their gender's and script's list; for other names, and for
+given name. Listed given names move inside their gender's and script's list, listed surnames inside their script's; for other names, and for
 secrets of letters and digits, the permutation is walked on until its image is again no listed name, or again of
 the secret's own kind, which keeps it one-to-one on those that are left. ``collisions`` checks all entities of a
 table; ``replace`` runs it and takes another derived key where an entity would stand for itself.
 
-Persons are found behind a title, or as a listed given name before a capitalised word; every name word found so
-counts again wherever else the same text has it. A name with neither, or a listed given name alone, is not found.
+Persons are found behind a title, or as a listed given name before a capitalised word, with up to two further words and the
+initials and particles between; every name word found so counts again wherever else the same text has it, unless it is an
+ordinary word (``ORDINARY``) or the text has it in small letters too. A name with neither title nor listed given name, or a
+listed given name alone, is not found. Words of an address's local part move as names do, so a person and the address keep
+agreeing; valid account numbers get valid check digits.
 The key belongs to the caller: who has it can undo every surrogate.
 
 Edge cases: a null text stays null and an empty one empty; texts without entities are returned unchanged; rows
@@ -37,6 +40,15 @@ GIVEN_NAMES = {
     "cyrillic female": "Анна Мария Елена Ольга Наталья Ирина Татьяна Светлана",
     "cyrillic male": "Иван Алексей Сергей Дмитрий Андрей Михаил Николай Павел",
 }
+#: Frequent surnames by script (fixed values).
+SURNAMES = {
+    "latin": "Smith Jones Taylor Williams Davies Evans Walker Roberts Robinson Wright Thompson Hughes Edwards Lewis Harris Clarke Jackson Turner Cooper Morris Müller Schmidt Schneider Fischer Weber Meyer Wagner Becker Schulz Hoffmann Koch Richter Martin Bernard Dubois Moreau Laurent Simon Lefebvre Leroy Garnier Fournier García Fernández González Rodríguez López Martínez Sánchez Pérez Gómez Ruiz Hernández Díaz Moreno Álvarez",
+    "greek": "Παπαδόπουλος Παπαδοπούλου Γεωργίου Δημητρίου Νικολάου Ιωάννου Οικονόμου Αντωνίου Κωνσταντίνου Βασιλείου",
+    "cyrillic": "Иванов Петров Сидоров Смирнов Кузнецов Попов Соколов Лебедев Новиков Морозов",
+}
+#: Words between the parts of a name, and ordinary words that are names too, which stand for a person only inside one (fixed values).
+PARTICLES = "de la las los del di da do dos das du des der den van von vom zu zur af av bin ibn el al y e"
+ORDINARY = "May Will Mark Bill Bob Rob Pat Sue Rose Grace Hope Faith Joy Art Rich Frank Grant Chase Chance Drew Dean Earl Duke King Queen Prince Bishop Pope Abbot Knight Page Price Rice Rush Stone Wood Woods Hill Hall House Church Street Park Lake Rivers Brook Field Fields Ford West North South Day Summer Winter Spring April June July August Monday Friday Sunday Brown Black White Green Gray Young Long Short Small Little Strong Sharp Wise Love Good Best Fair Case Cash Bell Book Cook Baker Miller Potter Hunter Fisher Carter Mason Smart The This That These Those And But For With From When Where What There Then They You Your She Her His Its Our Not Are Was Were Has Had Can Could Would Should Must Der Die Das Und Les Des Una Los Las"
 TITLES = "Mrs Mr Ms Miss Dr Prof Herr Frau Madame Mme Monsieur Mlle Señora Señor Sra Sr Κύριος Κυρία Господин Госпожа"
 ALPHABETS = (
     "0123456789",
@@ -48,24 +60,29 @@ ALPHABETS = (
 _HEX = "0123456789abcdef"
 
 _NAME = r"\p{Lu}[\p{L}'-]+"
+#: Up to two further parts of a name, each with initials or particles before it.
+_FURTHER = rf"(?: (?:\p{{Lu}}\. |(?:{'|'.join(PARTICLES.split())}) ){{0,3}}{_NAME}){{0,2}}"
+_DIGITS = r"(?=(?:[ .()/-]{0,2}[0-9]){7,15}(?![0-9]))"
 _SECRET_HEAD = r"(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[ \t]*[=:][ \t]*[\"']?"
 #: Entity types in the order in which they are tried at a position.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}",
     "secret": rf"(?<![A-Za-z0-9]){_SECRET_HEAD}(?=[^\s\"',;]*[0-9])[^\s\"',;]{{6,}}",
     "access_key": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
-    "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,5}(?:[ .-][0-9]{2,5}){1,4}(?![0-9])|(?<![0-9A-Za-z])\([0-9]{3}\) ?[0-9]{3}[-. ][0-9]{4}(?![0-9])|(?<![0-9A-Za-z.-])[0-9]{3}[-. ][0-9]{3}[-. ][0-9]{4}(?![0-9.-]*[0-9])",
+    "phone": rf"(?<![0-9A-Za-z+])\+{_DIGITS}[0-9]{{1,3}}(?:[ .-]?\([0-9]{{1,4}}\))?(?:[ ./-]?[0-9]{{1,12}}){{1,6}}(?![0-9])|" r"(?<![0-9A-Za-z])\([0-9]{3}\) ?[0-9]{3}[-. ][0-9]{4}(?![0-9])|(?<![0-9A-Za-z.-])[0-9]{3}[-. ][0-9]{3}[-. ][0-9]{4}(?![0-9.-]*[0-9])",
     "ip": r"(?<![0-9A-Za-z.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9A-Za-z]|\.[0-9])",
+    "ip6": r"(?<![0-9A-Za-z:.])(?:(?:[0-9a-f]{1,4}:){7}[0-9a-f]{1,4}|(?=(?:[0-9a-f]{1,4}:|:){2,7}[0-9a-f:]*[0-9a-f])(?=[a-f:]*[0-9])(?:[0-9a-f]{1,4}(?::[0-9a-f]{1,4}){0,6})?::(?:[0-9a-f]{1,4}(?::[0-9a-f]{1,4}){0,6}))(?![0-9A-Za-z:]|\.[0-9])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
     "card": r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
-    "person": rf"(?<![\p{{L}}])(?=\p{{Lu}})(?:(?:{'|'.join(TITLES.split())})\.? {_NAME}(?: {_NAME})?|(?:{'|'.join(' '.join(GIVEN_NAMES.values()).split())}) {_NAME})",
+    "person": rf"(?<![\p{{L}}])(?=\p{{Lu}})(?:(?:{'|'.join(TITLES.split())})\.? {_NAME}{_FURTHER}|(?:{'|'.join(' '.join(GIVEN_NAMES.values()).split())})(?:-\p{{Lu}}\p{{L}}+)?(?: (?:\p{{Lu}}\. |(?:{'|'.join(PARTICLES.split())}) ){{0,3}}{_NAME}){{1,2}})",
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: A text without any of these characters or names holds no entity.
-GATE = rf"[0-9@]|{PATTERNS['person']}"
+GATE = rf"[0-9@]|::|{PATTERNS['person']}"
 _TITLE = rf"^(?:{'|'.join(TITLES.split())})\.? "
-_LISTED = [n.lower() for names in GIVEN_NAMES.values() for n in names.split()]
+_POOLS = {**GIVEN_NAMES, **{f"{k} surnames": v for k, v in SURNAMES.items()}}
+_LISTED = [n.lower() for names in _POOLS.values() for n in names.split()]
 
 
 def entity_type(entity: Column) -> Column:
@@ -147,7 +164,7 @@ def _class(kind: Column, body: Column) -> Column:
 def _spelled(body: Column, kind: Column, key: Column) -> Column:
     """The body with its symbols permuted inside their alphabets, walked on until it is of its own class again."""
     master = _tables()[0]
-    mode = F.when(kind == "ip", "octet").when((kind == "secret") & (_class(kind, body) == 1), "hex").otherwise("plain")
+    mode = F.when(kind == "ip", "octet").when(((kind == "secret") & (_class(kind, body) == 1)) | (kind == "ip6"), "hex").otherwise("plain")
     rank = lambda symbols, i: F.size(F.filter(F.slice(symbols, F.lit(1), i + 1), lambda y: y["size"] > 0))
     written_as = lambda s, v: F.when(kind == "ip", v.cast("string")).otherwise(F.substr(F.lit(master), s["start"] + v, F.lit(1)))
 
@@ -174,19 +191,39 @@ def _luhn(number: Column) -> Column:
     return F.pmod(F.aggregate(worth, F.lit(0), lambda a, x: a + x), F.lit(10))
 
 
+def _mod97(account: Column) -> Column:
+    """The remainder by 97 of an account number with its first four characters at the end and letters as 10 to 35."""
+    turned = F.concat(F.substring(account, 5, 60), F.substring(account, 1, 4))
+    digits = F.flatten(F.transform(F.regexp_extract_all(turned, F.lit("[0-9A-Z]"), 0), lambda c: F.when(c.between("0", "9"), F.array(c.try_cast("int"))).otherwise(F.array(F.floor((F.ascii(c) - 55) / 10).cast("int"), F.pmod(F.ascii(c) - 55, F.lit(10))))))
+    return F.aggregate(digits, F.lit(0), lambda a, d: F.pmod(a * 10 + d, F.lit(97)))
+
+
 def _listed(name: Column, key: Column) -> Column:
-    """A listed given name's successor by a keyed step in its list, in capitals for capitals; null for other names."""
+    """A listed name's successor by a keyed step among those of its length in its list, in capitals for capitals and small letters for small ones;
+    null for other names."""
     out = F.lit(None).cast("string")
-    for pool, names in GIVEN_NAMES.items():
-        listed = F.array(*[F.lit(n) for n in names.split()])
-        n = len(names.split())
-        step = F.pmod(F.conv(F.substring(F.sha2(F.concat_ws("|", key, F.lit(pool)), 256), 1, 8), 16, 10).cast("long"), F.lit(n - 1)) + 1
-        at = F.array_position(F.array(*[F.lit(x.lower()) for x in names.split()]), F.lower(name))
-        successor = F.element_at(listed, (F.pmod(at - 1 + step, F.lit(n)) + 1).cast("int"))
-        out = F.when(at > 0, F.when(name == F.upper(name), F.upper(successor)).otherwise(successor)).otherwise(out)
+    for pool, names in _POOLS.items():
+        for group in _alike(names.split()):
+            step = F.pmod(F.conv(F.substring(F.sha2(F.concat_ws("|", key, F.lit(pool)), 256), 1, 8), 16, 10).cast("long"), F.lit(len(group) - 1)) + 1
+            at = F.array_position(F.array(*[F.lit(x.lower()) for x in group]), F.lower(name))
+            successor = F.element_at(F.array(*map(F.lit, group)), (F.pmod(at - 1 + step, F.lit(len(group))) + 1).cast("int"))
+            cased = F.when(name == F.upper(name), F.upper(successor)).when(name == F.lower(name), F.lower(successor)).otherwise(successor)
+            out = F.when(at > 0, cased).otherwise(out)
     return out
 
 
+def _alike(names: list[str]) -> list[list[str]]:
+    """The names of a list by length, those of a length that no other has together."""
+    by: dict[int, list[str]] = {}
+    for n in names:
+        by.setdefault(len(n), []).append(n)
+    lone = [n for group in by.values() if len(group) == 1 for n in group]
+    groups = [group for group in by.values() if len(group) > 1]
+    if len(lone) == 1 and groups:
+        groups[0] += lone
+    return groups + ([lone] if len(lone) > 1 else [])
+
+
 def surrogate(entity: Column, key: str) -> Column:
     """The surrogate of an entity found by ``entities``: what its type keeps in front and behind, the rest permuted.
 
@@ -205,10 +242,16 @@ def surrogate(entity: Column, key: str) -> Column:
 
     def assembled(kind: Column, k: Column, p: Column) -> Column:
         body = F.substr(entity, F.length(p["head"]) + 1, F.length(entity) - F.length(p["head"]) - F.length(p["tail"]))
-        parts = F.when(kind == "person", F.split(body, " ")).otherwise(F.array(body))
-        moved = F.transform(parts, lambda b: F.coalesce(F.when(kind == "person", _listed(b, k)), _spelled(b, kind, k)))
+        parts = F.when(kind == "person", F.regexp_extract_all(body, F.lit("[^ -]+|[ -]"), 0)).when(kind == "email", F.regexp_extract_all(body, F.lit(r"\p{L}+(?=[^@]*@)|\p{L}*[^\p{L}@]+(?=[^@]*@)|@.*"), 0)).otherwise(F.array(body))
+        # Words of an address's local part move as names do, so that a person and the address keep agreeing.
+        named = lambda b: (kind == "person") | ((kind == "email") & F.rlike(b, F.lit(r"^\p{L}+$")))
+        name_key = F.concat_ws("|", F.lit(key), F.lit("person"))
+        word = lambda b: F.coalesce(_listed(b, name_key), _spelled(b, F.lit("person"), name_key))
+        moved = F.transform(parts, lambda b: F.when(b.isin(" ", "-", *PARTICLES.split()) & (kind == "person"), b).when(named(b), word(b)).otherwise(_spelled(b, kind, k)))
         check = lambda w: F.pmod(_luhn(entity) - _luhn(F.concat(w, F.lit("0"))), F.lit(10)).cast("string")
-        return _let(F.concat(p["head"], F.array_join(moved, " ")), lambda w: F.concat(w, F.when(kind == "card", check(w)).otherwise(p["tail"])))
+        account = lambda w: F.concat(F.substring(w, 1, 2), F.lpad((98 - _mod97(F.concat(F.substring(w, 1, 2), F.lit("00"), F.substring(w, 5, 60)))).cast("string"), 2, "0"), F.substring(w, 5, 60))
+        valid = (kind == "iban") & (_mod97(entity) == 1)
+        return _let(F.concat(p["head"], F.array_join(moved, "")), lambda w: F.when(valid, account(w)).otherwise(F.concat(w, F.when(kind == "card", check(w)).otherwise(p["tail"]))))
 
     return _let(entity_type(entity), of)
 
@@ -216,7 +259,9 @@ def surrogate(entity: Column, key: str) -> Column:
 def _pattern(text: Column) -> Column:
     """``ENTITY`` and every name word of the text's persons; null where there is none."""
     persons = F.when(F.rlike(text, F.lit(PATTERNS["person"])), F.regexp_extract_all(text, F.lit(PATTERNS["person"]), 0))
-    names = F.array_distinct(F.flatten(F.transform(persons, lambda p: F.split(F.regexp_replace(p, _TITLE, ""), " "))))
+    words = F.array_distinct(F.flatten(F.transform(persons, lambda p: F.split(F.regexp_replace(p, _TITLE, ""), "[ -]"))))
+    plain = lambda n: F.rlike(text, F.concat(F.lit(r"(?<!\p{L})"), F.lower(n), F.lit(r"(?!\p{L})")))  # noqa: E731  the text has it as an ordinary word too
+    names = F.filter(words, lambda n: F.rlike(n, F.lit(r"^\p{Lu}[\p{L}']+$")) & (F.length(n) > 2) & ~n.isin(*ORDINARY.split()) & ~plain(n))
     return _let(names, lambda n: F.when(F.size(n) > 0, F.concat(F.lit(rf"{ENTITY}|(?<![\p{{L}}])(?:"), F.array_join(n, "|"), F.lit(r")(?![\p{L}])"))))
 
 

@@ -389,6 +389,27 @@ def test_style_tree_on_small_hosts_and_inside_articles(spark):
     assert got == want
 
 
+def test_surrogates_leave_nothing_of_a_name_and_no_more(spark):
+    """Names of several parts, phones of any grouping, IPv6, ordinary words, persons and addresses, check digits."""
+    texts = [
+        "Dr Anna Maria Schmidt called. Schmidt left.", "John F. Kennedy and Maria de la Cruz met Hans-Peter Müller.", "Call +49 30 123456 or +442071838750 now.", "host 2001:db8:85a3::8a2e:370:7334 and fe80::1 at 12:30:45 in std::vector and a::b",
+        "Mr May came in May. May I ask Mr Will? Will you?", "Mr Jon Smith wrote. jon.smith@example.com answered.", "DE89 3704 0044 0532 0130 00 and GB82WEST12345698765432", "Mr Stone threw a stone. Stone walls. Mr Reader is a reader. Reader!",
+    ]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r["text"] for r in pii_surrogates.replace(rows, KEY).orderBy("doc_id").collect()]
+    assert not re.search("Anna|Maria|Schmidt", got[0]) and re.fullmatch(r"Dr \w+ \w+ (\w+) called\. \1 left\.", got[0])
+    assert re.fullmatch(r"\w+ [A-Z]\. \w+ and \w+ de la \w+ met \w+-\w+ \w+\.", got[1]) and not re.search("Kennedy|Cruz|Hans|Müller", got[1])
+    assert re.fullmatch(r"Call \+49 \d\d \d{6} or \+44\d{10} now\.", got[2]) and "123456" not in got[2] and "2071838750" not in got[2]
+    assert re.fullmatch(r"host [0-9a-f]{4}:[0-9a-f]{3}:[0-9a-f]{4}::[0-9a-f]{4}:[0-9a-f]{3}:[0-9a-f]{4} and [0-9a-f]{4}::[0-9a-f] at 12:30:45 in std::vector and a::b", got[3]) and "fe80" not in got[3]
+    assert re.fullmatch(r"Mr (?!May)\w+ came in May\. May I ask Mr (?!Will)\w+\? Will you\?", got[4])
+    first, last = re.fullmatch(r"Mr (\w+) (\w+) wrote\. \w+\.\w+@\w+\.com answered\.", got[5]).groups()
+    assert f"{first.lower()}.{last.lower()}@" in got[5] and (first, last) != ("Jon", "Smith")
+    for account in re.findall(r"[A-Z]{2}\d\d[ A-Z0-9]*\d", got[6]):
+        turned = (account[4:] + account[:4]).replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in turned)) % 97 == 1 and account not in texts[6]
+    assert re.fullmatch(r"Mr (?!Stone)\w+ threw a stone\. Stone walls\. Mr (?!Reader)\w+ is a reader\. Reader!", got[7])
+
+
 def main_texts(spark, rows):
     return {r["page_id"]: r["text"] for r in site_style.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
 
