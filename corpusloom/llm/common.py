@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import logging
 import tempfile
 import uuid
@@ -9,6 +10,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows that a Python worker gets at a time.
+BATCH_ROWS = 2000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -24,11 +27,24 @@ def scratch_dir(spark: SparkSession) -> str:
     return found
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession):
+    """Plans made inside send at most BATCH_ROWS rows at a time to Python, which bounds what a worker holds of long texts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    had = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(had), BATCH_ROWS) if int(had) > 0 else BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, had)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again, so that nothing above is computed twice or lost."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -48,7 +48,7 @@ SURNAMES = {
 }
 #: Words between the parts of a name, and ordinary words that are names too, which stand for a person only inside one (fixed values).
 PARTICLES = "de la las los del di da do dos das du des der den van von vom zu zur af av bin ibn el al y e"
-ORDINARY = "May Will Mark Bill Bob Rob Pat Sue Rose Grace Hope Faith Joy Art Rich Frank Grant Chase Chance Drew Dean Earl Duke King Queen Prince Bishop Pope Abbot Knight Page Price Rice Rush Stone Wood Woods Hill Hall House Church Street Park Lake Rivers Brook Field Fields Ford West North South Day Summer Winter Spring April June July August Monday Friday Sunday Brown Black White Green Gray Young Long Short Small Little Strong Sharp Wise Love Good Best Fair Case Cash Bell Book Cook Baker Miller Potter Hunter Fisher Carter Mason Smart The This That These Those And But For With From When Where What There Then They You Your She Her His Its Our Not Are Was Were Has Had Can Could Would Should Must Der Die Das Und Les Des Una Los Las"
+ORDINARY = "May Will Mark Bill Bob Rob Pat Sue Rose Grace Hope Faith Joy Art Rich Frank Grant Chase Chance Drew Dean Earl Duke King Queen Prince Bishop Pope Abbot Knight Page Price Rice Rush Stone Wood Woods Hill Hall House Church Street Park Lake Rivers Brook Field Fields Ford West North South Day Summer Winter Spring April June July August Monday Friday Sunday Brown Black White Green Gray Young Long Short Small Little Strong Sharp Wise Love Good Best Fair Case Cash Bell Book Smart The This That These Those And But For With From When Where What There Then They You Your She Her His Its Our Not Are Was Were Has Had Can Could Would Should Must Der Die Das Und Les Des Una Los Las"
 TITLES = "Mrs Mr Ms Miss Dr Prof Herr Frau Madame Mme Monsieur Mlle Señora Señor Sra Sr Κύριος Κυρία Господин Госпожа"
 ALPHABETS = (
     "0123456789",
