@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from .common import written
 
 #: Bytes of text that one call of merge_asof takes (more only for one longer text), and those of a block of documents.
-BATCH_BYTES, BLOCK_BYTES = 1_000_000, 4_000_000
+BATCH_BYTES, BLOCK_BYTES = 300_000, 4_000_000
 #: Characters whose classes all regular-expression engines in question agree on; other texts take the slower encoder.
 _COMMON = re.compile(r"[\x00-\u024F\u0370-\u052F\u2010-\u2027\u20A0-\u20BF]*")
 
