@@ -24,6 +24,9 @@ stays as it is; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -198,18 +201,20 @@ def _mod97(account: Column) -> Column:
     return F.aggregate(digits, F.lit(0), lambda a, d: F.pmod(a * 10 + d, F.lit(97)))
 
 
-def _listed(name: Column, key: Column) -> Column:
-    """A listed name's successor by a keyed step among those of its length in its list, in capitals for capitals and small letters for small ones;
-    null for other names."""
-    out = F.lit(None).cast("string")
+def _successors(key: str) -> Column:
+    """A map from each listed name, in small letters, to its successor by a keyed step among the names of its length in its
+    list. The key is known before anything is planned, so this is one literal."""
+    out = {}
     for pool, names in _POOLS.items():
         for group in _alike(names.split()):
-            step = F.pmod(F.conv(F.substring(F.sha2(F.concat_ws("|", key, F.lit(pool)), 256), 1, 8), 16, 10).cast("long"), F.lit(len(group) - 1)) + 1
-            at = F.array_position(F.array(*[F.lit(x.lower()) for x in group]), F.lower(name))
-            successor = F.element_at(F.array(*map(F.lit, group)), (F.pmod(at - 1 + step, F.lit(len(group))) + 1).cast("int"))
-            cased = F.when(name == F.upper(name), F.upper(successor)).when(name == F.lower(name), F.lower(successor)).otherwise(successor)
-            out = F.when(at > 0, cased).otherwise(out)
-    return out
+            step = int(hashlib.sha256(f"{key}|person|{pool}".encode()).hexdigest()[:8], 16) % (len(group) - 1) + 1
+            out |= {n.lower(): group[(i + step) % len(group)] for i, n in enumerate(group)}
+    return F.from_json(F.lit(json.dumps(out)), "map<string,string>")
+
+
+def _listed(name: Column, successors: Column) -> Column:
+    """A listed name's successor, in capitals for capitals and small letters for small ones; null for other names."""
+    return _let(successors[F.lower(name)], lambda n: F.when(name == F.upper(name), F.upper(n)).when(name == F.lower(name), F.lower(n)).otherwise(n))
 
 
 def _alike(names: list[str]) -> list[list[str]]:
@@ -246,8 +251,9 @@ def surrogate(entity: Column, key: str) -> Column:
         # Words of an address's local part move as names do, so that a person and the address keep agreeing.
         named = lambda b: (kind == "person") | ((kind == "email") & F.rlike(b, F.lit(r"^\p{L}+$")))
         name_key = F.concat_ws("|", F.lit(key), F.lit("person"))
-        word = lambda b: F.coalesce(_listed(b, name_key), _spelled(b, F.lit("person"), name_key))
-        moved = F.transform(parts, lambda b: F.when(b.isin(" ", "-", *PARTICLES.split()) & (kind == "person"), b).when(named(b), word(b)).otherwise(_spelled(b, kind, k)))
+        listed = lambda b: F.when(named(b), _listed(b, _successors(key)))
+        as_kind, with_key = (lambda b: F.when(named(b), F.lit("person")).otherwise(kind)), (lambda b: F.when(named(b), name_key).otherwise(k))
+        moved = F.transform(parts, lambda b: F.when(b.isin(" ", "-", *PARTICLES.split()) & (kind == "person"), b).otherwise(F.coalesce(listed(b), _spelled(b, as_kind(b), with_key(b)))))
         check = lambda w: F.pmod(_luhn(entity) - _luhn(F.concat(w, F.lit("0"))), F.lit(10)).cast("string")
         account = lambda w: F.concat(F.substring(w, 1, 2), F.lpad((98 - _mod97(F.concat(F.substring(w, 1, 2), F.lit("00"), F.substring(w, 5, 60)))).cast("string"), 2, "0"), F.substring(w, 5, 60))
         valid = (kind == "iban") & (_mod97(entity) == 1)
