@@ -22,7 +22,6 @@ and nested tags are read as browsers do for blocks; repeated rows are pages each
 from __future__ import annotations
 
 import html as html_lib
-import math
 import re
 from collections import Counter
 
