@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -141,21 +142,24 @@ def stratified_split(rows: DataFrame, label: str, key: str, shares: float | dict
     """Deals the rows of each label into named parts by their shares, in the order of a hash of the key.
 
     A number stands for train with that share and test with the rest. Ranks are split over buckets of the hash, as many
-    as keep a bucket small, whose counts are summed up, so no label has to fit a task.
+    as keep a bucket small, whose counts are summed up, so no label has to fit a task. Shares are decimals as written, so
+    that a limit halfway between two ranks is rounded up as such; null labels are a label, null keys come last.
     """
-    shares = shares if isinstance(shares, dict) else {"train": shares, "test": 1 - shares}
+    shares = shares if isinstance(shares, dict) else {"train": shares, "test": 1 - Decimal(str(shares))}
+    exact = {name: Decimal(str(share)) for name, share in shares.items()}
     digits = max(2, math.ceil(math.log(max(1, rows.count()) / 10_000 + 1, 16)))
     hashed = rows.withColumn("__h", F.sha2(F.col(key).cast("string"), 256)).withColumn("__b", F.substring("__h", 1, digits))
-    sizes = hashed.groupBy(label, "__b").agg(F.count("*").alias("__n"))
-    w = W.partitionBy(label).orderBy("__b")
-    before = sizes.select(label, "__b", F.coalesce(F.sum("__n").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__before"), F.sum("__n").over(W.partitionBy(label)).alias("__all"))
-    placed = hashed.withColumn("__at", F.row_number().over(W.partitionBy(label, "__b").orderBy("__h", key))).join(before, [label, "__b"])
-    *names, last = shares
-    part, upto = F.lit(last), sum(shares.values())
-    for name, following in zip(reversed(names), reversed(list(shares)[1:]), strict=True):
-        upto -= shares[following]
-        part = F.when(F.col("__before") + F.col("__at") <= F.round(F.col("__all") * round(upto, 9)), name).otherwise(part)
-    return placed.withColumn(out, part).drop("__h", "__b", "__at", "__before", "__all")
+    sizes = hashed.groupBy(F.col(label).alias("__label"), F.col("__b").alias("__bucket")).agg(F.count("*").alias("__n"))
+    w = W.partitionBy("__label").orderBy(F.asc_nulls_last("__bucket"))
+    before = sizes.select("__label", "__bucket", F.coalesce(F.sum("__n").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__before"), F.sum("__n").over(W.partitionBy("__label")).alias("__all"))
+    ranked = hashed.withColumn("__at", F.row_number().over(W.partitionBy(label, "__b").orderBy(F.asc_nulls_last("__h"), F.asc_nulls_last(key))))
+    placed = ranked.join(before, F.col(label).eqNullSafe(F.col("__label")) & F.col("__b").eqNullSafe(F.col("__bucket")))
+    *names, last = exact
+    part, upto = F.lit(last), sum(exact.values())
+    for name, following in zip(reversed(names), reversed(list(exact)[1:]), strict=True):
+        upto -= exact[following]
+        part = F.when(F.col("__before") + F.col("__at") <= F.round(F.col("__all") * F.lit(upto)), name).otherwise(part)
+    return placed.withColumn(out, part).drop("__h", "__b", "__at", "__label", "__bucket", "__before", "__all")
 
 
 def confusion(rows: DataFrame, truth: str, predicted: str) -> DataFrame:

@@ -244,3 +244,10 @@ def test_timing_summary_over_ranges(spark):
         assert (r["n"], r["total"]) == (len(known), sum(known) if known else None)
         assert [r["p50"], r["p90"]] == [held[round((len(held) - 1) * q)] for q in (0.5, 0.9)]
     assert metrics.timing_summary(spark.createDataFrame([], "k string, at int, ms long"), "k", "ms", "at").count() == 0
+
+
+def test_split_limits_are_exact(spark):
+    """45 rows at 0.7 make 31.5, which is 32 as a decimal and 31 as a double; null labels and keys are rows as well."""
+    rows = spark.createDataFrame([(i, 1) for i in range(45)] + [(i, None) for i in range(9)] + [(None, None)], "k long, y int")
+    got = annotate.stratified_split(rows, "y", "k", {"train": 0.7, "validation": 0.15, "test": 0.15}).groupBy("y", "part").count().collect()
+    assert {(r["y"], r["part"]): r["count"] for r in got} == {(1, "train"): 32, (1, "validation"): 6, (1, "test"): 7, (None, "train"): 7, (None, "validation"): 2, (None, "test"): 1}
