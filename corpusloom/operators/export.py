@@ -121,12 +121,13 @@ def _parts(batches, columns: list[str]):
         yield int(whole["part"].iloc[0]), [whole[c].to_numpy() for c in columns]
 
 
-def assign_shards(lines: DataFrame, limit: int = SHARD_BYTES, key: str = "stem") -> DataFrame:
-    """Adds shard: lines in key order fill shards up to limit bytes (newlines included), a larger line its own.
+def shard_numbers(lines: DataFrame, limit: int = SHARD_BYTES, key: str = "stem") -> DataFrame:
+    """(key, bytes, shard): lines in key order fill shards up to limit bytes (newlines included), a larger line its own.
 
     The greedy fill over all lines, at any size. Each key range works out, for every line at which its first new
-    shard may start, how many shards start from there on and how full the last one is left; these few rows are
-    chained in range order, and then every range numbers its lines from the fill that comes in.
+    shard may start, how many shards start from there on and how full the last one is left; neighbours with the same
+    outcome are one row. These few rows are written, so that ranges are sorted in tasks of their own, and chained in
+    range order, and then every range numbers its lines from the fill that comes in. No task holds a line's text.
     """
     sized = lines.select(key, (F.octet_length("line") + 1).cast("long").alias("bytes"))
     total = sized.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
@@ -139,26 +140,28 @@ def assign_shards(lines: DataFrame, limit: int = SHARD_BYTES, key: str = "stem")
             before = np.concatenate(([0], np.cumsum(sizes)))
             n = len(sizes)
             after = np.maximum(np.searchsorted(before, before[:-1] + limit, "right") - 1, np.arange(1, n + 1)).tolist()
-            count, left = [0] * (n + 1), [0] * (n + 1)
+            count, left = np.zeros(n + 1, np.int64), np.zeros(n + 1, np.int64)
             for i in range(n - 1, -1, -1):
                 count[i] = count[after[i]] + 1
-                left[i] = left[after[i]] if after[i] < n else int(before[n] - before[i])
+                left[i] = left[after[i]] if after[i] < n else before[n] - before[i]
             m = int(np.searchsorted(before[:n], limit, "right"))
+            # Of neighbours with the same outcome the last one counts: a fill starts there if the lines up to its end do not fit.
+            ends = np.flatnonzero(np.append((np.diff(count[:m]) != 0) | (np.diff(left[:m]) != 0), True))
             # A shard that comes in may hold the whole range: the last row says how many bytes that is.
-            yield pd.DataFrame({"part": part, "at": [*before[:m].tolist(), int(before[n])], "size": [*sizes[:m].tolist(), 0], "count": [*count[:m], 0], "left": [*left[:m], 0], "last": [False] * m + [True]})
+            yield pd.DataFrame({"part": part, "upto": [*before[ends + 1], before[n]], "count": [*count[ends], 0], "left": [*left[ends], 0], "last": [False] * len(ends) + [True]})
 
     def chain(batches):
         shard, used = -1, limit + 1
-        for part, (at, size, count, left, last) in _parts(batches, ["at", "size", "count", "left", "last"]):
+        for part, (upto, count, left, last) in _parts(batches, ["upto", "count", "left", "last"]):
             yield pd.DataFrame({"part": [part], "shard": [shard], "used": [used]})
-            over = np.flatnonzero((used + at + size > limit) & ~last)
+            over = np.flatnonzero((used + upto > limit) & ~last)
             if len(over):
                 shard, used = shard + int(count[over[0]]), int(left[over[0]])
             else:
-                used += int(at[last][0])
+                used += int(upto[last][0])
 
-    small = ordered.mapInPandas(starts, "part int, at long, size long, count long, left long, last boolean")
-    chained = settled(small.coalesce(1).sortWithinPartitions("part", "last", "at").mapInPandas(chain, "part int, shard long, used long"), "chained")
+    small = settled(ordered.mapInPandas(starts, "part int, upto long, count long, left long, last boolean"), "starts")
+    chained = settled(small.coalesce(1).sortWithinPartitions("part", "last", "upto").mapInPandas(chain, "part int, shard long, used long"), "chained")
     incoming = {r["part"]: (r["shard"], r["used"]) for r in chained.collect()}
 
     def fill(batches):
@@ -172,6 +175,11 @@ def assign_shards(lines: DataFrame, limit: int = SHARD_BYTES, key: str = "stem")
                     shard, used = shard + 1, 0
                 used += size
                 numbers.append(shard)
-            yield pd.DataFrame({key: batch[key], "shard": numbers})
+            yield pd.DataFrame({key: batch[key], "bytes": batch["bytes"], "shard": numbers})
+
+    return ordered.mapInPandas(fill, f"{key} string, bytes long, shard long")
 
-    return lines.join(ordered.mapInPandas(fill, f"{key} string, shard long"), key)
+
+def assign_shards(lines: DataFrame, limit: int = SHARD_BYTES, key: str = "stem") -> DataFrame:
+    """Adds shard, as ``shard_numbers`` has it."""
+    return lines.join(shard_numbers(lines, limit, key).drop("bytes"), key)

@@ -189,8 +189,8 @@ SELECT stem, md5(document) AS document_md5, sha256(stem) AS doc_id, coalesce(nul
 def shard_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as export lines in shards: every shard's rows and bytes."""
     docs = table(spark, sf_dir, "documents").select(F.format_string("d%09d", F.col("doc_id")).alias("stem"), F.col("text").alias("line"))
-    placed = export.assign_shards(docs.where("line is not null"), SHARD_BYTES)
-    return placed.groupBy("shard").agg(F.count("*").alias("rows"), F.sum(F.octet_length("line") + 1).alias("bytes"), F.min("stem").alias("first_stem"))
+    placed = export.shard_numbers(docs.where("line is not null"), SHARD_BYTES)
+    return placed.groupBy("shard").agg(F.count("*").alias("rows"), F.sum("bytes").alias("bytes"), F.min("stem").alias("first_stem"))
 
 
 SHARD_SQL = f"""

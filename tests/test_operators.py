@@ -251,3 +251,12 @@ def test_split_limits_are_exact(spark):
     rows = spark.createDataFrame([(i, 1) for i in range(45)] + [(i, None) for i in range(9)] + [(None, None)], "k long, y int")
     got = annotate.stratified_split(rows, "y", "k", {"train": 0.7, "validation": 0.15, "test": 0.15}).groupBy("y", "part").count().collect()
     assert {(r["y"], r["part"]): r["count"] for r in got} == {(1, "train"): 32, (1, "validation"): 6, (1, "test"): 7, (None, "train"): 7, (None, "validation"): 2, (None, "test"): 1}
+
+
+def test_shard_ranges_are_not_sorted_in_the_chain(spark, monkeypatch):
+    """The one task that chains ranges reads what they wrote, instead of sorting all of them itself."""
+    plans, settled = {}, export.settled
+    monkeypatch.setattr(export, "settled", lambda df, name: (plans.__setitem__(name, df._jdf.queryExecution().executedPlan().toString()), settled(df, name))[1])
+    lines = spark.createDataFrame([(f"{i:05}", "x" * (i % 90)) for i in range(1500)], "stem string, line string")
+    assert export.assign_shards(lines, 100).count() == 1500
+    assert plans["chained"].count("MapInPandas") == 1 and plans["chained"].count("Sort [") == 1
