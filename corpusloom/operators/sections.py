@@ -5,10 +5,13 @@ from __future__ import annotations
 import json
 import re
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from ..functions.slices import cuts
 from ..functions.text import strip
 
 #: Longest stripped line that counts as "other" (fixed value).
@@ -61,26 +64,44 @@ def blocks_of(content: str) -> list[tuple[int, str, str]]:
     return [(nth, kind, value) for nth, kind, of in found if (value := "\n".join(of)).strip()]
 
 
-def rows_of(text: str) -> list[dict]:
-    """A text's sections with their blocks' kinds, the blocks as JSON and the share of the document."""
+def rows_of(text: str, fields=tuple(f.split(":")[0] for f in _ROW.split(","))) -> list[dict]:
+    """A text's sections with their blocks' kinds, the blocks as JSON and the share of the document, as far as ``fields`` has
+    them."""
     found = sections_of(text)
     total = sum(row["section_length"] for row in found)
+    kinds, as_json = any(f.startswith("has_") for f in fields), "json_section" in fields
     for row in found:
-        made = blocks_of(row["content"])
-        row |= {f"has_{k}": any(kind == k for _, kind, _ in made) for k in KINDS}
-        row["json_section"] = json.dumps([{kind: value} for _, kind, value in made], ensure_ascii=False, indent=2)
+        if kinds or as_json:
+            made = blocks_of(row["content"])
+            row |= {f"has_{k}": any(kind == k for _, kind, _ in made) for k in KINDS}
+            if as_json:
+                row["json_section"] = json.dumps([{kind: value} for _, kind, value in made], ensure_ascii=False, indent=2)
         row["section_propo"] = round(row["section_length"] / total * 1000) if total else 0
     return found
 
 
+_ARROW = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string(), "boolean": pa.bool_()}
+
+
 def _each(docs: DataFrame, key: str, text: str, of, schema: str) -> DataFrame:
-    """(key, one row per item that ``of`` finds in the text): every document stays where it is."""
+    """(key, one row per item that ``of`` finds in the text): every document stays where it is.
+
+    A worker holds the items of a slice of texts only, however many rows Spark sends it at a time.
+    """
+    fields = dict(f.split(":") for f in schema.split(","))
 
-    @F.pandas_udf(f"array<struct<{schema}>>")
-    def found(texts: pd.Series) -> pd.Series:
-        return pd.Series([of(t) for t in texts])
+    def found(batches):
+        for batch in batches:
+            keys, texts = batch.columns
+            for first, n in cuts(texts):
+                items = [of(t) for t in texts.slice(first, n).to_pylist()]
+                rows = [row for each in items for row in each]
+                owner = pa.array(np.repeat(np.arange(first, first + n), [len(each) for each in items]))
+                columns = [pa.array([row[name] for row in rows], _ARROW[kind]) for name, kind in fields.items()]
+                yield pa.RecordBatch.from_arrays([keys.take(owner), *columns], [key, *fields])
 
-    return docs.where(F.col(text).isNotNull()).select(key, F.explode(found(F.col(text))).alias("i")).select(key, "i.*")
+    made = StructType([docs.schema[key], *StructType.fromDDL(",".join(f"{name} {kind}" for name, kind in fields.items()))])
+    return docs.where(F.col(text).isNotNull()).select(key, text).mapInArrow(found, made)
 
 
 def split_sections(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -104,6 +125,11 @@ def blocks(sections: DataFrame, key: str = "doc_id") -> DataFrame:
     return made.select(f"__of.{key}", "__of.id", "nth", "kind", "value")
 
 
-def section_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Sections with has_table, has_list, has_other, has_text, json_section and the share of the document in 1/1000."""
-    return _each(docs, key, text, rows_of, _ROW)
+def section_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", fields: tuple[str, ...] | None = None) -> DataFrame:
+    """Sections with has_table, has_list, has_other, has_text, json_section and the share of the document in 1/1000.
+
+    ``fields``: the columns that are wanted besides the key; the others are not made.
+    """
+    wanted = [f for f in _ROW.split(",") if fields is None or f.split(":")[0] in fields]
+    names = tuple(f.split(":")[0] for f in wanted)
+    return _each(docs, key, text, lambda t: rows_of(t, names), ",".join(wanted))

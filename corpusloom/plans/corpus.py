@@ -63,7 +63,7 @@ SECTIONS_SQL = f"WITH {_MD} SELECT doc_id, id, header, CAST(start_line AS INTEGE
 
 
 def section_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sections.section_rows(_markdown(spark, sf_dir)).select("doc_id", "id", "section_length", "section_propo", "has_table", "has_list", "has_other", "has_text")
+    return sections.section_rows(_markdown(spark, sf_dir), fields=("id", "section_length", "section_propo", "has_table", "has_list", "has_other", "has_text"))
 
 
 _BLOCKS = rf"""bl AS (
@@ -89,9 +89,10 @@ def section_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 SECTION_BLOCKS_SQL = f"WITH {_MD}, {_BLOCKS} SELECT doc_id, kind, count(*) AS blocks, CAST(sum(length(value)) AS BIGINT) AS chars FROM bb GROUP BY ALL"
 
 
-def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _labelled(spark: SparkSession, sf_dir: str, *fields: str) -> DataFrame:
+    """Sections with labels by their numbers, and the fields given."""
     label = F.when(F.col("id") % 8 == 7, annotate.REFERENCES).when((F.col("id") % 9 == 4) | ((F.col("doc_id") % 5 == 0) & (F.col("id") == 2)), annotate.CONTENTS).otherwise(annotate.OTHER)
-    return sections.section_rows(_markdown(spark, sf_dir)).select("doc_id", "id", "content", "section_length", "section_propo", label.alias("label"))
+    return sections.section_rows(_markdown(spark, sf_dir), fields=("id", *fields)).withColumn("label", label)
 
 
 _LABELLED = """lab AS (
@@ -100,7 +101,7 @@ _LABELLED = """lab AS (
 
 
 def index_override(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return annotate.override_contents(_labelled(spark, sf_dir)).groupBy("doc_id", "label").agg(F.count("*").alias("sections"), F.sum("id").alias("ids"))
+    return annotate.override_contents(_labelled(spark, sf_dir, "content", "section_length", "section_propo")).groupBy("doc_id", "label").agg(F.count("*").alias("sections"), F.sum("id").alias("ids"))
 
 
 INDEX_OVERRIDE_SQL = f"""WITH {_MD}, {_LABELLED}, e AS (
@@ -205,7 +206,7 @@ SELECT shard, count(*) AS rows, CAST(sum(bytes) AS BIGINT) AS bytes, min(stem) A
 
 def section_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sections of all documents labelled by a classifier that was trained on the hashed half of them."""
-    rows = sections.section_rows(_markdown(spark, sf_dir)).withColumn("label", F.when(F.col("has_table"), "table").when(F.col("has_list"), "list").otherwise("text"))
+    rows = sections.section_rows(_markdown(spark, sf_dir), fields=("id", "header", "content", "has_table", "has_list", "has_other", "has_text")).withColumn("label", F.when(F.col("has_table"), "table").when(F.col("has_list"), "list").otherwise("text"))
     ready = rows.select("doc_id", "id", "label", F.concat_ws(" ", "header", "content").alias("combined"), *[F.col(f"has_{k}").cast("double").alias(f"has_{k}") for k in ("table", "list", "other", "text")])
     train = ready.where(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0)
     model = annotate.classifier().fit(train)

@@ -1,10 +1,12 @@
 """Operators on small tables with results worked out by hand."""
 
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from corpusloom.functions import slices
 from corpusloom.operators import annotate, artefacts, cleaner, export, gates, metadata, metrics, sections, urls
 from corpusloom.sources import files
 from corpusloom.sources.snapshots import Snapshots
@@ -260,3 +262,16 @@ def test_shard_ranges_are_not_sorted_in_the_chain(spark, monkeypatch):
     lines = spark.createDataFrame([(f"{i:05}", "x" * (i % 90)) for i in range(1500)], "stem string, line string")
     assert export.assign_shards(lines, 100).count() == 1500
     assert plans["chained"].count("MapInPandas") == 1 and plans["chained"].count("Sort [") == 1
+
+
+def test_sections_are_made_slice_by_slice(spark):
+    """A worker makes the rows of a few texts at a time, and only the fields that are wanted."""
+    big = pa.array(["x" * 400_000] * 5 + ["", None, "y" * 3_000_000, "z"])
+    assert list(slices.cuts(big)) == [(0, 2), (2, 2), (4, 3), (7, 1), (8, 1)]
+    assert [len(x) for x in slices.slices(big)] == [2, 2, 3, 1, 1]
+    docs = spark.createDataFrame([(1, "# A\n- one\n\nx\n# B\n| a |"), (None, "# C"), (3, None), (4, "")], "doc_id int, text string")
+    every = sections.section_rows(docs)
+    some = sections.section_rows(docs, fields=("id", "has_list", "section_propo"))
+    assert some.columns == ["doc_id", "id", "section_propo", "has_list"]
+    assert sorted(map(str, some.collect())) == sorted(map(str, every.select(some.columns).collect()))
+    assert every.count() == 3
