@@ -6,7 +6,7 @@ import unicodedata
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.functions import greek_prep, latex, names, ocr_text, urls, values
+from corpusloom.functions import greek_prep, latex, names, ocr_text, text, urls, values
 from corpusloom.functions.noise import noise_metrics
 
 
@@ -133,3 +133,11 @@ def test_normalized_by_slices(spark):
     big = "é​ " * 200_000
     texts = [None, "", big, "plain", None, big, "e‍́", "Å"]
     assert column(spark, texts, ocr_text.normalized) == [None if t is None else unicodedata.normalize("NFC", t.replace("​", "").replace("‍", "")) for t in texts]
+
+
+def test_values_are_worked_out_once(spark):
+    """A text goes through each pattern once, however often the steps behind name it, and strip takes every white space."""
+    plan = spark.createDataFrame([("x",)], "x string").select(ocr_text.cleaned_output(F.col("x")).alias("y"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("tikzpicture") == 3  # once in the search, twice in the pattern
+    blanks = [chr(c) for c in range(0x3001) if chr(c).isspace() and not 0x1C <= c <= 0x1F]
+    assert column(spark, ["".join(blanks) + "a b" + "".join(blanks), "", None, "​ a"], text.strip) == ["a b", "", None, "​ a"]
