@@ -275,3 +275,11 @@ def test_sections_are_made_slice_by_slice(spark):
     assert some.columns == ["doc_id", "id", "section_propo", "has_list"]
     assert sorted(map(str, some.collect())) == sorted(map(str, every.select(some.columns).collect()))
     assert every.count() == 3
+
+
+def test_cells_of_a_page_are_judged_once(spark, tiny):
+    """Repeated cells are counted before they are decoded."""
+    from corpusloom.plans import documents
+
+    plan = documents.placeholder_cells(spark, tiny)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 2
