@@ -283,3 +283,11 @@ def test_cells_of_a_page_are_judged_once(spark, tiny):
 
     plan = documents.placeholder_cells(spark, tiny)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate [") == 2
+
+
+def test_cleaning_by_slices(spark):
+    """Texts of several slices, nulls among them, come back in order; a worker passes each slice on at once."""
+    big = "ж" * 300_000 + "\nkept line\n"
+    texts = [None, "", big, "plain", None, big, "GLYPH<c=1>"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string").select("i", cleaner.clean_text(F.col("text")).alias("c"))
+    assert [r["c"]["text"] for r in rows.orderBy("i").collect()] == [None, "", "<!-- text-missing -->\nkept line\n", "plain", None, "<!-- text-missing -->\nkept line\n", "<!-- text-missing -->"]
