@@ -277,6 +277,34 @@ def test_sections_are_made_slice_by_slice(spark):
     assert every.count() == 3
 
 
+SLICED = {"section_stats": "id,section_length,section_propo,has_table,has_list,has_other,has_text"}
+
+
+@pytest.mark.parametrize("name", SLICED)
+def test_a_query_takes_sections_slice_by_slice(spark, tiny, monkeypatch, name):
+    """Of a large batch a worker has cut no more than a slice before it passes rows on, and makes the query's fields only."""
+    from corpusloom.plans import corpus
+
+    class Caught(Exception):
+        pass
+
+    def caught(df, found, schema):
+        raise Caught(found)
+
+    monkeypatch.setattr(type(spark.range(0)), "mapInArrow", caught)
+    with pytest.raises(Caught) as error:
+        getattr(corpus, name)(spark, tiny)
+    cut, sections_of = [], sections.sections_of
+    monkeypatch.setattr(sections, "sections_of", lambda text: (cut.append(len(text)), sections_of(text))[1])
+    text = "# A\n- one\n# B\n| a |\n" * 15_000
+    made = []
+    for batch in error.value.args[0](iter([pa.record_batch({"doc_id": list(range(12)), "text": [text] * 12})])):
+        made.append(batch)
+        assert sum(cut) <= len(made) * slices.SLICE_BYTES
+    assert len(made) == 4 and pa.Table.from_batches(made)["doc_id"].to_pylist() == [i for i in range(12) for _ in range(30_000)]
+    assert sorted(made[0].schema.names) == sorted(["doc_id", *SLICED[name].split(",")])
+
+
 def test_cells_of_a_page_are_judged_once(spark, tiny):
     """Repeated cells are counted before they are decoded."""
     from corpusloom.plans import documents
