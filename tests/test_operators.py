@@ -277,7 +277,10 @@ def test_sections_are_made_slice_by_slice(spark):
     assert every.count() == 3
 
 
-SLICED = {"section_stats": "id,section_length,section_propo,has_table,has_list,has_other,has_text", "index_override": "id,content,section_length,section_propo"}
+SLICED = {
+    "section_stats": "id,section_length,section_propo,has_table,has_list,has_other,has_text", "index_override": "id,content,section_length,section_propo",
+    "section_classifier": "id,header,content,has_table,has_list,has_other,has_text",
+}
 
 
 @pytest.mark.parametrize("name", SLICED)
